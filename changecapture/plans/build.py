@@ -22,6 +22,10 @@ from changecapture.tables import catalog, store
 # A fact mirror is gathered by job before writing once it has more jobs than this.
 REBALANCE_ABOVE_JOBS = 8
 
+# Changes are gathered before they are written to the delta if they are fewer than this
+# share of the rows. More of them, as on a first load, fill files of a good size anyway.
+COMPACT_BELOW_SHARE = 0.25
+
 
 class JobAlreadyFinished(ValueError):
     """The job has run before and later jobs have replaced its mirror."""
@@ -149,12 +153,15 @@ def build_delta(
         create_objects(spark, cfg, schema)
         now = catalog.current_version(spark, cfg.mirror_name)
 
+    checked = require_unique(unwrap(source), cfg.keys) if cfg.on_duplicates == "fail" else None
     hashed = hash_source(source, cfg)
-    checked = None
-    if cfg.on_duplicates == "fail":
-        checked = require_unique(hashed, match_columns(cfg, hashed))
-
-    rows = classify(hashed, spark.table(cfg.mirror_name), cfg)
+    mirror = spark.table(cfg.mirror_name)
+    if now[0] == version_name(cfg.mirror_name, catalog.INITIAL):
+        # the first load has nothing to compare with: the empty side leaves no join behind
+        mirror = mirror.where(F.lit(False))
+        if cfg.buckets:
+            hashed = hashed.repartition(cfg.buckets, *match_columns(cfg, hashed))
+    rows = classify(hashed, mirror, cfg)
     store.write_mirror(
         rows,
         cfg.mirror_name,
@@ -166,11 +173,13 @@ def build_delta(
     written = spark.table(version)
     counts = _counts(written)
     kept = sum(n for act, n in counts.items() if act != C.DELETE)
+    changed = sum(n for act, n in counts.items() if act != C.STATIONARY)
     if checked is not None and kept != checked:
         raise BrokenMirror(f"{cfg.mirror_name}: {checked} snapshot rows became {kept}")
 
     ordered = written.select(*[F.col(quoted(c)) for c in rows.columns])
-    store.append_delta(delta_of(ordered), cfg.table, cfg.job_id)
+    compact = changed < COMPACT_BELOW_SHARE * (changed + counts[C.STATIONARY])
+    store.append_delta(delta_of(ordered), cfg.table, cfg.job_id, compact)
     store.swap_mirror(spark, cfg.mirror_name, cfg.job_id)
     return BuildResult(
         cfg.table,

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from changecapture.tables.names import literal
+
 # Settings of the engine itself that suit these jobs at any scale. Sizes (memory,
 # cores, shuffle partitions) depend on the cluster and are left to the caller.
 SETTINGS = {
@@ -38,5 +40,5 @@ def work_database(spark: SparkSession, folder: str | None = None) -> str:
     """New database whose tables lie in a shared folder."""
     folder = folder or work_folder(spark)
     name = f"cc_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}/{name}.db'")
+    spark.sql(f"CREATE DATABASE {name} LOCATION {literal(f'{folder}/{name}.db')}")
     return name

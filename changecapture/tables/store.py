@@ -18,11 +18,12 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", **options) ->
     df.write.format(fmt).mode("overwrite").options(**options).save(path)
 
 
-def append_delta(df: DataFrame, table: str, job_id: str) -> str:
+def append_delta(df: DataFrame, table: str, job_id: str, compact: bool = True) -> str:
     """Add one job's changes to ``<table>_delta``; returns that name.
 
     The job's partition is replaced as a whole, so repeating a job does not double it.
-    The rows are spread to files of the session's advisory size.
+    ``compact`` gathers the rows to files of the session's advisory size, which the few
+    changes of a day need; rows that fill their tasks can be written without a shuffle.
     """
     spark, name = df.sparkSession, f"{table}_delta"
     fields = [f for f in df.schema.fields if f.name != C.JOB]
@@ -30,8 +31,8 @@ def append_delta(df: DataFrame, table: str, job_id: str) -> str:
     spec = partition_spec({C.JOB: job_id})
     spark.sql(
         f"INSERT OVERWRITE TABLE {identifier(name)} PARTITION ({spec}) "
-        f"SELECT /*+ REBALANCE */ {', '.join(quoted(f.name) for f in fields)} FROM {{rows}}",
-        rows=df,
+        f"SELECT {', '.join(quoted(f.name) for f in fields)} FROM {{rows}}",
+        rows=df.hint("rebalance") if compact else df,
     )
     # a job without changes leaves an empty partition: it has run
     catalog.add_partition(spark, name, {C.JOB: job_id})

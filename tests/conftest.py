@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import sys
+import uuid
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from changecapture.session import SETTINGS, work_database, work_folder  # noqa: E402
+
+DATA = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    builder = SparkSession.builder.master("local[8]").appName("tests")
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    base = tmp_path_factory.mktemp("spark")
+    session = (
+        builder.config("spark.sql.shuffle.partitions", "4")
+        .config("spark.driver.memory", "6g")
+        .config("spark.sql.warehouse.dir", str(base / "warehouse"))
+        .config("spark.checkpoint.dir", str(base / "shared"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def db(spark):
+    return work_database(spark)
+
+
+@pytest.fixture
+def folder(spark):
+    return work_folder(spark)
+
+
+@pytest.fixture
+def name():
+    return f"t_{uuid.uuid4().hex[:8]}"
+
+
+@pytest.fixture(scope="session")
+def data():
+    return DATA
+
+
+def plan(df, mode: str = "formatted") -> str:
+    """Physical plan of a DataFrame as text."""
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
+    )

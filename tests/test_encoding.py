@@ -1,0 +1,146 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from changecapture import ConfigError, TableConfig, add_hashes, key_hash, unwrap, value_hash
+from changecapture.functions.encoding import encode
+from changecapture.functions.hashing import digest
+
+
+def texts(spark, rows, schema):
+    df = spark.createDataFrame(rows, schema)
+    return [r[0] for r in df.select(encode(df.schema.fields)).collect()]
+
+
+def test_borders_between_values_cannot_shift(spark):
+    rows = [("a;", "b"), ("a", ";b"), ("", "a"), ("a", ""), (None, ""), ("", None), (None, None)]
+    out = texts(spark, rows, "x string, y string")
+    assert len(set(out)) == len(rows)
+    assert out[-1] == "~~"
+    assert out[0] == "2:a;1:b"
+
+
+def test_null_mark_is_not_a_value(spark):
+    assert len(set(texts(spark, [("~",), (None,), ("1:~",)], "x string"))) == 3
+
+
+def test_zero_has_no_sign_and_nan_is_a_value(spark):
+    out = texts(spark, [(0.0, 0.0), (-0.0, -0.0)], "x double, y float")
+    assert out[0] == out[1]
+    nan = texts(spark, [(float("nan"),), (None,), (0.0,)], "x double")
+    assert len(set(nan)) == 3
+
+
+def test_every_storable_type(spark):
+    schema = T.StructType(
+        [
+            T.StructField("b", T.BooleanType()),
+            T.StructField("i1", T.ByteType()),
+            T.StructField("i2", T.ShortType()),
+            T.StructField("i4", T.IntegerType()),
+            T.StructField("i8", T.LongType()),
+            T.StructField("f", T.FloatType()),
+            T.StructField("d", T.DoubleType()),
+            T.StructField("n", T.DecimalType(10, 2)),
+            T.StructField("day", T.DateType()),
+            T.StructField("ts", T.TimestampType()),
+            T.StructField("tn", T.TimestampNTZType()),
+            T.StructField("bin", T.BinaryType()),
+            T.StructField("arr", T.ArrayType(T.StringType())),
+            T.StructField("m", T.MapType(T.StringType(), T.IntegerType())),
+            T.StructField("s", T.StructType([T.StructField("x", T.StringType())])),
+        ]
+    )
+    at = dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    row = (True, 1, 2, 3, 4, 1.5, 2.5, Decimal("1.50"), at.date(), at, at, b"\x01\xff")
+    row += (["a", None], {"k": 1}, {"x": "y"})
+    out = texts(spark, [row, tuple(None for _ in row)], schema)
+    assert out[1] == "~" * len(row)
+    assert "26:2024-01-02 03:04:05.678901" in out[0]
+    assert "4:01FF" in out[0]
+    assert "4:1:a~" in out[0]
+
+
+def test_nested_values_keep_their_borders(spark):
+    rows = [(["a", "b"],), (["a,b"],), (["ab"],), ([],), ([None],), (None,), ([""],)]
+    assert len(set(texts(spark, rows, "x array<string>"))) == len(rows)
+    rows = [({"x": None, "y": "a"},), ({"x": "a", "y": None},), ({"x": None, "y": None},), (None,)]
+    assert len(set(texts(spark, rows, "x struct<x:string,y:string>"))) == len(rows)
+
+
+def test_map_order_does_not_matter(spark):
+    df = spark.sql("select map('a', 1, 'b', 2) x union all select map('b', 2, 'a', 1)")
+    assert df.select(encode(df.schema.fields)).distinct().count() == 1
+
+
+def test_microseconds_count_inside_nested_values(spark):
+    df = spark.sql(
+        "select array(timestamp'2024-01-01 00:00:00.000001') x "
+        "union all select array(timestamp'2024-01-01 00:00:00.000002')"
+    )
+    assert df.select(encode(df.schema.fields)).distinct().count() == 2
+
+
+def test_hash_does_not_depend_on_the_time_zone(spark):
+    df = spark.range(1).select(F.timestamp_micros(F.lit(1704067200123456)).alias("ts"))
+    before = df.select(encode(df.schema.fields)).first()[0]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert df.select(encode(df.schema.fields)).first()[0] == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_types_that_cannot_be_stored_are_refused(spark):
+    df = spark.sql("select interval 1 day as x")
+    with pytest.raises(TypeError):
+        encode(df.schema.fields)
+
+
+def test_hash_kinds(spark):
+    df = spark.createDataFrame([("a",)], "x string")
+    out = {k: df.select(digest(F.col("x"), k)).first()[0] for k in ("md5", "sha")}
+    assert out["md5"] == "0cc175b9c0f1b6a831c399e269772661"
+    assert out["sha"].startswith("ca978112ca1bbdcafac231b39a23dc4d")
+    for kind in ("murmur", "xxhash", "MURMUR"):
+        text = bytes.fromhex(df.select(digest(F.col("x"), kind)).first()[0]).decode()
+        assert str(int(text)) == text
+    with pytest.raises(ConfigError):
+        digest(F.col("x"), "crc")
+
+
+def test_hashes_use_schema_order_and_ignore_case(spark):
+    df = spark.createDataFrame([(1, "a", "b", "c")], "Id int, T1 string, T2 string, Created string")
+    cols = [
+        key_hash(df, "T1,ID"),
+        key_hash(df, ["id", "t1"]),
+        value_hash(df, "ID,T1", "created"),
+        digest(encode(df.schema.fields[:2])),
+        digest(encode(df.schema.fields[2:3])),
+    ]
+    a, b, v, ids, t2 = df.select(*cols).first()
+    assert a == b == ids
+    assert v == t2
+
+
+def test_row_order_and_partitioning_do_not_change_hashes(spark, data):
+    df = spark.read.parquet(f"{data}/orders.parquet")
+    cfg = TableConfig("t", "o_orderkey")
+    one = add_hashes(df, cfg)
+    two = add_hashes(df.repartition(7, "o_custkey"), cfg)
+    assert one.exceptAll(two).count() == 0
+
+
+def test_unwrap_follows_the_schema(spark):
+    df = spark.sql(
+        "select named_struct('value', 1, 'seen', 'x') a, named_struct('other', 2) b, 3 c, "
+        "cast(null as struct<Value: string>) d"
+    )
+    out = unwrap(df)
+    assert out.dtypes == [("a", "int"), ("b", "struct<other:int>"), ("c", "int"), ("d", "string")]
+    assert out.first()[0] == 1
