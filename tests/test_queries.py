@@ -1,0 +1,49 @@
+"""Every registered query against its SQL, on whole tables."""
+
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+import __spark_entry__ as contract  # noqa: E402
+
+QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck(data):
+    con = duckdb.connect()
+    for path in Path(data).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    yield con
+    con.close()
+
+
+def sorted_rows(rows, columns):
+    order = [columns.index(c) for c in sorted(columns)]
+    return sorted(repr([row[i] for i in order]) for row in rows)
+
+
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, data, duck, name):
+    df = QUERIES[name](spark, data)
+    cursor = duck.execute(ORACLE[name])
+    columns = [d[0] for d in cursor.description]
+    assert sorted(df.columns) == sorted(columns)
+    wanted = sorted_rows(cursor.fetchall(), columns)
+    assert wanted
+    assert sorted_rows(df.collect(), df.columns) == wanted
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
