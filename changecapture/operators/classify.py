@@ -84,16 +84,16 @@ def _link_columns(cfg: TableConfig) -> list[str]:
 
 
 def _check_sides(new: DataFrame, old: DataFrame, wanted: list[str], cfg: TableConfig) -> None:
-    have = {f.name.lower(): f.dataType for f in old.schema.fields}
-    types = {f.name.lower(): f.dataType for f in new.schema.fields}
+    have = {f.name.lower(): f.dataType.simpleString() for f in old.schema.fields}
+    types = {f.name.lower(): f.dataType.simpleString() for f in new.schema.fields}
     for name in wanted:
         low = name.lower()
         if low not in have:
             raise ConfigError(f"{cfg.table}: the mirror has no column {name}")
         if low in types and types[low] != have[low]:
             raise ConfigError(
-                f"{cfg.table}: column {name} is {types[low].simpleString()} in the snapshot "
-                f"and {have[low].simpleString()} in the mirror"
+                f"{cfg.table}: column {name} is {types[low]} in the snapshot "
+                f"and {have[low]} in the mirror"
             )
 
 

@@ -24,15 +24,16 @@ SETTINGS = {
 def work_folder(spark: SparkSession) -> str:
     """New folder all executors can reach.
 
-    It lies below ``spark.checkpoint.dir``. Only a local session, whose executors share
-    the driver's disk, may go without that setting.
+    It lies below ``spark.checkpoint.dir``, or below the checkpoint folder the session was
+    given otherwise. Only a local session, whose executors share the driver's disk, may go
+    without; it is then given one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="changecapture-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="changecapture-"))
+        base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/changecapture-{uuid.uuid4().hex[:12]}"
 
 

@@ -15,6 +15,9 @@ from changecapture.operators.fields import FieldSets
 from changecapture.tables.names import identifier, literal, partition_spec
 
 FORMAT = "orc"
+# these hold a different text in every row: looking for a dictionary is lost work
+DIRECT = "orc.column.encoding.direct"
+UNREPEATED = (C.NK, C.KEY_HASH, C.VALUE_HASH)
 INITIAL = "init"
 CURRENT, PREVIOUS = "changecapture.version", "changecapture.previous"
 
@@ -23,10 +26,19 @@ def column_list(fields: Iterable[T.StructField]) -> str:
     return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
 
 
-def create_table_sql(name: str, fields: Iterable[T.StructField], partitioned_by: str) -> str:
+def storage_options(columns: Iterable[str]) -> dict[str, str]:
+    """Writer options for a table with these columns."""
+    direct = [c for c in columns if c in UNREPEATED]
+    return {DIRECT: ",".join(direct)} if direct else {}
+
+
+def create_table_sql(name: str, fields: list[T.StructField], partitioned_by: str) -> str:
+    options = storage_options(f.name for f in fields)
+    given = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in options.items())
     return (
-        f"CREATE TABLE IF NOT EXISTS {identifier(name)} ({column_list(fields)}) "
-        f"USING {FORMAT} PARTITIONED BY ({quoted(partitioned_by)})"
+        f"CREATE TABLE IF NOT EXISTS {identifier(name)} ({column_list(fields)}) USING {FORMAT} "
+        + (f"OPTIONS ({given}) " if given else "")
+        + f"PARTITIONED BY ({quoted(partitioned_by)})"
     )
 
 

@@ -62,6 +62,7 @@ def write_mirror(
     if rebalance:
         df = df.hint("rebalance", *parts)
     writer = df.write.format(catalog.FORMAT).mode("overwrite").partitionBy(*parts)
+    writer = writer.options(**catalog.storage_options(df.columns))
     if buckets:
         writer = writer.bucketBy(buckets, *bucket_columns)
     writer.saveAsTable(version)

@@ -24,7 +24,9 @@ def test_mirror_ddl(spark):
     assert mirror_ddl(TableConfig("db.t", "id"), schema) == (
         "CREATE TABLE IF NOT EXISTS `db`.`t__init` (`NK` string, `DWSUNIACT` string, "
         "`DWSARCHIVE` string, `DWSKEYHASH` string, `DWSVALHASH` string, `ID` int, `T1` string, "
-        "`DWSJOB` string) USING orc PARTITIONED BY (`DWSJOB`)"
+        "`DWSJOB` string) USING orc "
+        "OPTIONS ('orc.column.encoding.direct' = 'NK,DWSKEYHASH,DWSVALHASH') "
+        "PARTITIONED BY (`DWSJOB`)"
     )
     fact = mirror_ddl(TableConfig("t", "id", table_type="fact"), schema)
     assert "`DWSAUTO` string, `DWSARCHIVE` string" in fact and "`NK`" not in fact

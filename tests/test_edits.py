@@ -189,3 +189,33 @@ def test_extract_delta_splits_one_plan(spark, data):
     assert delta.count() == 126 + 180 + 105
     assert renewed.count() == new.count()
     assert delta_of(delta).count() == delta.count()
+
+
+@pytest.mark.parametrize("kind", ["murmur", "xxhash"])
+def test_colliding_short_hashes_do_not_mix_keys_up(spark, kind):
+    """Among 300,000 keys some share a 32-bit hash; labels and surrogate keys stay right."""
+    rows = spark.range(300000).select("id", F.lit("a").alias("v"))
+    cfg = TableConfig("t", "id", hash_kind=kind, job_id="j0")
+    hashed = add_hashes(rows, cfg)
+    if kind == "murmur":
+        assert hashed.select("DWSKEYHASH").distinct().count() < 300000
+    mirror = mirror_of(classify(hashed, None, cfg))
+    assert mirror.select("NK").distinct().count() == 300000
+    new = add_hashes(rows.where("id >= 100").withColumn("v", F.expr("if(id < 300, 'b', v)")), cfg)
+    labelled = classify(new, mirror, replace(cfg, job_id="j1"))
+    found = {r.DWSACT: r["count"] for r in labelled.groupBy("DWSACT").count().collect()}
+    assert found == {"D": 100, "U": 200, "S": 299700}
+
+
+def test_array_columns(spark, data, db):
+    base = spark.read.parquet(f"{data}/embeddings.parquet")
+    flipped = F.transform("embedding", lambda x: -x)
+    changed = base.withColumn(
+        "embedding", F.when(F.col("vec_id") < 10, flipped).otherwise(F.col("embedding"))
+    )
+    cfg = TableConfig(f"{db}.vectors", "vec_id", job_id="d1")
+    build_delta(spark, cfg, base)
+    result = build_delta(spark, replace(cfg, job_id="d2"), changed)
+    assert result.counts == {"I": 0, "U": 10, "D": 0, "S": base.count() - 10}
+    shown = result.mirror.select(*base.columns)
+    assert shown.exceptAll(changed).count() == 0

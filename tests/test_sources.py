@@ -124,6 +124,7 @@ def test_a_cluster_must_name_a_shared_folder():
 
         class sparkContext:  # noqa: N801
             master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_folder(Session)
