@@ -5,7 +5,9 @@ from changecapture.functions.hashing import add_hashes, key_hash, value_hash
 from changecapture.functions.wrap import unwrap
 from changecapture.operators.classify import (
     assign_nk,
+    changed_keys,
     classify,
+    classify_changed,
     deleted,
     delta_of,
     extract_delta,

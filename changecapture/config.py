@@ -57,6 +57,10 @@ class TableConfig:
     the next run joins it without shuffling it. It suits large dimension tables; a
     fact mirror has a partition per job and would be cut into too many files.
 
+    ``narrow_first`` finds the changed keys from the hashes alone and, if they are few, joins
+    them back by broadcast, so that no wide row is shuffled. It reads both sides twice and
+    suits wide inline tables that change little; with many changes the run goes on as usual.
+
     ``nk_scope`` sets the surrogate keys of this table apart from those of other tables;
     it is the table name unless given.
     """
@@ -76,6 +80,7 @@ class TableConfig:
     on_duplicates: str = "fail"
     dedupe_order: Any = ()
     buckets: int | None = None
+    narrow_first: bool = False
     nk_scope: str | None = None
     job_id: str = field(default_factory=lambda: str(uuid.uuid4()))
 
@@ -98,6 +103,12 @@ class TableConfig:
             raise ConfigError(f"{self.table}: both key and excluded: {', '.join(both)}")
         put("nk_scope", self.nk_scope or self.table.lower())
         put("partition_values", self._values())
+        if not self.inline and self.on_duplicates != "fail":
+            raise ConfigError(f"{self.table}: a link cannot tell copies of a key apart")
+        if self.narrow_first and (not self.inline or self.match_on_keys or self.buckets):
+            raise ConfigError(
+                f"{self.table}: narrow_first needs an inline table, a long hash and no buckets"
+            )
         if self.buckets is not None:
             if self.buckets < 1:
                 raise ConfigError(f"{self.table}: buckets must be positive")

@@ -129,16 +129,79 @@ def classify(new: DataFrame, old: DataFrame | None, cfg: TableConfig) -> DataFra
     if old is None:
         return _first_load(new, cfg)
 
-    payload, pointers = _payload_columns(new, cfg), _link_columns(cfg)
-    carried = [C.NK] if cfg.table_type == "dim" else [C.JOB]
-    wanted = [*carried, *C.HASHES, *payload, *pointers]
-    _check_sides(new, old, wanted, cfg)
+    new_rows, old_rows = _sides(new, old, cfg)
+    pairs = outer_join_keys(new_rows, old_rows, cfg).withColumn(C.ACT, label())
+    return _stamped(pairs, new_rows, old_rows, cfg)
+
+
+def changed_keys(new: DataFrame, old: DataFrame, cfg: TableConfig) -> DataFrame:
+    """Key hash and label of the rows that are not stationary, and their surrogate key.
+
+    Reads and moves hashes only, however wide the rows are.
+    """
+    carried = [c for c in _carried(cfg) if c == C.NK]
     pairs = outer_join_keys(
-        new.select(*[F.col(quoted(c)) for c in (*C.HASHES, *payload)]),
-        old.select(*[F.col(quoted(c)).alias(c) for c in wanted]),
+        new.select(*C.HASHES),
+        old.select(*[F.col(c).alias(c) for c in (*C.HASHES, *carried)]),
         cfg,
     ).withColumn(C.ACT, label())
+    return pairs.where(F.col(C.ACT) != C.STATIONARY).select(
+        F.coalesce(_old(C.KEY_HASH), _new(C.KEY_HASH)).alias(C.KEY_HASH),
+        C.ACT,
+        *[_old(c).alias(c) for c in carried],
+    )
+
+
+def classify_changed(
+    new: DataFrame, old: DataFrame, changes: DataFrame, cfg: TableConfig
+) -> DataFrame:
+    """The rows of ``classify``, given their ``changed_keys``, without shuffling wide rows.
 
+    ``changes`` is broadcast, so the caller must know that it is small. The changed rows
+    of the snapshot are gathered; the rows of the mirror stay where they are read.
+    """
+    new_rows, old_rows = _sides(new, old, cfg)
+    act = F.col(C.ACT)
+    gone = changes.where(act.isin(C.UPDATE, C.DELETE)).select(C.KEY_HASH, C.ACT)
+    came = changes.where(act.isin(C.INSERT, C.UPDATE)).select(
+        C.KEY_HASH, C.ACT, *[F.col(c).alias(OLD + c) for c in changes.columns if c == C.NK]
+    )
+    kept = (
+        _prefixed(old_rows, OLD)
+        .join(F.broadcast(gone), _old(C.KEY_HASH) == F.col(C.KEY_HASH), "left")
+        .where(act.isNull() | (act == C.DELETE))
+        .withColumn(C.ACT, F.coalesce(act, F.lit(C.STATIONARY)))
+        .drop(C.KEY_HASH)
+    )
+    fresh = (
+        _prefixed(new_rows, NEW)
+        .join(F.broadcast(came), _new(C.KEY_HASH) == F.col(C.KEY_HASH))
+        .drop(C.KEY_HASH)
+        .hint("rebalance")
+    )
+    pairs = kept.unionByName(fresh, allowMissingColumns=True)
+    return _stamped(pairs, new_rows, old_rows, cfg)
+
+
+def _carried(cfg: TableConfig) -> list[str]:
+    """Lineage columns a row keeps from its old side."""
+    return [C.NK] if cfg.table_type == "dim" else [C.JOB]
+
+
+def _sides(new: DataFrame, old: DataFrame, cfg: TableConfig) -> tuple[DataFrame, DataFrame]:
+    """Both sides cut to the columns a run needs, under the snapshot's names."""
+    payload = _payload_columns(new, cfg)
+    wanted = [*_carried(cfg), *C.HASHES, *payload, *_link_columns(cfg)]
+    _check_sides(new, old, wanted, cfg)
+    return (
+        new.select(*[F.col(quoted(c)) for c in (*C.HASHES, *payload)]),
+        old.select(*[F.col(quoted(c)).alias(c) for c in wanted]),
+    )
+
+
+def _stamped(pairs: DataFrame, new: DataFrame, old: DataFrame, cfg: TableConfig) -> DataFrame:
+    """Rows of the result from labelled pairs of ``new_*`` and ``old_*`` columns."""
+    payload, pointers = _payload_columns(new, cfg), _link_columns(cfg)
     act = F.col(C.ACT)
     fresh = act.isin(C.INSERT, C.UPDATE)
     job = F.lit(cfg.job_id)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +13,17 @@ from changecapture.config import ConfigError, TableConfig, version_name
 from changecapture.functions.encoding import quoted
 from changecapture.functions.hashing import add_hashes, match_columns
 from changecapture.functions.wrap import unwrap
-from changecapture.operators.classify import classify, delta_of
-from changecapture.operators.fields import FieldSets, narrow, select_fields
+from changecapture.operators.classify import (
+    changed_keys,
+    classify,
+    classify_changed,
+    delta_of,
+)
+from changecapture.operators.fields import narrow
 from changecapture.operators.guards import action_counts, dedupe, require_unique
 from changecapture.sources.read import read_snapshot, read_table
 from changecapture.tables import catalog, store
+from changecapture.tables.names import identifier, partition_spec
 
 # A fact mirror is gathered by job before writing once it has more jobs than this.
 REBALANCE_ABOVE_JOBS = 8
@@ -25,6 +31,9 @@ REBALANCE_ABOVE_JOBS = 8
 # Changes are gathered before they are written to the delta if they are fewer than this
 # share of the rows. More of them, as on a first load, fill files of a good size anyway.
 COMPACT_BELOW_SHARE = 0.25
+# Changed keys are broadcast up to this number. A key takes its hash, its label and a
+# surrogate key: some 150 bytes, whatever the table looks like.
+BROADCAST_KEYS = 1_000_000
 
 
 class JobAlreadyFinished(ValueError):
@@ -66,18 +75,10 @@ def hash_source(source: DataFrame, cfg: TableConfig) -> DataFrame:
     Rows are ranked by the columns the join will use, so the join finds them already
     partitioned and sorted.
     """
-    plain = narrow(unwrap(source), cfg)
+    hashed = add_hashes(narrow(unwrap(source), cfg), cfg)
     if cfg.on_duplicates != "keep_first":
-        return add_hashes(plain, cfg)
-    sets = FieldSets(cfg, plain.schema)
-    hashed = add_hashes(plain, cfg)
-    if not cfg.inline:
-        order = [f for f in sets.payload if f.name.lower() in cfg.dedupe_order]
-        both = replace(cfg, inline=True)
-        kept = [*sets.hash_payload, *[f for f in order if f not in sets.ids]]
-        hashed = add_hashes(plain, both).select(*select_fields(kept))
-    unique = dedupe(hashed, match_columns(cfg, hashed), cfg.dedupe_order)
-    return unique.select(*select_fields(sets.hash_payload))
+        return hashed
+    return dedupe(hashed, match_columns(cfg, hashed), cfg.dedupe_order)
 
 
 def create_objects(spark: SparkSession, cfg: TableConfig, schema: T.StructType | None = None) -> str:
@@ -113,8 +114,8 @@ def _refuse_finished(spark: SparkSession, cfg: TableConfig, version: str) -> Non
     if spark.catalog.tableExists(version) or not spark.catalog.tableExists(cfg.delta_name):
         return
     parts = spark.sql(
-        f"SHOW PARTITIONS {catalog.identifier(cfg.delta_name)} "
-        f"PARTITION ({catalog.partition_spec({C.JOB: cfg.job_id})})"
+        f"SHOW PARTITIONS {identifier(cfg.delta_name)} "
+        f"PARTITION ({partition_spec({C.JOB: cfg.job_id})})"
     )
     if parts.take(1):
         raise JobAlreadyFinished(f"{cfg.table}: job {cfg.job_id} is in the delta already")
@@ -128,6 +129,21 @@ def _many_jobs(spark: SparkSession, cfg: TableConfig, version: str) -> bool:
     )
 
 
+def _keys_name(version: str) -> str:
+    return f"{version}__keys"
+
+
+def _few_changes(
+    spark: SparkSession, cfg: TableConfig, hashed: DataFrame, mirror: DataFrame, version: str
+) -> DataFrame | None:
+    """Changed keys, written to a table; None if they are too many to broadcast."""
+    name = _keys_name(version)
+    keys = changed_keys(hashed, mirror, cfg).hint("rebalance")
+    keys.write.format(catalog.FORMAT).mode("overwrite").saveAsTable(name)
+    written = spark.table(name)
+    return written if written.count() <= BROADCAST_KEYS else None
+
+
 def build_delta(
     spark: SparkSession, cfg: TableConfig, snapshot: DataFrame | None = None
 ) -> BuildResult:
@@ -156,20 +172,29 @@ def build_delta(
     checked = require_unique(unwrap(source), cfg.keys) if cfg.on_duplicates == "fail" else None
     hashed = hash_source(source, cfg)
     mirror = spark.table(cfg.mirror_name)
+    changes = None
     if now[0] == version_name(cfg.mirror_name, catalog.INITIAL):
         # the first load has nothing to compare with: the empty side leaves no join behind
         mirror = mirror.where(F.lit(False))
         if cfg.buckets:
             hashed = hashed.repartition(cfg.buckets, *match_columns(cfg, hashed))
-    rows = classify(hashed, mirror, cfg)
+    elif cfg.narrow_first:
+        changes = _few_changes(spark, cfg, hashed, mirror, version)
+    if changes is None:
+        rows = classify(hashed, mirror, cfg)
+    else:
+        rows = classify_changed(hashed, mirror, changes, cfg)
     store.write_mirror(
         rows,
         cfg.mirror_name,
         cfg.job_id,
         buckets=cfg.buckets,
         bucket_columns=match_columns(cfg, hashed),
-        rebalance=_many_jobs(spark, cfg, now[0]),
+        # rows that were not shuffled still lie by job
+        rebalance=changes is None and _many_jobs(spark, cfg, now[0]),
     )
+    if cfg.narrow_first:
+        spark.sql(f"DROP TABLE IF EXISTS {identifier(_keys_name(version))}")
     written = spark.table(version)
     counts = _counts(written)
     kept = sum(n for act, n in counts.items() if act != C.DELETE)

@@ -21,6 +21,7 @@ from changecapture import (
     write_dataset,
 )
 from changecapture.config import version_name
+from changecapture.operators.classify import changed_keys, classify_changed
 from changecapture.plans import build
 from changecapture.tables import store
 
@@ -152,6 +153,46 @@ def test_buckets_save_the_shuffle_of_the_mirror(spark, db, kind):
         assert "Bucketed: true" in text
 
 
+@pytest.mark.parametrize("table_type", ["dim", "fact"])
+@pytest.mark.parametrize("limit", [30, 1_000_000])
+def test_changed_keys_first_gives_the_same_tables(spark, db, monkeypatch, table_type, limit):
+    """Below the limit the wide rows are not shuffled; above it the run goes on as usual."""
+    monkeypatch.setattr(build, "BROADCAST_KEYS", limit)
+    rows = spark.range(2000).select(F.col("id").cast("int"), F.lit("a").alias("v"))
+    days = [rows, rows.where("id > 9").withColumn("v", F.expr("if(id < 40, 'b', v)")), rows]
+    shown = {}
+    for narrow in (True, False):
+        cfg = TableConfig(
+            f"{db}.n{narrow}", "id", table_type=table_type, narrow_first=narrow, nk_scope="n"
+        )
+        for i, day in enumerate(days):
+            result = build_delta(spark, replace(cfg, job_id=f"d{i}"), day)
+        shown[narrow] = (result.counts, result.mirror, spark.table(cfg.delta_name))
+    assert shown[True][0] == shown[False][0] == {"I": 10, "U": 30, "D": 0, "S": 1960}
+    for one, two in zip(shown[True][1:], shown[False][1:], strict=True):
+        assert one.count() == two.count() and one.exceptAll(two).count() == 0
+    assert not [t.name for t in spark.catalog.listTables(db) if t.name.endswith("__keys")]
+
+
+def test_few_changes_move_no_wide_row(spark, db):
+    wide = "a" * 50
+    rows = spark.range(500).select("id", F.lit(wide).alias("wide"))
+    cfg = TableConfig(f"{db}.w", "id", job_id="d1")
+    mirror = build_delta(spark, cfg, rows).mirror
+    second = replace(cfg, job_id="d2")
+    hashed = add_hashes(rows.where("id <> 3"), second)
+    keys = changed_keys(hashed, mirror, second)
+    assert not any(
+        "wide" in part for part in plan(keys).split("\n\n") if ") Exchange" in part
+    )
+    name = f"{db}.w_keys"
+    keys.write.saveAsTable(name)
+    text = plan(classify_changed(hashed, mirror, spark.table(name), second), "simple")
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2
+    # the gathered rows are the changed ones, after their join
+    assert text.count("REBALANCE") == 1 and "hashpartitioning" not in text
+
+
 def test_fact_mirror_with_many_jobs_is_gathered_by_job(spark, db, monkeypatch):
     monkeypatch.setattr(build, "REBALANCE_ABOVE_JOBS", 2)
     cfg = TableConfig(f"{db}.f", "id", table_type="fact")
@@ -193,12 +234,12 @@ def test_modes(spark, db, folder):
         mode="add-partition",
         source_path=f"{folder}/day",
         partition_columns="PARTITION",
-        partition_values="458f57e4",
+        partition_values="job-7",
     )
     for _ in range(2):
         run(spark, add)
     assert sorted((r.id, r.PARTITION) for r in spark.table(f"{db}.p").collect()) == [
-        (1, "458f57e4"), (2, "458f57e4"),
+        (1, "job-7"), (2, "job-7"),
     ]
 
 

@@ -94,12 +94,12 @@ def test_partitions_are_registered_once_and_dropped(spark, db, folder):
 
 
 def test_a_directory_elsewhere_can_be_a_partition(spark, db, folder):
-    path = land_partition(spark.range(4), f"{folder}/ds01", "458f57e4", column="partition")
-    create_landing(spark, f"{db}.ds02", spark.range(1).schema, f"{folder}/ds02",
+    path = land_partition(spark.range(4), f"{folder}/daily", "job-7", column="partition")
+    create_landing(spark, f"{db}.copied", spark.range(1).schema, f"{folder}/copied",
                    partitioned_by="PARTITION")
     for _ in range(2):
-        add_partition(spark, f"{db}.ds02", {"PARTITION": "458f57e4"}, path)
-    assert spark.table(f"{db}.ds02").count() == 4
+        add_partition(spark, f"{db}.copied", {"PARTITION": "job-7"}, path)
+    assert spark.table(f"{db}.copied").count() == 4
 
 
 @pytest.mark.parametrize("value", ["it's", "a\\b", 'q"r'])

@@ -30,6 +30,10 @@ def test_kinds_ignore_case():
         {"keys": "id", "buckets": 0},
         {"keys": "id", "buckets": 8, "table_type": "fact"},
         {"keys": "id", "job_id": ""},
+        {"keys": "id", "inline": False, "on_duplicates": "keep_first"},
+        {"keys": "id", "inline": False, "narrow_first": True},
+        {"keys": "id", "hash_kind": "murmur", "narrow_first": True},
+        {"keys": "id", "buckets": 8, "narrow_first": True},
     ],
 )
 def test_settings_that_cannot_work_are_refused(settings):

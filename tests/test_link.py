@@ -26,8 +26,8 @@ PARTS = T.StructType([T.StructField(n, T.IntegerType()) for n in ("yy", "mn", "d
 @pytest.fixture
 def table(spark, db, folder):
     schema = spark.createDataFrame([], SCHEMA).schema
-    create_landing(spark, f"{db}.test2_src", schema, f"{folder}/src", partitioned_by=PARTS)
-    return f"{db}.test2"
+    create_landing(spark, f"{db}.history_src", schema, f"{folder}/src", partitioned_by=PARTS)
+    return f"{db}.history"
 
 
 def land(spark, table, folder, day, rows):
@@ -95,13 +95,6 @@ def test_link_columns(spark, table, folder):
     ]
 
 
-def test_link_drops_copies_by_order(spark, table, folder):
-    land(spark, table, folder, 5, [(1, "a", "x", "2"), (1, "a", "y", "1"), (2, "b", "x", "1")])
-    cfg = settings(table, 5, on_duplicates="keep_first", dedupe_order="created")
-    result = build_delta(spark, cfg)
-    assert result.counts["I"] == 2
-
-
 def test_single_partition_column_defaults_to_the_job(spark, db):
     cfg = TableConfig(f"{db}.t", "id", inline=False, job_id="d1")
     day = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")

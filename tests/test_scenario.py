@@ -80,7 +80,7 @@ def wanted(expected, day):
 @pytest.mark.parametrize("table_type", ["dim", "fact"])
 @pytest.mark.parametrize("keys,expected", [("ID", BY_ID), ("ID,T1", BY_ID_T1)])
 def test_labels_day_by_day(spark, db, keys, expected, table_type):
-    cfg = TableConfig(f"{db}.ds01", keys, table_type=table_type)
+    cfg = TableConfig(f"{db}.daily", keys, table_type=table_type)
     before = []
     for day, rows in DAYS.items():
         result = build_delta(spark, replace(cfg, job_id=day), frame(spark, rows))
@@ -95,10 +95,10 @@ def test_labels_day_by_day(spark, db, keys, expected, table_type):
 
 
 def test_surrogate_keys_stay_until_a_row_is_deleted(spark, db):
-    cfg = TableConfig(f"{db}.ds01", "ID")
+    cfg = TableConfig(f"{db}.daily", "ID")
     days = [(d, frame(spark, rows)) for d, rows in DAYS.items()]
     replay(spark, cfg, days)
-    history = spark.table(f"{db}.ds01_delta").collect()
+    history = spark.table(f"{db}.daily_delta").collect()
     keys = {}
     for r in history:
         keys.setdefault(r.ID, {})[r.DWSJOB, r.DWSACT] = r.NK
@@ -130,7 +130,7 @@ def test_lineage_columns(spark, db):
 
 
 def test_empty_snapshot_deletes_all_and_the_next_day_inserts_all(spark, db):
-    cfg = TableConfig(f"{db}.ds01", "ID")
+    cfg = TableConfig(f"{db}.daily", "ID")
     days = [
         ("d1", frame(spark, DAYS["d1"])),
         ("none", frame(spark, DAYS["d1"]).where(F.lit(False))),
