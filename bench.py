@@ -4,7 +4,7 @@ BENCH_SF_DIR   data (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
 BENCH_QUERIES  comma-separated query names (default: the headline queries)
 
-Every query runs once to warm up and then BENCH_RUNS times (default 3); the median is
+Every query runs once to warm up and then BENCH_RUNS times (default 2); the median is
 reported. Shuffle bytes come from Spark's event log.
 """
 
@@ -86,7 +86,7 @@ def shuffle_bytes(log_dir: str, spans: dict[str, tuple[float, float]]) -> dict[s
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     log_dir = tempfile.mkdtemp(prefix="bench-log-")
     spark = session(cpus, log_dir)

@@ -12,17 +12,21 @@ from changecapture.functions.hashing import match_columns
 from changecapture.operators.classify import new_side, old_side
 
 
+_SIDE = "side_"
+
+
 def _attach(changes: DataFrame, side: DataFrame, cfg: TableConfig) -> DataFrame:
     on = match_columns(cfg, side)
-    taken = {c.lower() for c in changes.columns} - {c.lower() for c in on}
-    payload = [c for c in side.columns if not C.is_added(c) and c.lower() not in taken]
-    keys = [c for c in on if c not in payload]
-    payload_side = side.select(*[F.col(quoted(c)) for c in [*keys, *payload]])
-    # no hint: the runtime sizes decide between a broadcast and a shuffle join, and a
-    # shuffle join on the change side lets a Bloom filter thin out the wide side first
-    return changes.join(payload_side, on, "inner").select(
+    have = {c.lower() for c in changes.columns}
+    payload = [c for c in side.columns if not C.is_added(c) and c.lower() not in have]
+    other = side.select(*[F.col(quoted(c)).alias(_SIDE + c) for c in dict.fromkeys(on + payload)])
+    same = F.col(C.KEY_HASH) == F.col(_SIDE + C.KEY_HASH)
+    for name in on[1:]:
+        same = same & F.col(quoted(name)).eqNullSafe(F.col(quoted(_SIDE + name)))
+    # no hint: the sizes met at run time decide between a broadcast and a shuffle join
+    return changes.join(other, same, "inner").select(
         *[F.col(quoted(c)) for c in changes.columns],
-        *[F.col(quoted(c)) for c in payload if c not in changes.columns],
+        *[F.col(quoted(_SIDE + c)).alias(c) for c in payload],
     )
 
 

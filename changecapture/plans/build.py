@@ -81,7 +81,9 @@ def hash_source(source: DataFrame, cfg: TableConfig) -> DataFrame:
     return dedupe(hashed, match_columns(cfg, hashed), cfg.dedupe_order)
 
 
-def create_objects(spark: SparkSession, cfg: TableConfig, schema: T.StructType | None = None) -> str:
+def create_objects(
+    spark: SparkSession, cfg: TableConfig, schema: T.StructType | None = None
+) -> str:
     """Create the mirror, or link table and view, if missing; returns the statements."""
     if schema is None:
         if cfg.inline:

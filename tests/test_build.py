@@ -19,6 +19,7 @@ from changecapture import (
     list_partitions,
     run,
     write_dataset,
+    write_mirror,
 )
 from changecapture.config import version_name
 from changecapture.operators.classify import changed_keys, classify_changed
@@ -204,6 +205,26 @@ def test_fact_mirror_with_many_jobs_is_gathered_by_job(spark, db, monkeypatch):
     assert {r.id: r.DWSJOB for r in result.mirror.collect()} == {i: f"d{i}" for i in range(1, 6)}
 
 
+def test_a_job_with_a_third_of_all_rows_is_split_over_tasks(spark, db):
+    rows = spark.range(0, 200000, 1, 8).select(
+        "id",
+        F.md5(F.col("id").cast("string")).alias("v"),
+        F.expr("if(id % 3 = 0, 'hot', concat('j', id % 40))").alias("DWSJOB"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    try:
+        version = write_mirror(rows, f"{db}.m", "j", rebalance=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.table(version)
+    files = written.select("DWSJOB", F.input_file_name().alias("f")).distinct()
+    per_job = {r.DWSJOB: r["count"] for r in files.groupBy("DWSJOB").count().collect()}
+    assert written.count() == 200000
+    assert per_job["hot"] > 1
+    # far fewer than one file per job and task
+    assert sum(per_job.values()) < 41 * 8
+
+
 def test_wide_rows_are_written_once(spark, cfg):
     """Deleted rows lie in a directory of their own that the mirror never reads."""
     build_delta(spark, cfg, frame(spark, "1a 2b 3c"))
@@ -245,7 +266,7 @@ def test_modes(spark, db, folder):
 
 def test_wrapped_snapshot(spark, cfg):
     wrapped = frame(spark, "1a 2b").select(
-        F.struct(F.col("id").alias("value")).alias("id"), F.struct(F.col("v").alias("value")).alias("v")
+        *[F.struct(F.col(c).alias("value")).alias(c) for c in ("id", "v")]
     )
     build_delta(spark, cfg, wrapped)
     result = build_delta(spark, replace(cfg, job_id="d2"), frame(spark, "1a 2b"))

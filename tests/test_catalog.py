@@ -51,8 +51,9 @@ def test_create_mirror_leaves_an_existing_one_alone(spark, db):
 def test_swap_switches_versions_and_can_be_repeated(spark, db):
     table = f"{db}.m"
     for job in ("a", "b"):
-        rows = spark.createDataFrame([("k", "v", job, job)], "DWSKEYHASH string, DWSVALHASH string, "
-                                     "x string, DWSJOB string")
+        rows = spark.createDataFrame(
+            [("k", "v", job, job)], "DWSKEYHASH string, DWSVALHASH string, x string, DWSJOB string"
+        )
         write_mirror(rows, table, job)
         for _ in range(2):
             swap_mirror(spark, table, job)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from changecapture import (
     TableConfig,
     add_hashes,
+    attach_new_payload,
+    attach_old_payload,
     build_delta,
     classify,
     delta_of,
@@ -37,15 +39,18 @@ def edited(df, key, changed, excluded):
     return old, new
 
 
-@pytest.mark.parametrize("kind", ["md5", "sha", "murmur", "xxhash"])
+CUSTOMER = ("customer", "dim", "c_custkey", "c_mktsegment", "c_acctbal", (126, 180, 105, 1078))
+ORDERS = (
+    "orders", "fact", "o_orderkey", "o_orderstatus", "o_totalprice", (1259, 1798, 1049, 10789),
+)
+
+
 @pytest.mark.parametrize(
-    "table,table_type,key,changed,excluded,counts",
-    [
-        ("customer", "dim", "c_custkey", "c_mktsegment", "c_acctbal", (126, 180, 105, 1078)),
-        ("orders", "fact", "o_orderkey", "o_orderstatus", "o_totalprice", (1259, 1798, 1049, 10789)),
-    ],
+    "edit,kind",
+    [*[(CUSTOMER, k) for k in ("md5", "sha", "murmur", "xxhash")], (ORDERS, "md5")],
 )
-def test_label_counts(spark, data, table, table_type, key, changed, excluded, counts, kind):
+def test_label_counts(spark, data, edit, kind):
+    table, table_type, key, changed, excluded, counts = edit
     df = spark.read.parquet(f"{data}/{table}.parquet")
     old, new = edited(df, key, changed, excluded)
     cfg = TableConfig(
@@ -103,7 +108,7 @@ def test_random_snapshots_against_brute_force(spark, seed, kind):
 
     def snapshot():
         return {
-            (rng.randrange(40), rng.choice(["x", "", None])): (rng.choice(values), rng.choice(values))
+            (rng.randrange(40), rng.choice(["x", "", None])): tuple(rng.choices(values, k=2))
             for _ in range(60)
         }
 
@@ -163,7 +168,8 @@ def test_mutate_keeps_keys_types_and_excluded_columns(spark, data):
     assert both.where("a.p_retailprice <> b.p_retailprice").count() == 0
     assert both.where("a.p_name = b.p_name or a.p_brand = b.p_brand").count() == 0
     assert out.where("length(p_name) <> 20").count() == 0
-    assert out.exceptAll(mutate(base.repartition(5), "p_partkey", "p_retailprice", "1")).count() == 0
+    again = mutate(base.repartition(5), "p_partkey", "p_retailprice", "1")
+    assert out.exceptAll(again).count() == 0
     other = mutate(base, "p_partkey", "p_retailprice", seed="2")
     assert out.join(other, ["p_partkey", "p_name"]).count() == 0
 
@@ -180,6 +186,25 @@ def test_mutate_covers_numbers(spark):
     assert out.count() == 1
 
 
+@pytest.mark.parametrize("kind", ["md5", "murmur"])
+def test_payload_comes_back_by_key(spark, kind):
+    schema = "k string, l int, v string"
+    old = spark.createDataFrame([("a", 1, "x"), (None, 2, "y"), ("c", 3, "z")], schema)
+    new = spark.createDataFrame([("a", 1, "x"), (None, 2, "w"), ("d", 4, "u")], schema)
+    cfg = TableConfig("t", "k,l", hash_kind=kind, job_id="j0")
+    mirror = mirror_of(classify(add_hashes(old, cfg), None, cfg))
+    hashed = add_hashes(new, cfg)
+    second = replace(cfg, job_id="j1")
+    full = classify(hashed, mirror, second)
+    narrow = full.drop("v")
+    both = attach_new_payload(narrow, hashed, second).unionByName(
+        attach_old_payload(narrow, mirror, second)
+    )
+    assert both.columns == full.columns
+    assert both.count() == full.count() == 4
+    assert both.exceptAll(full).count() == 0
+
+
 def test_extract_delta_splits_one_plan(spark, data):
     df = spark.read.parquet(f"{data}/customer.parquet")
     old, new = edited(df, "c_custkey", "c_mktsegment", "c_acctbal")

@@ -77,8 +77,10 @@ def wanted(expected, day):
     return out
 
 
-@pytest.mark.parametrize("table_type", ["dim", "fact"])
-@pytest.mark.parametrize("keys,expected", [("ID", BY_ID), ("ID,T1", BY_ID_T1)])
+@pytest.mark.parametrize(
+    "keys,expected,table_type",
+    [("ID", BY_ID, "dim"), ("ID,T1", BY_ID_T1, "dim"), ("ID,T1", BY_ID_T1, "fact")],
+)
 def test_labels_day_by_day(spark, db, keys, expected, table_type):
     cfg = TableConfig(f"{db}.daily", keys, table_type=table_type)
     before = []
