@@ -55,7 +55,10 @@ def value_hash(
 def add_hashes(df: DataFrame, cfg: TableConfig) -> DataFrame:
     """Put both hashes in front of the payload (inline) or of the key columns (link)."""
     sets = FieldSets(cfg, df.schema)
-    kept = sets.payload_stored if cfg.inline else sets.ids
+    kept = sets.payload if cfg.inline else sets.ids
+    taken = [f.name for f in kept if C.is_added(f.name)]
+    if taken:
+        raise ConfigError(f"{cfg.table}: column names the mirror needs: {', '.join(taken)}")
     return df.select(
         digest(encode(sets.ids), cfg.hash_kind).alias(C.KEY_HASH),
         digest(encode(sets.valued), cfg.hash_kind).alias(C.VALUE_HASH),

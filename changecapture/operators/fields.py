@@ -84,11 +84,6 @@ class FieldSets:
         """Payload less lineage columns."""
         return [f for f in self.payload if not C.is_added(f.name)]
 
-    @property
-    def payload_stored(self) -> list[T.StructField]:
-        """Payload an inline mirror keeps: no lineage columns, they are stamped anew."""
-        return self.payload_metaex
-
     @property
     def valued(self) -> list[T.StructField]:
         """Columns the value hash covers."""
@@ -97,13 +92,13 @@ class FieldSets:
 
     @property
     def hash_payload(self) -> list[T.StructField]:
-        return self.kv_hash + (self.payload_stored if self.cfg.inline else self.ids)
+        return self.kv_hash + (self.payload if self.cfg.inline else self.ids)
 
     @property
     def meta_table(self) -> list[T.StructField]:
         """Columns of the delta; the mirror has the same less the label."""
         if self.cfg.inline:
-            return self.meta + self.kv_hash + self.payload_stored
+            return self.meta + self.kv_hash + self.payload
         return self.meta + self.kv_hash + self.ids + self.link_part_keys
 
     @property

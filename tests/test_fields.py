@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import types as T
 
-from changecapture import ConfigError, FieldSets, TableConfig, narrow, project
+from changecapture import ConfigError, FieldSets, TableConfig, add_hashes, narrow, project
 
 SCHEMA = "ID int, T1 string, created string, NK string, DwsJob string, yy int, T2 string"
 
@@ -55,6 +55,13 @@ def test_project(df, cfg):
         project(df, cfg, "nothing")
 
 
+def test_source_columns_named_like_lineage_are_refused(df):
+    with pytest.raises(ConfigError, match="NK, DwsJob"):
+        add_hashes(df, TableConfig("t", "id"))
+    linked = add_hashes(df, TableConfig("t", "id", inline=False))
+    assert linked.columns == ["DWSKEYHASH", "DWSVALHASH", "ID"]
+
+
 def test_missing_key_and_ambiguous_names_are_refused(spark, df):
     with pytest.raises(ConfigError, match="no key column zz"):
         FieldSets(TableConfig("t", "id,zz"), df.schema)
