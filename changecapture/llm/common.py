@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,3 +30,37 @@ def name128(value: Column) -> Column:
 def shards(df: DataFrame) -> int:
     """Shuffle partitions the session asks for."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def doc_key(id_column: str, text_column: str) -> list[Column]:
+    """Identity of a document (its id and a hash of its text) and its text, null as empty."""
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    return [F.col(id_column).alias("_id"), F.hash(text).alias("_text"), text.alias("_content")]
+
+
+def _pack(batches):
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        done = [pack.compress(x) for x in batch.column("_bytes").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("_id"), batch.column("_text"), pa.array(done, pa.binary())],
+            ["_id", "_text", "packed"],
+        )
+
+
+def packed(own: DataFrame) -> DataFrame:
+    """``_id, _text, packed`` of ``doc_key`` columns: texts as compressed bytes, to be shuffled."""
+    kind = own.schema["_id"].dataType.simpleString()
+    content = F.col("_content").cast("binary").alias("_bytes")
+    return own.select("_id", "_text", content).mapInArrow(
+        _pack, f"_id {kind}, _text int, packed binary"
+    )
+
+
+def same_doc(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Join on the identity of a document, whose id may be null."""
+    right = right.withColumnsRenamed({"_id": "_rid", "_text": "_rtext"})
+    same = left["_id"].eqNullSafe(right["_rid"]) & (left["_text"] == right["_rtext"])
+    return left.join(right, same, how).drop("_rid", "_rtext")

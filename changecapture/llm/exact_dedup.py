@@ -74,10 +74,13 @@ def exact_groups(
         )
     )
     recipes = written(recipes)
-    groups = recipes.groupBy("recipe").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    # a table of its own, so that a recipe of very many documents can be split in the join
+    groups = written(
+        recipes.groupBy("recipe")
+        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        .where("group_size > 1")
     )
-    return recipes.join(groups.where("group_size > 1"), "recipe", "left").select(
+    return recipes.join(groups, "recipe", "left").select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id"))
         .otherwise(F.col("keep_id"))

@@ -71,7 +71,8 @@ def line_table(docs: DataFrame, min_words: int, id_column: str, text_column: str
 
 def _repeated(named: DataFrame) -> DataFrame:
     """Rows whose name occurs more than once."""
-    often = named.groupBy("name").count().where("count > 1").select("name")
+    # a table of its own, so that a very frequent name can be split in the join
+    often = written(named.groupBy("name").count().where("count > 1").select("name"))
     return named.join(often, "name", "left_semi")
 
 
@@ -136,7 +137,7 @@ def repeated_runs(
     for more in named[1:]:
         found = found.unionByName(more)
     found = written(found)
-    first = (
+    first = written(
         found.groupBy("name")
         .agg(F.min(F.struct("_id", "_text", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")

@@ -47,4 +47,31 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,
 FROM texts
 """
 
-ORACLE = {"op5_line_dedup": OP5, "op8_exact_dedup": OP8}
+OP9 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS ws FROM documents
+), grams AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) <= 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS gs
+  FROM words WHERE len(ws) > 0
+), single AS (
+  SELECT doc_id, len(gs) AS n, unnest(gs) AS g FROM grams
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM single a JOIN single b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a
+), class AS (
+  SELECT a AS doc_id, min(b) AS class_id, count(*) AS class_size FROM reach GROUP BY a
+)
+SELECT doc_id, class_id, class_size, count(b) AS n_links
+FROM class LEFT JOIN pairs ON doc_id = a GROUP BY ALL
+"""
+
+ORACLE = {
+    "op9_jaccard_join": OP9,
+    "op5_line_dedup": OP5,
+    "op8_exact_dedup": OP8,
+}

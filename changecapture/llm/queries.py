@@ -5,9 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changecapture.llm import language_id, lm_score, toxicity
 from changecapture.llm.common import table
 from changecapture.llm.exact_dedup import exact_groups
+from changecapture.llm.jaccard_join import near_duplicates
 from changecapture.llm.line_dedup import drop_repeated_lines
+from changecapture.llm.suffix_dedup import drop_repeated_bytes
+
+
+def _remainder(n: int):
+    """Fold of a document: a checksum of its id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(_remainder(5) != 0))
+    return language_id.identify(docs, model, keep=["doc_id"]).select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score", "accepted"
+    )
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = drop_repeated_bytes(table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,14 +45,42 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(_remainder(3) != 1)
+    done = toxicity.score(docs, toxicity.fit(docs, labels), keep=["doc_id"])
+    return done.select(
+        "doc_id",
+        (_remainder(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "exact",
+        "misspelled",
+        "quoted",
+    )
+
+
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("first")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_language_id,
+        op3_suffix_dedup,
         op5_line_dedup,
+        op6_toxicity,
+        op7_lm_score,
         op8_exact_dedup,
+        op9_jaccard_join,
     )
 }
