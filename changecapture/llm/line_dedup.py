@@ -1,9 +1,9 @@
 """Repeated runs of lines by prefix doubling over line names (DataFrame functions only).
 
-The corpus is a set of sequences of line names. Positions are ranked by the name of the
-1, 2, 4, ... lines that start there: a round pairs the names at offset 0 and 2^j and drops
-the positions whose name is unique, as nothing longer can repeat there. Names are 128-bit
-digests instead of sort ranks, so a round is a count by hash and needs no global sort.
+The corpus is a set of sequences of line names. Lines whose name is unique drop out, as
+nothing longer can repeat there. The positions that are left are named by the 1, 2, 4, ...
+lines that start there: a round pairs the names at offset 0 and 2^j. Names are 128-bit
+digests instead of sort ranks, so they are compared by hash, without a global sort.
 
 A run is deleted where it repeats an earlier run (order: document id, line) and holds at
 least ``min_words`` words. A line has one word at least, so every such run is a union of
@@ -69,11 +69,61 @@ def line_table(docs: DataFrame, min_words: int, id_column: str, text_column: str
     )
 
 
-def _repeated(named: DataFrame) -> DataFrame:
-    """Rows whose name occurs more than once."""
-    # a table of its own, so that a very frequent name can be split in the join
-    often = written(named.groupBy("name").count().where("count > 1").select("name"))
-    return named.join(often, "name", "left_semi")
+def _named(ranked: DataFrame, min_words: int) -> DataFrame:
+    """Both windows of each line by name: ``_id, _text, at, length, name``.
+
+    Prefix doubling: the name of twice as many lines is the pair of the names here and that
+    many lines on. A name is null where a line in between has dropped out.
+    """
+    doc = Window.partitionBy("_id", "_text").orderBy("at")
+    spans = [1]
+    while 2 * spans[-1] <= min_words:
+        spans.append(2 * spans[-1])
+    named = ranked.withColumn("of1", F.col("name"))
+    for span in spans[:-1]:
+        near = F.lead("at", span).over(doc) == F.col("at") + span
+        pair = F.concat(f"of{span}", F.lead(f"of{span}", span).over(doc))
+        named = named.withColumn(f"of{2 * span}", F.when(near, name128(pair)))
+
+    def name(length: int, back: int) -> Column:
+        """Name of the window of ``length`` lines that starts ``back`` lines before this one."""
+        span = max(s for s in spans if s <= length)
+        head, tail = f"of{span}", f"of{span}"
+        first = F.lag(head, back).over(doc) if back else F.col(head)
+        offset = length - span - back
+        last = (
+            F.lead(tail, offset).over(doc)
+            if offset > 0
+            else F.lag(tail, -offset).over(doc)
+            if offset
+            else F.col(tail)
+        )
+        # the lines between must be those of the window
+        start = F.lag("at", back).over(doc) == F.col("at") - back if back else F.lit(True)
+        stop = F.lead("at", length - 1 - back).over(doc) == F.col("at") + length - 1 - back if length - 1 > back else F.lit(True)
+        return F.when(start & stop, F.concat(first, last))
+
+    lengths = range(1, min_words + 1)
+    ahead = F.coalesce(*[F.when(F.col("ahead") == n, name(n, 0)) for n in lengths])
+    behind = F.coalesce(*[F.when(F.col("behind") == n, name(n, n - 1)) for n in lengths])
+    both = named.select(
+        "_id",
+        "_text",
+        F.array(
+            F.struct(F.col("at"), F.col("ahead").alias("length"), ahead.alias("name")),
+            F.struct(
+                (F.col("at") - F.col("behind") + 1).cast("int").alias("at"),
+                F.col("behind").alias("length"),
+                behind.alias("name"),
+            ),
+        ).alias("windows"),
+    )
+    return (
+        both.select("_id", "_text", F.inline("windows"))
+        .where("name IS NOT NULL")
+        .withColumn("name", name128(F.concat("name", F.col("length").cast("string").cast("binary"))))
+        .distinct()
+    )
 
 
 def repeated_runs(
@@ -83,60 +133,9 @@ def repeated_runs(
     if min_words < 1:
         raise ValueError("min_words must be at least 1")
     lines = written(line_table(docs, min_words, id_column, text_column))
-    windows = (
-        lines.select(
-            "_id",
-            "_text",
-            F.explode(
-                F.array(
-                    F.struct(F.col("at").alias("at"), F.col("ahead").alias("length")),
-                    F.struct(
-                        (F.col("at") - F.col("behind") + 1).cast("int").alias("at"),
-                        F.col("behind").alias("length"),
-                    ),
-                )
-            ).alias("w"),
-        )
-        .select("_id", "_text", "w.at", "w.length")
-        .where("length is not null")
-    )
-    ranked = written(_repeated(lines.select("_id", "_text", "at", "name")))
-    named, span = [], 1
-    while span <= min_words:
-        here = windows.where(F.col("length").between(span, 2 * span - 1))
-        head = here.join(ranked.withColumnRenamed("name", "head"), ["_id", "_text", "at"])
-        tail = ranked.select(
-            "_id", "_text", F.col("at").alias("tail_at"), F.col("name").alias("tail")
-        )
-        named.append(
-            (head.withColumn("tail", F.col("head")) if span == 1 else head.withColumn(
-                "tail_at", (F.col("at") + F.col("length") - span).cast("int")
-            ).join(tail, ["_id", "_text", "tail_at"]))
-            .select(
-                "_id",
-                "_text",
-                "at",
-                "length",
-                name128(F.concat("head", "tail", F.col("length").cast("string").cast("binary"))).alias("name"),
-            )
-            .distinct()
-        )
-        if 2 * span <= min_words:
-            following = ranked.select(
-                "_id",
-                "_text",
-                (F.col("at") - span).alias("at"),
-                F.col("name").alias("following"),
-            )
-            pairs = ranked.join(following, ["_id", "_text", "at"]).select(
-                "_id", "_text", "at", name128(F.concat("name", "following")).alias("name")
-            )
-            ranked = written(_repeated(pairs))
-        span *= 2
-    found = named[0]
-    for more in named[1:]:
-        found = found.unionByName(more)
-    found = written(found)
+    # aggregates are tables of their own, so that a very frequent name can be split in the join
+    often = written(lines.groupBy("name").count().where("count > 1").select("name"))
+    found = written(_named(lines.join(often, "name", "left_semi"), min_words))
     first = written(
         found.groupBy("name")
         .agg(F.min(F.struct("_id", "_text", "at")).alias("first"), F.count(F.lit(1)).alias("n"))

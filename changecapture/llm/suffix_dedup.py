@@ -32,7 +32,7 @@ from changecapture.llm.common import doc_key, packed, same_doc, written
 LENGTH = 200
 SEED = 64
 #: Parts of a range of offsets that a round tells apart.
-FAN = 4
+FAN = 12
 BLOCK = 1 << 20
 
 
