@@ -59,6 +59,14 @@ def packed(own: DataFrame) -> DataFrame:
     )
 
 
+def without(docs: DataFrame, gone: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``docs`` but for those in ``gone`` (``_id, _text``); rows of one id and text are one."""
+    key = doc_key(id_column, text_column)[:2]
+    gone = gone.select(F.struct("_id", "_text").alias("_key"))
+    rows = docs.select("*", F.struct(*key).alias("_key"))
+    return rows.join(gone, "_key", "left_anti").dropDuplicates(["_key"]).drop("_key")
+
+
 def same_doc(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on the identity of a document, whose id may be null."""
     right = right.withColumnsRenamed({"_id": "_rid", "_text": "_rtext"})

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changecapture.llm.common import doc_key, packed, same_doc, shards, written
+from changecapture.llm.common import doc_key, packed, same_doc, shards, without, written
 from changecapture.llm.components import connected_components
 
 WORDS = 5
@@ -232,7 +232,7 @@ def near_duplicates(
 ) -> DataFrame:
     """Classes of documents linked by a Jaccard similarity of ``similarity`` or more.
 
-    Returns ``doc_id, class_id, class_size, n_links, first`` for each row of ``docs``:
+    Returns ``doc_id, class_id, class_size, n_links, text_hash, first`` for each row of ``docs``:
     ``class_id`` is the least id of the class, ``n_links`` the number of other rows that are
     similar to this one, and ``first`` marks one row of each class (least id, then text).
     Words are runs of letters, digits and underscores in lower case; a text of fewer than
@@ -325,9 +325,21 @@ def near_duplicates(
             F.when(alone, F.col("_id")).otherwise(F.col("least._id")).alias("class_id"),
             F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            F.col("_text").alias("text_hash"),
             (
                 alone
                 | (F.col("_id").eqNullSafe(F.col("least._id")) & (F.col("_text") == F.col("least._text")))
             ).alias("first"),
         )
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options
+) -> DataFrame:
+    """``docs`` with one document of each class: least id, then text; repeated rows once."""
+    classes = near_duplicates(docs, id_column=id_column, text_column=text_column, **options)
+    gone = classes.where("NOT first").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text")
+    )
+    return without(docs, gone, id_column, text_column)

@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changecapture.llm import language_id, lm_score, toxicity
+from changecapture.llm import language_id, lm_score, sentencepiece_scan, toxicity
 from changecapture.llm.common import table
+from changecapture.llm.decontaminate import contaminated
 from changecapture.llm.exact_dedup import exact_groups
+from changecapture.llm.html_text import extract
 from changecapture.llm.jaccard_join import near_duplicates
 from changecapture.llm.line_dedup import drop_repeated_lines
 from changecapture.llm.suffix_dedup import drop_repeated_bytes
 
 
+#: Public vocabulary; only the driver reads the file.
+SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def _remainder(n: int):
     """Fold of a document: a checksum of its id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
@@ -26,6 +32,24 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sentencepiece(
+    spark: SparkSession, sf_dir: str, model_file: str = SENTENCEPIECE_MODEL
+) -> DataFrame:
+    vocabulary = sentencepiece_scan.load(model_file)
+    encoded = sentencepiece_scan.encode(table(spark, sf_dir, "documents"), vocabulary)
+    digests = encoded.select(
+        "doc_id",
+        "text_hash",
+        F.size("ids").alias("n_ids"),
+        F.xxhash64("ids").alias("ids_hash"),
+        "ids",
+    )
+    back = sentencepiece_scan.decode(digests, vocabulary)
+    return back.select(
+        "doc_id", "n_ids", "ids_hash", (F.xxhash64("text") == F.col("text_hash")).alias("round_trip")
+    )
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = drop_repeated_bytes(table(spark, sf_dir, "documents"))
     return done.select(
@@ -33,6 +57,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = drop_repeated_lines(table(spark, sf_dir, "documents"))
     return done.select(
@@ -69,18 +97,25 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("first")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("first", "text_hash")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op2_sentencepiece,
         op3_suffix_dedup,
+        op4_html_extraction,
         op5_line_dedup,
         op6_toxicity,
         op7_lm_score,
         op8_exact_dedup,
         op9_jaccard_join,
+        op10_decontamination,
     )
 }

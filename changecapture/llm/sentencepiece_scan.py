@@ -16,6 +16,7 @@ the blanks in it, and a matrix only has the few pieces around the cuts.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -145,17 +146,20 @@ class Coder:
             self.apart[key] = known
         return known
 
-    def _after(self, text: str, at: int, last: str | None) -> list[str]:
+    def _after(self, text: str, at: int, last: str | None) -> Iterator[str]:
         """Pieces that may follow ``last`` at a position, the longest first."""
-        ids, out = self.v.ids, []
+        ids, apart = self.v.ids, self.apart
+        bound = last is not None and last in ids
         for end in range(min(len(text), at + self.v.longest), at, -1):
             piece = text[at:end]
             if piece in ids:
-                if last is None or last not in ids or self.stay_apart(last, piece):
-                    out.append(piece)
+                if bound:
+                    known = apart.get((last, piece))
+                    if not (self.stay_apart(last, piece) if known is None else known):
+                        continue
+                yield piece
             elif end == at + 1:
-                out.append(piece)  # an unknown character merges with nothing
-        return out
+                yield piece  # an unknown character merges with nothing
 
     def _ids(self, piece: str) -> list[int]:
         known = self.v.ids.get(piece)
@@ -184,26 +188,26 @@ class Coder:
         pieces, options = [], [self._after(text, start, last)]
         at, dead = start, set()
         while options:
-            if options[-1]:
-                piece = options[-1].pop(0)
-                end = at + len(piece)
-                if (end, piece) in dead:
-                    continue
-                if final is not None and end >= stop:
-                    if (piece, end - stop) == final:
-                        return [*pieces, piece]
-                    continue
-                if final is None and end == len(text):
-                    return [*pieces, piece]
-                pieces.append(piece)
-                at = end
-                options.append(self._after(text, at, piece))
-            else:
+            piece = next(options[-1], None)
+            if piece is None:
                 options.pop()
                 if pieces:
                     piece = pieces.pop()
                     dead.add((at, piece))
                     at -= len(piece)
+                continue
+            end = at + len(piece)
+            if dead and (end, piece) in dead:
+                continue
+            if final is not None and end >= stop:
+                if (piece, end - stop) == final:
+                    return [*pieces, piece]
+                continue
+            pieces.append(piece)
+            if final is None and end == len(text):
+                return pieces
+            at = end
+            options.append(self._after(text, at, piece))
         raise ValueError("no path between these states")
 
     def _word(self, block: str) -> tuple[int, ...]:
@@ -480,11 +484,11 @@ def encode(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """Ids of every whole text: ``doc_id, ids``, one row per row of ``docs``.
+    """Ids of every whole text: ``doc_id, text_hash, ids``, one row per row of ``docs``.
 
     The ids are those of the SentencePiece library for the same model: blanks are marked, one
     is put before a text, unknown characters become byte pieces. Null texts are empty texts,
-    which have no ids. Null and repeated ids and repeated rows are kept. Other columns are
+    which have no ids. ``text_hash`` is ``xxhash64`` of the text. Null and repeated ids and repeated rows are kept. Other columns are
     ignored; an empty table gives an empty table.
     """
     if chunk < 1:
@@ -521,12 +525,14 @@ def encode(
         )
         .select(
             F.from_json("_id", f"id {kind}")["id"].alias("_id"),
+            "_text",
             F.flatten("parts.ids").alias("ids"),
             F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
         )
         .drop("copy")
     )
-    return whole.drop("_text").unionByName(joined).withColumnRenamed("_id", "doc_id")
+    renamed = {"_id": "doc_id", "_text": "text_hash"}
+    return whole.unionByName(joined).withColumnsRenamed(renamed)
 
 
 def _texts(vocabulary, kept: list[str]):
