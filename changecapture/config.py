@@ -18,6 +18,10 @@ MODES = ("ddl", "delta", "add-partition")
 DUPLICATE_POLICIES = ("fail", "keep_first")
 
 
+#: Stands for a job in the name of the empty mirror that a first run compares with.
+INITIAL = "init"
+
+
 class ConfigError(ValueError):
     """A setting, or a setting and a schema, that cannot work together."""
 
@@ -57,9 +61,9 @@ class TableConfig:
     the next run joins it without shuffling it. It suits large dimension tables; a
     fact mirror has a partition per job and would be cut into too many files.
 
-    ``narrow_first`` finds the changed keys from the hashes alone and, if they are few, joins
-    them back by broadcast, so that no wide row is shuffled. It reads both sides twice and
-    suits wide inline tables that change little; with many changes the run goes on as usual.
+    ``narrow_first`` finds the changed keys from the hashes alone, writes them to a table and
+    joins them back. It reads both sides twice and suits wide inline tables that change little:
+    the planner sees how small the changed keys are and then shuffles no wide row.
 
     ``nk_scope`` sets the surrogate keys of this table apart from those of other tables;
     it is the table name unless given.
@@ -98,6 +102,8 @@ class TableConfig:
             raise ConfigError(f"{self.table}: no key columns")
         if not self.job_id:
             raise ConfigError(f"{self.table}: job_id is empty")
+        if self.job_id.lower() == INITIAL:
+            raise ConfigError(f"{self.table}: {INITIAL!r} names the empty mirror, not a job")
         both = [k for k in self.keys if k in self.exclusions]
         if both:
             raise ConfigError(f"{self.table}: both key and excluded: {', '.join(both)}")
@@ -129,6 +135,9 @@ class TableConfig:
                 f"{self.table}: partition values for {sorted(values)}, "
                 f"partition columns are {sorted(self.partition_columns)}"
             )
+        empty = sorted(name for name, value in values.items() if value is None)
+        if empty:
+            raise ConfigError(f"{self.table}: no value for partition column {', '.join(empty)}")
         return values
 
     def partition_value(self, column: str) -> Any:
@@ -143,6 +152,11 @@ class TableConfig:
     def match_on_keys(self) -> bool:
         return self.hash_kind in SHORT_HASH_KINDS
 
+    @property
+    def value_hash_kind(self) -> str:
+        """Short hashes would lose updates: two values of a key may share one."""
+        return "md5" if self.hash_kind in SHORT_HASH_KINDS else self.hash_kind
+
     @property
     def mirror_name(self) -> str:
         """Catalog name that always shows the current mirror (or link) rows."""

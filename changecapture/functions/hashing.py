@@ -1,4 +1,9 @@
-"""Key hash and value hash of a row. All of it runs inside generated JVM code."""
+"""Key hash and value hash of a row, as column expressions.
+
+Columns are taken in the order of their names, so a snapshot whose columns were moved has the
+same hashes. All of it is generated JVM code but for arrays and maps, whose elements Spark
+encodes and sorts in interpreted expressions.
+"""
 
 from __future__ import annotations
 
@@ -32,14 +37,18 @@ def digest(encoded: Column, kind: str = "md5") -> Column:
     raise ConfigError(f"hash_kind must be one of {', '.join(HASH_KINDS)}; got {kind!r}")
 
 
+def _by_name(fields) -> list:
+    return sorted(fields, key=lambda f: f.name.lower())
+
+
 def _sets(df: DataFrame, keys, exclusions) -> FieldSets:
     keys, exclusions = name_list(keys), name_list(exclusions)
     return FieldSets(TableConfig("t", keys, exclusions=exclusions, partition_columns=()), df.schema)
 
 
 def key_hash(df: DataFrame, keys: str | Iterable[str], kind: str = "md5") -> Column:
-    """Hash of the key columns of ``df``, taken in schema order."""
-    return digest(encode(_sets(df, keys, ()).ids), kind)
+    """Hash of the key columns of ``df``, in order of name."""
+    return digest(encode(_by_name(_sets(df, keys, ()).ids)), kind)
 
 
 def value_hash(
@@ -48,20 +57,24 @@ def value_hash(
     exclusions: str | Iterable[str] | None = (),
     kind: str = "md5",
 ) -> Column:
-    """Hash of the columns of ``df`` that are neither key nor excluded, in schema order."""
-    return digest(encode(_sets(df, keys, exclusions).valued), kind)
+    """Hash of the columns of ``df`` that are neither key nor excluded, in order of name."""
+    return digest(encode(_by_name(_sets(df, keys, exclusions).valued)), kind)
 
 
 def add_hashes(df: DataFrame, cfg: TableConfig) -> DataFrame:
-    """Put both hashes in front of the payload (inline) or of the key columns (link)."""
+    """Put both hashes in front of the payload (inline) or of the key columns (link).
+
+    Value hashes have 128 bits or more whatever the kind: nothing else would tell two values
+    of a key apart.
+    """
     sets = FieldSets(cfg, df.schema)
     kept = sets.payload if cfg.inline else sets.ids
     taken = [f.name for f in kept if C.is_added(f.name)]
     if taken:
         raise ConfigError(f"{cfg.table}: column names the mirror needs: {', '.join(taken)}")
     return df.select(
-        digest(encode(sets.ids), cfg.hash_kind).alias(C.KEY_HASH),
-        digest(encode(sets.valued), cfg.hash_kind).alias(C.VALUE_HASH),
+        digest(encode(_by_name(sets.ids)), cfg.hash_kind).alias(C.KEY_HASH),
+        digest(encode(_by_name(sets.valued)), cfg.value_hash_kind).alias(C.VALUE_HASH),
         *select_fields(kept),
     )
 
@@ -77,5 +90,5 @@ def identity(cfg: TableConfig, df: DataFrame, prefix: str = "") -> Column:
     """Text that stands for the key of a row: its hash, or the key itself if that is short."""
     if not cfg.match_on_keys:
         return F.col(quoted(prefix + C.KEY_HASH))
-    ids = [f for f in df.schema.fields if f.name.lower() in cfg.keys]
+    ids = _by_name(f for f in df.schema.fields if f.name.lower() in cfg.keys)
     return encode(type(f)(prefix + f.name, f.dataType, f.nullable) for f in ids)

@@ -7,7 +7,7 @@ projection or a filter over its result. Key hashes are unique on both sides (see
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,10 @@ from changecapture.functions.hashing import identity, match_columns
 
 NEW, OLD = "new_", "old_"
 
+# rank of a row among those of its key, and the labels of second copies on either side
+RANK = "__copy"
+NEW_COPY, OLD_COPY = "copy in snapshot", "copy in mirror"
+
 
 def _new(name: str) -> Column:
     return F.col(quoted(NEW + name))
@@ -71,8 +75,19 @@ def assign_nk(cfg: TableConfig, key: Column) -> Column:
     return shaped
 
 
+def ranked(df: DataFrame, names: list[str]) -> DataFrame:
+    """Number the rows of each key and keep two at most.
+
+    Window and join ask for the same partitions and order, so the join that follows reuses
+    both, and of a hot key a task passes on two rows.
+    """
+    window = Window.partitionBy(*[F.col(quoted(n)) for n in names]).orderBy(F.lit(1))
+    return df.withColumn(RANK, F.row_number().over(window)).where(F.col(RANK) <= 2)
+
+
 def _payload_columns(new: DataFrame, cfg: TableConfig) -> list[str]:
     skipped = set(cfg.partition_columns) - set(cfg.keys) if not cfg.inline else set()
+    skipped.add(RANK)
     return [c for c in new.columns if not C.is_added(c) and c.lower() not in skipped]
 
 
@@ -84,6 +99,7 @@ def _link_columns(cfg: TableConfig) -> list[str]:
 
 
 def _check_sides(new: DataFrame, old: DataFrame, wanted: list[str], cfg: TableConfig) -> None:
+    """Both sides must have the same columns, of the same types, in any order."""
     have = {f.name.lower(): f.dataType.simpleString() for f in old.schema.fields}
     types = {f.name.lower(): f.dataType.simpleString() for f in new.schema.fields}
     for name in wanted:
@@ -95,6 +111,11 @@ def _check_sides(new: DataFrame, old: DataFrame, wanted: list[str], cfg: TableCo
                 f"{cfg.table}: column {name} is {types[low]} in the snapshot "
                 f"and {have[low]} in the mirror"
             )
+    known = {name.lower() for name in wanted}
+    known.add(RANK)
+    lost = [c for c in old.columns if not C.is_added(c) and c.lower() not in known]
+    if lost:
+        raise ConfigError(f"{cfg.table}: the snapshot has no column {', '.join(lost)}")
 
 
 def _first_load(new: DataFrame, cfg: TableConfig) -> DataFrame:
@@ -124,13 +145,19 @@ def classify(new: DataFrame, old: DataFrame | None, cfg: TableConfig) -> DataFra
     and updated rows show the new side, deleted and stationary rows the old side:
     columns excluded from the hashes therefore keep their old values on ``S`` rows.
 
-    Keys must be unique on either side; ``build_delta`` makes sure of it.
+    Keys must be unique on either side; ``build_delta`` makes sure of it. Sides that were
+    ``ranked`` may hold a key twice: its second copies come out under labels of their own.
     """
     if old is None:
         return _first_load(new, cfg)
 
     new_rows, old_rows = _sides(new, old, cfg)
-    pairs = outer_join_keys(new_rows, old_rows, cfg).withColumn(C.ACT, label())
+    act = label()
+    if RANK in old_rows.columns:
+        act = F.when(_old(RANK) > 1, OLD_COPY).otherwise(act)
+    if RANK in new_rows.columns:
+        act = F.when(_new(RANK) > 1, NEW_COPY).otherwise(act)
+    pairs = outer_join_keys(new_rows, old_rows, cfg).withColumn(C.ACT, act)
     return _stamped(pairs, new_rows, old_rows, cfg)
 
 
@@ -157,8 +184,9 @@ def classify_changed(
 ) -> DataFrame:
     """The rows of ``classify``, given their ``changed_keys``, without shuffling wide rows.
 
-    ``changes`` is broadcast, so the caller must know that it is small. The changed rows
-    of the snapshot are gathered; the rows of the mirror stay where they are read.
+    ``changes`` should be a written table: from its size the planner chooses the joins. While
+    it is small, the rows of the mirror stay where they are read; the changed rows of the
+    snapshot are gathered.
     """
     new_rows, old_rows = _sides(new, old, cfg)
     act = F.col(C.ACT)
@@ -168,14 +196,14 @@ def classify_changed(
     )
     kept = (
         _prefixed(old_rows, OLD)
-        .join(F.broadcast(gone), _old(C.KEY_HASH) == F.col(C.KEY_HASH), "left")
+        .join(gone, _old(C.KEY_HASH) == F.col(C.KEY_HASH), "left")
         .where(act.isNull() | (act == C.DELETE))
         .withColumn(C.ACT, F.coalesce(act, F.lit(C.STATIONARY)))
         .drop(C.KEY_HASH)
     )
     fresh = (
         _prefixed(new_rows, NEW)
-        .join(F.broadcast(came), _new(C.KEY_HASH) == F.col(C.KEY_HASH))
+        .join(came, _new(C.KEY_HASH) == F.col(C.KEY_HASH))
         .drop(C.KEY_HASH)
         .hint("rebalance")
     )
@@ -193,9 +221,10 @@ def _sides(new: DataFrame, old: DataFrame, cfg: TableConfig) -> tuple[DataFrame,
     payload = _payload_columns(new, cfg)
     wanted = [*_carried(cfg), *C.HASHES, *payload, *_link_columns(cfg)]
     _check_sides(new, old, wanted, cfg)
+    rank = lambda df: [RANK] if RANK in df.columns else []
     return (
-        new.select(*[F.col(quoted(c)) for c in (*C.HASHES, *payload)]),
-        old.select(*[F.col(quoted(c)).alias(c) for c in wanted]),
+        new.select(*[F.col(quoted(c)) for c in (*C.HASHES, *payload, *rank(new))]),
+        old.select(*[F.col(quoted(c)).alias(c) for c in (*wanted, *rank(old))]),
     )
 
 

@@ -57,11 +57,6 @@ class FieldSets:
         """Partition columns of the source."""
         return self._among(self.cfg.partition_columns)
 
-    @property
-    def m_part_keys(self) -> list[T.StructField]:
-        """Partition column of the mirror."""
-        return [C.added_field(C.JOB)]
-
     @property
     def hash_ex(self) -> list[T.StructField]:
         """Columns no hash covers: lineage, exclusions, and where the row was landed."""
@@ -90,10 +85,6 @@ class FieldSets:
         keys = set(self.cfg.keys)
         return [f for f in self.payload_hashex if f.name.lower() not in keys]
 
-    @property
-    def hash_payload(self) -> list[T.StructField]:
-        return self.kv_hash + (self.payload if self.cfg.inline else self.ids)
-
     @property
     def meta_table(self) -> list[T.StructField]:
         """Columns of the delta; the mirror has the same less the label."""

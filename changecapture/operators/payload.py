@@ -1,4 +1,8 @@
-"""Give narrow change rows their payload back, by key hash."""
+"""Give narrow change rows their payload back, by key hash.
+
+For users who keep the delta narrow (labels and hashes) and want the rows of either side
+later; the runs of this library carry the payload through their one join instead.
+"""
 
 from __future__ import annotations
 

@@ -9,33 +9,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changecapture import columns as C
-from changecapture.config import ConfigError, TableConfig, version_name
+from changecapture.config import INITIAL, ConfigError, TableConfig, version_name
 from changecapture.functions.encoding import quoted
 from changecapture.functions.hashing import add_hashes, match_columns
 from changecapture.functions.wrap import unwrap
 from changecapture.operators.classify import (
+    NEW_COPY,
+    OLD_COPY,
     changed_keys,
     classify,
     classify_changed,
     delta_of,
+    ranked,
 )
 from changecapture.operators.fields import narrow
-from changecapture.operators.guards import action_counts, dedupe, require_unique
+from changecapture.operators.guards import (
+    DuplicateKeys,
+    action_counts,
+    dedupe,
+    duplicate_keys,
+    require_unique,
+)
 from changecapture.sources.read import read_snapshot, read_table
 from changecapture.tables import catalog, store
 from changecapture.tables.names import identifier, partition_spec
 
-# A fact mirror is gathered by job before writing once it has more jobs than this.
-REBALANCE_ABOVE_JOBS = 8
-
-# Changes are gathered before they are written to the delta if they are fewer than this
-# share of the rows. More of them, as on a first load, fill files of a good size anyway.
-COMPACT_BELOW_SHARE = 0.25
-# Changed keys are broadcast up to this number. A key takes its hash, its label and a
-# surrogate key: some 150 bytes, whatever the table looks like.
-BROADCAST_KEYS = 1_000_000
-
-
 class JobAlreadyFinished(ValueError):
     """The job has run before and later jobs have replaced its mirror."""
 
@@ -63,9 +61,13 @@ def load_source(spark: SparkSession, cfg: TableConfig) -> DataFrame:
         raise ConfigError(f"{cfg.table}: neither source_path nor source_table")
     source = read_table(spark, cfg.source_name)
     have = {c.lower() for c in source.columns}
-    for column, value in cfg.partition_values.items():
-        if column in have:
-            source = source.where(F.col(quoted(column)) == F.lit(value))
+    # a link points into one partition of the history; an inline table may take all of it
+    columns = cfg.partition_values if cfg.inline else cfg.partition_columns
+    missing = [c for c in columns if c not in have]
+    if missing:
+        raise ConfigError(f"{cfg.source_name}: no partition column {', '.join(missing)}")
+    for column in columns:
+        source = source.where(F.col(quoted(column)) == F.lit(cfg.partition_value(column)))
     return source
 
 
@@ -92,58 +94,78 @@ def create_objects(
             schema = read_table(spark, cfg.source_name).schema
     if cfg.inline:
         return catalog.create_mirror(spark, cfg, schema) + ";\n"
-    statements = [catalog.create_link(spark, cfg, schema)]
-    if spark.catalog.tableExists(cfg.source_name):
-        statements.append(catalog.link_view(spark, cfg))
-    return ";\n".join(statements) + ";\n"
+    if not spark.catalog.tableExists(cfg.source_name):
+        raise ConfigError(f"{cfg.table}: no source table {cfg.source_name} to link to")
+    link, view = catalog.create_link(spark, cfg, schema), catalog.link_view(spark, cfg)
+    return f"{link};\n{view};\n"
 
 
 def _result(spark: SparkSession, cfg: TableConfig) -> BuildResult:
     delta = spark.table(cfg.delta_name).where(F.col(C.JOB) == cfg.job_id)
     mirror = spark.table(cfg.mirror_name)
     version = spark.table(version_name(cfg.mirror_name, cfg.job_id))
-    return BuildResult(cfg.table, cfg.job_id, delta, mirror, _counts(version))
+    return BuildResult(cfg.table, cfg.job_id, delta, mirror, _counts(_found(version)))
+
 
+def _found(version: DataFrame) -> dict[str, int]:
+    """Rows per label: at most six rows, read from the partition values alone."""
+    return {r[C.ACT]: r["rows"] for r in action_counts(version).collect()}
 
-def _counts(version: DataFrame) -> dict[str, int]:
-    """Rows per label: at most four rows, read from the partition values alone."""
-    found = {r[C.ACT]: r["rows"] for r in action_counts(version).collect()}
+
+def _counts(found: dict[str, int]) -> dict[str, int]:
     return {act: found.get(act, 0) for act in (C.INSERT, C.UPDATE, C.DELETE, C.STATIONARY)}
 
 
-def _refuse_finished(spark: SparkSession, cfg: TableConfig, version: str) -> None:
-    """A job in the delta whose version table is gone belongs to the past."""
-    if spark.catalog.tableExists(version) or not spark.catalog.tableExists(cfg.delta_name):
-        return
+def _has_run(spark: SparkSession, cfg: TableConfig) -> bool:
+    if not spark.catalog.tableExists(cfg.delta_name):
+        return False
     parts = spark.sql(
         f"SHOW PARTITIONS {identifier(cfg.delta_name)} "
         f"PARTITION ({partition_spec({C.JOB: cfg.job_id})})"
     )
-    if parts.take(1):
+    return bool(parts.take(1))
+
+
+def _refuse_finished(
+    spark: SparkSession, cfg: TableConfig, now: catalog.Versions, version: str
+) -> None:
+    """A job belongs to the past if the mirror showed it before, or if the delta has it."""
+    past = version in (now.previous, now.outdated)
+    if past or (now.pending != cfg.job_id and _has_run(spark, cfg)):
         raise JobAlreadyFinished(f"{cfg.table}: job {cfg.job_id} is in the delta already")
 
 
-def _many_jobs(spark: SparkSession, cfg: TableConfig, version: str) -> bool:
-    if cfg.table_type != "fact":
-        return False
-    return len(catalog.list_partitions(spark, version).take(REBALANCE_ABOVE_JOBS + 1)) > (
-        REBALANCE_ABOVE_JOBS
-    )
+def _begin(spark: SparkSession, cfg: TableConfig, now: catalog.Versions) -> None:
+    """Record the job on the mirror; undo another one that broke off before its switch."""
+    if now.pending and now.pending != cfg.job_id:
+        left = version_name(cfg.mirror_name, now.pending)
+        spark.sql(f"DROP TABLE IF EXISTS {identifier(_keys_name(left))}")
+        spark.sql(f"DROP TABLE IF EXISTS {identifier(left)}")
+        if spark.catalog.tableExists(cfg.delta_name):
+            catalog.drop_partition(spark, cfg.delta_name, {C.JOB: now.pending})
+    catalog.mark(spark, cfg.mirror_name, catalog.PENDING, cfg.job_id)
 
 
 def _keys_name(version: str) -> str:
     return f"{version}__keys"
 
 
-def _few_changes(
-    spark: SparkSession, cfg: TableConfig, hashed: DataFrame, mirror: DataFrame, version: str
-) -> DataFrame | None:
-    """Changed keys, written to a table; None if they are too many to broadcast."""
-    name = _keys_name(version)
+def _changes(
+    spark: SparkSession, cfg: TableConfig, hashed: DataFrame, mirror: DataFrame, name: str
+) -> DataFrame:
+    """Changed keys, written to a table: the planner then knows their size."""
     keys = changed_keys(hashed, mirror, cfg).hint("rebalance")
     keys.write.format(catalog.FORMAT).mode("overwrite").saveAsTable(name)
-    written = spark.table(name)
-    return written if written.count() <= BROADCAST_KEYS else None
+    return spark.table(name)
+
+
+def _refuse_copies(source: DataFrame, cfg: TableConfig, found: dict[str, int]) -> None:
+    """Second copies of a key in either side stop the run; nobody has seen its version yet."""
+    if NEW_COPY in found:
+        shown = duplicate_keys(source, cfg.keys).take(3)
+        raise DuplicateKeys(f"{found[NEW_COPY]} keys occur more than once, among them {shown}")
+    if OLD_COPY in found:
+        raise BrokenMirror(f"{cfg.mirror_name}: {found[OLD_COPY]} keys occur more than once")
 
 
 def build_delta(
@@ -151,62 +173,78 @@ def build_delta(
 ) -> BuildResult:
     """Compare a snapshot with the mirror; add the changes to the delta, renew the mirror.
 
-    Steps: check the keys; classify and write the result once, as the version table of
-    this job; fill the delta from its changed rows; point the mirror view at it; drop
-    the version before. Each step can be repeated. A run that broke off is repaired by
-    running it again under the same job id, and repeating a finished one changes nothing.
+    Steps: classify and write the result once, as the version table of this job; refuse
+    repeated keys; fill the delta from its changed rows; point the mirror view at it; drop
+    the version before the last. Each step can be repeated. A run that broke off is repaired
+    by running it again under the same job id, or undone by the next job; repeating a finished
+    one changes nothing.
+
+    The snapshot must read the same rows each time: it is evaluated for the check of a first
+    load and for the write, and twice more with ``narrow_first``. Land a database table
+    before, as ``ingest_jdbc`` does. Its columns may come in any order.
     """
     source = load_source(spark, cfg) if snapshot is None else snapshot
     version = version_name(cfg.mirror_name, cfg.job_id)
 
-    now = catalog.current_version(spark, cfg.mirror_name)
-    if now and now[0] == version:
-        store.drop_previous(spark, cfg.mirror_name)
-        return _result(spark, cfg)
+    now = catalog.versions(spark, cfg.mirror_name)
     if now:
-        _refuse_finished(spark, cfg, version)
+        store.drop_outdated(spark, cfg.mirror_name)
+        if now.current == version:
+            return _result(spark, cfg)
+        _refuse_finished(spark, cfg, now, version)
     else:
         from_table = not cfg.inline and spark.catalog.tableExists(cfg.source_name)
         schema = None if from_table else unwrap(source).schema
         create_objects(spark, cfg, schema)
-        now = catalog.current_version(spark, cfg.mirror_name)
+        now = catalog.versions(spark, cfg.mirror_name)
+    _begin(spark, cfg, now)
 
-    checked = require_unique(unwrap(source), cfg.keys) if cfg.on_duplicates == "fail" else None
+    first = now.current == version_name(cfg.mirror_name, INITIAL)
+    # the join tells repeated keys by itself; a run without the wide join counts them before
+    count_first = cfg.on_duplicates == "fail" and (first or cfg.narrow_first)
+    checked = require_unique(unwrap(source), cfg.keys) if count_first else None
     hashed = hash_source(source, cfg)
+    match = match_columns(cfg, hashed)
+    if cfg.buckets:
+        hashed = hashed.repartition(cfg.buckets, *match)
     mirror = spark.table(cfg.mirror_name)
-    changes = None
-    if now[0] == version_name(cfg.mirror_name, catalog.INITIAL):
-        # the first load has nothing to compare with: the empty side leaves no join behind
-        mirror = mirror.where(F.lit(False))
-        if cfg.buckets:
-            hashed = hashed.repartition(cfg.buckets, *match_columns(cfg, hashed))
-    elif cfg.narrow_first:
-        changes = _few_changes(spark, cfg, hashed, mirror, version)
-    if changes is None:
-        rows = classify(hashed, mirror, cfg)
-    else:
-        rows = classify_changed(hashed, mirror, changes, cfg)
-    store.write_mirror(
-        rows,
-        cfg.mirror_name,
-        cfg.job_id,
-        buckets=cfg.buckets,
-        bucket_columns=match_columns(cfg, hashed),
-        # rows that were not shuffled still lie by job
-        rebalance=changes is None and _many_jobs(spark, cfg, now[0]),
-    )
-    if cfg.narrow_first:
-        spark.sql(f"DROP TABLE IF EXISTS {identifier(_keys_name(version))}")
+    keys_name = _keys_name(version)
+    try:
+        if first:
+            # nothing to compare with: the empty side leaves no join behind
+            rows = classify(hashed, mirror.where(F.lit(False)), cfg)
+        elif cfg.narrow_first:
+            changes = _changes(spark, cfg, hashed, mirror, keys_name)
+            rows = classify_changed(hashed, mirror, changes, cfg)
+        elif cfg.on_duplicates == "fail":
+            rows = classify(ranked(hashed, match), ranked(mirror, match), cfg)
+        else:
+            rows = classify(hashed, mirror, cfg)
+        store.write_mirror(
+            rows,
+            cfg.mirror_name,
+            cfg.job_id,
+            buckets=cfg.buckets,
+            bucket_columns=match,
+            rebalance=cfg.table_type == "fact",
+        )
+    finally:
+        if cfg.narrow_first:
+            spark.sql(f"DROP TABLE IF EXISTS {identifier(keys_name)}")
     written = spark.table(version)
-    counts = _counts(written)
+    found = _found(written)
+    counts = _counts(found)
     kept = sum(n for act, n in counts.items() if act != C.DELETE)
-    changed = sum(n for act, n in counts.items() if act != C.STATIONARY)
-    if checked is not None and kept != checked:
-        raise BrokenMirror(f"{cfg.mirror_name}: {checked} snapshot rows became {kept}")
+    try:
+        _refuse_copies(unwrap(source), cfg, found)
+        if checked is not None and kept != checked:
+            raise BrokenMirror(f"{cfg.mirror_name}: {checked} snapshot rows became {kept}")
+    except (DuplicateKeys, BrokenMirror):
+        spark.sql(f"DROP TABLE IF EXISTS {identifier(version)}")
+        raise
 
     ordered = written.select(*[F.col(quoted(c)) for c in rows.columns])
-    compact = changed < COMPACT_BELOW_SHARE * (changed + counts[C.STATIONARY])
-    store.append_delta(delta_of(ordered), cfg.table, cfg.job_id, compact)
+    store.append_delta(delta_of(ordered), cfg.table, cfg.job_id)
     store.swap_mirror(spark, cfg.mirror_name, cfg.job_id)
     return BuildResult(
         cfg.table,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,16 +23,14 @@ SETTINGS = {
 def work_folder(spark: SparkSession) -> str:
     """New folder all executors can reach.
 
-    It lies below ``spark.checkpoint.dir``, or below the checkpoint folder the session was
-    given otherwise. Only a local session, whose executors share the driver's disk, may go
-    without; it is then given one.
+    It lies below ``spark.checkpoint.dir``, below the checkpoint folder the session was given
+    otherwise, or else in the warehouse.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="changecapture-"))
-        base = spark.sparkContext.getCheckpointDir()
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
     return f"{base.rstrip('/')}/changecapture-{uuid.uuid4().hex[:12]}"
 
 
@@ -43,3 +40,12 @@ def work_database(spark: SparkSession, folder: str | None = None) -> str:
     name = f"cc_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION {literal(f'{folder}/{name}.db')}")
     return name
+
+
+def drop_work_databases(spark: SparkSession) -> None:
+    """Drop what ``work_database`` made in this session, tables and all.
+
+    Results of queries read these tables, so this is for the end of a session.
+    """
+    for row in spark.sql("SHOW DATABASES LIKE 'cc_*'").collect():
+        spark.sql(f"DROP DATABASE IF EXISTS {row[0]} CASCADE")

@@ -37,11 +37,14 @@ def read_jdbc(
     table: str,
     properties: Mapping[str, str],
     split_column: str | None = None,
-    splits: int = 1,
+    splits: int | None = None,
     predicates: Sequence[str] | None = None,
 ) -> DataFrame:
     """Full extract of a database table, read by ``splits`` tasks.
 
+    The caller says how the read is cut: a ``split_column`` with ``splits``, or
+    ``predicates``. A table that one task should read takes ``splits=1``.
+
     ``split_column`` is a numeric, date or timestamp column; its range is asked of the
     database first and cut into equal strides. Where the values are uneven, give
     ``predicates`` instead: one condition per task, together covering every row once.
@@ -49,7 +52,9 @@ def read_jdbc(
     props = dict(properties)
     if predicates:
         return spark.read.jdbc(url, table, predicates=list(predicates), properties=props)
-    if not split_column or splits <= 1:
+    if splits is None or (splits > 1 and not split_column):
+        raise ValueError(f"{table}: give split_column and splits, predicates, or splits=1")
+    if splits <= 1:
         return spark.read.jdbc(url, table, properties=props)
     query = f"(select min({split_column}) lo, max({split_column}) hi from {table}) bounds"
     low, high = spark.read.jdbc(url, query, properties=props).first()

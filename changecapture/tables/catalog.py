@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from changecapture import columns as C
-from changecapture.config import ConfigError, TableConfig, version_name
+from changecapture.config import INITIAL, ConfigError, TableConfig, version_name
 from changecapture.functions.encoding import quoted
 from changecapture.operators.fields import FieldSets
 from changecapture.tables.names import identifier, literal, partition_spec
@@ -18,8 +19,10 @@ FORMAT = "orc"
 # these hold a different text in every row: looking for a dictionary is lost work
 DIRECT = "orc.column.encoding.direct"
 UNREPEATED = (C.NK, C.KEY_HASH, C.VALUE_HASH)
-INITIAL = "init"
+# properties of the mirror view: the version it shows, the one kept for its readers, the one
+# to be dropped, and the one a run is writing
 CURRENT, PREVIOUS = "changecapture.version", "changecapture.previous"
+OUTDATED, PENDING = "changecapture.outdated", "changecapture.pending"
 
 
 def column_list(fields: Iterable[T.StructField]) -> str:
@@ -70,27 +73,56 @@ def create_link(spark: SparkSession, cfg: TableConfig, schema: T.StructType) ->
     return create_mirror(spark, cfg, schema)
 
 
-def current_version(spark: SparkSession, mirror: str) -> tuple[str, str | None] | None:
-    """Table the mirror view shows and the one it showed before; None without a mirror."""
+@dataclass(frozen=True)
+class Versions:
+    """Version tables of a mirror."""
+
+    current: str
+    previous: str | None = None
+    outdated: str | None = None
+    pending: str | None = None
+
+
+def versions(spark: SparkSession, mirror: str) -> Versions | None:
+    """What the mirror view shows, showed before, and has to be tidied up; None without one."""
     if not spark.catalog.tableExists(mirror):
         return None
     rows = spark.sql(f"SHOW TBLPROPERTIES {identifier(mirror)}").collect()
     properties = {r["key"]: r["value"] for r in rows}
     if CURRENT not in properties:
         raise ConfigError(f"{mirror} exists and is not a mirror of this library")
-    return properties[CURRENT], properties.get(PREVIOUS)
+    return Versions(properties[CURRENT], *(properties.get(p) for p in (PREVIOUS, OUTDATED, PENDING)))
+
+
+def mark(spark: SparkSession, mirror: str, name: str, value: str | None) -> None:
+    """Set a property of the mirror view, or take it away."""
+    change = (
+        f"UNSET TBLPROPERTIES IF EXISTS ({literal(name)})"
+        if value is None
+        else f"SET TBLPROPERTIES ({literal(name)} = {literal(value)})"
+    )
+    spark.sql(f"ALTER VIEW {identifier(mirror)} {change}")
 
 
 def point_at(
-    spark: SparkSession, mirror: str, version: str, previous: str | None = None
+    spark: SparkSession,
+    mirror: str,
+    version: str,
+    previous: str | None = None,
+    outdated: str | None = None,
 ) -> None:
-    """Let the mirror view show the rows of a version table: one catalog operation."""
+    """Let the mirror view show the rows of a version table: one catalog operation.
+
+    The same operation records the version shown so far, and the one that may now go.
+    """
     names = spark.table(version).columns
     front = [n for n in C.ADDED if n in names and n != C.ACT]
     shown = front + [n for n in names if not C.is_added(n)]
     properties = {CURRENT: version}
     if previous:
         properties[PREVIOUS] = previous
+    if outdated:
+        properties[OUTDATED] = outdated
     pairs = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in properties.items())
     # the label is a partition column, so deleted rows are pruned and never read
     gone = f" WHERE {quoted(C.ACT)} <> {literal(C.DELETE)}" if C.ACT in names else ""
@@ -103,7 +135,8 @@ def point_at(
 def link_view_sql(cfg: TableConfig, source_schema: T.StructType) -> str:
     """Text of the view that joins the source history to the link table.
 
-    Key columns compare null-safe, so a key with an empty part is not lost.
+    Keys and partitions compare null-safe, so a key with an empty part, or a row of the
+    partition for missing values, is not lost.
     """
     sets = FieldSets(cfg, source_schema)
     names = {f.name.lower(): f.name for f in sets.payload}
@@ -113,7 +146,7 @@ def link_view_sql(cfg: TableConfig, source_schema: T.StructType) -> str:
     keys = [f.name for f in sets.ids]
     pointers = [names[c] for c in cfg.partition_columns if c not in cfg.keys]
     on = [f"s.{quoted(k)} <=> n.{quoted(k)}" for k in keys]
-    on += [f"s.{quoted(p)} = n.{quoted(p)}" for p in pointers]
+    on += [f"s.{quoted(p)} <=> n.{quoted(p)}" for p in pointers]
     stamped = [f.name for f in sets.meta + sets.kv_hash if f.name != C.ACT]
     shown = [f"n.{quoted(c)}" for c in stamped]
     shown += [f"s.{quoted(f.name)}" for f in sets.payload_metaex]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from changecapture import columns as C
-from changecapture.config import version_name
+from changecapture.config import ConfigError, version_name
 from changecapture.functions.encoding import quoted
 from changecapture.tables import catalog
 from changecapture.tables.names import identifier, partition_spec
@@ -18,21 +18,24 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", **options) ->
     df.write.format(fmt).mode("overwrite").options(**options).save(path)
 
 
-def append_delta(df: DataFrame, table: str, job_id: str, compact: bool = True) -> str:
+def append_delta(df: DataFrame, table: str, job_id: str) -> str:
     """Add one job's changes to ``<table>_delta``; returns that name.
 
     The job's partition is replaced as a whole, so repeating a job does not double it.
-    ``compact`` gathers the rows to files of the session's advisory size, which the few
-    changes of a day need; rows that fill their tasks can be written without a shuffle.
+    Columns go by name. The rows are gathered to files of the session's advisory size.
     """
     spark, name = df.sparkSession, f"{table}_delta"
     fields = [f for f in df.schema.fields if f.name != C.JOB]
     spark.sql(catalog.create_table_sql(name, [*fields, C.added_field(C.JOB)], C.JOB))
     spec = partition_spec({C.JOB: job_id})
+    names = {f.name.lower(): f.name for f in fields}
+    stored = [c for c in spark.table(name).columns if c != C.JOB]
+    if sorted(names) != sorted(c.lower() for c in stored):
+        raise ConfigError(f"{name}: columns {sorted(names)} do not match {sorted(stored)}")
     spark.sql(
         f"INSERT OVERWRITE TABLE {identifier(name)} PARTITION ({spec}) "
-        f"SELECT {', '.join(quoted(f.name) for f in fields)} FROM {{rows}}",
-        rows=df.hint("rebalance") if compact else df,
+        f"SELECT {', '.join(quoted(names[c.lower()]) for c in stored)} FROM {{rows}}",
+        rows=df.hint("rebalance"),
     )
     # a job without changes leaves an empty partition: it has run
     catalog.add_partition(spark, name, {C.JOB: job_id})
@@ -71,24 +74,24 @@ def write_mirror(
 
 
 def swap_mirror(spark: SparkSession, table: str, job_id: str) -> str:
-    """Let ``<table>`` show the version written by a job, then drop the one before.
+    """Let ``<table>`` show the version written by a job; drop the one before the last.
 
-    The switch is a single replacement of a view: no row is copied, and readers see
-    either the old mirror or the new one.
+    The switch is a single replacement of a view: no row is copied, and a query planned on
+    the version before still finds its files until the next switch.
     """
     version = version_name(table, job_id)
-    now = catalog.current_version(spark, table)
-    if now and now[0] == version:
-        drop_previous(spark, table)
-        return version
-    previous = now[0] if now else None
-    catalog.point_at(spark, table, version, previous)
-    drop_previous(spark, table)
+    now = catalog.versions(spark, table)
+    if now is None:
+        catalog.point_at(spark, table, version)
+    elif now.current != version:
+        catalog.point_at(spark, table, version, now.current, now.previous)
+    drop_outdated(spark, table)
     return version
 
 
-def drop_previous(spark: SparkSession, table: str) -> None:
-    """Drop the version table the mirror showed before the current one."""
-    now = catalog.current_version(spark, table)
-    if now and now[1]:
-        spark.sql(f"DROP TABLE IF EXISTS {identifier(now[1])}")
+def drop_outdated(spark: SparkSession, table: str) -> None:
+    """Drop the version table that neither the mirror nor its last readers need."""
+    now = catalog.versions(spark, table)
+    if now and now.outdated:
+        spark.sql(f"DROP TABLE IF EXISTS {identifier(now.outdated)}")
+        catalog.mark(spark, table, catalog.OUTDATED, None)

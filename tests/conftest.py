@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from changecapture.session import SETTINGS, work_database, work_folder  # noqa: E402
+from changecapture.session import SETTINGS, drop_work_databases, work_database, work_folder  # noqa: E402
 
 DATA = "/root/testdata/sf0.01"
 
@@ -29,6 +29,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_work_databases(session)
     session.stop()
 
 

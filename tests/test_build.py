@@ -22,7 +22,7 @@ from changecapture import (
     write_mirror,
 )
 from changecapture.config import version_name
-from changecapture.operators.classify import changed_keys, classify_changed
+from changecapture.operators.classify import changed_keys, classify_changed, ranked
 from changecapture.plans import build
 from changecapture.tables import store
 
@@ -53,7 +53,7 @@ def test_repeating_a_finished_job_changes_nothing(spark, cfg):
     assert spark.table(cfg.delta_name).count() == 5
 
 
-@pytest.mark.parametrize("step", ["append_delta", "swap_mirror", "drop_previous"])
+@pytest.mark.parametrize("step", ["append_delta", "swap_mirror", "drop_outdated"])
 def test_a_broken_off_run_is_repaired_by_running_it_again(spark, cfg, monkeypatch, step):
     build_delta(spark, cfg, frame(spark, "1a 2b"))
     second = replace(cfg, job_id="d2")
@@ -61,15 +61,109 @@ def test_a_broken_off_run_is_repaired_by_running_it_again(spark, cfg, monkeypatc
         broken.setattr(store, step, lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             build_delta(spark, second, frame(spark, "1x 3c"))
-    if step != "drop_previous":
+    if step != "drop_outdated":
         assert shown(spark.table(cfg.table)) == ["1a", "2b"]
     result = build_delta(spark, second, frame(spark, "1x 3c"))
     assert result.counts == {"I": 1, "U": 1, "D": 1, "S": 0}
     assert shown(result.mirror) == ["1x", "3c"]
     assert spark.table(cfg.delta_name).count() == 5
+    # the version before stays for its readers, the one before that goes
+    assert spark.catalog.tableExists(version_name(cfg.table, "d1"))
+    assert not spark.catalog.tableExists(version_name(cfg.table, "init"))
+
+
+def test_jobs_before_the_last_are_refused_after_a_run_that_broke_off(spark, cfg, monkeypatch):
+    build_delta(spark, cfg, frame(spark, "1a 2b"))
+    with monkeypatch.context() as broken:
+        broken.setattr(store, "drop_outdated", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            store.swap_mirror(spark, cfg.table, "d1")
+    second, third = replace(cfg, job_id="d2"), replace(cfg, job_id="d3")
+    build_delta(spark, second, frame(spark, "1x 3c"))
+    build_delta(spark, third, frame(spark, "1y 3c"))
+    for job in (cfg, second):
+        with pytest.raises(JobAlreadyFinished):
+            build_delta(spark, job, frame(spark, "9z"))
+    assert shown(spark.table(cfg.table)) == ["1y", "3c"]
     assert not spark.catalog.tableExists(version_name(cfg.table, "d1"))
 
 
+def test_the_next_job_undoes_one_that_broke_off_before_its_switch(spark, cfg, monkeypatch):
+    build_delta(spark, cfg, frame(spark, "1a 2b"))
+    second, third = replace(cfg, job_id="d2"), replace(cfg, job_id="d3")
+    with monkeypatch.context() as broken:
+        broken.setattr(store, "swap_mirror", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            build_delta(spark, second, frame(spark, "1x 3c"))
+    result = build_delta(spark, third, frame(spark, "1y 2b"))
+    assert result.counts == {"I": 0, "U": 1, "D": 0, "S": 1}
+    assert not spark.catalog.tableExists(version_name(cfg.table, "d2"))
+    parts = sorted(r[0] for r in list_partitions(spark, cfg.delta_name).collect())
+    assert parts == ["DWSJOB=d1", "DWSJOB=d3"]
+
+
+def test_readers_of_the_version_before_can_finish(spark, cfg):
+    build_delta(spark, cfg, frame(spark, "1a 2b"))
+    reading = spark.table(cfg.table)
+    build_delta(spark, replace(cfg, job_id="d2"), frame(spark, "1x"))
+    assert reading.count() == 2
+
+
+def test_columns_may_come_in_any_order(spark, db):
+    cfg = TableConfig(f"{db}.o", "k1,k2", job_id="d1")
+    schema = "k1 string, k2 string, name string, city string"
+    day = spark.createDataFrame([("a", "b", "alice", "paris"), ("c", "d", "bob", "rome")], schema)
+    first = {r.k1: r.NK for r in build_delta(spark, cfg, day).mirror.collect()}
+    moved = day.select("city", "k2", "name", "k1")
+    result = build_delta(spark, replace(cfg, job_id="d2"), moved)
+    assert result.counts == {"I": 0, "U": 0, "D": 0, "S": 2}
+    assert {r.k1: r.NK for r in result.mirror.collect()} == first
+    changed = moved.withColumn("city", F.when(F.col("k1") == "a", "oslo").otherwise(F.col("city")))
+    result = build_delta(spark, replace(cfg, job_id="d3"), changed)
+    (row,) = result.delta.collect()
+    assert (row.k1, row.k2, row.name, row.city, row.NK) == ("a", "b", "alice", "oslo", first["a"])
+
+
+def test_a_lost_column_is_refused_before_anything_is_written(spark, cfg):
+    wide = frame(spark, "1a").withColumn("w", F.lit(1))
+    build_delta(spark, cfg, wide)
+    with pytest.raises(ConfigError, match="no column w"):
+        build_delta(spark, replace(cfg, job_id="d2"), frame(spark, "1a"))
+    assert not spark.catalog.tableExists(version_name(cfg.table, "d2"))
+
+
+@pytest.mark.parametrize("kind", ["murmur", "xxhash"])
+def test_values_under_one_short_hash_are_told_apart(spark, db, kind):
+    found = spark.range(300_000).select(F.col("id").cast("string").alias("v"))
+    encoded = F.concat(F.length("v").cast("string"), F.lit(":"), F.col("v"))
+    if kind == "murmur":  # two values with the same 32 bits
+        twins = found.groupBy(F.hash(encoded).alias("h")).agg(F.min("v").alias("a"), F.max("v").alias("b"))
+        one, two = twins.where("a <> b").orderBy("h").select("a", "b").first()
+    else:
+        one, two = "x", "y"
+    cfg = TableConfig(f"{db}.h", "id", hash_kind=kind, job_id="d1")
+    build_delta(spark, cfg, spark.createDataFrame([(1, one)], "id int, v string"))
+    result = build_delta(
+        spark, replace(cfg, job_id="d2"), spark.createDataFrame([(1, two)], "id int, v string")
+    )
+    assert result.counts == {"I": 0, "U": 1, "D": 0, "S": 0}
+
+
+def test_the_check_for_copies_needs_no_shuffle_of_its_own(spark, db):
+    cfg = TableConfig(f"{db}.x", "id", job_id="d1")
+    rows = spark.range(500).select("id", F.lit("a").alias("v"))
+    mirror = build_delta(spark, cfg, rows).mirror
+    hashed = add_hashes(rows, replace(cfg, job_id="d2"))
+    both = [ranked(side, ["DWSKEYHASH"]) for side in (hashed, mirror)]
+    text = plan(classify(*both, replace(cfg, job_id="d2")), "simple")
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_a_job_cannot_be_named_like_the_empty_mirror():
+    with pytest.raises(ConfigError, match="init"):
+        TableConfig("t", "id", job_id="init")
+
+
 def test_a_job_of_the_past_is_refused(spark, cfg):
     for job, rows in (("d1", "1a"), ("d2", "1a"), ("d3", "1b")):
         build_delta(spark, replace(cfg, job_id=job), frame(spark, rows))
@@ -155,10 +249,17 @@ def test_buckets_save_the_shuffle_of_the_mirror(spark, db, kind):
 
 
 @pytest.mark.parametrize("table_type", ["dim", "fact"])
-@pytest.mark.parametrize("limit", [30, 1_000_000])
-def test_changed_keys_first_gives_the_same_tables(spark, db, monkeypatch, table_type, limit):
-    """Below the limit the wide rows are not shuffled; above it the run goes on as usual."""
-    monkeypatch.setattr(build, "BROADCAST_KEYS", limit)
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_changed_keys_first_gives_the_same_tables(spark, db, table_type, threshold):
+    """Whichever joins the planner chooses."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        _compare_narrow_and_wide(spark, db, table_type)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _compare_narrow_and_wide(spark, db, table_type):
     rows = spark.range(2000).select(F.col("id").cast("int"), F.lit("a").alias("v"))
     days = [rows, rows.where("id > 9").withColumn("v", F.expr("if(id < 40, 'b', v)")), rows]
     shown = {}
@@ -194,8 +295,7 @@ def test_few_changes_move_no_wide_row(spark, db):
     assert text.count("REBALANCE") == 1 and "hashpartitioning" not in text
 
 
-def test_fact_mirror_with_many_jobs_is_gathered_by_job(spark, db, monkeypatch):
-    monkeypatch.setattr(build, "REBALANCE_ABOVE_JOBS", 2)
+def test_fact_mirror_with_many_jobs_is_gathered_by_job(spark, db):
     cfg = TableConfig(f"{db}.f", "id", table_type="fact")
     rows = ""
     for i in range(1, 6):

@@ -16,7 +16,7 @@ from changecapture import (
     swap_mirror,
     write_mirror,
 )
-from changecapture.tables.catalog import current_version
+from changecapture.tables.catalog import versions
 
 
 def test_mirror_ddl(spark):
@@ -45,12 +45,12 @@ def test_create_mirror_leaves_an_existing_one_alone(spark, db):
     assert spark.table(cfg.table).columns == [
         "NK", "DWSJOB", "DWSUNIACT", "DWSARCHIVE", "DWSKEYHASH", "DWSVALHASH", "id",
     ]
-    assert not spark.catalog.tableExists(f"{db}.t__init")
+    assert versions(spark, cfg.table).previous == f"{db}.t__init"
 
 
 def test_swap_switches_versions_and_can_be_repeated(spark, db):
     table = f"{db}.m"
-    for job in ("a", "b"):
+    for job in ("a", "b", "c"):
         rows = spark.createDataFrame(
             [("k", "v", job, job)], "DWSKEYHASH string, DWSVALHASH string, x string, DWSJOB string"
         )
@@ -58,7 +58,9 @@ def test_swap_switches_versions_and_can_be_repeated(spark, db):
         for _ in range(2):
             swap_mirror(spark, table, job)
         assert [r.x for r in spark.table(table).collect()] == [job]
-    assert current_version(spark, table) == (f"{table}__b", f"{table}__a")
+    now = versions(spark, table)
+    assert (now.current, now.previous, now.outdated) == (f"{table}__c", f"{table}__b", None)
+    assert spark.catalog.tableExists(f"{table}__b")
     assert not spark.catalog.tableExists(f"{table}__a")
 
 

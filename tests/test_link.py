@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changecapture import (
@@ -15,9 +16,13 @@ from changecapture import (
     create_landing,
     create_link,
     create_objects,
+    land_partition,
     link_view_sql,
+    swap_mirror,
     write_dataset,
+    write_mirror,
 )
+from changecapture.config import version_name
 
 SCHEMA = "ID int, T1 string, T2 string, created string"
 PARTS = T.StructType([T.StructField(n, T.IntegerType()) for n in ("yy", "mn", "dy")])
@@ -31,9 +36,9 @@ def table(spark, db, folder):
 
 
 def land(spark, table, folder, day, rows):
-    path = f"{folder}/src/yy=2020/mn=12/dy={day}"
+    path = f"{folder}/src/yy=2024/mn=3/dy={day}"
     write_dataset(spark.createDataFrame(rows, SCHEMA), path)
-    add_partition(spark, f"{table}_src", {"yy": 2020, "mn": 12, "dy": day}, path)
+    add_partition(spark, f"{table}_src", {"yy": 2024, "mn": 3, "dy": day}, path)
 
 
 def settings(table, day, **more):
@@ -42,7 +47,7 @@ def settings(table, day, **more):
         "ID,T1",
         exclusions="created,updated",
         partition_columns="yy,mn,dy",
-        partition_values={"yy": 2020, "mn": 12, "dy": day},
+        partition_values={"yy": 2024, "mn": 3, "dy": day},
         inline=False,
         job_id=f"day{day}",
         **more,
@@ -73,7 +78,7 @@ def test_pointers_follow_the_current_version(spark, table, folder, table_type):
     assert shown == [(1, "a", "z", 7), (2, "b", "y", 6), (3, "c", "x", 7), (4, None, "x", 5)]
     deleted = spark.table(f"{table}_delta").where("DWSACT = 'D'").collect()
     assert sorted((r.ID, r.DWSJOB, r.yy, r.mn, r.dy) for r in deleted) == [
-        (3, "day6", 2020, 12, 5), (5, "day7", 2020, 12, 6),
+        (3, "day6", 2024, 3, 5), (5, "day7", 2024, 3, 6),
     ]
 
 
@@ -95,14 +100,59 @@ def test_link_columns(spark, table, folder):
     ]
 
 
-def test_single_partition_column_defaults_to_the_job(spark, db):
-    cfg = TableConfig(f"{db}.t", "id", inline=False, job_id="d1")
-    day = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    build_delta(spark, cfg, day)
-    second = spark.createDataFrame([(1, "a"), (2, "c"), (3, "d")], "id int, v string")
-    result = build_delta(spark, replace(cfg, job_id="d2"), second)
+def _daily(spark, db, folder, days):
+    """A history partitioned by ``export_date``, and settings that name no value."""
+    schema = "id int, v string"
+    create_landing(spark, f"{db}.t_src", spark.createDataFrame([], schema).schema, folder)
+    for day, rows in days.items():
+        path = land_partition(spark.createDataFrame(rows, schema), folder, day)
+        add_partition(spark, f"{db}.t_src", {"export_date": day}, path)
+    return TableConfig(f"{db}.t", "id", inline=False, job_id="d1")
+
+
+def test_single_partition_column_defaults_to_the_job(spark, db, folder):
+    days = {"d1": [(1, "a"), (2, "b"), (4, "x")], "d2": [(1, "a"), (2, "c"), (3, "d")]}
+    cfg = _daily(spark, db, folder, days)
+    build_delta(spark, cfg)
+    result = build_delta(spark, replace(cfg, job_id="d2"))
+    assert result.counts == {"I": 1, "U": 1, "D": 1, "S": 1}
     pointers = {r.id: r.export_date for r in result.mirror.collect()}
     assert pointers == {1: "d1", 2: "d2", 3: "d2"}
+    shown = sorted((r.id, r.v) for r in spark.table(cfg.table).collect())
+    assert shown == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_a_partition_setting_that_matches_nothing_is_refused(spark, db, folder):
+    cfg = _daily(spark, db, folder, {"d1": [(1, "a")]})
+    with pytest.raises(ConfigError, match="no partition column export_dt"):
+        build_delta(spark, replace(cfg, partition_columns="export_dt"))
+    inline = replace(cfg, inline=True, source_table=f"{db}.t_src", partition_columns="export_dt")
+    with pytest.raises(ConfigError, match="no partition column export_dt"):
+        build_delta(spark, replace(inline, partition_values="d1"))
+    with pytest.raises(ConfigError, match="no value"):
+        replace(cfg, partition_values={"export_date": None})
+
+
+def test_a_link_needs_its_source_table(spark, db):
+    cfg = TableConfig(f"{db}.t", "id", inline=False, job_id="d1")
+    day = spark.createDataFrame([(1, "a")], "id int, v string")
+    with pytest.raises(ConfigError, match="no source table"):
+        build_delta(spark, cfg, day)
+
+
+def test_a_missing_partition_value_keeps_its_rows(spark, db, folder):
+    cfg = _daily(spark, db, folder, {"d1": [(1, "a")]})
+    build_delta(spark, cfg)
+    null = F.lit(None).cast("string").alias("export_date")
+    spark.range(1).select(F.lit(2).alias("id"), F.lit("b").alias("v"), null).write.insertInto(
+        f"{db}.t_src"
+    )
+    link = spark.table(version_name(cfg.mirror_name, "d1"))
+    names = [c for c in link.columns if c not in ("id", "export_date")]
+    lost = link.select(*names, F.lit(2).alias("id"), null)
+    write_mirror(link.unionByName(lost), cfg.mirror_name, "dx")
+    swap_mirror(spark, cfg.mirror_name, "dx")
+    assert sorted((r.id, r.v) for r in spark.table(cfg.table).collect()) == [(1, "a"), (2, "b")]
 
 
 def test_an_inline_table_has_no_link(spark, db):

@@ -99,14 +99,18 @@ def test_jdbc_extract_unsplit_empty_or_by_conditions(spark):
     reader = FakeReader(spark, bounds=(None, None))
     read_jdbc(reader, "jdbc:x", "t", {}, split_column="id", splits=8)
     assert reader.calls[-1] == ("t", {"properties": {}})
-    read_jdbc(reader, "jdbc:x", "t", {})
+    read_jdbc(reader, "jdbc:x", "t", {}, splits=1)
     assert reader.calls[-1] == ("t", {"properties": {}})
+    with pytest.raises(ValueError, match="splits=1"):
+        read_jdbc(reader, "jdbc:x", "t", {})
+    with pytest.raises(ValueError, match="split_column"):
+        read_jdbc(reader, "jdbc:x", "t", {}, splits=8)
     read_jdbc(reader, "jdbc:x", "t", {}, predicates=["id < 5", "id >= 5 or id is null"])
     assert reader.calls[-1][1]["predicates"] == ["id < 5", "id >= 5 or id is null"]
 
 
 def test_jdbc_ingest_lands_the_extract(spark, folder):
-    path = ingest_jdbc(FakeReader(spark), "jdbc:x", "t", {}, folder, "2024-01-01")
+    path = ingest_jdbc(FakeReader(spark), "jdbc:x", "t", {}, folder, "2024-01-01", splits=1)
     assert path.endswith("/export_date=2024-01-01")
     assert read_landing(spark, folder, "2024-01-01").count() == 4
 
@@ -117,14 +121,12 @@ def test_work_folder_is_below_the_shared_folder(spark):
     assert one != two and one.startswith(f"{base}/")
 
 
-def test_a_cluster_must_name_a_shared_folder():
+def test_work_goes_to_the_warehouse_if_no_folder_is_named():
     class Session:
         class conf:  # noqa: N801
-            get = staticmethod(lambda key, default: default)
+            get = staticmethod(lambda key, *none: {"spark.sql.warehouse.dir": "/w"}.get(key))
 
         class sparkContext:  # noqa: N801
-            master = "yarn"
             getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        work_folder(Session)
+    assert work_folder(Session).startswith("/w/changecapture-")

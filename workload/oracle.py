@@ -6,7 +6,7 @@ The labels are found by comparing keys and values themselves, not their hashes.
 from __future__ import annotations
 
 from workload.queries import DAY_ONE, DAY_TWO, FIRST, POINTER_ONE, POINTER_TWO, SECOND, THIRD
-from workload.snapshots import SOURCES, Source
+from workload.snapshots import SOURCES, Source, nulled_sql
 
 
 def _framed(text: str) -> str:
@@ -18,11 +18,11 @@ def _encoded(columns, prefix: str = "") -> str:
 
 
 def _key(source: Source, prefix: str = "") -> str:
-    return f"md5({_encoded([c for c in source.columns if c in source.keys], prefix)})"
+    return f"md5({_encoded(sorted(source.keys), prefix)})"
 
 
 def _value(source: Source, prefix: str = "") -> str:
-    return f"md5({_encoded(source.valued, prefix)})"
+    return f"md5({_encoded(sorted(source.valued), prefix)})"
 
 
 def _uuid(source: Source, key_hash: str, job: str) -> str:
@@ -32,10 +32,12 @@ def _uuid(source: Source, key_hash: str, job: str) -> str:
     return " || '-' || ".join(f"substr({h}, {at}, {n})" for at, n in cuts)
 
 
-def _stamped(source: Source, shown: str, where: str = "", fact: bool = False) -> str:
+def _stamped(
+    source: Source, shown: str, where: str = "", fact: bool = False, days: tuple | None = None
+) -> str:
     """Both days matched, labelled and stamped; ``shown`` picks columns of the result."""
-    key = source.keys[0]
-    on = " AND ".join(f"n.{k} = o.{k}" for k in source.keys)
+    first_day, second_day = days or (f"SELECT * FROM {source.name}", source.next_day_sql())
+    on = " AND ".join(f"n.{k} IS NOT DISTINCT FROM o.{k}" for k in source.keys)
     same = " AND ".join(f"n.{c} IS NOT DISTINCT FROM o.{c}" for c in source.valued)
     pairs = ", ".join(f"n.{c} AS n_{c}, o.{c} AS o_{c}" for c in source.columns)
     payload = ", ".join(
@@ -56,13 +58,15 @@ def _stamped(source: Source, shown: str, where: str = "", fact: bool = False) ->
         f"CASE WHEN act IN ('I', 'U') THEN {POINTER_TWO[c]} ELSE {POINTER_ONE[c]} END AS {c}"
         for c in POINTER_ONE
     )
+    pointers += f", CASE WHEN act IN ('I', 'U') THEN '{SECOND}' ELSE '{FIRST}' END AS export_date"
     return f"""
-WITH old_day AS (SELECT *, {_key(source)} AS kh, {_value(source)} AS vh FROM {source.name}),
-next_day AS ({source.next_day_sql()}),
+WITH first_day AS ({first_day}),
+old_day AS (SELECT *, {_key(source)} AS kh, {_value(source)} AS vh FROM first_day),
+next_day AS ({second_day}),
 new_day AS (SELECT *, {_key(source)} AS kh, {_value(source)} AS vh FROM next_day),
 pairs AS (
   SELECT {pairs}, n.kh AS n_kh, n.vh AS n_vh, o.kh AS o_kh, o.vh AS o_vh,
-    CASE WHEN o.{key} IS NULL THEN 'I' WHEN n.{key} IS NULL THEN 'D'
+    CASE WHEN o.kh IS NULL THEN 'I' WHEN n.kh IS NULL THEN 'D'
          WHEN {same} THEN 'S' ELSE 'U' END AS act
   FROM new_day n FULL JOIN old_day o ON {on}),
 stamped AS (
@@ -84,30 +88,37 @@ def _names(*names: str) -> str:
     return ", ".join(f'"{n}"' for n in names)
 
 
-def _rows(name: str, acts: str, labelled: bool = True, fact: bool = False, link: bool = False):
-    """Full rows of the given labels, as delta (labelled) or mirror columns."""
+def _rows(
+    name: str,
+    acts: str,
+    labelled: bool = True,
+    fact: bool = False,
+    link: tuple | None = None,
+    days: tuple | None = None,
+):
+    """Full rows of the given labels, as delta (labelled) or mirror columns.
+
+    ``link``: the source partition columns of a link table.
+    """
     source = SOURCES[name]
     lineage = [c for c in (_FACT if fact else _DIM) if labelled or c != "DWSACT"]
-    payload = [*source.keys, *POINTER_ONE] if link else source.columns
+    payload = [*source.keys, *link] if link else source.columns
     allowed = ", ".join(f"'{a}'" for a in acts)
     return _stamped(
-        source, _names(*lineage, *payload), f'WHERE "DWSACT" IN ({allowed})', fact
+        source, _names(*lineage, *payload), f'WHERE "DWSACT" IN ({allowed})', fact, days
     )
 
 
-def _first_load(name: str, link: bool = False) -> str:
-    source = SOURCES[name]
-    if link:
-        pointers = [f"{v} AS {c}" for c, v in POINTER_ONE.items()]
-        payload = ", ".join([*source.keys, *pointers])
-    else:
-        payload = ", ".join(source.columns)
-    return (
-        f'SELECT {_uuid(source, _key(source), FIRST)} AS "NK", \'{FIRST}\' AS "DWSJOB", '
-        f'CAST(NULL AS VARCHAR) AS "DWSUNIACT", \'N\' AS "DWSARCHIVE", '
-        f'{_key(source)} AS "DWSKEYHASH", {_value(source)} AS "DWSVALHASH", {payload} '
-        f"FROM {source.name}"
-    )
+def _ddl(name: str, payload: dict[str, str], pointers: tuple = ()) -> str:
+    """Columns of a mirror or link table as created, and how many a first load fills."""
+    always = dict.fromkeys(("DWSARCHIVE", "DWSKEYHASH", "DWSVALHASH"), "string")
+    columns = {"NK": "string", "DWSUNIACT": "string", **always, **payload, "DWSJOB": "string"}
+    rows = []
+    for position, (column, kind) in enumerate(columns.items(), 1):
+        filled = f"count({column})" if column in payload and column not in pointers else "count(*)"
+        filled = "0" if column == "DWSUNIACT" else f"(SELECT {filled} FROM {name})"
+        rows.append(f"({position}, '{column}', '{kind}', {filled})")
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS t(position, name, type, filled)"
 
 
 def _link_view() -> str:
@@ -195,18 +206,19 @@ def _columns(source: Source, names) -> str:
     return f"SELECT {', '.join(names)} FROM {source.name}"
 
 
-def _deduped() -> str:
+def _deduped(day: str = "SELECT * FROM lineitem") -> str:
     source = SOURCES["lineitem"]
     rest = [c for c in source.columns if c not in source.keys and c != "l_shipdate"]
     return (
         f"SELECT {', '.join(source.columns)} FROM (SELECT *, row_number() OVER "
         f"(PARTITION BY {', '.join(source.keys)} ORDER BY l_shipdate, {', '.join(rest)}) AS rn "
-        "FROM lineitem) WHERE rn = 1"
+        f"FROM ({day})) WHERE rn = 1"
     )
 
 
 def oracle_sql() -> dict[str, str]:
     lineitem, orders, talk = SOURCES["lineitem"], SOURCES["orders"], SOURCES["conversations"]
+    customer = SOURCES["customer"]
     day = "strftime(ts, '%Y-%m-%d')"
     keys = ", ".join(lineitem.keys)
     label = '"DWSACT"'
@@ -227,8 +239,21 @@ def oracle_sql() -> dict[str, str]:
             f"WHERE {day} <> (SELECT min({day}) FROM events)"
         ),
         "list_partitions": f"SELECT DISTINCT 'export_date=' || {day} AS partition FROM events",
-        "create_mirror": _first_load("customer"),
-        "create_link": _first_load("conversations", link=True),
+        "create_mirror": _ddl(
+            "customer",
+            {
+                "c_custkey": "bigint",
+                "c_name": "string",
+                "c_nationkey": "int",
+                "c_acctbal": "double",
+                "c_mktsegment": "string",
+            },
+        ),
+        "create_link": _ddl(
+            "conversations",
+            {"conv_id": "bigint", "turn": "bigint", **dict.fromkeys(POINTER_ONE, "int")},
+            tuple(POINTER_ONE),
+        ),
         "link_view": _link_view(),
         "create_landing_table": _history(),
         "project_ids": _columns(lineitem, lineitem.keys),
@@ -283,7 +308,21 @@ def oracle_sql() -> dict[str, str]:
         "deleted": _rows("orders", "D"),
         "stationary": _rows("orders", "S"),
         "build_delta_inline": _rows("orders", "IUD"),
-        "build_delta_link": _rows("conversations", "IUD", link=True),
+        "build_delta_link": _rows("conversations", "IUD", link=tuple(POINTER_ONE)),
+        "build_delta_link_default": _rows("conversations", "IUD", link=("export_date",)),
+        "build_delta_reordered": _rows("orders", "IUD"),
+        "build_delta_narrow_first": _rows("orders", "IUD"),
+        "build_delta_fact": _rows("orders", "IUD", fact=True),
+        "build_delta_buckets": _rows("customer", "IUD"),
+        "build_delta_keep_first": _rows(
+            "lineitem", "IUD", days=(_deduped(), _deduped(lineitem.next_day_sql()))
+        ),
+        "build_delta_nulls": _rows(
+            "customer",
+            "IUD",
+            days=(nulled_sql("SELECT * FROM customer"), nulled_sql(customer.next_day_sql())),
+        ),
+        "project_payload_metaex": _stamped(customer, ", ".join(customer.columns)),
         "run_batch": _batch(),
         "replay_days": _replay(),
         "duplicate_keys": (

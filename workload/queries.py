@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -14,7 +15,7 @@ from changecapture import columns as C
 from changecapture.functions.encoding import encode
 from changecapture.functions.hashing import digest
 from changecapture.session import work_database, work_folder
-from workload.snapshots import SOURCES, today, tomorrow
+from workload.snapshots import SOURCES, nulled, today, tomorrow
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,8 +23,8 @@ QUERIES: dict[str, Query] = {}
 FIRST, SECOND, THIRD = "job-0", "job-1", "job-2"
 DAY_ONE, DAY_TWO = "2024-01-01", "2024-01-02"
 POINTER_TYPES = T.StructType([T.StructField(n, T.IntegerType()) for n in ("yy", "mn", "dy")])
-POINTER_ONE = {"yy": 2020, "mn": 12, "dy": 4}
-POINTER_TWO = {"yy": 2020, "mn": 12, "dy": 5}
+POINTER_ONE = {"yy": 2024, "mn": 1, "dy": 30}
+POINTER_TWO = {"yy": 2024, "mn": 1, "dy": 31}
 
 
 def query(function: Query) -> Query:
@@ -91,8 +92,9 @@ def _landed_events(spark, sf_dir):
     )
     events.hint("rebalance", "export_date").write.partitionBy("export_date").parquet(root)
     cc.create_landing(spark, table, events.drop("export_date").schema, root)
-    # one row per calendar day
-    days = [r[0] for r in events.select("export_date").distinct().sort("export_date").collect()]
+    # the directories just written; no row is read again
+    files = spark.read.parquet(root).inputFiles()
+    days = sorted({re.search(r"export_date=([^/]+)/", f)[1] for f in files})
     return table, [({"export_date": d}, f"{root}/export_date={d}") for d in days]
 
 
@@ -192,12 +194,28 @@ def list_partitions(spark, sf_dir):
 # -- schema and catalog objects -------------------------------------------------------
 
 
+def _filled(created: T.StructType, loaded: DataFrame) -> DataFrame:
+    """Columns as the DDL made them, and how many rows of a first load have a value there."""
+    counts = loaded.agg(*[F.count(c).alias(c) for c in loaded.columns])
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("name"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            (F.col(f.name) if f.name in loaded.columns else F.lit(None).cast("bigint")).alias("filled"),
+        )
+        for i, f in enumerate(created.fields, 1)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 @query
 def create_mirror(spark, sf_dir):
     cfg = SOURCES["customer"].config(FIRST, f"{work_database(spark)}.customer")
     snapshot = today(spark, sf_dir, "customer")
     cc.create_mirror(spark, cfg, snapshot.schema)
-    return cc.build_delta(spark, cfg, snapshot).mirror
+    created = spark.table(cfg.mirror_name + "__init").schema
+    return _filled(created, cc.build_delta(spark, cfg, snapshot).mirror)
 
 
 @query
@@ -207,8 +225,8 @@ def create_link(spark, sf_dir):
         FIRST, table, partition_values=POINTER_ONE, **_link_settings()
     )
     cc.create_link(spark, cfg, spark.table(f"{table}_src").schema)
-    cc.build_delta(spark, cfg)
-    return spark.table(f"{table}_nklink")
+    created = spark.table(cfg.mirror_name + "__init").schema
+    return _filled(created, cc.build_delta(spark, cfg).mirror)
 
 
 @query
@@ -242,6 +260,12 @@ def project_hashable(spark, sf_dir):
     return cc.project(today(spark, sf_dir, "orders"), source.config(FIRST), "payload_hashex")
 
 
+@query
+def project_payload_metaex(spark, sf_dir):
+    rows = _classified(spark, sf_dir, "customer")
+    return cc.project(rows, SOURCES["customer"].config(FIRST), "payload_metaex")
+
+
 # -- projections and row transforms ---------------------------------------------------
 
 
@@ -261,7 +285,9 @@ def unwrap_fields(spark, sf_dir):
         ],
         F.struct(F.col(part.columns[-1]).alias("amount")).alias(part.columns[-1]),
     )
-    out = cc.unwrap(wrapped)
+    path = work_folder(spark)
+    cc.write_dataset(wrapped, path)
+    out = cc.unwrap(cc.read_snapshot(spark, path))
     return out.withColumn(part.columns[-1], F.col(part.columns[-1]).getField("amount"))
 
 
@@ -435,6 +461,69 @@ def build_delta_inline(spark, sf_dir):
     return cc.build_delta(spark, second, tomorrow(spark, sf_dir, "orders")).delta
 
 
+def _two_days(spark, name, days, **settings):
+    """Delta of the second of two runs."""
+    cfg = SOURCES[name].config(FIRST, f"{work_database(spark)}.{name}", **settings)
+    for job, day in zip((FIRST, SECOND), days, strict=True):
+        result = cc.build_delta(spark, replace(cfg, job_id=job), day)
+    return result.delta
+
+
+def _days(spark, sf_dir, name):
+    return today(spark, sf_dir, name), tomorrow(spark, sf_dir, name)
+
+
+@query
+def build_delta_reordered(spark, sf_dir):
+    first, second = _days(spark, sf_dir, "orders")
+    moved = [*second.columns[3:], *reversed(second.columns[:3])]
+    return _two_days(spark, "orders", (first, second.select(*moved)))
+
+
+@query
+def build_delta_narrow_first(spark, sf_dir):
+    return _two_days(spark, "orders", _days(spark, sf_dir, "orders"), narrow_first=True)
+
+
+@query
+def build_delta_fact(spark, sf_dir):
+    return _two_days(spark, "orders", _days(spark, sf_dir, "orders"), table_type="fact")
+
+
+@query
+def build_delta_buckets(spark, sf_dir):
+    return _two_days(spark, "customer", _days(spark, sf_dir, "customer"), buckets=8)
+
+
+@query
+def build_delta_keep_first(spark, sf_dir):
+    days = _days(spark, sf_dir, "lineitem")
+    return _two_days(
+        spark, "lineitem", days, on_duplicates="keep_first", dedupe_order="l_shipdate"
+    )
+
+
+@query
+def build_delta_nulls(spark, sf_dir):
+    days = [nulled(day) for day in _days(spark, sf_dir, "customer")]
+    return _two_days(spark, "customer", days)
+
+
+@query
+def build_delta_link_default(spark, sf_dir):
+    """The partition of each day is found by the job id alone."""
+    folder = work_folder(spark)
+    table, root = f"{work_database(spark, folder)}.talk", f"{folder}/talk_src"
+    days = _days(spark, sf_dir, "conversations")
+    cc.create_landing(spark, f"{table}_src", days[0].schema, root)
+    for job, day in zip((FIRST, SECOND), days, strict=True):
+        cc.add_partition(
+            spark, f"{table}_src", {"export_date": job}, cc.land_partition(day, root, job)
+        )
+        result = cc.build_delta(spark, SOURCES["conversations"].config(job, table, inline=False))
+    return result.delta
+
+
 @query
 def build_delta_link(spark, sf_dir):
     return _link_days(spark, sf_dir)[1].delta

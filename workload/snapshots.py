@@ -124,6 +124,8 @@ SOURCES = {
             "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount "
             "l_tax l_returnflag l_linestatus l_shipdate",
             "l_orderkey l_linenumber",
+            l_linenumber=_rekey("l_linenumber", "l_returnflag = 'R' AND l_discount < 0.02"),
+            l_linestatus=_mark("l_linestatus", "l_quantity < 5"),
         ),
         _source("events", "event_id ts user_id event_type value props", "event_id"),
         _source("documents", "doc_id text lang source n_chars", "doc_id"),
@@ -142,3 +144,21 @@ def tomorrow(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return today(spark, sf_dir, name).select(
         *[F.expr(source.edits.get(c, c)).alias(c) for c in source.columns]
     )
+
+
+# nulls for ``customer``: one key, and values of several rows
+NULLED = {
+    "c_custkey": "nullif(c_custkey, 7)",
+    "c_name": "CASE WHEN c_nationkey = 3 THEN NULL ELSE c_name END",
+    "c_mktsegment": "nullif(c_mktsegment, 'BUILDING')",
+}
+
+
+def nulled_sql(day: str) -> str:
+    """A day of ``customer`` with nulls in key and value columns."""
+    shown = [f"{NULLED[c]} AS {c}" if c in NULLED else c for c in SOURCES["customer"].columns]
+    return f"SELECT {', '.join(shown)} FROM ({day})"
+
+
+def nulled(day: DataFrame) -> DataFrame:
+    return day.select(*[F.expr(NULLED.get(c, c)).alias(c) for c in day.columns])
