@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from changecapture.llm.common import doc_key, without, written
 
 WINDOW = 8
-#: Tokens of a window that are no placeholders.
+#: Tokens of a window that are no placeholders; half of them in a shorter one.
 LITERALS = 4
 #: Share of an item's windows that a document must hold.
 COVERED = 0.5
@@ -66,7 +66,7 @@ class Templates:
             | (lower in UNITS) << 2
             | token[0].isupper() << 3
         )
-        if len(self.known) > 1_000_000:
+        if len(self.known) > 100_000:
             self.known.clear()
         self.known[token] = code, flags
         return code, flags
@@ -99,7 +99,7 @@ class Templates:
             h = (h ^ symbols[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(31)
         literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-        at = np.flatnonzero(literal[width : width + n] - literal[:n] >= min(self.literals, width))
+        at = np.flatnonzero(literal[width : width + n] - literal[:n] >= min(self.literals, (width + 1) // 2))
         return width, at, h[at].view(np.int64)
 
 
@@ -232,7 +232,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     the items of which it holds the ``covered`` share of windows or more, sorted, and the
     largest such share (0 if none). An item shorter than a window is one window; an item
     without words, like a null or empty one, is in no document. Null and empty documents
-    hold nothing. Rows that repeat an id and a text get the same result; items that repeat
+    hold nothing. An item without an id counts, but is not listed. Rows that repeat an id and a text get the same result; items that repeat
     are items of their own. Null ids are ids. Other columns are ignored; an empty table on
     either side leaves nothing to find.
     """

@@ -43,7 +43,7 @@ class Words:
         self.known: dict[str, int] = {}
 
     def _code(self, word: str) -> int:
-        if len(self.known) > 1_000_000:
+        if len(self.known) > 100_000:
             self.known.clear()
         code = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
         self.known[word] = code

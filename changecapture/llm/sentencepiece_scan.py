@@ -33,6 +33,8 @@ BLANK = "▁"
 FRESH = (-2, 0)  # nothing lies across the cut
 UNKNOWN = -1
 NEVER = 1 << 60
+#: Words, and pairs of pieces, that a task remembers.
+REMEMBERED = 400_000
 
 
 @dataclass
@@ -141,7 +143,7 @@ class Coder:
                         r = rank.get(a + b)
                         if r is not None and r < dies_a and r <= dies_b:
                             known = False
-            if len(self.apart) > 1_000_000:
+            if len(self.apart) > REMEMBERED:
                 self.apart.clear()
             self.apart[key] = known
         return known
@@ -220,7 +222,7 @@ class Coder:
             run = len(block) - len(core)
             core = BLANK + core if run else core
             done = self._opened(max(run - 1, 0), self.path(core, 0, None, len(core)))
-        if len(self.words) > 1_000_000:
+        if len(self.words) > REMEMBERED:
             self.words.clear()
         self.words[block] = found = tuple(done)
         return found

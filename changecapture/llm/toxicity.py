@@ -199,7 +199,7 @@ class Counted:
     def __call__(self, text: str) -> tuple[int, int, int]:
         lower = text.lower()
         words = set(WORD.findall(lower))
-        if len(self.seen) > 2_000_000:
+        if len(self.seen) > 200_000:
             self.seen.clear()
         new = words - self.seen
         self.seen |= new

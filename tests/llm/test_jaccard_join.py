@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from changecapture.llm.components import connected_components
+from changecapture.llm.jaccard_join import (
+    WORD,
+    bands_for,
+    drop_near_duplicates,
+    near_duplicates,
+    overlaps,
+)
+
+SCHEMA = "doc_id long, text string, first int, band string"
+
+
+def grams(text):
+    words = WORD.findall((text or "").lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute(rows):
+    sets = [grams(t) for _, t in rows]
+    n = len(rows)
+    near = [[i != j and sets[i] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in range(n)] for i in range(n)]
+    label = list(range(n))
+    for _ in range(n):
+        label = [min([label[i]] + [label[j] for j in range(n) if near[i][j]]) for i in range(n)]
+    out = []
+    for i in range(n):
+        own = [rows[j][0] for j in range(n) if label[j] == label[i]]
+        known = [x for x in own if x is not None]
+        out.append((rows[i][0], min(known) if known else None, len(own), sum(map(bool, near[i]))))
+    return sorted(out, key=repr)
+
+
+def corpus():
+    rng = random.Random(5)
+    text = lambda n: [f"w{rng.randint(0, 400)}" for _ in range(n)]
+    rows = [(None, "just four words here"), (1, None), (2, ""), (3, "!!! ..."), (4, "Just, four WORDS here")]
+    i = 10
+    for _ in range(12):
+        base = text(rng.randint(60, 160))
+        for _ in range(rng.randint(1, 6)):
+            own = list(base)
+            for _ in range(rng.randint(0, 3)):
+                own[rng.randrange(len(own))] = "changed" + str(rng.randint(0, 5))
+            rows.append((i, " ".join(own)))
+            i += 1
+    # a chain: neighbours are similar, the ends are not
+    base = text(200)
+    for step in range(8):
+        rows.append((i, " ".join(f"c{k}" if k < 6 * step else w for k, w in enumerate(base))))
+        i += 1
+    return rows + [rows[8], (11, "other text of the same id " * 3), (None, "a null id of its own kind")]
+
+
+@pytest.mark.parametrize("block", [3, 256])
+def test_equals_brute_force(spark, block):
+    rows = corpus()
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA)
+    got = near_duplicates(df, block=block).select("doc_id", "class_id", "class_size", "n_links")
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
+
+
+def test_one_of_each_class_stays(spark):
+    rows = corpus()
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA)
+    kept = drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    classes = {(c, n) for _, c, n, _ in brute(rows) if n > 1}
+    alone = sum(n == 1 for _, _, n, _ in brute(rows))
+    assert kept.count() == len(classes) + alone
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert near_duplicates(df).collect() == [] and drop_near_duplicates(df).collect() == []
+
+
+def test_bands_reach_the_recall():
+    assert (1 - 0.8**5) ** bands_for(0.8, 0.9999, 5) <= 1e-4
+
+
+def test_overlaps():
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 9000, 700)).astype(np.uint64) for _ in range(5)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert overlaps(sets).tolist() == want
+    assert overlaps(sets[:2]).tolist() == [row[:2] for row in want[:2]]
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 101), (102, 101), (5, 5), (200, 100)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    got = {r.node: r.root for r in connected_components(df).collect()}
+    assert got == {**dict.fromkeys(range(61), 0), **dict.fromkeys([100, 101, 102, 200], 100)}

@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from changecapture.llm.language_id import fit, identify, kneser_ney, letter_table, letters
+from changecapture.llm.queries import op1_language_id
+
+SCHEMA = "doc_id long, text string, lang string, score string"
+
+
+def recursive(counts, gram, characters):
+    """Interpolated Kneser-Ney by its definition, on counts of the highest order."""
+    tables = [counts]
+    while len(next(iter(tables[0]))) > 1:
+        tables.insert(0, Counter(g[1:] for g in tables[0]))
+    p = 1 / characters
+    for n, table in enumerate(tables, 1):
+        own, context = gram[len(gram) - n :], gram[len(gram) - n : -1]
+        once = sum(c == 1 for c in table.values())
+        twice = sum(c == 2 for c in table.values())
+        d = min(max(once / (once + 2 * twice) if once else 0.5, 0.1), 0.9)
+        with_context = {g: c for g, c in table.items() if g[:-1] == context}
+        total = sum(with_context.values())
+        if total:
+            p = max(table.get(own, 0) - d, 0) / total + d * len(with_context) / total * p
+    return p
+
+
+def test_probabilities_equal_the_definition():
+    rng = random.Random(2)
+    counts = []
+    for letters_ in ("abcd", "cdef"):
+        text = "\0\0" + "".join(rng.choice(letters_) for _ in range(120))
+        counts.append(Counter(text[i : i + 3] for i in range(len(text) - 2)))
+    model = kneser_ney(counts, ["x", "y"], 3)
+    text = "\0\0abcdzefcaadd"
+    codes = np.array([ord(c) for c in text], np.uint32)
+    got = model.log_probabilities(codes, 2)
+    characters = len({g[-1] for c in counts for g in c}) + 1
+    for i in range(2, len(text)):
+        for k in range(2):
+            want = math.log(recursive(counts[k], text[i - 2 : i + 1], characters))
+            assert got[i - 2, k] == pytest.approx(want, abs=1e-4)
+
+
+def test_long_texts_are_scored_whole(monkeypatch):
+    counts = [Counter({"\0a": 1, "ab": 5, "ba": 4, "b ": 1}), Counter({"\0c": 1, "cd": 3, "dc": 2})]
+    model = kneser_ney(counts, ["x", "y"], 2)
+    texts = [np.array([ord(c) for c in t], np.uint32) for t in ("ab" * 500, "c", "", "dcdc ab")]
+    whole = model.sums(texts)
+    monkeypatch.setattr("changecapture.llm.language_id.PIECE", 7)
+    assert np.allclose(model.sums(texts), whole)
+    assert not whole[2].any()
+
+
+def test_letters():
+    table = letter_table()
+    text = lambda s: "".join(map(chr, letters(s, table)))
+    assert text("  Ab, c1É!") == "ab c é" and text("12 %") == "" and text("") == ""
+    assert text("漢字Ω") == "漢字ω"
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    words = {"en": "the and of to in is that", "de": "der die das und ist nicht ein", "fr": "le la les et des est une"}
+    rng = random.Random(4)
+    rows = [
+        (i, " ".join(rng.choice(w.split()) for _ in range(60)), lang, "s")
+        for lang, w in words.items()
+        for i in range(40)
+    ]
+    rows += [(900, None, "en", "s"), (901, "unlabelled text", None, "s")]
+    return fit(spark.createDataFrame(rows, SCHEMA))
+
+
+def test_predictions_and_odd_texts(spark, model):
+    rows = [
+        (1, "das ist nicht der und die", "zz", "s"), (2, "the and that is in", None, "s"),
+        (3, None, "en", "s"), (4, "", "en", "s"), (5, "1234 !!", "en", "s"),
+        (None, "les et des", "en", "s"), (7, "Ωμέγα ΩΩΩ " * 50, "en", "s"), (7, "Ωμέγα ΩΩΩ " * 50, "en", "s"),
+        (8, "the and of " * 200_000, "en", "s"),
+    ]
+    got = identify(spark.createDataFrame(rows, SCHEMA), model)
+    assert got.columns == ["doc_id", "text", "lang", "lang_pred", "score", "entropy", "accepted"]
+    got = sorted(got.collect(), key=lambda r: (r.doc_id is None, r.doc_id))
+    assert [r.lang_pred for r in got][:5] == ["de", "en", "und", "und", "und"]
+    assert [r.accepted for r in got] == [True, True, False, False, False, False, False, True, True]
+    assert got[-1].lang_pred == "fr" and got[-1].doc_id is None and got[-2].lang_pred == "en"
+    assert all(0 <= r.score <= 1 for r in got) and [r.score for r in got][2:5] == [0, 0, 0]
+
+
+def test_empty_tables(spark, model):
+    none = spark.createDataFrame([], SCHEMA)
+    assert identify(none, model).collect() == []
+    with pytest.raises(ValueError, match="no labelled"):
+        fit(none)
+
+
+def test_held_out_accuracy(spark, data):
+    got = op1_language_id(spark, data)
+    truth = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang")
+    both = got.join(truth, "doc_id").where("held_out AND lang_pred <> 'und'")
+    right, n = both.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
+    assert n > 100 and right > 0.98
+    assert got.where("NOT accepted AND lang_pred <> 'und'").count() == 0

@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from changecapture.llm.line_dedup import drop_repeated_lines
+
+SCHEMA = "doc_id long, text string, at string, lines int, removed_lines int"
+
+
+def brute(rows, min_words):
+    """Every window of lines with enough words; later copies go."""
+    docs, seen = [], {}
+    for key in sorted({(i is not None, i or 0, t or "") for i, t in rows}, key=lambda k: k[:2]):
+        lines = key[2].split("\n")
+        docs.append((key, lines, [n for n, line in enumerate(lines) if line.strip(" ")]))
+    gone = {}
+    for key, lines, numbers in docs:
+        content = [lines[n].strip(" ") for n in numbers]
+        for a in range(len(content)):
+            for b in range(a + 1, len(content) + 1):
+                if sum(len(c.split()) for c in content[a:b]) < min_words:
+                    continue
+                run = tuple(content[a:b])
+                if run in seen:
+                    gone.setdefault(key, set()).update(numbers[a:b])
+                else:
+                    seen[run] = key, a
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        cut = gone.get((i is not None, i or 0, t or ""), set())
+        left = "\n".join(x for n, x in enumerate(lines) if n not in cut)
+        out.append((i, None if t is None else left, sorted(cut)))
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, min_words):
+    df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows], SCHEMA)
+    got = drop_repeated_lines(df, min_words)
+    assert got.columns == ["doc_id", "text", "at", "lines", "removed_lines"]
+    return sorted([(r["doc_id"], r["text"], r["removed_lines"]) for r in got.collect()], key=repr)
+
+
+@pytest.mark.parametrize("min_words", [1, 3, 7])
+def test_equals_brute_force(spark, min_words):
+    rng = random.Random(min_words)
+    pool = ["one two", "a b c d", "long line of many words here", "x", "", "  ", " padded line "]
+    block = ["first of the block", "x", "", "third"]
+    rows = [(None, "x\none two"), (0, None), (1, ""), (2, "\n\n"), (3, "\n".join(["a b c d"] * 9))]
+    for i in range(4, 40):
+        lines = []
+        for _ in range(rng.randint(0, 6)):
+            lines += rng.choice([[rng.choice(pool)], block, [f"own {rng.random()} line"]])
+        rows.append((i, "\n".join(lines)))
+    rows += [rows[7], rows[7], (9, "same id\nas above and more words than before")]
+    assert run(spark, rows, min_words) == brute(rows, min_words)
+
+
+def test_empty_table(spark):
+    assert run(spark, [], 10) == []
+
+
+def test_very_many_copies(spark):
+    rows = [(i, f"own line {i}\n" + "a line that every document has, ten words at least") for i in range(600)]
+    got = run(spark, rows, 10)
+    assert sum(bool(r[2]) for r in got) == 599 and [r for r in got if r[0] == 0][0][2] == []
+
+
+def test_bad_threshold(spark):
+    with pytest.raises(ValueError):
+        run(spark, [], 0)

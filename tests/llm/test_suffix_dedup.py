@@ -27,10 +27,10 @@ def brute(texts, length):
     return out
 
 
-def run(spark, texts, length, seed, ids=None):
+def run(spark, texts, length, seed, ids=None, together=32):
     ids = ids or list(range(len(texts)))
     rows = [(i, t, 1, "x") for i, t in zip(ids, texts, strict=True)]
-    got = drop_repeated_bytes(spark.createDataFrame(rows, SCHEMA), length, seed).collect()
+    got = drop_repeated_bytes(spark.createDataFrame(rows, SCHEMA), length, seed, together).collect()
     return [
         (r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest())
         for r in got
@@ -51,10 +51,10 @@ def corpus(seed):
     return docs + [docs[8]] * 3
 
 
-@pytest.mark.parametrize("length, seed", [(40, 13), (25, 25), (30, 1)])
-def test_equals_brute_force(spark, length, seed):
+@pytest.mark.parametrize("length, seed, together", [(40, 13, 4096), (40, 13, 2), (25, 25, 8), (30, 1, 4096)])
+def test_equals_brute_force(spark, length, seed, together):
     texts = corpus(length)
-    got = run(spark, texts, length, seed)
+    got = run(spark, texts, length, seed, together=together)
     assert sorted(got) == sorted((i, *x) for i, x in enumerate(brute(texts, length)))
     assert any(n for _, _, n, _, _ in got) and any(k > 1 for *_, k, _ in got)
 
