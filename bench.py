@@ -2,10 +2,14 @@
 
 BENCH_SF_DIR   data (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
-BENCH_QUERIES  comma-separated query names (default: the headline queries)
+BENCH_QUERIES  comma-separated query names (default: the headline queries and the runs below)
+BENCH_ROWS     rows of the made-up table of these runs (default 1,000,000)
 
 Every query runs once to warm up and then BENCH_RUNS times (default 2); the median is
 reported. Shuffle bytes come from Spark's event log.
+
+Besides, the next day of a made-up table with wide rows, of which 3% change, is run three ways:
+plain, with ``narrow_first``, and with ``buckets``.
 """
 
 from __future__ import annotations
@@ -16,13 +20,16 @@ import statistics
 import sys
 import tempfile
 import time
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from changecapture.session import SETTINGS  # noqa: E402
+from changecapture import TableConfig, build_delta  # noqa: E402
+from changecapture.session import SETTINGS, drop_work_databases, work_database  # noqa: E402
 from workload.queries import QUERIES  # noqa: E402
 
 # headline query -> the table its rows are counted in
@@ -43,12 +50,36 @@ HEADLINE = {
 }
 
 
+RUNS = {"wide_plain": {}, "wide_narrow_first": {"narrow_first": True}, "wide_buckets": {"buckets": 8}}
+
+
+def wide_day(spark: SparkSession, rows: int, day: int):
+    """Ten columns of text a row; a day rewrites every 33rd row."""
+    text = [F.md5(F.concat_ws("-", "id", F.lit(i))).alias(f"c{i}") for i in range(9)]
+    changed = F.when(F.col("id") % 33 == day % 33, F.lit(day)).otherwise(0)
+    return spark.range(rows).select("id", *text, changed.alias("mark"))
+
+
+def run_wide(spark: SparkSession, name: str, rows: int, days: int) -> float:
+    """Median seconds of the days after the first load."""
+    cfg = TableConfig(f"{work_database(spark)}.{name}", "id", job_id="d0", **RUNS[name])
+    build_delta(spark, cfg, wide_day(spark, rows, 0))
+    times = []
+    for day in range(1, days + 1):
+        start = time.perf_counter()
+        build_delta(spark, replace(cfg, job_id=f"d{day}"), wide_day(spark, rows, day))
+        times.append(time.perf_counter() - start)
+    return statistics.median(times)
+
+
 def session(cpus: str, log_dir: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("bench")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = (
         builder.config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.checkpoint.dir", f"{log_dir}-shared")
+        .config("spark.sql.warehouse.dir", f"{log_dir}-warehouse")
         .config("spark.driver.memory", "12g")
         .config("spark.eventLog.enabled", "true")
         .config("spark.eventLog.compress", "false")
@@ -87,11 +118,17 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
-    names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
+    names = [n for n in os.environ.get("BENCH_QUERIES", ",".join([*HEADLINE, *RUNS])).split(",") if n]
     log_dir = tempfile.mkdtemp(prefix="bench-log-")
     spark = session(cpus, log_dir)
     seconds, rows, spans = {}, {}, {}
     for name in names:
+        if name in RUNS:
+            started = time.time()
+            size = int(os.environ.get("BENCH_ROWS", "1000000"))
+            seconds[name] = round(run_wide(spark, name, size, runs), 3)
+            rows[name], spans[name] = size, (started, time.time())
+            continue
         run_once(spark, name, sf_dir)
         times = []
         for _ in range(runs):
@@ -101,6 +138,7 @@ def main() -> None:
         seconds[name] = round(statistics.median(times), 3)
         if name in HEADLINE:
             rows[name] = spark.read.parquet(f"{sf_dir}/{HEADLINE[name]}.parquet").count()
+    drop_work_databases(spark)
     spark.stop()
     print(
         json.dumps(

@@ -206,9 +206,11 @@ def _columns(source: Source, names) -> str:
     return f"SELECT {', '.join(names)} FROM {source.name}"
 
 
-def _deduped(day: str = "SELECT * FROM lineitem") -> str:
+def _deduped(day: str = "SELECT * FROM lineitem", hashed: bool = False) -> str:
+    """First row of each key; in a hashed snapshot the value hash is the first tie-breaker."""
     source = SOURCES["lineitem"]
     rest = [c for c in source.columns if c not in source.keys and c != "l_shipdate"]
+    rest = [_value(source)] if hashed else rest
     return (
         f"SELECT {', '.join(source.columns)} FROM (SELECT *, row_number() OVER "
         f"(PARTITION BY {', '.join(source.keys)} ORDER BY l_shipdate, {', '.join(rest)}) AS rn "
@@ -315,7 +317,9 @@ def oracle_sql() -> dict[str, str]:
         "build_delta_fact": _rows("orders", "IUD", fact=True),
         "build_delta_buckets": _rows("customer", "IUD"),
         "build_delta_keep_first": _rows(
-            "lineitem", "IUD", days=(_deduped(), _deduped(lineitem.next_day_sql()))
+            "lineitem",
+            "IUD",
+            days=(_deduped(hashed=True), _deduped(lineitem.next_day_sql(), hashed=True)),
         ),
         "build_delta_nulls": _rows(
             "customer",
