@@ -49,9 +49,10 @@ def test_stages(spark, docs, tmp_path):
         after.append({(r.doc_id): r for r in given.collect()})
     first, lines, near, clean = after
     assert set(first) == {*range(1, 31), 40, 41, 45, 46, 60, None}
-    assert set(lines) == set(first) - {45}
+    # nothing is left of an exact copy, and of a document of one copied line
+    assert set(lines) == set(first) - {40, 45}
     assert "\n" in lines[3].text and lines[4].text == document(4) and lines[4].n_chars == len(document(4))
-    assert set(near) == set(lines) - {40, 41}
+    assert set(near) == set(lines) - {41}
     assert set(clean) == set(near) - {60}
     ids = {r.doc_id: r.ids for r in corpus_pipeline.STAGES[-1][1](spark, given, str(tmp_path)).collect()}
     library = sentencepiece.SentencePieceProcessor(model_file=SENTENCEPIECE_MODEL)
