@@ -24,7 +24,7 @@ from changecapture import (
 )
 from changecapture.config import version_name
 
-SCHEMA = "ID int, T1 string, T2 string, created string"
+SCHEMA = "num int, part string, state string, created string"
 PARTS = T.StructType([T.StructField(n, T.IntegerType()) for n in ("yy", "mn", "dy")])
 
 
@@ -44,7 +44,7 @@ def land(spark, table, folder, day, rows):
 def settings(table, day, **more):
     return TableConfig(
         table,
-        "ID,T1",
+        "num,part",
         exclusions="created,updated",
         partition_columns="yy,mn,dy",
         partition_values={"yy": 2024, "mn": 3, "dy": day},
@@ -69,15 +69,15 @@ def test_pointers_follow_the_current_version(spark, table, folder, table_type):
         result = build_delta(spark, settings(table, day, table_type=table_type))
         counts[day] = tuple(result.counts[a] for a in "IUDS")
         if day == 6:
-            shown = sorted((r.ID, r.T2, r.created, r.dy) for r in spark.table(table).collect())
+            shown = sorted((r.num, r.state, r.created, r.dy) for r in spark.table(table).collect())
             # row 1 and 4 changed in an excluded column only: their old version stays current
             assert shown == [(1, "x", "old", 5), (2, "y", "new", 6), (4, "x", "old", 5),
                              (5, "x", "new", 6)]
     assert counts == {5: (4, 0, 0, 0), 6: (1, 1, 1, 2), 7: (1, 1, 1, 2)}
-    shown = sorted((r.ID, r.T1, r.T2, r.dy) for r in spark.table(table).collect())
+    shown = sorted((r.num, r.part, r.state, r.dy) for r in spark.table(table).collect())
     assert shown == [(1, "a", "z", 7), (2, "b", "y", 6), (3, "c", "x", 7), (4, None, "x", 5)]
     deleted = spark.table(f"{table}_delta").where("DWSACT = 'D'").collect()
-    assert sorted((r.ID, r.DWSJOB, r.yy, r.mn, r.dy) for r in deleted) == [
+    assert sorted((r.num, r.DWSJOB, r.yy, r.mn, r.dy) for r in deleted) == [
         (3, "day6", 2024, 3, 5), (5, "day7", 2024, 3, 6),
     ]
 
@@ -89,14 +89,14 @@ def test_link_columns(spark, table, folder):
     assert text.count(";") == 2 and "<=>" in text
     link = spark.table(f"{table}_nklink")
     lineage = ["NK", "DWSJOB", "DWSUNIACT", "DWSARCHIVE", "DWSKEYHASH", "DWSVALHASH"]
-    assert link.columns == [*lineage, "ID", "T1", "yy", "mn", "dy"]
+    assert link.columns == [*lineage, "num", "part", "yy", "mn", "dy"]
     assert [f.dataType.simpleString() for f in link.schema.fields[-5:]] == [
         "int", "string", "int", "int", "int",
     ]
-    assert spark.table(table).columns == [*lineage, "ID", "T1", "T2", "created", "yy", "mn", "dy"]
+    assert spark.table(table).columns == [*lineage, "num", "part", "state", "created", "yy", "mn", "dy"]
     assert build_delta(spark, cfg).delta.columns == [
         "NK", "DWSUNIACT", "DWSARCHIVE", "DWSACT", "DWSKEYHASH", "DWSVALHASH",
-        "ID", "T1", "yy", "mn", "dy", "DWSJOB",
+        "num", "part", "yy", "mn", "dy", "DWSJOB",
     ]
 
 

@@ -9,24 +9,24 @@ from pyspark.sql import functions as F
 
 from changecapture import TableConfig, build_delta, replay
 
-SCHEMA = "ID int, T1 string, T2 string, T3 string"
+SCHEMA = "cust int, city string, mail string, note string"
 
 
 def row(i, **changes):
-    return {"ID": i, "T1": f"T{i}1", "T2": f"T{i}2", "T3": f"T{i}3", **changes}
+    return {"cust": i, "city": f"city{i}", "mail": f"mail{i}", "note": f"note{i}", **changes}
 
 
 DAYS = {
     "d1": [row(i) for i in (1, 2, 3, 4)],
     "d2": [row(i) for i in (1, 2, 3, 4, 5)],
-    "d3": [row(1), row(2, T1="T2U"), row(3, T2="T3U"), row(4), row(5)],
-    "d4": [row(1), row(3, T2="T3U"), row(4), row(5)],
+    "d3": [row(1), row(2, city="moved"), row(3, mail="edited"), row(4), row(5)],
+    "d4": [row(1), row(3, mail="edited"), row(4), row(5)],
     "d5": [row(i) for i in (1, 2, 3, 4, 5)],
-    "d6": [row(2, T1="T2U"), row(4), row(5, T3="T3U"), row(6)],
+    "d6": [row(2, city="moved"), row(4), row(5, note="edited"), row(6)],
 }
 
 # day -> label -> ids
-BY_ID = {
+BY_KEY = {
     "d1": {"I": [1, 2, 3, 4]},
     "d2": {"I": [5], "S": [1, 2, 3, 4]},
     "d3": {"U": [2, 3], "S": [1, 4, 5]},
@@ -34,27 +34,27 @@ BY_ID = {
     "d5": {"I": [2], "U": [3], "S": [1, 4, 5]},
     "d6": {"D": [1, 3], "U": [2, 5], "I": [6], "S": [4]},
 }
-BY_ID_T1 = {
+BY_BOTH = {
     "d1": {"I": [1, 2, 3, 4]},
     "d2": {"I": [5], "S": [1, 2, 3, 4]},
-    "d3": {"D": [(2, "T21")], "I": [(2, "T2U")], "U": [3], "S": [1, 4, 5]},
-    "d4": {"D": [(2, "T2U")], "S": [1, 3, 4, 5]},
-    "d5": {"I": [(2, "T21")], "U": [3], "S": [1, 4, 5]},
-    "d6": {"D": [1, (2, "T21"), 3], "I": [(2, "T2U"), 6], "U": [5], "S": [4]},
+    "d3": {"D": [(2, "city2")], "I": [(2, "moved")], "U": [3], "S": [1, 4, 5]},
+    "d4": {"D": [(2, "moved")], "S": [1, 3, 4, 5]},
+    "d5": {"I": [(2, "city2")], "U": [3], "S": [1, 4, 5]},
+    "d6": {"D": [1, (2, "city2"), 3], "I": [(2, "moved"), 6], "U": [5], "S": [4]},
 }
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(r["ID"], r["T1"], r["T2"], r["T3"]) for r in rows], SCHEMA)
+    return spark.createDataFrame([(r["cust"], r["city"], r["mail"], r["note"]) for r in rows], SCHEMA)
 
 
 def labels(delta, mirror_before, mirror_after):
-    """Label -> (id, T1) of a run; stationary rows are in the mirror and not in the delta."""
+    """Label -> (id, city) of a run; stationary rows are in the mirror and not in the delta."""
     out = {}
     changed = set()
     for r in delta.collect():
-        out.setdefault(r.DWSACT, []).append((r.ID, r.T1))
-        changed.add((r.ID, r.T1))
+        out.setdefault(r.DWSACT, []).append((r.cust, r.city))
+        changed.add((r.cust, r.city))
     still = [k for k in mirror_after if k not in changed]
     if still:
         out["S"] = still
@@ -63,13 +63,13 @@ def labels(delta, mirror_before, mirror_after):
 
 def wanted(expected, day):
     """Ids of the tables above stand for the row as it is in that day's or the last snapshot."""
-    known = {r["ID"]: r["T1"] for d in sorted(DAYS) if d < day for r in DAYS[d]}
-    known.update({r["ID"]: r["T1"] for r in DAYS[day]})
+    known = {r["cust"]: r["city"] for d in sorted(DAYS) if d < day for r in DAYS[d]}
+    known.update({r["cust"]: r["city"] for r in DAYS[day]})
     before = {}
     for d in sorted(DAYS):
         if d >= day:
             break
-        before = {r["ID"]: r["T1"] for r in DAYS[d]}
+        before = {r["cust"]: r["city"] for r in DAYS[d]}
     out = {}
     for act, ids in expected[day].items():
         source = before if act == "D" else known
@@ -79,31 +79,31 @@ def wanted(expected, day):
 
 @pytest.mark.parametrize(
     "keys,expected,table_type",
-    [("ID", BY_ID, "dim"), ("ID,T1", BY_ID_T1, "dim"), ("ID,T1", BY_ID_T1, "fact")],
+    [("cust", BY_KEY, "dim"), ("cust,city", BY_BOTH, "dim"), ("cust,city", BY_BOTH, "fact")],
 )
 def test_labels_day_by_day(spark, db, keys, expected, table_type):
     cfg = TableConfig(f"{db}.daily", keys, table_type=table_type)
     before = []
     for day, rows in DAYS.items():
         result = build_delta(spark, replace(cfg, job_id=day), frame(spark, rows))
-        after = [(r.ID, r.T1) for r in result.mirror.collect()]
+        after = [(r.cust, r.city) for r in result.mirror.collect()]
         assert labels(result.delta, before, after) == wanted(expected, day), day
         counts = {a: len(ids) for a, ids in expected[day].items()}
         assert {a: n for a, n in result.counts.items() if n} == counts
-        shown = result.mirror.select("ID", "T1", "T2", "T3")
+        shown = result.mirror.select("cust", "city", "mail", "note")
         assert shown.exceptAll(frame(spark, rows)).count() == 0
         assert len(after) == len(rows)
         before = after
 
 
 def test_surrogate_keys_stay_until_a_row_is_deleted(spark, db):
-    cfg = TableConfig(f"{db}.daily", "ID")
+    cfg = TableConfig(f"{db}.daily", "cust")
     days = [(d, frame(spark, rows)) for d, rows in DAYS.items()]
     replay(spark, cfg, days)
     history = spark.table(f"{db}.daily_delta").collect()
     keys = {}
     for r in history:
-        keys.setdefault(r.ID, {})[r.DWSJOB, r.DWSACT] = r.NK
+        keys.setdefault(r.cust, {})[r.DWSJOB, r.DWSACT] = r.NK
     assert len(set(keys[3].values())) == 1  # inserted, updated twice, deleted
     two = keys[2]
     assert two["d1", "I"] == two["d3", "U"] == two["d4", "D"]
@@ -113,12 +113,12 @@ def test_surrogate_keys_stay_until_a_row_is_deleted(spark, db):
 
 def test_lineage_columns(spark, db):
     for kind in ("dim", "fact"):
-        cfg = TableConfig(f"{db}.{kind}", "ID", table_type=kind)
+        cfg = TableConfig(f"{db}.{kind}", "cust", table_type=kind)
         results = replay(spark, cfg, [(d, frame(spark, DAYS[d])) for d in ("d1", "d3", "d4")])
         delta = spark.table(cfg.delta_name)
         flags = {(r.DWSACT, r.DWSARCHIVE) for r in delta.collect()}
         assert flags == {("I", "N"), ("U", "N"), ("D", "Y")}
-        mirror = {r.ID: r for r in results[-1].mirror.collect()}
+        mirror = {r.cust: r for r in results[-1].mirror.collect()}
         assert "DWSACT" not in results[-1].mirror.columns
         if kind == "dim":
             # a dimension row carries the last job, whatever happened to it
@@ -132,7 +132,7 @@ def test_lineage_columns(spark, db):
 
 
 def test_empty_snapshot_deletes_all_and_the_next_day_inserts_all(spark, db):
-    cfg = TableConfig(f"{db}.daily", "ID")
+    cfg = TableConfig(f"{db}.daily", "cust")
     days = [
         ("d1", frame(spark, DAYS["d1"])),
         ("none", frame(spark, DAYS["d1"]).where(F.lit(False))),
