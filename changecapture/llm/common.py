@@ -15,7 +15,18 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: lineage ends there and survives lost executors."""
     path = f"{work_folder(df.sparkSession)}/{uuid.uuid4().hex[:8]}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete ``written`` tables once all that was derived from them is written itself."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.written_path)
+        conf = table.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path.getFileSystem(conf).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

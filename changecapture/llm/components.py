@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changecapture.llm.common import written
+from changecapture.llm.common import discard, written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -33,6 +33,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
+        discard(edges)
         # small star: a node and its smaller neighbours to the least of these
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         edges = written(
@@ -42,6 +43,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
+        discard(large)
         parents = edges.select(F.col("v").alias("p")).distinct()
         inner = edges.join(parents, edges["u"] == parents["p"], "left_semi")
         many = edges.groupBy("u").count().where("count > 1")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changecapture.llm.common import name128, written
+from changecapture.llm.common import discard, name128, written
 
 MIN_WORDS = 10
 
@@ -136,6 +136,7 @@ def repeated_runs(
     # aggregates are tables of their own, so that a very frequent name can be split in the join
     often = written(lines.groupBy("name").count().where("count > 1").select("name"))
     found = written(_named(lines.join(often, "name", "left_semi"), min_words))
+    discard(often)
     first = written(
         found.groupBy("name")
         .agg(F.min(F.struct("_id", "_text", "at")).alias("first"), F.count(F.lit(1)).alias("n"))

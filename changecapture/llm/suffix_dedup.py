@@ -9,10 +9,14 @@ equal windows have their anchor at the same offset, and about one byte in sevent
 
 Ranks are grown as in prefix doubling, and a position drops out as soon as its rank is
 unique: first the seed, then the seed with its whole surroundings (all windows that may
-have this anchor), then, where these differ between positions of equal seeds, the windows
-of ever narrower ranges of offsets, whose common bytes grow to ``length``. Ranks are 128-bit
-digests, so a round counts names by hash and needs no global sort. Equal surroundings are
-one class with a count: a passage in a third of all documents is one row after the first.
+have this anchor). Ranks are 128-bit digests, so a round counts names by hash and needs no
+global sort. Equal surroundings are one class with a count: a passage in a third of all
+documents is one row after the first.
+
+Where the surroundings of a seed differ, its windows are ranked on, over ever narrower ranges
+of offsets: a range whose common bytes are unique drops out, and one whose whole bytes
+repeat is settled. The classes of a seed meet in one task while they are few. A seed of more
+than ``TOGETHER`` classes goes through rounds that count the names of such ranges by hash.
 
 Texts travel as compressed bytes, once to fetch the surroundings of classes that need them
 and once to be cut.
@@ -21,19 +25,22 @@ and once to be cut.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changecapture.llm.common import doc_key, packed, same_doc, written
+from changecapture.llm.common import discard, doc_key, packed, same_doc, shards, written
 
 LENGTH = 200
 SEED = 64
 #: Parts of a range of offsets that a round tells apart.
 FAN = 12
 BLOCK = 1 << 20
+#: Classes of a seed that one task compares; and that it compares in pairs.
+TOGETHER, PAIRS = 4096, 6
 
 
 class Anchors:
@@ -153,6 +160,9 @@ def _surroundings(length: int, seed: int):
     return run
 
 
+CLASS = ("seed", "classes", "n", "o1", "o2", "d_lo", "d_hi")
+
+
 def _contents(length: int):
     """Bytes around the representatives of classes."""
 
@@ -165,19 +175,106 @@ def _contents(length: int):
             packed = batch.column("packed")
             for row, wanted in enumerate(batch.column("wanted").to_pylist()):
                 data = unpack.decompress(packed[row].as_py())
-                out += [
-                    (w["o1"], w["o2"], w["d_lo"], w["d_hi"], data[w["at"] - w["d_hi"] : w["at"] - w["d_lo"] + length])
-                    for w in wanted
-                ]
+                for w in wanted:
+                    w["content"] = data[w["at"] - w["d_hi"] : w["at"] - w["d_lo"] + length]
+                out += wanted
             if out:
-                names = ("o1", "o2", "d_lo", "d_hi", "content")
-                kinds = ("int64", "int64", "int32", "int32", "binary")
-                values = zip(*out, strict=True)
-                yield _batch(dict(zip(names, zip(values, kinds, strict=True), strict=True)))
+                kinds = dict.fromkeys(CLASS, "int64") | {"d_lo": "int32", "d_hi": "int32", "content": "binary"}
+                yield _batch({name: ([w[name] for w in out], kind) for name, kind in kinds.items()})
+
+    return run
+
+
+def equal_windows(one: dict, two: dict, length: int) -> tuple[int, int]:
+    """Offsets (first, last) of the windows that two surroundings share; first > last if none."""
+    a, b = one["d_hi"], two["d_hi"]
+    left = min(a, b)
+    x = int.from_bytes(one["content"][a - left : a], "little") if left else 0
+    y = int.from_bytes(two["content"][b - left : b], "little") if left else 0
+    # matching bytes before the anchor, from the anchor back: the highest bytes
+    left -= ((x ^ y).bit_length() + 7) // 8
+    ahead_one, ahead_two = one["content"][a:], two["content"][b:]
+    right = min(len(ahead_one), len(ahead_two))
+    x = int.from_bytes(ahead_one[:right], "big")
+    y = int.from_bytes(ahead_two[:right], "big")
+    right -= ((x ^ y).bit_length() + 7) // 8
+    first = max(one["d_lo"], two["d_lo"], length - right)
+    return first, min(a, b, left)
+
+
+def shared_windows(classes: list[dict], length: int) -> Iterator[tuple[dict, int, int]]:
+    """Ranges of offsets whose windows several classes have, by halving ranges of offsets."""
+
+    def groups(members, key) -> list[list]:
+        found: dict = {}
+        for c in members:
+            found.setdefault(key(c), []).append(c)
+        return [g for g in found.values() if len(g) > 1]
+
+    def whole(c, lo: int, hi: int) -> tuple:
+        lo, hi = max(lo, c["d_lo"]), min(hi, c["d_hi"])
+        return lo, hi, c["content"][c["d_hi"] - hi : c["d_hi"] - lo + length]
+
+    todo = [(0, max(c["d_hi"] for c in classes), classes)]
+    while todo:
+        lo, hi, members = todo.pop()
+        rest = {id(c): c for c in members}
+        for same in groups(members, lambda c: whole(c, lo, hi)):
+            for c in same:
+                yield c, *whole(c, lo, hi)[:2]
+            for c in same[1:]:  # one of them stands for all from here on
+                del rest[id(c)]
+        if lo == hi or len(rest) < 2:
+            continue
+        middle = (lo + hi) // 2
+        for a, b in ((lo, middle), (middle + 1, hi)):
+            here = [c for c in rest.values() if c["d_lo"] <= b and c["d_hi"] >= a]
+            # the bytes that all windows of the range have in common
+            todo += [
+                (a, b, same)
+                for same in groups(here, lambda c: c["content"][c["d_hi"] - a : c["d_hi"] - b + length])
+            ]
+
+
+def _compared(length: int):
+    """Ranges of offsets whose windows another class of the same seed has too."""
+
+    def solve(group: list[dict], out: list) -> None:
+        classes = list({(c["o1"], c["o2"]): c for c in group}.values())
+        if len(classes) > PAIRS:
+            for c, first, last in shared_windows(classes, length):
+                out.append((c["o1"], c["o2"], first, last))
+            return
+        for i, one in enumerate(classes):
+            for two in classes[:i]:
+                first, last = equal_windows(one, two, length)
+                if first <= last:
+                    out += [(c["o1"], c["o2"], first, last) for c in (one, two)]
+
+    def run(batches):
+        group: list[dict] = []
+        for batch in batches:
+            out: list = []
+            for row in batch.to_pylist():
+                if group and group[0]["seed"] != row["seed"]:
+                    solve(group, out)
+                    group = []
+                group.append(row)
+            if out:
+                yield _ranges(out)
+        out = []
+        solve(group, out)
+        if out:
+            yield _ranges(out)
 
     return run
 
 
+def _ranges(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"o1": "int64", "o2": "int64", "d_lo": "int32", "d_hi": "int32"}
+    return _batch(dict(zip(kinds, zip(zip(*rows, strict=True), kinds.values(), strict=True), strict=True)))
+
+
 def parts(lo: int, hi: int, fan: int = FAN) -> list[tuple[int, int]]:
     step = -(-(hi - lo + 1) // fan)
     return [(a, min(a + step - 1, hi)) for a in range(lo, hi + 1, step)]
@@ -248,45 +345,11 @@ def _cut(batches):
         )
 
 
-def repeated_spans(own: DataFrame, kind: str, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """Spans of repeated strings: ``_id, _text, lo, hi``. ``own``: columns of ``doc_key``."""
-    docs = own.select("_id", "_text", F.col("_content").cast("binary").alias("_bytes"))
-    count = F.count(F.lit(1))
-    # aggregates are written before they are joined: a very frequent name can then be split
-    often = written(
-        docs.mapInArrow(_seeds(length, seed), "seed long")
-        .groupBy("seed")
-        .agg(count.alias("n"))
-        .where("n > 1")
-        .select("seed")
-    )
-    anchors = docs.mapInArrow(
-        _surroundings(length, seed),
-        f"_id {kind}, _text int, at long, seed long, o1 long, o2 long, d_lo int, d_hi int",
-    )
-    anchors = written(anchors.join(often, "seed", "left_semi"))
-    classes = written(
-        anchors.groupBy("seed", "o1", "o2", "d_lo", "d_hi").agg(
-            count.alias("n"), F.min(F.struct("_id", "_text", "at")).alias("first")
-        )
-    )
-    # seeds with more than one surrounding: their windows have to be told apart
-    several = written(
-        classes.groupBy("seed").agg(count.alias("m")).where("m > 1").select("seed")
-    )
-    unsure = classes.join(several, "seed", "left_semi")
-    wanted = unsure.groupBy("first._id", "first._text").agg(
-        F.collect_list(F.struct("o1", "o2", "d_lo", "d_hi", "first.at")).alias("wanted")
-    )
-    contents = written(
-        # a document that occurs twice gives its surroundings once
-        same_doc(packed(own), wanted)
-        .select("packed", "wanted")
-        .mapInArrow(_contents(length), "o1 long, o2 long, d_lo int, d_hi int, content binary")
-        .dropDuplicates(["o1", "o2"])
-    )
-    covered = [classes.where("n > 1").select("o1", "o2", "d_lo", "d_hi")]
-    pending = unsure.select(
+def _rounds(contents: DataFrame, length: int, seed: int) -> list[DataFrame]:
+    """Windows that several classes of a seed share, for any number of classes."""
+    covered, count = [], F.count(F.lit(1))
+    contents = written(contents.select("o1", "o2", "n", "d_lo", "d_hi", "content"))
+    pending = contents.select(
         "o1", "o2", F.col("n").alias("weight"), F.lit(0).alias("lo"), F.lit(length - seed).alias("hi")
     )
     size = length - seed + 1
@@ -317,7 +380,7 @@ def repeated_spans(own: DataFrame, kind: str, length: int = LENGTH, seed: int =
             )
         )
         if size == 1:
-            break
+            return covered
         several = written(
             outer.groupBy("m1", "m2").agg(count.alias("m")).where("m > 1").select("m1", "m2")
         )
@@ -326,10 +389,67 @@ def repeated_spans(own: DataFrame, kind: str, length: int = LENGTH, seed: int =
             .join(several, ["m1", "m2"], "left_semi")
             .select("first.o1", "first.o2", "weight", "lo", "hi")
         )
+
+
+def repeated_spans(
+    own: DataFrame, kind: str, length: int = LENGTH, seed: int = SEED, together: int = TOGETHER
+) -> DataFrame:
+    """Spans of repeated strings: ``_id, _text, lo, hi``. ``own``: columns of ``doc_key``."""
+    docs = own.select("_id", "_text", F.col("_content").cast("binary").alias("_bytes"))
+    count = F.count(F.lit(1))
+    # aggregates are written before they are joined: a very frequent name can then be split
+    often = written(
+        docs.mapInArrow(_seeds(length, seed), "seed long")
+        .groupBy("seed")
+        .agg(count.alias("n"))
+        .where("n > 1")
+        .select("seed")
+    )
+    anchors = docs.mapInArrow(
+        _surroundings(length, seed),
+        f"_id {kind}, _text int, at long, seed long, o1 long, o2 long, d_lo int, d_hi int",
+    )
+    anchors = written(anchors.join(often, "seed", "left_semi"))
+    discard(often)
+    classes = written(
+        anchors.groupBy("seed", "o1", "o2", "d_lo", "d_hi").agg(
+            count.alias("n"), F.min(F.struct("_id", "_text", "at")).alias("first")
+        )
+    )
+    # seeds with more than one surrounding: their windows have to be told apart
+    several = written(
+        classes.groupBy("seed").agg(count.alias("classes")).where("classes > 1")
+    )
+    wanted = (
+        classes.join(several, "seed")
+        .groupBy("first._id", "first._text")
+        .agg(F.collect_list(F.struct(*CLASS, "first.at")).alias("wanted"))
+    )
+    contents = written(
+        same_doc(packed(own), wanted)
+        .select("packed", "wanted")
+        .mapInArrow(
+            _contents(length),
+            "seed long, classes long, n long, o1 long, o2 long, d_lo int, d_hi int, content binary",
+        )
+    )
+    span = "o1 long, o2 long, d_lo int, d_hi int"
+    few = (
+        contents.where(F.col("classes") <= together)
+        .repartition(shards(docs), "seed")
+        .sortWithinPartitions("seed")
+        .mapInArrow(_compared(length), span)
+    )
+    # a document that occurs twice gives its surroundings twice
+    many = contents.where(F.col("classes") > together).dropDuplicates(["o1", "o2"])
+    covered = [classes.where("n > 1").select("o1", "o2", "d_lo", "d_hi"), few]
+    if not many.isEmpty():
+        covered += _rounds(many, length, seed)
     ranges = covered[0]
     for more in covered[1:]:
         ranges = ranges.unionByName(more)
     ranges = written(ranges)
+    discard(classes, several, contents)
     return (
         anchors.select("_id", "_text", "at", "o1", "o2")
         .join(ranges, ["o1", "o2"])
@@ -346,6 +466,7 @@ def drop_repeated_bytes(
     docs: DataFrame,
     length: int = LENGTH,
     seed: int = SEED,
+    together: int = TOGETHER,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -362,7 +483,7 @@ def drop_repeated_bytes(
     own = docs.select(*doc_key(id_column, text_column))
     kind = own.schema["_id"].dataType.simpleString()
     spans = (
-        repeated_spans(own, kind, length, seed)
+        repeated_spans(own, kind, length, seed, together)
         .groupBy("_id", "_text")
         .agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     )
