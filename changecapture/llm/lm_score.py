@@ -18,11 +18,11 @@ n-grams of the block in that range, and their counts.
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +31,7 @@ from changecapture.llm.common import doc_key, packed, written
 ORDER = 3
 BACKOFF = 0.4
 #: Documents in a block, and distinct n-grams of blocks in a partition (expected numbers).
-BLOCK_DOCS = 8192
+BLOCK_DOCS = 2048
 PARTITION_GRAMS = 4_000_000
 WORD = re.compile(r"\w+")
 
@@ -45,7 +45,7 @@ class Words:
     def _code(self, word: str) -> int:
         if len(self.known) > 100_000:
             self.known.clear()
-        code = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+        code = xxhash.xxh3_64_intdigest(word)
         self.known[word] = code
         return code
 
@@ -122,6 +122,25 @@ def _edges(partitions: int) -> np.ndarray:
     return np.array([(i << 64) // partitions for i in range(partitions)], np.uint64)
 
 
+def _sorted(by_doc: list[list[np.ndarray]], n: int) -> tuple[np.ndarray, ...]:
+    """All n-grams of a block by hash, then document: hashes, their order, and where a new
+    n-gram and a new pair of n-gram and document begin."""
+    hashes = np.concatenate([g[n] for g in by_doc])
+    doc = np.repeat(np.arange(len(by_doc)), [len(g[n]) for g in by_doc])
+    order = np.argsort(hashes, kind="stable")
+    hashes, doc = hashes[order], doc[order]
+    gram = np.ones(len(hashes), bool)
+    gram[1:] = hashes[1:] != hashes[:-1]
+    pair = gram.copy()
+    pair[1:] |= doc[1:] != doc[:-1]
+    return hashes, order, gram, pair
+
+
+def _runs(new: np.ndarray) -> np.ndarray:
+    """Lengths of the runs that begin where ``new`` is true."""
+    return np.diff(np.append(np.flatnonzero(new), len(new)))
+
+
 def _asked(order: int, partitions: int):
     """A block's distinct n-grams by order and hash range, with the block's counts."""
 
@@ -130,7 +149,8 @@ def _asked(order: int, partitions: int):
         by_doc = [grams(words(t), order) for t in _texts(block["packed"])]
         key = block["block"].iloc[0]
         for n in range(order):
-            hashes, counts = np.unique(np.concatenate([g[n] for g in by_doc]), return_counts=True)
+            hashes, _, gram, _ = _sorted(by_doc, n)
+            hashes, counts = hashes[gram], _runs(gram)
             cuts = np.append(np.searchsorted(hashes, edges), len(hashes))
             for p in np.flatnonzero(np.diff(cuts)):
                 a, b = cuts[p], cuts[p + 1]
@@ -157,22 +177,19 @@ def _answered(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _scored(order: int, backoff: float, size: int):
     def run(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        words, known, totals = Words(), [], []
+        words, rest = Words(), []
         by_doc = [grams(words(t), order) for t in _texts(block["packed"])]
         answers = answers.sort_values(["order", "part"])
         for n in range(order):
-            own = np.unique(np.concatenate([g[n] for g in by_doc]))
             found = [_counts(x) for x in answers.loc[answers["order"] == n + 1, "totals"]]
-            known.append(own)
-            totals.append(np.concatenate(found) if found else np.empty(0, np.int64))
+            totals = np.concatenate([*found, np.empty(0, np.int64)])
+            _, at, gram, pair = _sorted(by_doc, n)
+            others = np.empty(len(at))
+            others[at] = np.repeat(totals, _runs(gram)) - np.repeat(_runs(pair), _runs(pair))
+            rest.append(np.split(others, np.cumsum([len(g[n]) for g in by_doc])[:-1]))
         out = []
-        for doc in by_doc:
-            counts = []
-            for n in range(order):
-                _, where, times = np.unique(doc[n], return_inverse=True, return_counts=True)
-                rest = totals[n][np.searchsorted(known[n], doc[n])] - times[where]
-                counts.append(rest.astype(np.float64))
-            logs = stupid_backoff(counts, size - len(doc[0]), backoff)
+        for i, doc in enumerate(by_doc):
+            logs = stupid_backoff([r[i] for r in rest], size - len(doc[0]), backoff)
             out.append((len(logs), float(logs.sum())))
         frame = block[["_id", "_text"]].copy()
         frame["n_words"] = [n for n, _ in out]
