@@ -13,11 +13,11 @@ the document windows that no item has. Beyond that number all windows go through
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +59,7 @@ class Templates:
     def _learn(self, token: str) -> tuple[int, int]:
         """Code of a token's lower case, and flags: end, number, unit, capital."""
         lower = token.lower()
-        code = int.from_bytes(hashlib.blake2b(lower.encode(), digest_size=8).digest(), "little")
+        code = xxhash.xxh3_64_intdigest(lower)
         flags = (
             (token in ENDS)
             | (token[0].isdigit() or lower in NUMBERS) << 1

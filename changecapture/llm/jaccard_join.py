@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changecapture.llm.common import doc_key, packed, same_doc, shards, without, written
+from changecapture.llm.common import discard, doc_key, packed, same_doc, shards, without, written
 from changecapture.llm.components import connected_components
 
 WORDS = 5
@@ -33,6 +34,8 @@ ROWS = 5
 #: Classes of a bucket in a block; a task compares two blocks at a time.
 BLOCK = 256
 WORD = re.compile(r"\w+")
+#: Words whose hashes a task remembers.
+KNOWN = 100_000
 
 
 def bands_for(similarity: float, recall: float, rows: int) -> int:
@@ -47,9 +50,9 @@ class Shingler:
         self.words, self.known = words, {}
 
     def _code(self, word: str) -> int:
-        if len(self.known) > 1_000_000:
+        if len(self.known) > KNOWN:
             self.known.clear()
-        code = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+        code = xxhash.xxh3_64_intdigest(word)
         self.known[word] = code
         return code
 
@@ -187,6 +190,7 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
         block = np.zeros((n, 4096), np.float32)
         block[owner[a:b], column[a:b] - start] = 1
         total += block @ block.T
+    np.fill_diagonal(total, [len(s) for s in sets])
     return total.astype(np.int64)
 
 
@@ -253,7 +257,9 @@ def near_duplicates(
     )
     full = signed.where("size > 0")
     classes = full.groupBy("o1", "o2").agg(
-        count.alias("copies"), F.min(F.struct("_id", "_text")).alias("first")
+        count.alias("copies"),
+        # ids before null ids
+        F.min(F.struct(F.col("_id").isNull().alias("null"), "_id", "_text")).alias("first"),
     )
     classes = written(classes)
     signatures = full.select("o1", "o2", "bands").dropDuplicates(["o1", "o2"])
@@ -296,6 +302,7 @@ def near_duplicates(
         .sortWithinPartitions(*KEYS)
         .mapInArrow(_verified(similarity), "o1 long, o2 long, links long, p1 long, p2 long")
     )
+    discard(crowded, needed, sets)
     roots = connected_components(
         links.select(F.struct("o1", "o2").alias("u"), F.struct(F.col("p1").alias("o1"), F.col("p2").alias("o2")).alias("v"))
     ).select("node.o1", "node.o2", F.col("root.o1").alias("r1"), F.col("root.o2").alias("r2"))
@@ -311,8 +318,9 @@ def near_duplicates(
     )
     named = written(known.groupBy("r1", "r2").agg(
         F.sum("copies").alias("class_size"),
-        F.min(F.struct(F.col("first._id").isNull().alias("null"), "first._id", "first._text")).alias("least"),
+        F.min("first").alias("least"),
     ))
+    discard(links, classes)
     known = written(
         known.join(named, ["r1", "r2"]).select("o1", "o2", "n_links", "class_size", "least")
     )
