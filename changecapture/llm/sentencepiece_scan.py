@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 from changecapture.llm.common import shards, written
 
 #: Characters of a chunk; shorter documents are encoded in one go.
-CHUNK = 16_384
+CHUNK = 65_536
 BLANK = "▁"
 FRESH = (-2, 0)  # nothing lies across the cut
 UNKNOWN = -1
 NEVER = 1 << 60
 #: Words, and pairs of pieces, that a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 @dataclass
@@ -428,6 +428,13 @@ def _cut(size: int, context: int):
     return run
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[str, str, str]]:
+    """Left context, body and right context, one row at a time: bodies are large."""
+    columns = [batch.column(c) for c in ("left", "body", "right")]
+    for row in range(batch.num_rows):
+        yield tuple(c[row].as_py() for c in columns)
+
+
 def _dump(state: tuple) -> str:
     return f"{state[1]},{'' if state == FRESH else state[0]}"
 
@@ -442,8 +449,8 @@ def _transfers(vocabulary):
         coder = Coder(Vocabulary(**vocabulary.value))
         for batch in batches:
             rows = []
-            for x in batch.to_pylist():
-                matrix = coder.transfer(x["left"], x["body"], x["right"])
+            for parts in _parts(batch):
+                matrix = coder.transfer(*parts)
                 rows.append([(_dump(s), _dump(e), w) for (s, e), w in matrix.items()])
             kind = pa.list_(pa.struct([("s", pa.string()), ("e", pa.string()), ("w", pa.int64())]))
             rows = [[{"s": s, "e": e, "w": w} for s, e, w in r] for r in rows]
@@ -467,9 +474,10 @@ def _traced(vocabulary):
     def run(batches):
         coder = Coder(Vocabulary(**vocabulary.value))
         for batch in batches:
+            states = batch.column("state").to_pylist(), batch.column("goal").to_pylist()
             ids = [
-                coder.trace(x["left"], x["body"], x["right"], _load(x["state"]), _load(x["goal"]))
-                for x in batch.to_pylist()
+                coder.trace(*parts, _load(state), _load(goal))
+                for parts, state, goal in zip(_parts(batch), *states, strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("_id", "_text", "no")), _lists(ids)],
@@ -513,6 +521,8 @@ def encode(
     )
     states = (
         cut.mapInArrow(_transfers(sent), f"{key}, matrix array<struct<s:string,e:string,w:bigint>>")
+        # the rows are small and their work is not: deal them out whatever their bytes
+        .repartition(shards(docs), "_id", "_text")
         .groupBy("_id", "_text")
         .applyInPandas(_scan, f"{key}, state string, goal string")
     )
