@@ -44,9 +44,9 @@ def shards(df: DataFrame) -> int:
 
 
 def doc_key(id_column: str, text_column: str) -> list[Column]:
-    """Identity of a document (its id and a hash of its text) and its text, null as empty."""
+    """Identity of a document (its id and a 128-bit name of its text) and its text, null as empty."""
     text = F.coalesce(F.col(text_column), F.lit(""))
-    return [F.col(id_column).alias("_id"), F.hash(text).alias("_text"), text.alias("_content")]
+    return [F.col(id_column).alias("_id"), name128(text).alias("_text"), text.alias("_content")]
 
 
 def _pack(batches):
@@ -63,19 +63,22 @@ def _pack(batches):
 
 def packed(own: DataFrame) -> DataFrame:
     """``_id, _text, packed`` of ``doc_key`` columns: texts as compressed bytes, to be shuffled."""
-    kind = own.schema["_id"].dataType.simpleString()
+    kind, name = (own.schema[c].dataType.simpleString() for c in ("_id", "_text"))
     content = F.col("_content").cast("binary").alias("_bytes")
     return own.select("_id", "_text", content).mapInArrow(
-        _pack, f"_id {kind}, _text int, packed binary"
+        _pack, f"_id {kind}, _text {name}, packed binary"
     )
 
 
-def without(docs: DataFrame, gone: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``docs`` but for those in ``gone`` (``_id, _text``); rows of one id and text are one."""
+def without(
+    docs: DataFrame, gone: DataFrame, id_column: str, text_column: str, once: bool = False
+) -> DataFrame:
+    """``docs`` but for those in ``gone`` (``_id, _text``); with ``once`` one row of an id and text."""
     key = doc_key(id_column, text_column)[:2]
     gone = gone.select(F.struct("_id", "_text").alias("_key"))
     rows = docs.select("*", F.struct(*key).alias("_key"))
-    return rows.join(gone, "_key", "left_anti").dropDuplicates(["_key"]).drop("_key")
+    kept = rows.join(gone, "_key", "left_anti")
+    return (kept.dropDuplicates(["_key"]) if once else kept).drop("_key")
 
 
 def same_doc(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:

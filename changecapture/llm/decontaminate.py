@@ -157,7 +157,7 @@ def _windows(window: int, literals: int, wanted, short: bool):
 
 def _schema(own: DataFrame) -> str:
     kind = own.schema["_id"].dataType.simpleString()
-    return f"_id {kind}, _text int, view int, at int, width int, hash long, slots array<string>"
+    return f"_id {kind}, _text binary, view int, at int, width int, hash long, slots array<string>"
 
 
 def matches(
@@ -254,7 +254,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without those that hold a benchmark item; repeated rows once."""
+    """``docs`` without those that hold a benchmark item; of the others every row stays."""
     gone = written(matches(docs, benchmark, **options)).select("_id", "_text").distinct()
     columns = (options.get("id_column", "doc_id"), options.get("text_column", "text"))
     return without(docs, gone, *columns)

@@ -252,7 +252,7 @@ def near_duplicates(
     signed = written(
         own.mapInArrow(
             _signatures(words, bands, rows),
-            f"_id {kind}, _text int, o1 long, o2 long, size int, bands array<long>",
+            f"_id {kind}, _text binary, o1 long, o2 long, size int, bands array<long>",
         )
     )
     full = signed.where("size > 0")
@@ -350,4 +350,4 @@ def drop_near_duplicates(
     gone = classes.where("NOT first").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text")
     )
-    return without(docs, gone, id_column, text_column)
+    return without(docs, gone, id_column, text_column, once=True)

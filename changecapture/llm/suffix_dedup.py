@@ -407,7 +407,7 @@ def repeated_spans(
     )
     anchors = docs.mapInArrow(
         _surroundings(length, seed),
-        f"_id {kind}, _text int, at long, seed long, o1 long, o2 long, d_lo int, d_hi int",
+        f"_id {kind}, _text binary, at long, seed long, o1 long, o2 long, d_lo int, d_hi int",
     )
     anchors = written(anchors.join(often, "seed", "left_semi"))
     discard(often)
