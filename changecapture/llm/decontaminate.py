@@ -1,11 +1,13 @@
 """Benchmark decontamination by template windows and slot consistency.
 
 Texts become templates: numbers, names (capitalised inside a sentence) and units (after a
-number) are typed placeholders, whose values are kept as slots. Windows of template tokens
+number) are typed placeholders, whose values are kept as slots; a run of names, or of number
+words, is one placeholder. Windows of template units
 are hash-joined with those of the benchmark, so a re-worded number or name does not hide a
 question. A document and an item are then compared along their diagonals: on one, each value
 of an item's slots must stand for one value throughout, or the match is an accident of form.
-A second view without names finds copies whose letter case was changed.
+A second view without names finds copies whose letter case was changed, and a third one, in
+which the capital that opens a sentence makes a name too, finds other names in that place.
 
 The hashes of all benchmark windows are sent to the tasks only while they are few; they drop
 the document windows that no item has. Beyond that number all windows go through the join.
@@ -14,6 +16,7 @@ the document windows that no item has. Beyond that number all windows go through
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +33,16 @@ LITERALS = 4
 COVERED = 0.5
 #: Benchmark windows up to which their hashes (8 bytes each) are sent to every task.
 SENT = 4_000_000
-TOKEN = re.compile(r"\d+(?:[.,:]\d+)*|\w+|[.!?\n]")
+TOKEN = re.compile(r"\d+(?:[.,:]\d+)*|\w+|[.!?\n,;:()\"“”]")
 ENDS = frozenset(".!?\n")
+#: Marks that no name or number goes across.
+BREAKS = frozenset(",;:()\"“”")
 NUMBERS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen "
     "fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy "
     "eighty ninety hundred thousand million billion dozen half".split()
 )
+SCALES = frozenset("hundred thousand million billion".split())
 UNITS = frozenset(
     "mm cm m km in ft yd mi mile miles metre metres meter meters inch inches foot feet yard "
     "yards mg g kg t gram grams kilogram kilograms ounce ounces pound pounds lb lbs ton tons "
@@ -45,101 +51,168 @@ UNITS = frozenset(
     "euros percent degrees kmh mph w kw kwh v hz".split()
 )
 LITERAL, NUMBER, UNIT, NAME = 0, 1, 2, 3
-#: Views of a text: with names as placeholders, and with names as words.
-VIEWS = (0, 1)
+#: Views of a text: names inside sentences as placeholders, names as words, and every capitalised
+#: word as a name.
+INNER, WORDS, CAPITALS = 0, 1, 2
+VIEWS = (INNER, WORDS, CAPITALS)
+#: Literals that a window narrower than usual must have where every capital is a name.
+CAPITAL_LITERALS = 3
+END, NUMERAL, MEASURE, CAPITAL, BREAK, SPELLED, AND, SCALE = (1 << i for i in range(8))
+
+
+def _after(flags: np.ndarray, start: bool = False) -> np.ndarray:
+    """Whether the token before has the flag."""
+    return np.concatenate([[start], flags[:-1]]) if len(flags) else flags
+
+
+@dataclass
+class View:
+    """Units of a text: tokens, or runs of tokens that are one placeholder."""
+
+    tokens: list[str]
+    starts: np.ndarray
+    merged: np.ndarray  # of each token: part of the unit before
+    codes: np.ndarray
+    kinds: np.ndarray
+
+    def slots(self, at: int, width: int) -> list[str]:
+        """Values of the placeholders of a window, in order, by kind."""
+        out = []
+        for unit in range(at, at + width):
+            if self.kinds[unit] != LITERAL:
+                i = j = self.starts[unit]
+                while j + 1 < len(self.tokens) and self.merged[j + 1]:
+                    j += 1
+                out.append(f"{self.kinds[unit]}{' '.join(self.tokens[i : j + 1]).lower()}")
+        return out
 
 
 class Templates:
-    """Tokens of a text with kinds, codes and values."""
+    """Units of a text with kinds, codes and values, by view."""
 
     def __init__(self, window: int, literals: int):
         self.window, self.literals = window, literals
         self.known: dict[str, tuple[int, int]] = {}
 
     def _learn(self, token: str) -> tuple[int, int]:
-        """Code of a token's lower case, and flags: end, number, unit, capital."""
+        """Code of a token's lower case, and flags."""
         lower = token.lower()
         code = xxhash.xxh3_64_intdigest(lower)
         flags = (
-            (token in ENDS)
-            | (token[0].isdigit() or lower in NUMBERS) << 1
-            | (lower in UNITS) << 2
-            | token[0].isupper() << 3
+            (token in ENDS) * END
+            | (token[0].isdigit() or lower in NUMBERS) * NUMERAL
+            | (lower in UNITS) * MEASURE
+            | token[0].isupper() * CAPITAL
+            | (token in BREAKS) * BREAK
+            | (lower in NUMBERS) * SPELLED
+            | (lower == "and") * AND
+            | (lower in SCALES) * SCALE
         )
         if len(self.known) > 100_000:
             self.known.clear()
         self.known[token] = code, flags
         return code, flags
 
-    def __call__(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Tokens without sentence ends, their codes and kinds (with names)."""
+    def __call__(self, text: str, views) -> dict[int, View]:
+        """Units of the text in each of the views."""
         known, learn = self.known, self._learn
         tokens = TOKEN.findall(text)
         pairs = [known.get(t) or learn(t) for t in tokens]
         codes = np.array([p[0] for p in pairs], np.uint64)
         flags = np.array([p[1] for p in pairs], np.uint8)
-        end = (flags & 1).astype(bool)
-        first = np.concatenate([[True], end[:-1]]) if len(end) else end
-        number = (flags & 2) > 0
-        unit = ((flags & 4) > 0) & np.concatenate([[False], number[:-1]]) if len(end) else end
-        kinds = np.select(
-            [number, unit, ((flags & 8) > 0) & ~first], [NUMBER, UNIT, NAME], LITERAL
-        )
-        word = ~end
-        return [t for t, e in zip(tokens, end.tolist(), strict=True) if not e], codes[word], kinds[word]
-
-    def windows(self, codes: np.ndarray, kinds: np.ndarray, view: int) -> tuple[int, np.ndarray, np.ndarray]:
-        """Width, and positions and hashes of the windows with enough literal tokens."""
-        kinds = np.where(kinds == NAME, LITERAL, kinds) if view else kinds
-        width = min(self.window, len(codes))
-        n = len(codes) - width + 1 if width else 0
+        has = lambda flag: (flags & flag) > 0
+        apart = has(BREAK)
+        adjacent, flags, codes = _after(~apart)[~apart], flags[~apart], codes[~apart]
+        tokens = [t for t, a in zip(tokens, apart.tolist(), strict=True) if not a]
+        end, number, spelled = has(END), has(NUMERAL), has(SPELLED)
+        first = _after(end, True)
+        # "one hundred and five"
+        link = has(AND) & adjacent & _after(has(SCALE))
+        link &= np.concatenate([(spelled & adjacent)[1:], [False]]) if len(link) else link
+        number |= link
+        unit = has(MEASURE) & _after(number)
+        plain = np.select([number, unit], [NUMBER, UNIT], LITERAL)
+        run = adjacent & (link | (spelled & _after(number)))
+        capital = has(CAPITAL) & (plain == LITERAL)
+        out = {}
+        for view in views:
+            kinds, merged = plain, run
+            if view in (INNER, CAPITALS):
+                name = capital & ~first if view == INNER else capital
+                kinds = np.where(name, NAME, plain)
+                merged = run | (name & adjacent & _after(name))
+            starts = np.flatnonzero(~end & ~merged)
+            out[view] = View(tokens, starts, merged, codes[starts], kinds[starts])
+        return out
+
+    def windows(self, of: View, view: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and hashes of the windows with enough literal units."""
+        codes, kinds = of.codes, of.kinds
+        n = max(0, len(codes) - width + 1) if width else 0
         symbols = np.where(kinds == LITERAL, codes, kinds.astype(np.uint64))
-        h = np.full(n, np.uint64(width * 2 + view))
+        h = np.full(n, np.uint64(width * len(VIEWS) + view))
         for i in range(width):
             h = (h ^ symbols[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(31)
         literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-        at = np.flatnonzero(literal[width : width + n] - literal[:n] >= min(self.literals, (width + 1) // 2))
-        return width, at, h[at].view(np.int64)
+        least = max((width + 1) // 2, CAPITAL_LITERALS if view == CAPITALS else 0)
+        at = np.flatnonzero(literal[width : width + n] - literal[:n] >= min(self.literals, least))
+        return at, h[at].view(np.int64)
+
+    def asked(self, text: str) -> list[tuple[int, int, View, np.ndarray, np.ndarray]]:
+        """View, width, units, positions and hashes of the windows of a benchmark text.
 
+        A text shorter than a window is one window of its own width. Views in which nothing
+        else is a placeholder than in that of words are left out.
+        """
+        views = self(text, VIEWS)
+        names = {v: int((views[v].kinds == NAME).sum()) for v in VIEWS}
+        first_names = _names(views[CAPITALS]) != _names(views[INNER])
+        out = []
+        for view, of in views.items():
+            if view == INNER and not names[INNER] or view == CAPITALS and not first_names:
+                continue
+            width = min(self.window, len(of.codes))
+            out.append((view, width, of, *self.windows(of, view, width)))
+        return out
 
-def slots(tokens: list[str], kinds: np.ndarray, view: int, at: int, width: int) -> list[str]:
-    """Values of the placeholders of a window, in order, by kind."""
-    out = []
-    for i in range(at, at + width):
-        kind = LITERAL if view and kinds[i] == NAME else kinds[i]
-        if kind != LITERAL:
-            out.append(f"{kind}{tokens[i].lower()}")
-    return out
 
+def _names(of: View) -> list[str]:
+    return [of.slots(i, 1)[0] for i in np.flatnonzero(of.kinds == NAME)]
 
-def _windows(window: int, literals: int, wanted, short: bool):
-    """All windows, or those that ``wanted`` (sorted hashes) has.
 
-    A benchmark text shorter than a window is one window of its own width; documents have
-    windows of every such width.
+def _windows(window: int, literals: int, wanted=None):
+    """Windows of benchmark texts, or those of documents that ``wanted`` has.
+
+    ``wanted`` holds the views and widths of the benchmark's windows and, unless these are
+    very many, their sorted hashes.
     """
 
     def run(batches):
         known = None if wanted is None else wanted.value
-        makers = [Templates(w, literals) for w in (known["widths"] if known else [window])]
+        make = Templates(window, literals)
+
+        def found(text):
+            if known is None:
+                yield from make.asked(text)
+                return
+            views = make(text, {view for view, _ in known["shapes"]})
+            for view, width in known["shapes"]:
+                at, hashes = make.windows(views[view], view, width)
+                if known["hashes"] is not None and len(hashes):
+                    near = np.searchsorted(known["hashes"], hashes)
+                    near[near == len(known["hashes"])] = 0
+                    use = known["hashes"][near] == hashes
+                    at, hashes = at[use], hashes[use]
+                yield view, width, views[view], at, hashes
+
         for batch in batches:
             rows, out = [], []
             for row, text in enumerate(batch.column("_content").to_pylist()):
-                tokens, codes, kinds = makers[0](text)
-                for maker in makers:
-                    if len(codes) < maker.window and not short:
-                        continue
-                    for view in VIEWS:
-                        width, at, hashes = maker.windows(codes, kinds, view)
-                        if known and known["hashes"] is not None and len(hashes):
-                            near = np.searchsorted(known["hashes"], hashes)
-                            near[near == len(known["hashes"])] = 0
-                            use = known["hashes"][near] == hashes
-                            at, hashes = at[use], hashes[use]
-                        for p, h in zip(at.tolist(), hashes.tolist(), strict=True):
-                            rows.append(row)
-                            out.append((view, p, width, h, slots(tokens, kinds, view, p, width)))
+                for view, width, of, at, hashes in found(text):
+                    for p, h in zip(at.tolist(), hashes.tolist(), strict=True):
+                        rows.append(row)
+                        out.append((view, p, width, h, of.slots(p, width)))
             columns = list(zip(*out, strict=True)) or [[]] * 5
             at_row = pa.array(rows, pa.int64())
             kinds_ = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string()))
@@ -176,17 +249,17 @@ def matches(
     spark = docs.sparkSession
     own = docs.select(*doc_key(id_column, text_column))
     items = benchmark.select(*doc_key(item_column, item_text_column))
-    asked = written(items.mapInArrow(_windows(window, literals, None, True), _schema(items)))
+    asked = written(items.mapInArrow(_windows(window, literals), _schema(items)))
     sizes = asked.groupBy("_id", "_text", "view").agg(F.count(F.lit(1)).alias("windows"))
-    widths = sorted(r[0] for r in asked.select("width").distinct().collect()) or [window]
+    shapes = sorted(map(tuple, asked.select("view", "width").distinct().collect()))
     distinct = asked.select("hash").distinct()
     n = distinct.count()
     hashes = None
     if n <= sent:
         hashes = np.sort(np.array([r[0] for r in distinct.collect()], np.int64))
         hashes = hashes if len(hashes) else np.zeros(1, np.int64)
-    wanted = spark.sparkContext.broadcast({"widths": widths, "hashes": hashes})
-    found = own.mapInArrow(_windows(window, literals, wanted, False), _schema(own))
+    wanted = spark.sparkContext.broadcast({"shapes": shapes, "hashes": hashes})
+    found = own.mapInArrow(_windows(window, literals, wanted), _schema(own))
     item = asked.select(
         F.struct("_id", "_text").alias("item"),
         "view",

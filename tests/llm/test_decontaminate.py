@@ -83,3 +83,23 @@ def test_whole_tables_against_brute_force(spark, data):
     assert len(got) == len(docs) and want
     found = {(r.doc_id, i) for r in got for i in r.item_ids}
     assert found >= want and len(found - want) <= 0.02 * len(docs)
+
+
+ANNA = "Anna has 12 red apples. Anna buys 7 green ones. Anna eats 4 of them."
+
+
+def test_names_that_open_sentences_and_longer_values(spark):
+    items = [(1, ANNA), (2, "Then the man called Tom went 30 miles from home to see his old friend Tom there."), (3, "Anna has 12 red apples.")]
+    second = items[1][1]
+    docs = [
+        (1, FILL + ANNA.replace("Anna", "Maria") + FILL),
+        (2, FILL + ANNA.replace("Anna", "Mary Ann").replace("12", "one hundred and five") + FILL),
+        (3, "Question: " + ANNA.replace("Anna", "Maria")),
+        (4, second.replace("Tom", "Mary Ann").replace("30", "twenty five")),
+        (5, second.replace("Tom", "Mary Ann", 1).replace("Tom", "Bob")),
+        (6, "Anna has 12 red apples. Maria buys 7 green ones. Zoe eats 4 of them."),
+        (7, ANNA.lower()),
+        (8, "No one here has seen such things before, and nobody asked."),
+    ]
+    want = [(1, [1, 3]), (2, [1, 3]), (3, [1, 3]), (4, [2]), (5, []), (6, [3]), (7, [1, 3]), (8, [])]
+    assert sorted(run(spark, docs, items + [(4, "Short one here.")])) == want
