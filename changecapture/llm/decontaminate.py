@@ -8,6 +8,7 @@ question. A document and an item are then compared along their diagonals: on one
 of an item's slots must stand for one value throughout, or the match is an accident of form.
 A second view without names finds copies whose letter case was changed, and a third one, in
 which the capital that opens a sentence makes a name too, finds other names in that place.
+Items with windows of hardly anything but numbers are also looked for word by word.
 
 The hashes of all benchmark windows are sent to the tasks only while they are few; they drop
 the document windows that no item has. Beyond that number all windows go through the join.
@@ -51,10 +52,10 @@ UNITS = frozenset(
     "euros percent degrees kmh mph w kw kwh v hz".split()
 )
 LITERAL, NUMBER, UNIT, NAME = 0, 1, 2, 3
-#: Views of a text: names inside sentences as placeholders, names as words, and every capitalised
-#: word as a name.
-INNER, WORDS, CAPITALS = 0, 1, 2
-VIEWS = (INNER, WORDS, CAPITALS)
+#: Views of a text: names inside sentences as placeholders, names as words, every capitalised
+#: word as a name, and no placeholders at all.
+INNER, WORDS, CAPITALS, EXACT = 0, 1, 2, 3
+VIEWS = (INNER, WORDS, CAPITALS, EXACT)
 #: Literals that a window narrower than usual must have where every capital is a name.
 CAPITAL_LITERALS = 3
 END, NUMERAL, MEASURE, CAPITAL, BREAK, SPELLED, AND, SCALE = (1 << i for i in range(8))
@@ -137,7 +138,9 @@ class Templates:
         out = {}
         for view in views:
             kinds, merged = plain, run
-            if view in (INNER, CAPITALS):
+            if view == EXACT:
+                kinds, merged = np.zeros_like(plain), np.zeros_like(run)
+            elif view in (INNER, CAPITALS):
                 name = capital & ~first if view == INNER else capital
                 kinds = np.where(name, NAME, plain)
                 merged = run | (name & adjacent & _after(name))
@@ -163,7 +166,8 @@ class Templates:
         """View, width, units, positions and hashes of the windows of a benchmark text.
 
         A text shorter than a window is one window of its own width. Views in which nothing
-        else is a placeholder than in that of words are left out.
+        else is a placeholder than in that of words are left out, and so is the exact view
+        where that of words has all windows.
         """
         views = self(text, VIEWS)
         names = {v: int((views[v].kinds == NAME).sum()) for v in VIEWS}
@@ -173,7 +177,12 @@ class Templates:
             if view == INNER and not names[INNER] or view == CAPITALS and not first_names:
                 continue
             width = min(self.window, len(of.codes))
-            out.append((view, width, of, *self.windows(of, view, width)))
+            at, hashes = self.windows(of, view, width)
+            if view == WORDS:
+                whole = len(at) == len(of.codes) - width + 1
+            if view == EXACT and whole:
+                continue
+            out.append((view, width, of, at, hashes))
         return out
 
 
@@ -304,7 +313,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     Returns ``doc_id, contaminated, item_ids, share``, one row per row of ``docs``: the ids of
     the items of which it holds the ``covered`` share of windows or more, sorted, and the
     largest such share (0 if none). An item shorter than a window is one window; an item
-    without words, like a null or empty one, is in no document. Null and empty documents
+    without words and numbers, like a null or empty one, is in no document. Null and empty documents
     hold nothing. An item without an id counts, but is not listed. Rows that repeat an id and a text get the same result; items that repeat
     are items of their own. Null ids are ids. Other columns are ignored; an empty table on
     either side leaves nothing to find.

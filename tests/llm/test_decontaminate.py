@@ -103,3 +103,18 @@ def test_names_that_open_sentences_and_longer_values(spark):
     ]
     want = [(1, [1, 3]), (2, [1, 3]), (3, [1, 3]), (4, [2]), (5, []), (6, [3]), (7, [1, 3]), (8, [])]
     assert sorted(run(spark, docs, items + [(4, "Short one here.")])) == want
+
+
+def test_items_of_numbers(spark):
+    numbers = "Compute 12 + 34 + 56 + 78 + 90 + 11."
+    table = "Sum the rows of this short table of values for me. " + " ".join(map(str, range(100, 140)))
+    items = [(1, numbers), (2, "3 km 40 m 5 cm 6 mm 7 km 80 m 9 cm 1 mm 2 kg"), (3, "1984"), (4, table)]
+    docs = [
+        (1, FILL + numbers + FILL),
+        (2, FILL + numbers.replace("56", "57") + FILL),
+        (3, "It is " + items[1][1] + " to the end"),
+        (4, "It was in 1984, they say."),
+        (5, "Values: " + " ".join(map(str, range(102, 140)))),
+        (6, "Values: " + " ".join(map(str, range(139, 99, -1)))),
+    ]
+    assert sorted(run(spark, docs, items)) == [(1, [1]), (2, []), (3, [2]), (4, [3]), (5, [4]), (6, [])]
