@@ -6,6 +6,7 @@ words, is one placeholder. Windows of template units
 are hash-joined with those of the benchmark, so a re-worded number or name does not hide a
 question. A document and an item are then compared along their diagonals: on one, each value
 of an item's slots must stand for one value throughout, or the match is an accident of form.
+A long passage of an item is enough, whatever share of the item it is.
 A second view without names finds copies whose letter case was changed, and a third one, in
 which the capital that opens a sentence makes a name too, finds other names in that place.
 Items with windows of hardly anything but numbers are also looked for word by word.
@@ -32,6 +33,9 @@ WINDOW = 8
 LITERALS = 4
 #: Share of an item's windows that a document must hold.
 COVERED = 0.5
+#: Or units in a row that it must hold: verbatim, or with other values in the slots.
+VERBATIM = 13
+TEMPLATE = 26
 #: Benchmark windows up to which their hashes (8 bytes each) are sent to every task.
 SENT = 4_000_000
 TOKEN = re.compile(r"\d+(?:[.,:]\d+)*|\w+|[.!?\n,;:()\"“”]")
@@ -237,6 +241,68 @@ def _windows(window: int, literals: int, wanted=None):
     return run
 
 
+def passages(lines: list[tuple[int, int, list]], least: int) -> set[int]:
+    """Positions of windows in runs of ``least`` units or more that are consistent in themselves.
+
+    ``lines`` are the windows of a diagonal in order: position, width, and pairs of values.
+    """
+    out: set[int] = set()
+    pairs: dict[str, dict[str, int]] = {}
+    left = 0
+    done = 0  # windows before this one are in ``out`` already, if they belong there
+    torn = 0  # values that stand for several
+
+    def put(k: int, n: int) -> None:
+        nonlocal torn
+        for value, other in lines[k][2]:
+            others = pairs.setdefault(value, {})
+            was = len(others) > 1
+            others[other] = others.get(other, 0) + n
+            if not others[other]:
+                del others[other]
+            torn += (len(others) > 1) - was
+
+    for right, (at, width, _) in enumerate(lines):
+        if right and at - lines[right - 1][0] > lines[right - 1][1]:
+            pairs.clear()
+            left, torn = right, 0
+        put(right, 1)
+        while torn:
+            put(left, -1)
+            left += 1
+        if left <= right and at + width - lines[left][0] >= least:
+            done = max(done, left)
+            out.update(line[0] for line in lines[done : right + 1])
+            done = right + 1
+    return out
+
+
+def _held(verbatim: int, template: int):
+    """Positions of an item that a diagonal holds, and whether a long passage is among them."""
+
+    def run(batches):
+        for batch in batches:
+            held, long_ = [], []
+            for windows in batch.column("windows").to_pylist():
+                lines = sorted(
+                    ((w["item_at"], w["width"], list(zip(w["item_slots"], w["slots"], strict=True))) for w in windows),
+                    key=lambda line: line[0],
+                )
+                values = {pair for line in lines for pair in line[2]}
+                same = [line for line in lines if all(a == b for a, b in line[2])]
+                runs = passages(same, verbatim) | passages(lines, template)
+                steady = len({a for a, _ in values}) == len(values)
+                held.append([line[0] for line in lines] if steady else sorted(runs))
+                long_.append(bool(runs))
+            kept = ["_id", "_text", "item", "view"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), pa.array(held, pa.list_(pa.int32())), pa.array(long_, pa.bool_())],
+                [*kept, "held", "passage"],
+            )
+
+    return run
+
+
 def _schema(own: DataFrame) -> str:
     kind = own.schema["_id"].dataType.simpleString()
     return f"_id {kind}, _text binary, view int, at int, width int, hash long, slots array<string>"
@@ -248,13 +314,19 @@ def matches(
     window: int = WINDOW,
     literals: int = LITERALS,
     covered: float = COVERED,
+    verbatim: int = VERBATIM,
+    template: int = TEMPLATE,
     sent: int = SENT,
     id_column: str = "doc_id",
     text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
 ) -> DataFrame:
-    """``_id, _text, item, share``: items whose windows a document holds consistently."""
+    """``_id, _text, item, share``: items whose windows a document holds consistently.
+
+    It must hold the ``covered`` share of them, or ``verbatim`` units in a row word by word, or
+    ``template`` units in a row with other values.
+    """
     spark = docs.sparkSession
     own = docs.select(*doc_key(id_column, text_column))
     items = benchmark.select(*doc_key(item_column, item_text_column))
@@ -281,26 +353,27 @@ def matches(
         "_text",
         "item",
         "view",
-        "item_at",
         (F.col("at") - F.col("item_at")).alias("diagonal"),
-        F.arrays_zip("item_slots", "slots").alias("slots"),
+        F.struct("item_at", "width", "item_slots", "slots").alias("window"),
     )
     # on a diagonal each value of the item stands for one value of the document
     lines = pairs.groupBy("_id", "_text", "item", "view", "diagonal").agg(
-        F.collect_set("item_at").alias("ats"),
-        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
+        F.collect_set("window").alias("windows")
+    )
+    kinds = {c: lines.schema[c].dataType.simpleString() for c in ("_id", "item")}
+    held = lines.mapInArrow(
+        _held(verbatim, template),
+        f"_id {kinds['_id']}, _text binary, item {kinds['item']}, view int, held array<int>, passage boolean",
     )
-    values = F.array_distinct(F.transform("slots", lambda s: s["item_slots"]))
-    steady = lines.where(F.size("slots") == F.size(values))
     shares = (
-        steady.select("_id", "_text", "item", "view", F.explode("ats").alias("item_at"))
+        held.select("_id", "_text", "item", "view", "passage", F.explode("held").alias("item_at"))
         .groupBy("_id", "_text", "item", "view")
-        .agg(F.countDistinct("item_at").alias("held"))
+        .agg(F.countDistinct("item_at").alias("held"), F.max("passage").alias("passage"))
         .join(
             sizes.select(F.struct("_id", "_text").alias("item"), "view", "windows"),
             ["item", "view"],
         )
-        .where(F.col("held") >= F.lit(covered) * F.col("windows"))
+        .where((F.col("held") >= F.lit(covered) * F.col("windows")) | F.col("passage"))
     )
     return shares.groupBy("_id", "_text", "item").agg(
         F.max(F.col("held") / F.col("windows")).alias("share")
@@ -311,8 +384,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Which documents hold benchmark items.
 
     Returns ``doc_id, contaminated, item_ids, share``, one row per row of ``docs``: the ids of
-    the items of which it holds the ``covered`` share of windows or more, sorted, and the
-    largest such share (0 if none). An item shorter than a window is one window; an item
+    the items of which it holds the ``covered`` share of windows or more, or a passage of
+    ``verbatim`` units in a row (``template`` units if values differ), sorted, and the
+    largest share it holds of one of them (0 if none). An item shorter than a window is one window; an item
     without words and numbers, like a null or empty one, is in no document. Null and empty documents
     hold nothing. An item without an id counts, but is not listed. Rows that repeat an id and a text get the same result; items that repeat
     are items of their own. Null ids are ids. Other columns are ignored; an empty table on

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from changecapture.llm.decontaminate import contaminated, drop_contaminated
+from changecapture.llm.decontaminate import contaminated, drop_contaminated, passages
 from changecapture.llm.queries import op10_decontamination
 
 SCHEMA = "doc_id long, text string, item_ids string, share string"
@@ -118,3 +118,36 @@ def test_items_of_numbers(spark):
         (6, "Values: " + " ".join(map(str, range(139, 99, -1)))),
     ]
     assert sorted(run(spark, docs, items)) == [(1, [1]), (2, []), (3, [2]), (4, [3]), (5, [4]), (6, [])]
+
+
+def test_passages_of_a_long_item(spark):
+    words = [f"w{a}{b}" for a in "abcdefghijklmnopqrst" for b in "vwxyz"]
+    named = list(words)
+    named[5::6] = ["Tom"] * len(named[5::6])
+    items = [(1, ITEMS[0][1]), (2, " ".join(words)), (3, " ".join(named).replace("w", "q"))]
+    other = items[2][1].split()
+    put = lambda tokens, name: " ".join(tokens).replace("Tom", name)
+    docs = [
+        (1, FILL + "A train leaves Paris at 9 with 120 people and 30 kg of. " + FILL),
+        (2, FILL + "A train leaves Paris at 9 with 120 people and 30 kg. " + FILL),
+        (3, "see " + " ".join(words[40:53]) + " there"),
+        (4, "see " + " ".join(words[40:52]) + " there"),
+        (5, "see " + put(other[10:36], "Mia") + " there"),
+        (6, "see " + put(other[10:30], "Mia") + " there"),
+        # two passages with a name each, on one diagonal
+        (7, put(other[:31], "Mia") + " " + put(other[31:61], "Ann")),
+        (8, put(other[:20], "Mia") + " " + put(other[20:40], "Ann")),
+    ]
+    want = [(1, [1]), (2, []), (3, [2]), (4, []), (5, [3]), (6, []), (7, [3]), (8, [])]
+    assert sorted(run(spark, docs, items)) == want
+
+
+def test_passages():
+    line = lambda at, *pairs: (at, 8, list(pairs))
+    assert passages([line(i) for i in range(6)], 13) == set(range(6))
+    assert passages([line(i) for i in range(5)], 13) == set()
+    assert passages([line(0), line(8), line(17)], 16) == {0, 8}
+    mixed = [line(i, ("a", "x")) for i in range(6)] + [line(i, ("a", "y")) for i in range(6, 20)]
+    assert passages(mixed, 14) == set(range(6, 20))
+    assert passages(mixed, 13) == set(range(20))
+    assert passages([line(0, ("a", "x"), ("a", "y"))], 8) == set()
