@@ -2,7 +2,7 @@
 
 The lexicon is learned from labelled documents as a trie: a word, or a stem of many words,
 that occurs in toxic documents and hardly in others. The trie is intersected with the
-Levenshtein automaton of one edit into a single deterministic automaton, built as it is
+Levenshtein automaton of one edit (a swap of neighbouring letters is one) into a single deterministic automaton, built as it is
 walked: most words leave it after two or three letters. Each hit is weighed by the window of
 words around it: one inside quotation marks that open and close there is quoted, not said.
 A logistic model of the hits of each kind, fitted on the same labelled rows, gives the score.
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,8 @@ NODES = 100_000
 #: Toxic documents that a term occurs in, and its least share of them among all its documents.
 SUPPORT = 5
 PURITY = 0.97
-#: Letters of a stem, and of a term that may be misspelled.
+#: Letters of a stem, and of a term that may be misspelled. One of ``STEM`` letters may be, if
+#: the labelled documents with words so close to it are as purely toxic as a term's.
 STEM = 4
 FUZZY = 5
 #: Words on each side of a hit that are its context.
@@ -76,11 +77,28 @@ def lexicon_of(nodes: dict[str, tuple[int, int]]) -> list[str]:
     return sorted(out)
 
 
+def words_under(nodes: dict[str, tuple[int, int]], terms: list[str]) -> list[str]:
+    """Whole words of the nodes that begin with a stem among the terms, and are pure themselves."""
+    stems = {t for t in terms if not t.endswith(END)}
+    return sorted(
+        prefix
+        for prefix, (toxic, other) in nodes.items()
+        if prefix.endswith(END)
+        and toxic >= SUPPORT
+        and toxic >= PURITY * (toxic + other)
+        and any(prefix[:i] in stems for i in range(STEM, len(prefix)))
+    )
+
+
 class Matcher:
-    """Words within one edit of a term; stems match the beginning of a word."""
+    """Words within one edit of a term; stems match the beginning of a word.
 
-    def __init__(self, terms: list[str], edits: int = 1):
-        self.edits = edits
+    With ``swaps`` two neighbouring letters that change places are one edit. Terms in ``short``
+    may be misspelled though they have fewer than ``FUZZY`` letters.
+    """
+
+    def __init__(self, terms: list[str], edits: int = 1, swaps: bool = False, short=()):
+        self.edits, self.swaps = edits, swaps
         self.children: list[dict[str, int]] = [{}]
         self.ends: dict[int, bool] = {}  # node -> may be misspelled
         self.stems: dict[int, bool] = {}
@@ -92,7 +110,7 @@ class Matcher:
                     self.children[node][char] = len(self.children)
                     self.children.append({})
                 node = self.children[node][char]
-            (self.ends if term.endswith(END) else self.stems)[node] = len(word) >= FUZZY
+            (self.ends if term.endswith(END) else self.stems)[node] = len(word) >= FUZZY or term in short
         self.states: dict[frozenset, int] = {}
         self.sets: list[dict[int, int]] = []
         self.verdicts: list[int] = []
@@ -100,11 +118,14 @@ class Matcher:
         self.steps: list[dict[str, int]] = []
         self.start = self._state({0: 0})
 
-    def _state(self, configs: dict[int, int]) -> int:
-        """Number of a set of (node, edits so far), closed under skipped letters."""
+    def _state(self, configs: dict) -> int:
+        """Number of a set of (node, edits so far), closed under skipped letters.
+
+        In the middle of a swap the node is a pair: that after it, and the letter to come.
+        """
         todo = list(configs.items())
         for node, edits in todo:
-            if edits < self.edits:
+            if edits < self.edits and not isinstance(node, tuple):
                 for child in self.children[node].values():
                     if configs.get(child, self.edits + 1) > edits + 1:
                         configs[child] = edits + 1
@@ -125,16 +146,22 @@ class Matcher:
         return self.states[key]
 
     def _step(self, state: int, char: str) -> int:
-        after: dict[int, int] = {}
+        after: dict = {}
 
-        def put(node: int, edits: int) -> None:
+        def put(node, edits: int) -> None:
             if edits <= self.edits and after.get(node, self.edits + 1) > edits:
                 after[node] = edits
 
         for node, edits in self.sets[state].items():
+            if isinstance(node, tuple):
+                if node[1] == char:
+                    put(node[0], edits)
+                continue
             put(node, edits + 1)
             for letter, child in self.children[node].items():
                 put(child, edits + (letter != char))
+                if self.swaps and letter != char and char in self.children[child]:
+                    put((self.children[child][char], letter), edits + 1)
         self.steps[state][char] = to = self._state(after) if after else -1
         return to
 
@@ -188,11 +215,45 @@ def _prefixes():
     return run
 
 
+def _near(terms, candidates):
+    """Documents of each label with a misspelled form of each candidate that is no term."""
+
+    def run(batches):
+        exact = Matcher(terms.value)
+        each = {c: Matcher([c], swaps=True, short={c}) for c in candidates.value}
+        some = Matcher(candidates.value, swaps=True, short=set(candidates.value))
+        close: dict[str, list[str]] = {}
+        for batch in batches:
+            found: Counter = Counter()
+            labels = batch.column("toxic").to_pylist()
+            for label, text in zip(labels, batch.column("_content").to_pylist(), strict=True):
+                hit = set()
+                for word in set(WORD.findall(text.lower())):
+                    if word not in close:
+                        if len(close) > 200_000:
+                            close.clear()
+                        use = some(word) == MISSPELLED and exact(word) != EXACT
+                        close[word] = [c for c, m in each.items() if m(word) == MISSPELLED] if use else []
+                    hit.update(close[word])
+                found.update((c, label) for c in hit)
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([c for c, _ in found], pa.string()),
+                        pa.array([k for _, k in found], pa.int32()),
+                        pa.array(list(found.values()), pa.int64()),
+                    ],
+                    ["term", "toxic", "n"],
+                )
+
+    return run
+
+
 class Counted:
     """Hits of a text: exact, misspelled, and quoted ones."""
 
-    def __init__(self, terms: list[str]):
-        self.match = Matcher(terms)
+    def __init__(self, terms: list[str], short: list[str]):
+        self.match = Matcher(terms, swaps=True, short=set(short))
         self.seen: set[str] = set()
         self.hits: dict[str, int] = {}
 
@@ -218,7 +279,7 @@ class Counted:
 
 def _features(terms, content: str, kept: list[str]):
     def run(batches):
-        count = Counted(terms.value)
+        count = Counted(*terms.value)
         for batch in batches:
             found = [count(x or "") for x in batch.column(content).to_pylist()]
             columns = list(zip(*found, strict=True)) or [(), (), ()]
@@ -234,6 +295,7 @@ def _features(terms, content: str, kept: list[str]):
 class Model:
     terms: list[str]
     weights: list[float]  # bias, exact, misspelled, quoted
+    short: list[str] = field(default_factory=list)  # terms of few letters that may be misspelled
 
 
 def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -303,8 +365,19 @@ def fit(
         .limit(NODES)
         .collect()
     )
-    terms = lexicon_of({r["prefix"]: (r["toxic"], round(r["other"] * weigh[0] / weigh[1])) for r in nodes})
-    sent = spark.sparkContext.broadcast(terms)
+    nodes = {r["prefix"]: (r["toxic"], round(r["other"] * weigh[0] / weigh[1])) for r in nodes}
+    terms = lexicon_of(nodes)
+    terms = sorted({*terms, *words_under(nodes, terms)})
+    short = [t for t in terms if t.endswith(END) and len(t) - 1 == STEM]
+    if short:
+        near = chosen.mapInArrow(
+            _near(spark.sparkContext.broadcast(terms), spark.sparkContext.broadcast(short)),
+            "term string, toxic int, n long",
+        )
+        near = {(r["term"], r["toxic"]): r["n"] for r in near.groupBy("term", "toxic").agg(F.sum("n").alias("n")).collect()}
+        clean = lambda t: near.get((t, 0), 0) * weigh[0] / weigh[1]
+        short = [t for t in short if near.get((t, 1), 0) >= PURITY * (near.get((t, 1), 0) + clean(t))]
+    sent = spark.sparkContext.broadcast((terms, short))
     counted = chosen.mapInArrow(
         _features(sent, "_content", ["toxic"]), "toxic int, exact long, misspelled long, quoted long"
     )
@@ -312,11 +385,11 @@ def fit(
     x = [F.round(c, 1).alias(f"x{i}") for i, c in enumerate(features(counted))]
     rows = counted.select("toxic", *x).groupBy("toxic", "x0", "x1", "x2").count().collect()
     if not rows:
-        return Model(terms, [0.0, 0.0, 0.0, 0.0])
+        return Model(terms, [0.0, 0.0, 0.0, 0.0], short)
     values = np.array([[r["x0"], r["x1"], r["x2"]] for r in rows])
     toxic = np.array([r["toxic"] for r in rows], np.float64)
     n = np.array([r["count"] * weigh[r["toxic"]] for r in rows])
-    return Model(terms, logistic(values, toxic, n).tolist())
+    return Model(terms, logistic(values, toxic, n).tolist(), short)
 
 
 def score(
@@ -332,7 +405,7 @@ def score(
     kept = [c for c in (docs.columns if keep is None else keep) if c not in results]
     own = docs.select(*dict.fromkeys([*kept, text_column]))
     schema = [f"`{c}` {own.schema[c].dataType.simpleString()}" for c in kept]
-    sent = docs.sparkSession.sparkContext.broadcast(model.terms)
+    sent = docs.sparkSession.sparkContext.broadcast((model.terms, model.short))
     found = own.mapInArrow(
         _features(sent, text_column, kept),
         ", ".join([*schema, "exact long", "misspelled long", "quoted long"]),

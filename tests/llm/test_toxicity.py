@@ -126,3 +126,36 @@ def test_held_out(spark, data):
     both = got.join(labels, "doc_id").where("held_out")
     right, n = both.agg(F.avg((F.col("toxic") == F.col("predicted")).cast("double")), F.count("*")).first()
     assert n > 50 and right > 0.95
+
+
+def test_swaps_are_one_edit():
+    rng = random.Random(4)
+    terms = ["abcab$", "bcabb$", "ca$", "abba$", "bab$"]
+    match = Matcher(terms, swaps=True, short={"abba$"})
+    for _ in range(4000):
+        word = "".join(rng.choice("abc") for _ in range(rng.randint(0, 7)))
+        swapped = {word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in range(len(word) - 1)}
+        near = {t[:-1] for t in terms if len(t) > 4 and (distance(word, t[:-1]) <= 1 or t[:-1] in swapped)}
+        want = EXACT if word + "$" in terms else MISSPELLED if near else NOTHING
+        assert match(word) == want, word
+
+
+def test_misspelled_words_of_a_stem_and_of_four_letters(spark):
+    rng = random.Random(2)
+    words = "plain words that mean nothing at all here today some more of them".split()
+    rows = []
+    for i in range(240):
+        text = [rng.choice(words) for _ in range(30)]
+        if i % 3 == 0:
+            text[rng.randrange(30)] = rng.choice(["idiot", "idiots", "idiotic", "scum", "jerk"])
+        elif i % 6 == 1:
+            text[rng.randrange(30)] = "perk"
+        rows.append((i, " ".join(text), int(i % 3 == 0), "x"))
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = fit(df, df)
+    assert "idiot" in model.terms and {"idiot$", "idiots$", "idiotic$"} <= set(model.terms)
+    assert model.short == ["scum$"]
+    said = "idoit idi0t idiiot idoits idiotics scmu sccum perk jerkk".split()
+    got = score(spark.createDataFrame([(i, w, 0, "x") for i, w in enumerate(said)], SCHEMA), model).collect()
+    found = {r.text: (r.exact, r.misspelled) for r in got}
+    assert found == {w: (0, 1) for w in said[:4] + said[5:7]} | {"idiotics": (1, 0), "perk": (0, 0), "jerkk": (0, 0)}
