@@ -17,6 +17,8 @@ from changecapture.llm.common import written
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Characters of a chunk: it ends at the first sentence or line end after the smallest length.
 SMALLEST, LARGEST = 1024, 8192
+#: Rows of one id and text that are made in a step.
+COPIES = 4096
 
 
 def normalised(text: Column) -> Column:
@@ -35,12 +37,14 @@ def exact_groups(
     id_column: str = "doc_id",
     text_column: str = "text",
     chunk_name=lambda chunk: F.unhex(F.sha2(chunk, 256)),
+    each_row: bool = False,
 ) -> DataFrame:
     """Group documents of equal normalised text; the largest id of a group stays.
 
     Returns ``doc_id, keep_id, group_size, kept, text_sha256, n_chunks``, one row per
     document. Null texts are empty texts, and empty texts are equal to each other. Rows with
-    the same id and text are one document; the same id with other texts are several. A null
+    the same id and text are one document (with ``each_row`` one each, as many as there are,
+    counted and returned); the same id with other texts are several. A null
     id is smaller than any other. Other columns are ignored. ``chunk_name`` may be any
     function of a chunk: names need not be free of collisions.
     """
@@ -65,22 +69,34 @@ def exact_groups(
     recipes = (
         rows.join(numbered, ["name", "chunk"], "left")
         .groupBy("doc_id", "text_sha256")
-        .agg(F.sort_array(F.collect_set(F.struct("at", "name", "number"))).alias("parts"))
+        .agg(
+            F.sort_array(F.collect_set(F.struct("at", "name", "number"))).alias("parts"),
+            F.count_if(F.coalesce("at", F.lit(0)) == 0).alias("copies"),
+        )
         .select(
             "doc_id",
             "text_sha256",
             F.transform("parts", lambda p: F.struct(p["name"], p["number"])).alias("recipe"),
             F.size(F.filter("parts", lambda p: p["name"].isNotNull())).alias("n_chunks"),
+            (F.col("copies") if each_row else F.lit(1)).cast("long").alias("copies"),
         )
     )
     recipes = written(recipes)
     # a table of its own, so that a recipe of very many documents can be split in the join
     groups = written(
         recipes.groupBy("recipe")
-        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        .agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
         .where("group_size > 1")
     )
-    return recipes.join(groups, "recipe", "left").select(
+    grouped = recipes.join(groups, "recipe", "left")
+    if each_row:
+        # in two steps, so that no array grows with the number of copies
+        blocks = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / COPIES))
+        left = F.least(F.lit(COPIES), F.col("copies") - F.col("block") * COPIES)
+        grouped = grouped.withColumn("block", F.explode(blocks)).withColumn(
+            "copy", F.explode(F.sequence(F.lit(1), left.cast("int")))
+        )
+    return grouped.select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id"))
         .otherwise(F.col("keep_id"))

@@ -93,7 +93,7 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_groups(table(spark, sf_dir, "documents")).drop("n_chunks")
+    return exact_groups(table(spark, sf_dir, "documents"), each_row=True).drop("n_chunks")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

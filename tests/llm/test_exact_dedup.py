@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changecapture.llm.exact_dedup import chunks_of, exact_groups
+from changecapture.llm.queries import op8_exact_dedup
 
 SCHEMA = "doc_id long, text string, keep_id int, at string"
 
@@ -60,3 +61,14 @@ def test_chunks_are_the_text(spark, text):
     assert "".join(parts) == text
     assert all(len(p) <= 8193 for p in parts)
     assert all(len(p) > 1024 for p in parts[:-1])
+
+
+def test_the_query_returns_and_counts_each_row(spark, tmp_path):
+    rows = [(None, "x")] * 5000 + [(9, "X"), (14, "Row"), (14, "row"), (None, None), (None, ""), (1, "alone")]
+    long_ = "Same. Text\n" * 900
+    rows += [(2, long_), (2, long_), (3, long_)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    done = op8_exact_dedup(spark, str(tmp_path))
+    got = done.groupBy("doc_id", "keep_id", "group_size").count().collect()
+    want = {(None, 9, 5001, 5000), (9, 9, 5001, 1), (14, 14, 2, 2), (None, None, 2, 2), (1, 1, 1, 1), (2, 3, 3, 2), (3, 3, 3, 1)}
+    assert set(map(tuple, got)) == want
