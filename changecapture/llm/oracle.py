@@ -70,7 +70,44 @@ SELECT doc_id, class_id, class_size, count(b) AS n_links
 FROM class LEFT JOIN pairs ON doc_id = a GROUP BY ALL
 """
 
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), lines AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), grams AS (
+  SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM lines), (SELECT unnest(range(1, 6)) AS m)
+  WHERE i + m - 1 <= len(ws) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::HUGEINT AS n FROM grams WHERE m = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM grams WHERE m > 1 AND f >= 100
+), parts AS (
+  SELECT DISTINCT lang, a, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, m + 1)) AS i FROM candidates), (SELECT unnest(range(2, 5)) AS k)
+  WHERE k < m AND i + k - 1 <= m
+), cuts AS (
+  SELECT c.*, unnest(range(1, m)) AS k FROM candidates c
+  WHERE NOT EXISTS (SELECT 1 FROM parts p WHERE p.lang = c.lang AND p.phrase = c.phrase AND 100 * p.a >= 100 * c.a)
+), scores AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, c.k, n,
+    ((1000 * c.a::HUGEINT * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:k], ' ')
+  JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(ws[k + 1:], ' ')
+), least AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least
+)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE = {
+    "op11_collocations": OP11,
     "op9_jaccard_join": OP9,
     "op5_line_dedup": OP5,
     "op8_exact_dedup": OP8,

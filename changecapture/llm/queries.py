@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changecapture.llm import language_id, lm_score, sentencepiece_scan, toxicity
+from changecapture.llm.collocations import collocations
 from changecapture.llm.common import table
 from changecapture.llm.decontaminate import contaminated
 from changecapture.llm.exact_dedup import exact_groups
@@ -104,6 +105,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -117,5 +122,6 @@ QUERIES = {
         op8_exact_dedup,
         op9_jaccard_join,
         op10_decontamination,
+        op11_collocations,
     )
 }
