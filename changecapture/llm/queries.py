@@ -13,6 +13,7 @@ from changecapture.llm.exact_dedup import exact_groups
 from changecapture.llm.html_text import extract
 from changecapture.llm.jaccard_join import near_duplicates
 from changecapture.llm.line_dedup import drop_repeated_lines
+from changecapture.llm.mixture import allocate
 from changecapture.llm.suffix_dedup import drop_repeated_bytes
 
 
@@ -109,6 +110,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = allocate(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -123,5 +129,6 @@ QUERIES = {
         op9_jaccard_join,
         op10_decontamination,
         op11_collocations,
+        op12_source_mixture,
     )
 }
