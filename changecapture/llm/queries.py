@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changecapture.llm import language_id, lm_score, sentencepiece_scan, toxicity
+from changecapture.llm import language_id, lm_score, sentencepiece_scan, token_alignment, toxicity
 from changecapture.llm.collocations import collocations
-from changecapture.llm.common import table
+from changecapture.llm.common import table, written
 from changecapture.llm.decontaminate import contaminated
 from changecapture.llm.exact_dedup import exact_groups
 from changecapture.llm.html_text import extract
@@ -17,8 +17,9 @@ from changecapture.llm.mixture import allocate
 from changecapture.llm.suffix_dedup import drop_repeated_bytes
 
 
-#: Public vocabulary; only the driver reads the file.
+#: Public vocabularies; only the driver reads the files.
 SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def _remainder(n: int):
@@ -115,6 +116,17 @@ def op12_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_token_alignment(
+    spark: SparkSession, sf_dir: str, byte_bpe: str = BYTE_BPE, pieces: str = SENTENCEPIECE_MODEL
+) -> DataFrame:
+    aligned = token_alignment.align(
+        table(spark, sf_dir, "documents"),
+        token_alignment.load_byte_bpe(byte_bpe),
+        token_alignment.load_pieces(pieces),
+    )
+    return token_alignment.link_scores(written(aligned))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -130,5 +142,6 @@ QUERIES = {
         op10_decontamination,
         op11_collocations,
         op12_source_mixture,
+        op13_token_alignment,
     )
 }
