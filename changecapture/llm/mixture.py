@@ -26,8 +26,9 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Bins of the ranking variable, and bins in one of them.
 BINS = 4096
-#: How often the documents that are left are gone through.
-PASSES = 4
+#: How often the documents that are left are gone through, and the share of a target that may be
+#: missing without going through them again.
+PASSES, CLOSE = 4, 0.001
 #: Equal rows that are dealt out in a step.
 COPIES = 4096
 
@@ -108,13 +109,12 @@ def _pass(rows: DataFrame, rooms: DataFrame) -> DataFrame:
     coarse = written(_filled(waiting, ["coarse"], rooms))
     at_edge = coarse.where("not inside")
     edge = _joined(waiting, at_edge.select("source", "coarse"), ("coarse",))
-    fine = written(_filled(edge, ["coarse", "fine"], at_edge.select("source", "room", "upto")))
+    fine = _filled(edge, ["coarse", "fine"], at_edge.select("source", "room", "upto"))
     last = _joined(edge, fine.where("not inside").drop("inside"), ("coarse", "fine"))
     order = Window.partitionBy("source").orderBy("rank", "row")
     reached = F.col("upto") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    last = written(
-        last.withColumn("reached", reached).where("reached <= room").select("source", "row", "coarse")
-    )
+    last = last.withColumn("reached", reached).where("reached <= room")
+    last = last.select("source", "row", "coarse")
 
     flag = lambda df, keys, name: df.select("source", *keys, F.lit(True).alias(name))
     marks = (
@@ -125,16 +125,17 @@ def _pass(rows: DataFrame, rooms: DataFrame) -> DataFrame:
     done = reduce(lambda df, mark: _joined(df, *mark, how="left"), marks, rows)
     extra = F.col("extra") | F.coalesce("one", "two", "three", F.lit(False))
     out = written(done.withColumn("extra", extra).select(*rows.columns).drop("coarse", "fine", "room"))
-    discard(coarse, fine, last)
+    discard(coarse)
     return out
 
 
-def _rooms(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """Words that are missing to the target of each source."""
+def _rooms(rows: DataFrame, sources: DataFrame, close: float = 0.0) -> DataFrame:
+    """Words that are missing to the targets of sources, where that is more than a share of them."""
     taken = F.col("size") * (F.col("whole") + F.col("extra").cast("int"))
     have = rows.groupBy("source").agg(F.sum(taken).alias("have"))
     room = F.col("target") - F.col("have")
-    return written(_joined(sources, have).select("source", room.alias("room")).where("room > 0"))
+    rooms = _joined(sources, have).withColumn("room", room)
+    return written(rooms.where(F.col("room") > F.col("target") * close).select("source", "room"))
 
 
 def allocate(
@@ -203,7 +204,7 @@ def allocate(
     )
     state = written(ranked)
     for _ in range(passes):
-        rooms = _rooms(state, sources)
+        rooms = _rooms(state, sources, CLOSE)
         if rooms.isEmpty():
             break
         before, state = state, _pass(state, rooms)

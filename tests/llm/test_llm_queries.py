@@ -22,7 +22,7 @@ def duck(data):
 
 def test_names():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
