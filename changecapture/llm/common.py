@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager, nullcontext
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,10 +12,29 @@ from pyspark.sql import functions as F
 from changecapture.session import work_folder
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: lineage ends there and survives lost executors."""
+@contextmanager
+def batches_of(spark: SparkSession, size: str):
+    """What is executed inside sends its rows to Python in batches of ``size`` bytes, not of 64 MB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def written(df: DataFrame, batch: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder: lineage ends there and survives lost executors.
+
+    ``batch`` bounds the bytes that a Python worker takes in at a time.
+    """
     path = f"{work_folder(df.sparkSession)}/{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
+    with batches_of(df.sparkSession, batch) if batch else nullcontext():
+        df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.written_path = path
     return table

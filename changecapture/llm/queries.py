@@ -124,7 +124,7 @@ def op13_token_alignment(
         token_alignment.load_byte_bpe(byte_bpe),
         token_alignment.load_pieces(pieces),
     )
-    return token_alignment.link_scores(written(aligned))
+    return token_alignment.link_scores(written(aligned, token_alignment.TEXT_BATCH))
 
 
 QUERIES = {

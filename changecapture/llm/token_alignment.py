@@ -26,8 +26,10 @@ from changecapture.llm.common import written
 
 #: Characters from which a text is encoded in parts, cut where no token can cross.
 LONG = 1 << 15
-#: Texts that are encoded at a time, and their characters at most.
-TEXTS, CHARACTERS = 1000, 1 << 21
+#: Texts that are encoded at a time, and their bytes.
+TEXTS, TEXT_BYTES = 1000, 1 << 20
+#: Bytes that a worker takes in at a time, of texts and of token lists.
+TEXT_BATCH, LIST_BATCH = "4m", "16m"
 
 #: Fixed value: how byte-level BPE cuts a text before merging.
 PATTERN = (
@@ -201,25 +203,26 @@ def align_texts(coder: Tokenizers, texts: list[str], size: int = LONG) -> list[p
     ]
 
 
-def _some(texts: list[str]):
+def _some(lengths: list[int]):
     """Runs of texts to be encoded together."""
     start, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= CHARACTERS or i + 1 - start >= TEXTS:
+    for i, length in enumerate(lengths):
+        held += length
+        if held >= TEXT_BYTES or i + 1 - start >= TEXTS:
             yield start, i + 1
             start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(lengths):
+        yield start, len(lengths)
 
 
 def _aligned(vocabularies, size: int):
     def run(batches):
         coder = Tokenizers(*vocabularies.value)
         for batch in batches:
-            texts = batch.column("_content").to_pylist()
-            for start, end in _some(texts):
-                done = align_texts(coder, texts[start:end], size)
+            content = batch.column("_content")
+            for start, end in _some(pc.binary_length(content).to_pylist()):
+                texts = content.slice(start, end - start).to_pylist()
+                done = align_texts(coder, texts, size)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(start, end - start), *done],
                     ["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"],
@@ -402,7 +405,8 @@ def link_scores(aligned: DataFrame, most: int = LINKS) -> DataFrame:
         aligned.mapInArrow(
             _linked(most, kind),
             f"block long, ids array<{kind}>, {lists}, a array<int>, b array<int>, n array<long>, codes binary",
-        )
+        ),
+        LIST_BATCH,
     )
     counts = written(link_counts(blocks))
     asked = blocks.select("block", F.posexplode(F.arrays_zip("a", "b")).alias("at", "pair"))
@@ -414,4 +418,5 @@ def link_scores(aligned: DataFrame, most: int = LINKS) -> DataFrame:
     )
     rows = blocks.drop("a", "b", "n").join(answers, "block", "left")
     out = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long"
-    return rows.mapInArrow(_answered, f"doc_id {kind}, {out}, groups_sha256 string")
+    done = rows.mapInArrow(_answered, f"doc_id {kind}, {out}, groups_sha256 string")
+    return written(done, LIST_BATCH)
