@@ -36,7 +36,8 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 _BLANK = "▁"
-_ALIGNED = "a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
+#: Columns of the alignment, and how their numbers are packed: four bytes each, lowest first.
+LISTS, NUMBER = ("a_ids", "b_ids", "a_sizes", "b_sizes"), np.dtype("<u4")
 
 
 # -- tokenizers -----------------------------------------------------------------------
@@ -156,19 +157,30 @@ def _summed(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _joined_bytes(table: pa.Array, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all tokens in a row, and the length of each."""
-    own = table.take(pa.array(ids))
+    return _contents(table.take(pa.array(ids)))
+
+
+def _contents(own: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.frombuffer(own.buffers()[1], np.int32, len(own) + 1, own.offset * 4)
     data = own.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0] : offsets[-1]], np.diff(offsets)
 
 
-def _arrays(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+def _packed(values: np.ndarray, counts: np.ndarray) -> pa.BinaryArray:
+    """Lists of the given lengths, as bytes."""
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * NUMBER.itemsize
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(values.astype(NUMBER))]
+    return pa.Array.from_buffers(pa.binary(), len(counts), buffers)
+
 
+def _unpacked(own: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of packed lists, and the length of each list."""
+    data, sizes = _contents(own)
+    return np.frombuffer(data, NUMBER).astype(np.int64), sizes.astype(np.int64) // NUMBER.itemsize
 
-def align_texts(coder: Tokenizers, texts: list[str], size: int = LONG) -> list[pa.ListArray]:
+
+def align_texts(coder: Tokenizers, texts: list[str], size: int = LONG) -> list[pa.BinaryArray]:
     """``a_ids, b_ids, a_sizes, b_sizes`` of each text; the sizes are the tokens of each group."""
     own = [parts(t, size) if t else [] for t in texts]
     flat = [p for ps in own for p in ps]
@@ -196,10 +208,10 @@ def align_texts(coder: Tokenizers, texts: list[str], size: int = LONG) -> list[p
     last = np.flatnonzero(np.append(a_group[1:] != a_group[:-1], True)) if len(a) else a_group
     groups = np.bincount(a_of[last], minlength=len(texts))
     return [
-        _arrays(a, np.bincount(a_of, minlength=len(texts))),
-        _arrays(b, np.bincount(b_of, minlength=len(texts))),
-        _arrays(np.bincount(a_group), groups),
-        _arrays(np.bincount(b_group), groups),
+        _packed(a, np.bincount(a_of, minlength=len(texts))),
+        _packed(b, np.bincount(b_of, minlength=len(texts))),
+        _packed(np.bincount(a_group), groups),
+        _packed(np.bincount(b_group), groups),
     ]
 
 
@@ -225,7 +237,7 @@ def _aligned(vocabularies, size: int):
                 done = align_texts(coder, texts, size)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(start, end - start), *done],
-                    ["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"],
+                    ["doc_id", *LISTS],
                 )
 
     return run
@@ -247,7 +259,8 @@ def align(
     where both sides end a token.
 
     Null and empty texts have no tokens, nor have texts that either side does not reproduce
-    byte by byte (B knows no U+2581, and may normalise). Special tokens in a text are plain text.
+    byte by byte (B knows no U+2581, and may normalise). The lists are packed; ``unpacked`` makes
+    arrays of them. Special tokens in a text are plain text.
     Long texts are encoded in parts; a run of ``size`` characters without a blank between other
     characters is one part however long. Repeated rows and null ids are kept, other columns are
     ignored, and an empty table gives an empty table.
@@ -257,7 +270,26 @@ def align(
         F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("_content")
     )
     kind = own.schema["doc_id"].dataType.simpleString()
-    return own.mapInArrow(_aligned(sent, size), f"doc_id {kind}, {_ALIGNED}")
+    lists = ", ".join(f"{c} binary" for c in LISTS)
+    return own.mapInArrow(_aligned(sent, size), f"doc_id {kind}, {lists}")
+
+
+def _arrays(batches):
+    for batch in batches:
+        lists = []
+        for name in LISTS:
+            values, counts = _unpacked(batch.column(name))
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            own = pa.array(values.astype(np.int32))
+            lists.append(pa.ListArray.from_arrays(pa.array(offsets), own))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *lists], ["doc_id", *LISTS])
+
+
+def unpacked(aligned: DataFrame) -> DataFrame:
+    """The lists of ``align`` as arrays of integers."""
+    kind = aligned.schema["doc_id"].dataType.simpleString()
+    lists = ", ".join(f"{c} array<int>" for c in LISTS)
+    return aligned.select("doc_id", *LISTS).mapInArrow(_arrays, f"doc_id {kind}, {lists}")
 
 
 # -- links ----------------------------------------------------------------------------
@@ -266,12 +298,6 @@ def align(
 LINKS = 500_000
 
 
-def _lists(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
-    own = batch.column(name)
-    counts = pc.fill_null(pc.list_value_length(own), 0).to_numpy(zero_copy_only=False)
-    return own.flatten().to_numpy(zero_copy_only=False).astype(np.int64), counts.astype(np.int64)
-
-
 class GroupText:
     """Writes groups as ``a1,a2|b1;a3|b2,b3``."""
 
@@ -314,7 +340,7 @@ def _slices(groups: np.ndarray, most: int):
     return [(s, e) for s, e in zip(cuts[:-1], cuts[1:], strict=True) if s < e]
 
 
-def _linked(most: int, kind):
+def _linked(most: int):
     import hashlib
 
     def run(batches):
@@ -323,72 +349,64 @@ def _linked(most: int, kind):
         block = TaskContext.get().partitionId() << 32
         write = GroupText()
         for whole in batches:
-            groups = pc.fill_null(pc.list_value_length(whole.column("a_sizes")), 0)
-            for start, end in _slices(groups.to_numpy(zero_copy_only=False), most):
+            groups = pc.binary_length(whole.column("a_sizes")).to_numpy(zero_copy_only=False)
+            for start, end in _slices(groups // NUMBER.itemsize, most):
                 batch = whole.slice(start, end - start)
                 (a, a_counts), (b, b_counts), (a_sizes, n), (b_sizes, _) = (
-                    _lists(batch, c) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")
+                    _unpacked(batch.column(c)) for c in LISTS
                 )
                 keys = a[np.cumsum(a_sizes) - 1] << 32 | b[np.cumsum(b_sizes) - 1]
                 pairs, codes, found = np.unique(keys, return_inverse=True, return_counts=True)
                 texts = write(a, b, a_sizes, b_sizes, n)
                 digests = [hashlib.sha256(t).hexdigest() if t else "" for t in texts]
-                one = lambda values, t: pa.array([values], pa.list_(t))
                 ids = batch.column("doc_id")
+                numbers = (a_counts, b_counts, n, pairs >> 32, pairs & 0xFFFFFFFF, found, codes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block], pa.int64()),
                         pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                        one(a_counts, pa.int32()),
-                        one(b_counts, pa.int32()),
-                        one(n, pa.int32()),
-                        one(digests, pa.string()),
-                        one(pairs >> 32, pa.int32()),
-                        one(pairs & 0xFFFFFFFF, pa.int32()),
-                        one(found, pa.int64()),
-                        pa.array([codes.astype(np.int32).tobytes()], pa.binary()),
+                        pa.array([digests], pa.list_(pa.string())),
+                        *(_packed(own, [len(own)]) for own in numbers),
                     ],
-                    ["block", "ids", "n_a", "n_b", "n_groups", "digests", "a", "b", "n", "codes"],
+                    ["block", "ids", "digests", *_NUMBERS],
                 )
                 block += 1
 
     return run
 
 
-def _answered(batches):
+_NUMBERS = ("n_a", "n_b", "n_groups", "a", "b", "n", "codes")
+
+
+def _asked(batches):
+    """A row for each pair of a block: its place there, and how many links of the block hold it."""
     for batch in batches:
-        for at in range(batch.num_rows):
-            ids, n_a, n_b, groups, digests = (
-                batch.column(c)[at].values for c in ("ids", "n_a", "n_b", "n_groups", "digests")
-            )
-            answers = batch.column("answers")[at].values
-            count, best = (
-                (answers.field(k) if answers is not None else pa.array([], pa.int64()))
-                .to_numpy(zero_copy_only=False)
-                .astype(np.int64)
-                for k in (1, 2)
-            )
-            codes = np.frombuffer(batch.column("codes")[at].as_py(), np.int32)
-            n = groups.to_numpy(zero_copy_only=False).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids,
-                    *(c.cast(pa.int64()) for c in (n_a, n_b, groups, groups)),
-                    pa.array(_summed(best[codes], n)),
-                    pa.array(_summed(count[codes], n)),
-                    digests,
-                ],
-                ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
-            )
-
-
-def link_counts(blocks: DataFrame) -> DataFrame:
+        (a, pairs), (b, _), (n, _) = (_unpacked(batch.column(c)) for c in ("a", "b", "n"))
+        block = np.repeat(batch.column("block").to_numpy(zero_copy_only=False), pairs)
+        at = np.arange(len(a)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+        rows = [pa.array(own) for own in (block, at, a, b, n)]
+        yield pa.RecordBatch.from_arrays(rows, ["block", "at", "a", "b", "n"])
+
+
+def _answered(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+    """Rows of the documents of one block, given the counts of its pairs."""
+    column = lambda name: blocks.column(name).combine_chunks()
+    n_a, n_b, n, codes = (_unpacked(column(c))[0] for c in ("n_a", "n_b", "n_groups", "codes"))
+    order = np.argsort(answers.column("at").to_numpy())
+    count, best = (answers.column(c).to_numpy()[order][codes] for c in ("count", "best"))
+    own = [n_a, n_b, n, n, _summed(best, n), _summed(count, n)]
+    return pa.table(
+        [column("ids").flatten(), *map(pa.array, own), column("digests").flatten()],
+        ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+    )
+
+
+def link_counts(pairs: DataFrame) -> DataFrame:
     """``a, b, count, best``: how many links hold a pair, and whether that is the most of its B id."""
-    pairs = blocks.select(F.inline(F.arrays_zip("a", "b", "n")))
     counts = written(pairs.groupBy("a", "b").agg(F.sum("n").alias("count")))
     most = counts.groupBy("b").agg(F.max("count").alias("most"))
     best = (F.col("count") == F.col("most")).cast("long").alias("best")
-    return counts.join(most, "b").select("a", "b", "count", best)
+    return written(counts.join(most, "b").select("a", "b", "count", best))
 
 
 def link_scores(aligned: DataFrame, most: int = LINKS) -> DataFrame:
@@ -400,23 +418,22 @@ def link_scores(aligned: DataFrame, most: int = LINKS) -> DataFrame:
     the links' pairs; the digest is that of the groups as ``a1,a2|b1;a3|b2,b3``, and empty without tokens.
     """
     kind = aligned.schema["doc_id"].dataType.simpleString()
-    lists = "n_a array<int>, n_b array<int>, n_groups array<int>, digests array<string>"
+    numbers = ", ".join(f"{c} binary" for c in _NUMBERS)
     blocks = written(
         aligned.mapInArrow(
-            _linked(most, kind),
-            f"block long, ids array<{kind}>, {lists}, a array<int>, b array<int>, n array<long>, codes binary",
+            _linked(most), f"block long, ids array<{kind}>, digests array<string>, {numbers}"
         ),
         LIST_BATCH,
     )
-    counts = written(link_counts(blocks))
-    asked = blocks.select("block", F.posexplode(F.arrays_zip("a", "b")).alias("at", "pair"))
-    asked = asked.select("block", "at", "pair.a", "pair.b")
-    answers = (
-        asked.join(counts, ["a", "b"])
-        .groupBy("block")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "count", "best"))).alias("answers"))
+    pairs = blocks.select("block", "a", "b", "n").mapInArrow(
+        _asked, "block long, at long, a long, b long, n long"
     )
-    rows = blocks.drop("a", "b", "n").join(answers, "block", "left")
+    counts = link_counts(pairs)
+    answers = pairs.join(counts, ["a", "b"]).select("block", "at", "count", "best")
     out = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long"
-    done = rows.mapInArrow(_answered, f"doc_id {kind}, {out}, groups_sha256 string")
-    return written(done, LIST_BATCH)
+    return (
+        blocks.drop("a", "b", "n")
+        .groupBy("block")
+        .cogroup(answers.groupBy("block"))
+        .applyInArrow(_answered, f"doc_id {kind}, {out}, groups_sha256 string")
+    )
