@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from changecapture.llm.common import discard, written
 
-#: Bits of a bitmap (16 MB), and bytes of text in a block.
-BITS, SLICE = 1 << 27, 4 << 20
+#: Bits of a bitmap at most (16 MB), bits for each hash below that, and bytes of text in a block.
+BITS, EACH, SLICE = 1 << 27, 16, 4 << 20
 #: Shares of a language's words that the first words of each round cover at most.
 SHARES = (1 / 64, 1 / 8, 1.0)
 LONGEST = 5
@@ -193,19 +193,22 @@ def phrase_hash(lang: Column, phrase: Column) -> Column:
     return F.aggregate(F.slice(words, 2, LONGEST), F.xxhash64(lang, words[0]), roll)
 
 
-def bitmap(rows: DataFrame, hashed: Column, bits: int = BITS) -> np.ndarray:
-    """Bits set at the hashes of all rows: pages of 4 KB, made by Spark, ``bits / 8`` bytes in all."""
+def bitmap(rows: DataFrame, hashed: Column, most: int = BITS) -> tuple[np.ndarray, int]:
+    """Bits set at the hashes of all rows: pages of 4 KB, made by Spark, ``most / 8`` bytes at most."""
+    bits = min(most, max(32768, 1 << (EACH * rows.count()).bit_length()))
     value = hashed.bitwiseAND(F.lit(bits - 1)) + 1
     pages = rows.groupBy(F.bitmap_bucket_number(value).alias("page")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits")
     )
-    out = np.zeros(max(bits // 8, 4096), np.uint8)
+    out = np.zeros(max(bits, 32768) // 8, np.uint8)
     for page, own in pages.collect():
         out[(page - 1) * 4096 : page * 4096] = np.frombuffer(own, np.uint8)
-    return out
+    return out, bits
 
 
-def _set(bits: np.ndarray, hashes: np.ndarray, size: int) -> np.ndarray:
+def _set(bitmap, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bits of the hashes are set in a bitmap that was sent to the tasks."""
+    bits, size = bitmap.value
     at = (hashes & np.uint64(size - 1)).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
@@ -220,14 +223,14 @@ def _words(block: Block):
     yield block.rows(block.words.take(pa.array(met)), counts[met], names=["phrase", "n"])
 
 
-def _pairs(opened, frequent, size: int):
+def _pairs(opened, frequent):
     """Pairs of an opened and a frequent word."""
 
     def make(block: Block):
         hashes = block.hashes()
         known = np.arange(len(hashes)) < len(block.words)
-        first = _set(opened.value, hashes, size) & known
-        second = _set(frequent.value, hashes, size) & known
+        first = _set(opened, hashes) & known
+        second = _set(frequent, hashes) & known
         a, b = block.at(0), block.at(1)
         met = first[a] & second[b]
         width = len(block.words) + 1
@@ -237,7 +240,7 @@ def _pairs(opened, frequent, size: int):
     return _each_block(make)
 
 
-def _windows(opened, frequent, unopened, pairs, size: int):
+def _windows(opened, frequent, unopened, pairs):
     """Words from a frequent pair on, as far as each next pair may be frequent; the word before.
 
     Pairs that begin with an unopened word have not been counted, and may be frequent.
@@ -247,16 +250,16 @@ def _windows(opened, frequent, unopened, pairs, size: int):
         hashes = block.hashes()
         known = np.arange(len(hashes)) < len(block.words)
         starts, often, uncounted = (
-            _set(bits.value, hashes, size) & known for bits in (opened, frequent, unopened)
+            _set(bits, hashes) & known for bits in (opened, frequent, unopened)
         )
 
         def linked(at: int) -> np.ndarray:
             a, b = block.at(at), block.at(at + 1)
-            both = _set(pairs.value, _rolled(hashes[a], hashes[b]), size)
+            both = _set(pairs, _rolled(hashes[a], hashes[b]))
             return often[a] & often[b] & (both | uncounted[a])
 
         links = {at: linked(at) for at in range(-1, LONGEST - 1)}
-        pair = _set(pairs.value, _rolled(hashes[block.at(0)], hashes[block.at(1)]), size)
+        pair = _set(pairs, _rolled(hashes[block.at(0)], hashes[block.at(1)]))
         met = np.flatnonzero(starts[block.at(0)] & often[block.at(1)] & pair)
         columns = [np.where(links[-1], block.at(-1), -1)[met], block.at(0)[met], block.at(1)[met]]
         go_on = np.ones(len(met), bool)
@@ -281,18 +284,18 @@ def _windows(opened, frequent, unopened, pairs, size: int):
     return _each_block(make)
 
 
-def _lookups(wanted, frequent, size: int):
+def _lookups(wanted, frequent):
     """Phrases of two to four words whose hash is wanted."""
 
     def make(block: Block):
         hashes = block.hashes()
-        often = _set(frequent.value, hashes, size) & (np.arange(len(hashes)) < len(block.words))
+        often = _set(frequent, hashes) & (np.arange(len(hashes)) < len(block.words))
         whole, rolled = often[block.at(0)], hashes[block.at(0)]
         width = len(block.words) + 1
         for length in range(2, LONGEST):
             whole = whole & often[block.at(length - 1)]
             rolled = _rolled(rolled, hashes[block.at(length - 1)])
-            met = np.flatnonzero(whole & _set(wanted.value, rolled, size))
+            met = np.flatnonzero(whole & _set(wanted, rolled))
             keys = [block.at(k)[met] for k in range(length)]
             left = keys[0] * width + keys[1]
             right = keys[-2] * width + keys[-1]
@@ -445,7 +448,7 @@ def collocations(
     word_counts = words.select("lang", F.col("word").alias("phrase"), "f")
 
     # languages that are not settled, and what all rounds so far have found
-    open_langs, grown, scored, last_scores, sent = None, [], [], None, [often]
+    open_langs, grown, scored = None, [], []
     for step in range(len(shares)):
         left = words if open_langs is None else words.join(open_langs, "lang", "left_semi")
         opened = left.where(F.col("round") == step)
@@ -454,16 +457,15 @@ def collocations(
         own_text = text if open_langs is None else text.join(open_langs, "lang", "left_semi")
         starts = context.broadcast(bitmap(opened, word_hash, bits))
         pairs = written(
-            _summed(own_text, _pairs(starts, often, bits)).where(F.col("f") >= least)
+            _summed(own_text, _pairs(starts, often)).where(F.col("f") >= least)
         )
         unopened = context.broadcast(bitmap(words.where(F.col("round") > step), word_hash, bits))
         met = pairs.select("lang", "phrase")
         for other in grown:
             met = met.unionByName(other.where("length = 2").select("lang", "phrase"))
         linked = context.broadcast(bitmap(met, phrase_hash(F.col("lang"), F.col("phrase")), bits))
-        sent += [starts, unopened, linked]
         windows = own_text.mapInArrow(
-            _windows(starts, often, unopened, linked, bits),
+            _windows(starts, often, unopened, linked),
             "lang string, before string, phrase string, n long",
         )
         # a word whose bit was set by chance belongs to another round
@@ -475,6 +477,8 @@ def collocations(
             .drop("first")
         )
         discard(pairs)
+        for sent in (starts, unopened, linked):
+            sent.destroy()
         grown.append(phrases)
 
         counts = word_counts
@@ -489,11 +493,10 @@ def collocations(
         )
         if not wanted.isEmpty():
             rests = context.broadcast(bitmap(wanted, phrase_hash(F.col("lang"), F.col("phrase")), bits))
-            sent.append(rests)
-            found = _summed(own_text, _lookups(rests, often, bits))
-            counts = counts.unionByName(
-                written(found.join(wanted, ["lang", "phrase"], "left_semi")).select("lang", "phrase", "f")
-            )
+            found = _summed(own_text, _lookups(rests, often))
+            found = written(found.join(wanted, ["lang", "phrase"], "left_semi"))
+            counts = counts.unionByName(found.select("lang", "phrase", "f"))
+            rests.destroy()
         scored.append(written(_scored(cuts, counts, totals)))
         if step + 1 == len(shares):
             break
@@ -515,8 +518,7 @@ def collocations(
         if open_langs.isEmpty():
             break
 
-    for bits_sent in sent:
-        bits_sent.unpersist()
+    often.destroy()
     if not scored:
         empty = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
         return docs.sparkSession.createDataFrame([], empty)
