@@ -29,15 +29,17 @@ LONG = 1 << 15
 #: Texts that are encoded at a time, and their bytes.
 TEXTS, TEXT_BYTES = 1000, 1 << 20
 #: Bytes that a worker takes in at a time, of texts and of token lists.
-TEXT_BATCH, LIST_BATCH = "4m", "16m"
+TEXT_BATCH, LIST_BATCH = "4m", "8m"
 
 #: Fixed value: how byte-level BPE cuts a text before merging.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 _BLANK = "▁"
-#: Columns of the alignment, and how their numbers are packed: four bytes each, lowest first.
-LISTS, NUMBER = ("a_ids", "b_ids", "a_sizes", "b_sizes"), np.dtype("<u4")
+#: Columns of the alignment: tokens of either side, their ids (two bytes each where all ids fit,
+#: else four), and a bit for each token that ends a group.
+PACKED = {"n_a": "int", "n_b": "int"} | dict.fromkeys(("a_ids", "b_ids", "a_cuts", "b_cuts"), "binary")
+SHORT, NUMBER = np.dtype("<u2"), np.dtype("<u4")
 
 
 # -- tokenizers -----------------------------------------------------------------------
@@ -167,21 +169,50 @@ def _contents(own: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], np.diff(offsets)
 
 
-def _packed(values: np.ndarray, counts: np.ndarray) -> pa.BinaryArray:
+def _packed(values: np.ndarray, counts: np.ndarray, kind: np.dtype = NUMBER) -> pa.BinaryArray:
     """Lists of the given lengths, as bytes."""
-    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * NUMBER.itemsize
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(values.astype(NUMBER))]
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * kind.itemsize
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(values.astype(kind))]
     return pa.Array.from_buffers(pa.binary(), len(counts), buffers)
 
 
-def _unpacked(own: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of a column of packed lists, and the length of each list."""
-    data, sizes = _contents(own)
-    return np.frombuffer(data, NUMBER).astype(np.int64), sizes.astype(np.int64) // NUMBER.itemsize
+def _numbers(own: pa.BinaryArray, counts: np.ndarray | None = None) -> np.ndarray:
+    """All numbers of a column of packed lists; they are short if the lengths of the lists say so."""
+    data, _ = _contents(own)
+    short = counts is not None and len(data) == SHORT.itemsize * counts.sum()
+    return np.frombuffer(data, SHORT if short else NUMBER).astype(np.int64)
 
 
-def align_texts(coder: Tokenizers, texts: list[str], size: int = LONG) -> list[pa.BinaryArray]:
-    """``a_ids, b_ids, a_sizes, b_sizes`` of each text; the sizes are the tokens of each group."""
+def _places(counts: np.ndarray) -> np.ndarray:
+    """Place of each token's bit where every list begins with a new byte."""
+    full = (counts + 7) // 8 * 8
+    return np.arange(counts.sum()) + np.repeat((np.cumsum(full) - full) - (np.cumsum(counts) - counts), counts)
+
+
+def _bits(flags: np.ndarray, counts: np.ndarray) -> pa.BinaryArray:
+    sizes = (counts + 7) // 8
+    bits = np.zeros(int(sizes.sum()) * 8, np.uint8)
+    bits[_places(counts)] = flags
+    return _packed(np.packbits(bits), sizes, np.dtype("u1"))
+
+
+def _flags(own: pa.BinaryArray, counts: np.ndarray) -> np.ndarray:
+    return np.unpackbits(_contents(own)[0])[_places(counts)].astype(bool)
+
+
+def _lists(batch: pa.RecordBatch) -> tuple:
+    """Ids, lengths, group sizes of either side, and groups of each document, of a whole batch."""
+    sides = []
+    for side in "ab":
+        counts = batch.column(f"n_{side}").to_numpy(zero_copy_only=False).astype(np.int64)
+        cuts = _flags(batch.column(f"{side}_cuts"), counts)
+        sizes = np.diff(np.flatnonzero(cuts), prepend=-1)
+        sides.append((_numbers(batch.column(f"{side}_ids"), counts), counts, sizes))
+    return *sides, _summed(cuts, counts)
+
+
+def align_texts(coder: Tokenizers, texts: list[str], size: int = LONG) -> list[pa.Array]:
+    """The ``PACKED`` columns of some texts."""
     own = [parts(t, size) if t else [] for t in texts]
     flat = [p for ps in own for p in ps]
     wanted = [b" " + p.encode() for p in flat]
@@ -204,14 +235,13 @@ def align_texts(coder: Tokenizers, texts: list[str], size: int = LONG) -> list[p
     # texts that come out otherwise have no tokens
     sides = [[part[right[texts_of]] for part in (ids, texts_of, sized)] for ids, texts_of, sized in sides]
     (a, a_of, a_sized), (b, b_of, b_sized) = sides
-    a_group, b_group = components(np.cumsum(a_sized), np.cumsum(b_sized))
-    last = np.flatnonzero(np.append(a_group[1:] != a_group[:-1], True)) if len(a) else a_group
-    groups = np.bincount(a_of[last], minlength=len(texts))
+    groups = components(np.cumsum(a_sized), np.cumsum(b_sized))
+    counts = [np.bincount(own, minlength=len(texts)) for own in (a_of, b_of)]
+    kind = SHORT if max(len(coder.a_bytes), len(coder.b_bytes)) <= 1 << 16 else NUMBER
     return [
-        _packed(a, np.bincount(a_of, minlength=len(texts))),
-        _packed(b, np.bincount(b_of, minlength=len(texts))),
-        _packed(np.bincount(a_group), groups),
-        _packed(np.bincount(b_group), groups),
+        *(pa.array(n, pa.int32()) for n in counts),
+        *(_packed(ids, n, kind) for ids, n in zip((a, b), counts, strict=True)),
+        *(_bits(np.diff(g, append=-1) != 0, n) for g, n in zip(groups, counts, strict=True)),
     ]
 
 
@@ -237,7 +267,7 @@ def _aligned(vocabularies, size: int):
                 done = align_texts(coder, texts, size)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(start, end - start), *done],
-                    ["doc_id", *LISTS],
+                    ["doc_id", *PACKED],
                 )
 
     return run
@@ -253,14 +283,13 @@ def align(
 ) -> DataFrame:
     """Tokens of each text by both tokenizers, and their groups.
 
-    Returns ``doc_id, a_ids, b_ids, a_sizes, b_sizes``, one row per row of ``docs``: the ids of a
-    blank and the text by the byte-level BPE (A, ``load_byte_bpe``) and by the SentencePiece model
-    (B, ``load_pieces``), and how many tokens of either side each group has, in order. Groups end
-    where both sides end a token.
+    Returns ``doc_id`` and the ``PACKED`` columns, one row per row of ``docs``: the ids of a blank and
+    the text by the byte-level BPE (A, ``load_byte_bpe``) and by the SentencePiece model (B,
+    ``load_pieces``), and which tokens end a group, that is end where the other side ends a token,
+    too. ``unpacked`` makes arrays of them.
 
     Null and empty texts have no tokens, nor have texts that either side does not reproduce
-    byte by byte (B knows no U+2581, and may normalise). The lists are packed; ``unpacked`` makes
-    arrays of them. Special tokens in a text are plain text.
+    byte by byte (B knows no U+2581, and may normalise). Special tokens in a text are plain text.
     Long texts are encoded in parts; a run of ``size`` characters without a blank between other
     characters is one part however long. Repeated rows and null ids are kept, other columns are
     ignored, and an empty table gives an empty table.
@@ -270,32 +299,34 @@ def align(
         F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("_content")
     )
     kind = own.schema["doc_id"].dataType.simpleString()
-    lists = ", ".join(f"{c} binary" for c in LISTS)
-    return own.mapInArrow(_aligned(sent, size), f"doc_id {kind}, {lists}")
+    packed = ", ".join(f"{c} {t}" for c, t in PACKED.items())
+    return own.mapInArrow(_aligned(sent, size), f"doc_id {kind}, {packed}")
 
 
 def _arrays(batches):
     for batch in batches:
+        (a, n_a, a_sizes), (b, n_b, b_sizes), n = _lists(batch)
         lists = []
-        for name in LISTS:
-            values, counts = _unpacked(batch.column(name))
+        for values, counts in ((a, n_a), (b, n_b), (a_sizes, n), (b_sizes, n)):
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             own = pa.array(values.astype(np.int32))
             lists.append(pa.ListArray.from_arrays(pa.array(offsets), own))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *lists], ["doc_id", *LISTS])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), *lists], ["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"]
+        )
 
 
 def unpacked(aligned: DataFrame) -> DataFrame:
-    """The lists of ``align`` as arrays of integers."""
+    """``align`` as arrays of integers: ids of either side, and its tokens in each group."""
     kind = aligned.schema["doc_id"].dataType.simpleString()
-    lists = ", ".join(f"{c} array<int>" for c in LISTS)
-    return aligned.select("doc_id", *LISTS).mapInArrow(_arrays, f"doc_id {kind}, {lists}")
+    lists = "a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
+    return aligned.select("doc_id", *PACKED).mapInArrow(_arrays, f"doc_id {kind}, {lists}")
 
 
 # -- links ----------------------------------------------------------------------------
 
-#: Links of a block of documents, as far as whole documents go.
-LINKS = 500_000
+#: Tokens of A in a block of documents, as far as whole documents go.
+TOKENS = 500_000
 
 
 class GroupText:
@@ -333,10 +364,10 @@ class GroupText:
         return [raw[e - n : e] for e, n in zip(ends.tolist(), own.tolist(), strict=True)]
 
 
-def _slices(groups: np.ndarray, most: int):
-    """Runs of documents of about ``most`` groups."""
-    block = np.cumsum(groups) // most
-    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(groups)]
+def _slices(tokens: np.ndarray, most: int):
+    """Runs of documents of about ``most`` tokens."""
+    block = np.cumsum(tokens) // most
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(tokens)]
     return [(s, e) for s, e in zip(cuts[:-1], cuts[1:], strict=True) if s < e]
 
 
@@ -349,12 +380,10 @@ def _linked(most: int):
         block = TaskContext.get().partitionId() << 32
         write = GroupText()
         for whole in batches:
-            groups = pc.binary_length(whole.column("a_sizes")).to_numpy(zero_copy_only=False)
-            for start, end in _slices(groups // NUMBER.itemsize, most):
+            tokens = whole.column("n_a").to_numpy(zero_copy_only=False).astype(np.int64)
+            for start, end in _slices(tokens, most):
                 batch = whole.slice(start, end - start)
-                (a, a_counts), (b, b_counts), (a_sizes, n), (b_sizes, _) = (
-                    _unpacked(batch.column(c)) for c in LISTS
-                )
+                (a, a_counts, a_sizes), (b, b_counts, b_sizes), n = _lists(batch)
                 keys = a[np.cumsum(a_sizes) - 1] << 32 | b[np.cumsum(b_sizes) - 1]
                 pairs, codes, found = np.unique(keys, return_inverse=True, return_counts=True)
                 texts = write(a, b, a_sizes, b_sizes, n)
@@ -381,7 +410,8 @@ _NUMBERS = ("n_a", "n_b", "n_groups", "a", "b", "n", "codes")
 def _asked(batches):
     """A row for each pair of a block: its place there, and how many links of the block hold it."""
     for batch in batches:
-        (a, pairs), (b, _), (n, _) = (_unpacked(batch.column(c)) for c in ("a", "b", "n"))
+        a, b, n = (_numbers(batch.column(c)) for c in ("a", "b", "n"))
+        pairs = pc.binary_length(batch.column("a")).to_numpy(zero_copy_only=False) // NUMBER.itemsize
         block = np.repeat(batch.column("block").to_numpy(zero_copy_only=False), pairs)
         at = np.arange(len(a)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
         rows = [pa.array(own) for own in (block, at, a, b, n)]
@@ -391,7 +421,7 @@ def _asked(batches):
 def _answered(blocks: pa.Table, answers: pa.Table) -> pa.Table:
     """Rows of the documents of one block, given the counts of its pairs."""
     column = lambda name: blocks.column(name).combine_chunks()
-    n_a, n_b, n, codes = (_unpacked(column(c))[0] for c in ("n_a", "n_b", "n_groups", "codes"))
+    n_a, n_b, n, codes = (_numbers(column(c)) for c in ("n_a", "n_b", "n_groups", "codes"))
     order = np.argsort(answers.column("at").to_numpy())
     count, best = (answers.column(c).to_numpy()[order][codes] for c in ("count", "best"))
     own = [n_a, n_b, n, n, _summed(best, n), _summed(count, n)]
@@ -409,7 +439,7 @@ def link_counts(pairs: DataFrame) -> DataFrame:
     return written(counts.join(most, "b").select("a", "b", "count", best))
 
 
-def link_scores(aligned: DataFrame, most: int = LINKS) -> DataFrame:
+def link_scores(aligned: DataFrame, most: int = TOKENS) -> DataFrame:
     """Links of each row of ``align`` and how common their pairs are in all rows.
 
     Returns ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``. A link is a

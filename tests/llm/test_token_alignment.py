@@ -152,6 +152,20 @@ def test_long_chains(spark, vocabularies, libraries):
     assert Counter(map(tuple, done.collect())) == want
 
 
+def test_arrays(spark, vocabularies, libraries):
+    """Groups as lists; ids of more than two bytes are packed, too."""
+    texts = [*TEXTS, "日本語" * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in op.unpacked(op.align(docs, *vocabularies)).collect():
+        a, b = brute_tokens(libraries, texts[r.doc_id])
+        assert (r.a_ids, r.b_ids) == ([i for i, _ in a], [i for i, _ in b])
+        ends = [np.cumsum([len(x) for _, x in s])[np.cumsum(n) - 1].tolist() if n else [] for s, n in ((a, r.a_sizes), (b, r.b_sizes))]
+        assert ends[0] == ends[1]
+    values, counts = np.array([70000, 1, 2]), np.array([1, 0, 2])
+    assert op._numbers(op._packed(values, counts), counts).tolist() == values.tolist()
+    assert op._numbers(op._packed(values[1:], counts[1:], op.SHORT), counts[1:]).tolist() == [1, 2]
+
+
 def test_empty_table(spark, vocabularies):
     docs = spark.createDataFrame([], "doc_id string, text string")
     done = op.link_scores(op.align(docs, *vocabularies))
