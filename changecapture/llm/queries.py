@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changecapture.llm import language_id, lm_score, sentencepiece_scan, token_alignment, toxicity
 from changecapture.llm.collocations import collocations
-from changecapture.llm.common import table, written
+from changecapture.llm.common import discard, table, written
 from changecapture.llm.decontaminate import contaminated
 from changecapture.llm.exact_dedup import exact_groups
 from changecapture.llm.html_text import extract
@@ -124,7 +124,11 @@ def op13_token_alignment(
         token_alignment.load_byte_bpe(byte_bpe),
         token_alignment.load_pieces(pieces),
     )
-    return token_alignment.link_scores(written(aligned, token_alignment.TEXT_BATCH))
+    aligned = written(aligned, token_alignment.TEXT_BATCH)
+    scores = token_alignment.link_scores(aligned)
+    # the links of all documents are in a table of their own by now
+    discard(aligned)
+    return scores
 
 
 QUERIES = {

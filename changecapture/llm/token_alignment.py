@@ -375,8 +375,10 @@ def _linked(most: int):
     import hashlib
 
     def run(batches):
+        import zstandard
         from pyspark import TaskContext
 
+        pack = zstandard.ZstdCompressor(level=1)
         block = TaskContext.get().partitionId() << 32
         write = GroupText()
         for whole in batches:
@@ -389,13 +391,14 @@ def _linked(most: int):
                 texts = write(a, b, a_sizes, b_sizes, n)
                 digests = [hashlib.sha256(t).hexdigest() if t else "" for t in texts]
                 ids = batch.column("doc_id")
-                numbers = (a_counts, b_counts, n, pairs >> 32, pairs & 0xFFFFFFFF, found, codes)
+                numbers = (a_counts, b_counts, n, pairs >> 32, pairs & 0xFFFFFFFF, found)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block], pa.int64()),
                         pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                         pa.array([digests], pa.list_(pa.string())),
                         *(_packed(own, [len(own)]) for own in numbers),
+                        pa.array([pack.compress(codes.astype(NUMBER).tobytes())], pa.binary()),
                     ],
                     ["block", "ids", "digests", *_NUMBERS],
                 )
@@ -420,8 +423,12 @@ def _asked(batches):
 
 def _answered(blocks: pa.Table, answers: pa.Table) -> pa.Table:
     """Rows of the documents of one block, given the counts of its pairs."""
+    import zstandard
+
     column = lambda name: blocks.column(name).combine_chunks()
-    n_a, n_b, n, codes = (_numbers(column(c)) for c in ("n_a", "n_b", "n_groups", "codes"))
+    n_a, n_b, n = (_numbers(column(c)) for c in ("n_a", "n_b", "n_groups"))
+    raw = zstandard.ZstdDecompressor().decompress(blocks.column("codes")[0].as_py())
+    codes = np.frombuffer(raw, NUMBER)
     order = np.argsort(answers.column("at").to_numpy())
     count, best = (answers.column(c).to_numpy()[order][codes] for c in ("count", "best"))
     own = [n_a, n_b, n, n, _summed(best, n), _summed(count, n)]
