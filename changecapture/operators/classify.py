@@ -75,14 +75,17 @@ def assign_nk(cfg: TableConfig, key: Column) -> Column:
     return shaped
 
 
-def ranked(df: DataFrame, names: list[str]) -> DataFrame:
+def ranked(df: DataFrame, names: list[str], repeats: bool = True) -> DataFrame:
     """Number the rows of each key and keep two at most.
 
     Window and join ask for the same partitions and order, so the join that follows reuses
-    both, and of a hot key a task passes on two rows.
+    both, and of a hot key a task passes on two rows. Where no ``repeats`` are to be expected
+    the copies of a key are not looked for before the shuffle, which spares a sort of all rows.
     """
     window = Window.partitionBy(*[F.col(quoted(n)) for n in names]).orderBy(F.lit(1))
-    return df.withColumn(RANK, F.row_number().over(window)).where(F.col(RANK) <= 2)
+    # the planner limits each task's rows beforehand if it is told the limit as it stands
+    limited = F.col(RANK) <= 2 if repeats else F.col(RANK) + 0 <= 2
+    return df.withColumn(RANK, F.row_number().over(window)).where(limited)
 
 
 def _payload_columns(new: DataFrame, cfg: TableConfig) -> list[str]:

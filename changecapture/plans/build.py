@@ -217,7 +217,7 @@ def build_delta(
             changes = _changes(spark, cfg, hashed, mirror, keys_name)
             rows = classify_changed(hashed, mirror, changes, cfg)
         elif cfg.on_duplicates == "fail":
-            rows = classify(ranked(hashed, match), ranked(mirror, match), cfg)
+            rows = classify(ranked(hashed, match), ranked(mirror, match, repeats=False), cfg)
         else:
             rows = classify(hashed, mirror, cfg)
         store.write_mirror(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import json
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -23,6 +24,8 @@ UNREPEATED = (C.NK, C.KEY_HASH, C.VALUE_HASH)
 # to be dropped, and the one a run is writing
 CURRENT, PREVIOUS = "changecapture.version", "changecapture.previous"
 OUTDATED, PENDING = "changecapture.outdated", "changecapture.pending"
+# property of a link view: what its text is made of
+LINK = "changecapture.link"
 
 
 def column_list(fields: Iterable[T.StructField]) -> str:
@@ -83,12 +86,16 @@ class Versions:
     pending: str | None = None
 
 
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {identifier(name)}").collect()
+    return {r["key"]: r["value"] for r in rows}
+
+
 def versions(spark: SparkSession, mirror: str) -> Versions | None:
     """What the mirror view shows, showed before, and has to be tidied up; None without one."""
     if not spark.catalog.tableExists(mirror):
         return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {identifier(mirror)}").collect()
-    properties = {r["key"]: r["value"] for r in rows}
+    properties = _properties(spark, mirror)
     if CURRENT not in properties:
         raise ConfigError(f"{mirror} exists and is not a mirror of this library")
     return Versions(properties[CURRENT], *(properties.get(p) for p in (PREVIOUS, OUTDATED, PENDING)))
@@ -132,38 +139,106 @@ def point_at(
     )
 
 
-def link_view_sql(cfg: TableConfig, source_schema: T.StructType) -> str:
-    """Text of the view that joins the source history to the link table.
-
-    Keys and partitions compare null-safe, so a key with an empty part, or a row of the
-    partition for missing values, is not lost.
-    """
+def _link_parts(cfg: TableConfig, source_schema: T.StructType) -> dict:
+    """What the text of a link view is made of."""
     sets = FieldSets(cfg, source_schema)
     names = {f.name.lower(): f.name for f in sets.payload}
     missing = [c for c in cfg.partition_columns if c not in names]
     if missing:
         raise ConfigError(f"{cfg.source_name}: no partition column {', '.join(missing)}")
-    keys = [f.name for f in sets.ids]
-    pointers = [names[c] for c in cfg.partition_columns if c not in cfg.keys]
+    return {
+        "view": cfg.table,
+        "source": cfg.source_name,
+        "link": cfg.mirror_name,
+        "keys": [f.name for f in sets.ids],
+        "partitions": [names[c] for c in cfg.partition_columns],
+        "stamped": [f.name for f in sets.meta + sets.kv_hash if f.name != C.ACT],
+        "payload": [f.name for f in sets.payload_metaex],
+    }
+
+
+def _among(columns: Sequence[str], rows: Iterable[tuple]) -> str:
+    """Condition that is true of the given values of source columns, nulls included."""
+    rows = list(rows)
+    if not rows:
+        return "false"
+    name = f"s.{quoted(columns[0])}"
+    below: dict = {}
+    for value, *rest in rows:
+        below.setdefault(value, []).append(tuple(rest))
+    if len(columns) > 1:
+        parts = []
+        for value, rests in below.items():
+            own = f"{name} IS NULL" if value is None else f"{name} = {literal(value)}"
+            parts.append(f"({own} AND ({_among(columns[1:], rests)}))")
+        return " OR ".join(parts)
+    known = [literal(v) for v in below if v is not None]
+    parts = [f"{name} IN ({', '.join(known)})"] if known else []
+    return " OR ".join(parts + [f"{name} IS NULL"] * (None in below))
+
+
+def _link_text(parts: dict, live: Iterable[tuple] | None) -> str:
+    keys, partitions = parts["keys"], parts["partitions"]
+    rows = None if live is None else sorted(set(live), key=str)
     on = [f"s.{quoted(k)} <=> n.{quoted(k)}" for k in keys]
-    on += [f"s.{quoted(p)} <=> n.{quoted(p)}" for p in pointers]
-    stamped = [f.name for f in sets.meta + sets.kv_hash if f.name != C.ACT]
-    shown = [f"n.{quoted(c)}" for c in stamped]
-    shown += [f"s.{quoted(f.name)}" for f in sets.payload_metaex]
+    for at, name in enumerate(partitions):
+        # plain equality lets a filter on the link prune the source while the query runs
+        missing = rows is None or any(r[at] is None for r in rows)
+        if name not in keys:
+            on.append(f"s.{quoted(name)} {'<=>' if missing else '='} n.{quoted(name)}")
+    shown = [f"n.{quoted(c)}" for c in parts["stamped"]]
+    shown += [f"s.{quoted(c)}" for c in parts["payload"]]
+    where = "" if rows is None else f" WHERE {_among(partitions, rows)}"
     return (
-        f"CREATE OR REPLACE VIEW {identifier(cfg.table)} AS SELECT {', '.join(shown)} "
-        f"FROM {identifier(cfg.source_name)} s JOIN {identifier(cfg.mirror_name)} n "
-        f"ON {' AND '.join(on)}"
+        f"CREATE OR REPLACE VIEW {identifier(parts['view'])} "
+        f"TBLPROPERTIES ({literal(LINK)} = {literal(json.dumps(parts))}) AS "
+        f"SELECT {', '.join(shown)} FROM {identifier(parts['source'])} s "
+        f"JOIN {identifier(parts['link'])} n ON {' AND '.join(on)}{where}"
     )
 
 
+def link_view_sql(
+    cfg: TableConfig, source_schema: T.StructType, live: Iterable[tuple] | None = None
+) -> str:
+    """Text of the view that joins the source history to the link table.
+
+    ``live`` are the source partitions that link rows point to, as values in the order of
+    the partition columns. The view names them, so that a read lists and scans no others.
+    Keys and partitions compare null-safe, so a key with an empty part, or a row of the
+    partition for missing values, is not lost.
+    """
+    return _link_text(_link_parts(cfg, source_schema), live)
+
+
+def live_pointers(rows: DataFrame, partitions: Sequence[str]) -> list[tuple]:
+    """Source partitions that link rows point to: as many as the catalog lists at most."""
+    return [tuple(r) for r in rows.select(*[quoted(p) for p in partitions]).distinct().collect()]
+
+
 def link_view(spark: SparkSession, cfg: TableConfig) -> str:
-    """Create the view ``<table>`` over source history and link table; returns its text."""
-    text = link_view_sql(cfg, spark.table(cfg.source_name).schema)
+    """Create the view ``<table>`` over source history and link table; returns its text.
+
+    It names the partitions in use now; ``swap_mirror`` of the link table renews it.
+    """
+    parts = _link_parts(cfg, spark.table(cfg.source_name).schema)
+    text = _link_text(parts, live_pointers(spark.table(cfg.mirror_name), parts["partitions"]))
     spark.sql(text)
     return text
 
 
+def linked(spark: SparkSession, mirror: str) -> dict | None:
+    """What the view over a link table is made of; None if ``mirror`` is none, or has no view."""
+    view = mirror.removesuffix("_nklink")
+    if view == mirror or not spark.catalog.tableExists(view):
+        return None
+    parts = json.loads(_properties(spark, view).get(LINK, "null"))
+    return parts if parts and parts["link"] == mirror else None
+
+
+def renew_link_view(spark: SparkSession, parts: dict, live: Iterable[tuple]) -> None:
+    spark.sql(_link_text(parts, live))
+
+
 def create_landing(
     spark: SparkSession,
     table: str,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changecapture import columns as C
 from changecapture.config import ConfigError, version_name
@@ -22,7 +23,8 @@ def append_delta(df: DataFrame, table: str, job_id: str) -> str:
     """Add one job's changes to ``<table>_delta``; returns that name.
 
     The job's partition is replaced as a whole, so repeating a job does not double it.
-    Columns go by name. The rows are gathered to files of the session's advisory size.
+    Columns go by name. Rows are written by the tasks that read them: a run reads them from the
+    version table, whose files are put together to splits of the session's size.
     """
     spark, name = df.sparkSession, f"{table}_delta"
     fields = [f for f in df.schema.fields if f.name != C.JOB]
@@ -35,7 +37,7 @@ def append_delta(df: DataFrame, table: str, job_id: str) -> str:
     spark.sql(
         f"INSERT OVERWRITE TABLE {identifier(name)} PARTITION ({spec}) "
         f"SELECT {', '.join(quoted(names[c.lower()]) for c in stored)} FROM {{rows}}",
-        rows=df.hint("rebalance"),
+        rows=df,
     )
     # a job without changes leaves an empty partition: it has run
     catalog.add_partition(spark, name, {C.JOB: job_id})
@@ -78,13 +80,25 @@ def swap_mirror(spark: SparkSession, table: str, job_id: str) -> str:
 
     The switch is a single replacement of a view: no row is copied, and a query planned on
     the version before still finds its files until the next switch.
+
+    The view over a link table names the source partitions in use. It is renewed before the
+    switch to name those of both versions, and after it to name those of the new one alone.
     """
     version = version_name(table, job_id)
     now = catalog.versions(spark, table)
+    link = catalog.linked(spark, table)
+    if link:
+        rows = spark.table(version)
+        rows = rows.where(F.col(C.ACT) != C.DELETE) if C.ACT in rows.columns else rows
+        live = catalog.live_pointers(rows, link["partitions"])
+        before = catalog.live_pointers(spark.table(table), link["partitions"]) if now else []
+        catalog.renew_link_view(spark, link, live + before)
     if now is None:
         catalog.point_at(spark, table, version)
     elif now.current != version:
         catalog.point_at(spark, table, version, now.current, now.previous)
+    if link:
+        catalog.renew_link_view(spark, link, live)
     drop_outdated(spark, table)
     return version
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 import pytest
+from conftest import plan
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +24,7 @@ from changecapture import (
     write_mirror,
 )
 from changecapture.config import version_name
+from changecapture.tables import catalog
 
 SCHEMA = "num int, part string, state string, created string"
 PARTS = T.StructType([T.StructField(n, T.IntegerType()) for n in ("yy", "mn", "dy")])
@@ -164,3 +166,69 @@ def test_view_needs_the_partition_columns(spark):
     cfg = TableConfig("t", "id", inline=False, partition_columns="yy", partition_values="1")
     with pytest.raises(ConfigError, match="yy"):
         link_view_sql(cfg, spark.range(1).schema)
+
+
+def test_the_view_reads_only_partitions_in_use(spark, table, folder):
+    """Thirty days of history, of which the rows of the link point to three."""
+    for day in range(1, 31):
+        rows = [(n, "a", f"{min(day, 10 * n)}", str(day)) for n in range(1, 4)]
+        land(spark, table, folder, day, rows)
+    for day in (5, 10, 20, 30):
+        build_delta(spark, settings(table, day))
+    shown = sorted((r.num, r.state, r.dy) for r in spark.table(table).collect())
+    assert shown == [(1, "10", 10), (2, "20", 20), (3, "30", 30)]
+    text = next(x for x in plan(spark.table(table)).split("\n\n") if "PartitionFilters" in x and "state" in x)
+    assert "PartitionFilters: []" not in text and "dy" in text.split("PartitionFilters: ")[1].split("\n")[0]
+    files = {f.split("dy=")[1].split("/")[0] for f in spark.table(table).inputFiles() if "/src/" in f}
+    assert files == {"10", "20", "30"}
+
+
+def test_the_view_holds_while_a_run_is_at_work(spark, table, folder, monkeypatch):
+    """Right before and right after the switch the view shows whole versions."""
+    land(spark, table, folder, 5, DAYS[5])
+    land(spark, table, folder, 6, DAYS[6])
+    build_delta(spark, settings(table, 5))
+    seen, point = [], catalog.point_at
+
+    def look(*args):
+        seen.append(sorted((r.num, r.dy) for r in spark.table(table).collect()))
+        point(*args)
+        seen.append(sorted((r.num, r.dy) for r in spark.table(table).collect()))
+
+    monkeypatch.setattr(catalog, "point_at", look)
+    build_delta(spark, settings(table, 6))
+    assert seen == [[(1, 5), (2, 5), (3, 5), (4, 5)], [(1, 5), (2, 6), (4, 5), (5, 6)]]
+
+
+def test_a_broken_off_renewal_loses_nothing(spark, table, folder, monkeypatch):
+    """The run stops between the switch and the last renewal; the view is whole, before and after."""
+    for day in (5, 6, 7):
+        land(spark, table, folder, day, DAYS[day])
+    build_delta(spark, settings(table, 5))
+    calls, renew = [], catalog.renew_link_view
+
+    def once(*args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        renew(*args)
+
+    monkeypatch.setattr(catalog, "renew_link_view", once)
+    with pytest.raises(RuntimeError):
+        build_delta(spark, settings(table, 6))
+    want = [(1, 5), (2, 6), (4, 5), (5, 6)]
+    assert sorted((r.num, r.dy) for r in spark.table(table).collect()) == want
+    monkeypatch.setattr(catalog, "renew_link_view", renew)
+    build_delta(spark, settings(table, 6))
+    build_delta(spark, settings(table, 7))
+    assert sorted((r.num, r.dy) for r in spark.table(table).collect()) == [(1, 7), (2, 6), (3, 7), (4, 5)]
+
+
+def test_conditions_on_pointers():
+    among = catalog._among
+    assert among(["a"], []) == "false"
+    assert among(["a"], [(1,), (2,)]) == "s.`a` IN (1, 2)"
+    assert among(["a"], [("x'y",), (None,)]) == "s.`a` IN ('x\\'y') OR s.`a` IS NULL"
+    assert among(["a", "b"], [(1, 2), (1, 3), (None, 4)]) == (
+        "(s.`a` = 1 AND (s.`b` IN (2, 3))) OR (s.`a` IS NULL AND (s.`b` IN (4)))"
+    )

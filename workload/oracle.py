@@ -5,7 +5,16 @@ The labels are found by comparing keys and values themselves, not their hashes.
 
 from __future__ import annotations
 
-from workload.queries import DAY_ONE, DAY_TWO, FIRST, POINTER_ONE, POINTER_TWO, SECOND, THIRD
+from workload.queries import (
+    DAY_ONE,
+    DAY_TWO,
+    FIRST,
+    LIVE_DAYS,
+    POINTER_ONE,
+    POINTER_TWO,
+    SECOND,
+    THIRD,
+)
 from workload.snapshots import SOURCES, Source, nulled_sql
 
 
@@ -129,6 +138,27 @@ def _link_view() -> str:
     )
 
 
+def _link_view_live() -> str:
+    """Each row as on the day, of those that were run, when its name changed last."""
+    source = SOURCES["supplier"]
+    first, second, third = (int(d[-2:]) for d in LIVE_DAYS)
+    changed = (
+        f"CASE WHEN s_nationkey > {second} THEN {third} "
+        f"WHEN s_nationkey > {first} THEN {second} ELSE {first} END"
+    )
+    named = (
+        f"SELECT *, s_name || '*' || least({{}}, s_nationkey) AS name, {changed} AS day FROM supplier"
+    )
+    shown = ", ".join("name AS s_name" if c == "s_name" else c for c in source.columns)
+    rows = f"SELECT {shown}, day FROM ({named.format(changed)})"
+    return (
+        f'SELECT {_uuid(source, _key(source), LIVE_DAYS[0])} AS "NK", \'{LIVE_DAYS[-1]}\' AS "DWSJOB", '
+        "CAST(NULL AS VARCHAR) AS \"DWSUNIACT\", 'N' AS \"DWSARCHIVE\", "
+        f'{_key(source)} AS "DWSKEYHASH", {_value(source)} AS "DWSVALHASH", '
+        f"{', '.join(source.columns)}, printf('day-%02d', day) AS export_date FROM ({rows})"
+    )
+
+
 def _history() -> str:
     source = SOURCES["conversations"]
     one = ", ".join(f"{v} AS {c}" for c, v in POINTER_ONE.items())
@@ -257,6 +287,7 @@ def oracle_sql() -> dict[str, str]:
             tuple(POINTER_ONE),
         ),
         "link_view": _link_view(),
+        "link_view_live": _link_view_live(),
         "create_landing_table": _history(),
         "project_ids": _columns(lineitem, lineitem.keys),
         "project_payload_bare": _columns(

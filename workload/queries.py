@@ -25,6 +25,7 @@ DAY_ONE, DAY_TWO = "2024-01-01", "2024-01-02"
 POINTER_TYPES = T.StructType([T.StructField(n, T.IntegerType()) for n in ("yy", "mn", "dy")])
 POINTER_ONE = {"yy": 2024, "mn": 1, "dy": 30}
 POINTER_TWO = {"yy": 2024, "mn": 1, "dy": 31}
+LIVE_DAYS = ("day-01", "day-10", "day-20")
 
 
 def query(function: Query) -> Query:
@@ -236,6 +237,28 @@ def link_view(spark, sf_dir):
     return spark.table(cfg.table)
 
 
+@query
+def link_view_live(spark, sf_dir):
+    """Thirty days of history, of which three were run: the view reads the partitions in use."""
+    folder = work_folder(spark)
+    table, root = f"{work_database(spark, folder)}.supplier", f"{folder}/supplier_src"
+    days = [f"day-{n:02}" for n in range(1, 31)]
+    name = F.concat("s_name", F.lit("*"), F.least("day", "s_nationkey").cast("string"))
+    supplier = today(spark, sf_dir, "supplier")
+    history = supplier.select(
+        "*", F.explode(F.sequence(F.lit(1), F.lit(len(days)))).alias("day")
+    ).withColumn("s_name", name)
+    history = history.withColumn("export_date", F.format_string("day-%02d", "day")).drop("day")
+    history.hint("rebalance", "export_date").write.partitionBy("export_date").parquet(root)
+    cc.create_landing(spark, f"{table}_src", supplier.schema, root)
+    cc.add_partitions(
+        spark, f"{table}_src", [({"export_date": d}, f"{root}/export_date={d}") for d in days]
+    )
+    for day in LIVE_DAYS:
+        cc.build_delta(spark, SOURCES["supplier"].config(day, table, inline=False))
+    return spark.table(table)
+
+
 @query
 def create_landing_table(spark, sf_dir):
     table = f"{_history(spark, sf_dir)}_src"
