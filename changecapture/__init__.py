@@ -19,6 +19,7 @@ from changecapture.operators.classify import (
     stationary,
     updated,
 )
+from changecapture.operators.digests import differing, digests
 from changecapture.operators.fields import FieldSets, narrow, project
 from changecapture.operators.guards import (
     DuplicateKeys,

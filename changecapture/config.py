@@ -18,6 +18,9 @@ MODES = ("ddl", "delta", "add-partition")
 DUPLICATE_POLICIES = ("fail", "keep_first")
 
 
+#: Buckets that digests are kept for; their numbers are sent to every task.
+MOST_DIGESTS = 1 << 16
+
 #: Stands for a job in the name of the empty mirror that a first run compares with.
 INITIAL = "init"
 
@@ -65,6 +68,14 @@ class TableConfig:
     joins them back. It reads both sides twice and suits wide inline tables that change little:
     the planner sees how small the changed keys are and then shuffles no wide row.
 
+    ``copy_on_write`` keeps the files of a fact mirror whose job partitions a run does not touch:
+    the next version refers to them, and files written follow the change. It finds the changed
+    keys like ``narrow_first``.
+
+    ``digest_buckets`` keeps a digest for that many buckets of the mirror's rows, and compares
+    those of the snapshot with them first: only rows of buckets that differ are joined. It goes with
+    ``narrow_first`` or ``copy_on_write``. Choose so many that few of them change.
+
     ``nk_scope`` sets the surrogate keys of this table apart from those of other tables;
     it is the table name unless given.
     """
@@ -85,6 +96,8 @@ class TableConfig:
     dedupe_order: Any = ()
     buckets: int | None = None
     narrow_first: bool = False
+    copy_on_write: bool = False
+    digest_buckets: int | None = None
     nk_scope: str | None = None
     job_id: str = field(default_factory=lambda: str(uuid.uuid4()))
 
@@ -115,6 +128,19 @@ class TableConfig:
             raise ConfigError(
                 f"{self.table}: narrow_first needs an inline table, a long hash and no buckets"
             )
+        if self.copy_on_write and (
+            not self.inline or self.match_on_keys or self.table_type != "fact"
+        ):
+            raise ConfigError(
+                f"{self.table}: copy_on_write needs an inline fact table and a long hash"
+            )
+        if self.digest_buckets is not None:
+            if not self.keys_first:
+                raise ConfigError(
+                    f"{self.table}: digest_buckets needs narrow_first or copy_on_write"
+                )
+            if not 0 < self.digest_buckets <= MOST_DIGESTS:
+                raise ConfigError(f"{self.table}: digest_buckets must be 1 to {MOST_DIGESTS}")
         if self.buckets is not None:
             if self.buckets < 1:
                 raise ConfigError(f"{self.table}: buckets must be positive")
@@ -152,6 +178,11 @@ class TableConfig:
     def match_on_keys(self) -> bool:
         return self.hash_kind in SHORT_HASH_KINDS
 
+    @property
+    def keys_first(self) -> bool:
+        """Whether the changed keys are found before any wide row is read."""
+        return self.narrow_first or self.copy_on_write
+
     @property
     def value_hash_kind(self) -> str:
         """Short hashes would lose updates: two values of a key may share one."""

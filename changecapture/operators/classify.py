@@ -165,11 +165,11 @@ def classify(new: DataFrame, old: DataFrame | None, cfg: TableConfig) -> DataFra
 
 
 def changed_keys(new: DataFrame, old: DataFrame, cfg: TableConfig) -> DataFrame:
-    """Key hash and label of the rows that are not stationary, and their surrogate key.
+    """Key hash, label and value hashes of the rows that are not stationary, and what they carry.
 
     Reads and moves hashes only, however wide the rows are.
     """
-    carried = [c for c in _carried(cfg) if c == C.NK]
+    carried = _carried(cfg)
     pairs = outer_join_keys(
         new.select(*C.HASHES),
         old.select(*[F.col(c).alias(c) for c in (*C.HASHES, *carried)]),
@@ -178,6 +178,8 @@ def changed_keys(new: DataFrame, old: DataFrame, cfg: TableConfig) -> DataFrame:
     return pairs.where(F.col(C.ACT) != C.STATIONARY).select(
         F.coalesce(_old(C.KEY_HASH), _new(C.KEY_HASH)).alias(C.KEY_HASH),
         C.ACT,
+        _new(C.VALUE_HASH).alias(NEW + C.VALUE_HASH),
+        _old(C.VALUE_HASH).alias(OLD + C.VALUE_HASH),
         *[_old(c).alias(c) for c in carried],
     )
 

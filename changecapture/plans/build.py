@@ -14,7 +14,9 @@ from changecapture.functions.encoding import quoted
 from changecapture.functions.hashing import add_hashes, match_columns
 from changecapture.functions.wrap import unwrap
 from changecapture.operators.classify import (
+    NEW,
     NEW_COPY,
+    OLD,
     OLD_COPY,
     changed_keys,
     classify,
@@ -22,6 +24,7 @@ from changecapture.operators.classify import (
     delta_of,
     ranked,
 )
+from changecapture.operators.digests import among, carried_forward, differing, digests
 from changecapture.operators.fields import narrow
 from changecapture.operators.guards import (
     DuplicateKeys,
@@ -31,7 +34,7 @@ from changecapture.operators.guards import (
     require_unique,
 )
 from changecapture.sources.read import read_snapshot, read_table
-from changecapture.tables import catalog, store
+from changecapture.tables import catalog, parts, store
 from changecapture.tables.names import identifier, partition_spec
 
 class JobAlreadyFinished(ValueError):
@@ -140,7 +143,7 @@ def _begin(spark: SparkSession, cfg: TableConfig, now: catalog.Versions) -> None
     if now.pending and now.pending != cfg.job_id:
         left = version_name(cfg.mirror_name, now.pending)
         spark.sql(f"DROP TABLE IF EXISTS {identifier(_keys_name(left))}")
-        spark.sql(f"DROP TABLE IF EXISTS {identifier(left)}")
+        parts.drop_version(spark, cfg.mirror_name, left, (now.current, now.previous, now.outdated))
         if spark.catalog.tableExists(cfg.delta_name):
             catalog.drop_partition(spark, cfg.delta_name, {C.JOB: now.pending})
     catalog.mark(spark, cfg.mirror_name, catalog.PENDING, cfg.job_id)
@@ -151,14 +154,81 @@ def _keys_name(version: str) -> str:
 
 
 def _changes(
-    spark: SparkSession, cfg: TableConfig, hashed: DataFrame, mirror: DataFrame, name: str
+    spark: SparkSession,
+    cfg: TableConfig,
+    hashed: DataFrame,
+    mirror: DataFrame,
+    current: str,
+    name: str,
 ) -> DataFrame:
-    """Changed keys, written to a table: the planner then knows their size."""
+    """Changed keys, written to a table: the planner then knows their size.
+
+    With digests, only buckets whose digests differ are looked at.
+    """
+    if cfg.digest_buckets:
+        before = _digests_of(spark, cfg, mirror, current)
+        found = differing(digests(hashed, cfg.digest_buckets), before)
+        hashed, mirror = (among(side, found, cfg.digest_buckets) for side in (hashed, mirror))
     keys = changed_keys(hashed, mirror, cfg).hint("rebalance")
     keys.write.format(catalog.FORMAT).mode("overwrite").saveAsTable(name)
     return spark.table(name)
 
 
+def _digests_of(
+    spark: SparkSession, cfg: TableConfig, mirror: DataFrame, current: str
+) -> DataFrame:
+    """Digests stored with the current version, or those of its rows if it was written without."""
+    stored = parts.read_digests(spark, cfg.mirror_name, current, cfg.digest_buckets)
+    return digests(mirror, cfg.digest_buckets) if stored is None else stored
+
+
+def _write_digests(
+    spark: SparkSession,
+    cfg: TableConfig,
+    mirror: DataFrame,
+    changes: DataFrame | None,
+    current: str,
+    version: str,
+) -> None:
+    """Digests of the new version: those of the one before, carried forward by the changes."""
+    n = cfg.digest_buckets
+    if changes is None:
+        rows = spark.table(version).where(F.col(C.ACT) != C.DELETE)
+        after = digests(rows, n)
+    else:
+        sides = (
+            digests(changes.where(F.col(side + C.VALUE_HASH).isNotNull()), n, value=side + C.VALUE_HASH, sign=F.lit(sign))
+            for side, sign in ((NEW, 1), (OLD, -1))
+        )
+        after = carried_forward(_digests_of(spark, cfg, mirror, current), *sides)
+    parts.write_digests(after, cfg.mirror_name, version, n)
+
+
+def _write_touched(
+    spark: SparkSession,
+    cfg: TableConfig,
+    hashed: DataFrame,
+    changes: DataFrame | None,
+    current: str,
+    version: str,
+) -> DataFrame:
+    """Write the rows of the jobs a run touches; the other directories are carried over."""
+    mirror = spark.table(cfg.mirror_name)
+    if changes is None:
+        rows = classify(hashed, mirror.where(F.lit(False)), cfg)
+        parts.write_version(rows, cfg.mirror_name, version)
+        return rows
+    old_job = F.col(C.JOB)
+    touched = {r[0] for r in changes.where(old_job.isNotNull()).select(C.JOB).distinct().collect()}
+    listed = parts.manifest(spark, cfg.mirror_name, current)
+    carried = parts.untouched(listed or (), touched)
+    # by the names of the jobs, so that only their directories are read
+    kept = [p.job for p in carried]
+    rows = classify_changed(hashed, mirror.where(~old_job.isin(kept)), changes, cfg)
+    parts.write_version(rows, cfg.mirror_name, version, carried)
+    return rows
+
+
 def _refuse_copies(source: DataFrame, cfg: TableConfig, found: dict[str, int]) -> None:
     """Second copies of a key in either side stop the run; nobody has seen its version yet."""
     if NEW_COPY in found:
@@ -201,35 +271,43 @@ def build_delta(
 
     first = now.current == version_name(cfg.mirror_name, INITIAL)
     # the join tells repeated keys by itself; a run without the wide join counts them before
-    count_first = cfg.on_duplicates == "fail" and (first or cfg.narrow_first)
+    count_first = cfg.on_duplicates == "fail" and (first or cfg.keys_first)
     checked = require_unique(unwrap(source), cfg.keys) if count_first else None
     hashed = hash_source(source, cfg)
     match = match_columns(cfg, hashed)
     if cfg.buckets:
         hashed = hashed.repartition(cfg.buckets, *match)
     mirror = spark.table(cfg.mirror_name)
-    keys_name = _keys_name(version)
+    keys_name, changes = _keys_name(version), None
     try:
-        if first:
+        if cfg.keys_first and not first:
+            changes = _changes(spark, cfg, hashed, mirror, now.current, keys_name)
+        if cfg.copy_on_write:
+            rows = None
+        elif first:
             # nothing to compare with: the empty side leaves no join behind
             rows = classify(hashed, mirror.where(F.lit(False)), cfg)
         elif cfg.narrow_first:
-            changes = _changes(spark, cfg, hashed, mirror, keys_name)
             rows = classify_changed(hashed, mirror, changes, cfg)
         elif cfg.on_duplicates == "fail":
             rows = classify(ranked(hashed, match), ranked(mirror, match, repeats=False), cfg)
         else:
             rows = classify(hashed, mirror, cfg)
-        store.write_mirror(
-            rows,
-            cfg.mirror_name,
-            cfg.job_id,
-            buckets=cfg.buckets,
-            bucket_columns=match,
-            rebalance=cfg.table_type == "fact",
-        )
+        if cfg.copy_on_write:
+            rows = _write_touched(spark, cfg, hashed, changes, now.current, version)
+        else:
+            store.write_mirror(
+                rows,
+                cfg.mirror_name,
+                cfg.job_id,
+                buckets=cfg.buckets,
+                bucket_columns=match,
+                rebalance=cfg.table_type == "fact",
+            )
+        if cfg.digest_buckets:
+            _write_digests(spark, cfg, mirror, changes, now.current, version)
     finally:
-        if cfg.narrow_first:
+        if cfg.keys_first:
             spark.sql(f"DROP TABLE IF EXISTS {identifier(keys_name)}")
     written = spark.table(version)
     found = _found(written)
@@ -240,7 +318,7 @@ def build_delta(
         if checked is not None and kept != checked:
             raise BrokenMirror(f"{cfg.mirror_name}: {checked} snapshot rows became {kept}")
     except (DuplicateKeys, BrokenMirror):
-        spark.sql(f"DROP TABLE IF EXISTS {identifier(version)}")
+        parts.drop_version(spark, cfg.mirror_name, version, (now.current, now.previous))
         raise
 
     ordered = written.select(*[F.col(quoted(c)) for c in rows.columns])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from changecapture import columns as C
 from changecapture.config import ConfigError, version_name
 from changecapture.functions.encoding import quoted
-from changecapture.tables import catalog
+from changecapture.tables import catalog, parts
 from changecapture.tables.names import identifier, partition_spec
 
 
@@ -63,10 +63,10 @@ def write_mirror(
     history. Jobs that hold much of the table are split over several tasks.
     """
     spark, version = df.sparkSession, version_name(table, job_id)
-    parts = [c for c in (C.JOB, C.ACT) if c in df.columns]
+    by = [c for c in (C.JOB, C.ACT) if c in df.columns]
     if rebalance:
-        df = df.hint("rebalance", *parts)
-    writer = df.write.format(catalog.FORMAT).mode("overwrite").partitionBy(*parts)
+        df = df.hint("rebalance", *by)
+    writer = df.write.format(catalog.FORMAT).mode("overwrite").partitionBy(*by)
     writer = writer.options(**catalog.storage_options(df.columns))
     if buckets:
         writer = writer.bucketBy(buckets, *bucket_columns)
@@ -107,5 +107,5 @@ def drop_outdated(spark: SparkSession, table: str) -> None:
     """Drop the version table that neither the mirror nor its last readers need."""
     now = catalog.versions(spark, table)
     if now and now.outdated:
-        spark.sql(f"DROP TABLE IF EXISTS {identifier(now.outdated)}")
+        parts.drop_version(spark, table, now.outdated, (now.current, now.previous))
         catalog.mark(spark, table, catalog.OUTDATED, None)

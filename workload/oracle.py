@@ -346,6 +346,13 @@ def oracle_sql() -> dict[str, str]:
         "build_delta_reordered": _rows("orders", "IUD"),
         "build_delta_narrow_first": _rows("orders", "IUD"),
         "build_delta_fact": _rows("orders", "IUD", fact=True),
+        "build_delta_copy_on_write": _rows("orders", "IUD", fact=True),
+        "copy_on_write_mirror": _rows("orders", "IUS", labelled=False, fact=True),
+        "build_delta_digests": _rows("orders", "IUD"),
+        "bucket_digests": (
+            "SELECT DISTINCT CAST('0x' || substr(\"DWSKEYHASH\", 1, 8) AS BIGINT) % 4096 AS \"__bucket\" "
+            f"FROM ({_rows('customer', 'IUD')})"
+        ),
         "build_delta_buckets": _rows("customer", "IUD"),
         "build_delta_keep_first": _rows(
             "lineitem",

@@ -513,6 +513,36 @@ def build_delta_fact(spark, sf_dir):
     return _two_days(spark, "orders", _days(spark, sf_dir, "orders"), table_type="fact")
 
 
+@query
+def build_delta_copy_on_write(spark, sf_dir):
+    days = _days(spark, sf_dir, "orders")
+    return _two_days(spark, "orders", days, table_type="fact", copy_on_write=True)
+
+
+@query
+def copy_on_write_mirror(spark, sf_dir):
+    """The third run changes nothing, so its version takes over every directory."""
+    cfg = SOURCES["orders"].config(
+        FIRST, f"{work_database(spark)}.orders", table_type="fact", copy_on_write=True
+    )
+    days = _days(spark, sf_dir, "orders")
+    for job, day in ((FIRST, days[0]), (SECOND, days[1]), (THIRD, days[1])):
+        result = cc.build_delta(spark, replace(cfg, job_id=job), day)
+    return result.mirror
+
+
+@query
+def build_delta_digests(spark, sf_dir):
+    days = _days(spark, sf_dir, "orders")
+    return _two_days(spark, "orders", days, narrow_first=True, digest_buckets=4096)
+
+
+@query
+def bucket_digests(spark, sf_dir):
+    new, mirror, _ = _sides(spark, sf_dir, "customer")
+    return cc.differing(cc.digests(new, 4096), cc.digests(mirror, 4096))
+
+
 @query
 def build_delta_buckets(spark, sf_dir):
     return _two_days(spark, "customer", _days(spark, sf_dir, "customer"), buckets=8)
