@@ -38,6 +38,8 @@ from changecapture.plans.build import (
     create_objects,
     run,
 )
+from changecapture.plans.history import history, replay_at_once
+from changecapture.plans.landing import land_hashed
 from changecapture.sources.ingest import ingest_jdbc, land_partition, read_jdbc
 from changecapture.sources.read import read_landing, read_snapshot, read_table
 from changecapture.tables.catalog import (

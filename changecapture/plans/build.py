@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -138,14 +140,22 @@ def _refuse_finished(
         raise JobAlreadyFinished(f"{cfg.table}: job {cfg.job_id} is in the delta already")
 
 
-def _begin(spark: SparkSession, cfg: TableConfig, now: catalog.Versions) -> None:
-    """Record the job on the mirror; undo another one that broke off before its switch."""
+def _begin(
+    spark: SparkSession, cfg: TableConfig, now: catalog.Versions, jobs: Sequence[str] = ()
+) -> None:
+    """Record the job on the mirror; undo another one that broke off before its switch.
+
+    ``jobs`` are all jobs of a replay at once.
+    """
     if now.pending and now.pending != cfg.job_id:
         left = version_name(cfg.mirror_name, now.pending)
         spark.sql(f"DROP TABLE IF EXISTS {identifier(_keys_name(left))}")
         parts.drop_version(spark, cfg.mirror_name, left, (now.current, now.previous, now.outdated))
+        spark.sql(f"DROP TABLE IF EXISTS {identifier(left + '__days')}")
         if spark.catalog.tableExists(cfg.delta_name):
-            catalog.drop_partition(spark, cfg.delta_name, {C.JOB: now.pending})
+            for job in (now.pending, *catalog.replaying(spark, cfg.mirror_name)):
+                catalog.drop_partition(spark, cfg.delta_name, {C.JOB: job})
+    catalog.mark(spark, cfg.mirror_name, catalog.REPLAY, json.dumps(list(jobs)) if jobs else None)
     catalog.mark(spark, cfg.mirror_name, catalog.PENDING, cfg.job_id)
 
 
@@ -239,7 +249,10 @@ def _refuse_copies(source: DataFrame, cfg: TableConfig, found: dict[str, int]) -
 
 
 def build_delta(
-    spark: SparkSession, cfg: TableConfig, snapshot: DataFrame | None = None
+    spark: SparkSession,
+    cfg: TableConfig,
+    snapshot: DataFrame | None = None,
+    hashed: DataFrame | None = None,
 ) -> BuildResult:
     """Compare a snapshot with the mirror; add the changes to the delta, renew the mirror.
 
@@ -251,8 +264,12 @@ def build_delta(
 
     The snapshot must read the same rows each time: it is evaluated for the check of a first
     load and for the write, and twice more with ``narrow_first``. Land a database table
-    before, as ``ingest_jdbc`` does. Its columns may come in any order.
+    before, as ``ingest_jdbc`` does. Its columns may come in any order. ``hashed`` stands for it:
+    the table that ``land_hashed`` wrote with these settings.
     """
+    landed = hashed is not None
+    if landed:
+        snapshot = hashed.drop(*C.HASHES)
     source = load_source(spark, cfg) if snapshot is None else snapshot
     version = version_name(cfg.mirror_name, cfg.job_id)
 
@@ -273,9 +290,10 @@ def build_delta(
     # the join tells repeated keys by itself; a run without the wide join counts them before
     count_first = cfg.on_duplicates == "fail" and (first or cfg.keys_first)
     checked = require_unique(unwrap(source), cfg.keys) if count_first else None
-    hashed = hash_source(source, cfg)
+    if not landed:
+        hashed = hash_source(source, cfg)
     match = match_columns(cfg, hashed)
-    if cfg.buckets:
+    if cfg.buckets and not landed:
         hashed = hashed.repartition(cfg.buckets, *match)
     mirror = spark.table(cfg.mirror_name)
     keys_name, changes = _keys_name(version), None

@@ -24,6 +24,8 @@ UNREPEATED = (C.NK, C.KEY_HASH, C.VALUE_HASH)
 # to be dropped, and the one a run is writing
 CURRENT, PREVIOUS = "changecapture.version", "changecapture.previous"
 OUTDATED, PENDING = "changecapture.outdated", "changecapture.pending"
+# all jobs of a replay at once that is at work
+REPLAY = "changecapture.replay"
 # property of a link view: what its text is made of
 LINK = "changecapture.link"
 
@@ -101,6 +103,11 @@ def versions(spark: SparkSession, mirror: str) -> Versions | None:
     return Versions(properties[CURRENT], *(properties.get(p) for p in (PREVIOUS, OUTDATED, PENDING)))
 
 
+def replaying(spark: SparkSession, mirror: str) -> list[str]:
+    """Jobs of a replay at once that broke off."""
+    return json.loads(_properties(spark, mirror).get(REPLAY, "[]"))
+
+
 def mark(spark: SparkSession, mirror: str, name: str, value: str | None) -> None:
     """Set a property of the mirror view, or take it away."""
     change = (

@@ -48,10 +48,10 @@ def files(spark, cfg):
     return {str(p) for p in Path(root).glob("rows/**/*.orc")}
 
 
-@pytest.mark.parametrize("more", [{}, {"digest_buckets": 16}, {"hash_kind": "sha", "digest_buckets": 1}])
+@pytest.mark.parametrize("more", [{}, {"hash_kind": "sha", "digest_buckets": 16}])
 def test_same_rows_as_without(spark, db, more):
     cfg, plain = config(db, **more), config(db, "p", copy_on_write=False, hash_kind=more.get("hash_kind", "md5"))
-    for n, rows in enumerate(DAYS):
+    for n, rows in enumerate(DAYS[:5]):
         job = f"j{n}"
         one = build_delta(spark, replace(cfg, job_id=job), day(spark, rows))
         two = build_delta(spark, replace(plain, job_id=job), day(spark, rows))

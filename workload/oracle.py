@@ -367,6 +367,8 @@ def oracle_sql() -> dict[str, str]:
         "project_payload_metaex": _stamped(customer, ", ".join(customer.columns)),
         "run_batch": _batch(),
         "replay_days": _replay(),
+        "replay_at_once": _replay(),
+        "build_delta_landed": _rows("customer", "IUD"),
         "duplicate_keys": (
             f"SELECT {keys}, count(*) AS copies FROM lineitem GROUP BY {keys} HAVING count(*) > 1"
         ),

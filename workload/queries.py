@@ -623,20 +623,40 @@ def run_batch(spark, sf_dir):
     return out
 
 
-@query
-def replay_days(spark, sf_dir):
+def _three_days(spark, sf_dir, replay):
     cfg = SOURCES["customer"].config(FIRST, f"{work_database(spark)}.customer")
     days = [
         (FIRST, today(spark, sf_dir, "customer")),
         (SECOND, tomorrow(spark, sf_dir, "customer")),
         (THIRD, today(spark, sf_dir, "customer")),
     ]
-    cc.replay(spark, cfg, days)
+    replay(spark, cfg, days)
     return spark.table(cfg.delta_name).select(
         C.JOB, C.ACT, C.NK, "c_custkey", "c_mktsegment", "c_acctbal"
     )
 
 
+@query
+def replay_days(spark, sf_dir):
+    return _three_days(spark, sf_dir, cc.replay)
+
+
+@query
+def replay_at_once(spark, sf_dir):
+    return _three_days(spark, sf_dir, cc.replay_at_once)
+
+
+@query
+def build_delta_landed(spark, sf_dir):
+    """Both days land hashed, in the buckets of the mirror."""
+    cfg = SOURCES["customer"].config(FIRST, f"{work_database(spark)}.customer", buckets=8)
+    for job, day in zip((FIRST, SECOND), _days(spark, sf_dir, "customer"), strict=True):
+        own = replace(cfg, job_id=job)
+        landed = cc.land_hashed(spark, own, day)
+        result = cc.build_delta(spark, own, hashed=spark.table(landed))
+    return result.delta
+
+
 # -- guards ---------------------------------------------------------------------------
 
 
