@@ -13,6 +13,9 @@ Items with windows of hardly anything but numbers are also looked for word by wo
 
 The hashes of all benchmark windows are sent to the tasks only while they are few; they drop
 the document windows that no item has. Beyond that number all windows go through the join.
+With them goes a key of each window, a run of words that it holds and its view does not replace.
+A window can only match where its key occurs, so documents without any key are not made into
+templates at all.
 """
 
 from __future__ import annotations
@@ -55,6 +58,8 @@ UNITS = frozenset(
     "hour hours day days week weeks month months year years cent cents dollar dollars euro "
     "euros percent degrees kmh mph w kw kwh v hz".split()
 )
+#: Words of a window's key at most.
+KEY = 4
 LITERAL, NUMBER, UNIT, NAME = 0, 1, 2, 3
 #: Views of a text: names inside sentences as placeholders, names as words, every capitalised
 #: word as a name, and no placeholders at all.
@@ -194,21 +199,89 @@ def _names(of: View) -> list[str]:
     return [of.slots(i, 1)[0] for i in np.flatnonzero(of.kinds == NAME)]
 
 
+def _key(of: View, at: int, width: int) -> str:
+    """The longest run of literal units in a window, of ``KEY`` words at most."""
+    runs, run = [""], []
+    for unit in range(at, at + width):
+        run = [*run, of.tokens[of.starts[unit]].lower()] if of.kinds[unit] == LITERAL else []
+        runs.append(" ".join(run[-KEY:]))
+    return max(runs, key=lambda r: (r.count(" "), len(r), r) if r else (-1, 0, r))
+
+
+def _keys(window: int, literals: int):
+    def run(batches):
+        make = Templates(window, literals)
+        for batch in batches:
+            keys = {
+                _key(of, p, width)
+                for text in batch.column("_content").to_pylist()
+                for _, width, of, at, _ in make.asked(text)
+                for p in at.tolist()
+            }
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(keys), pa.string())], ["key"])
+
+    return run
+
+
+class Keys:
+    """Tells whether a text holds a key of any window."""
+
+    def __init__(self, keys: list[str]):
+        split = [k.split(" ") for k in keys]
+        words = sorted({w for k in split for w in k})
+        self.every = "" in words
+        #: Marks that are no units are taken out, as in all views.
+        self.ids = dict.fromkeys(ENDS | BREAKS, -1) | {w: i for i, w in enumerate(words, 1)}
+        self.sums = {}
+        for n in sorted({len(k) for k in split}):
+            own = np.array([[self.ids[w] for w in k] for k in split if len(k) == n], np.uint64)
+            self.sums[n] = np.unique(self._sum(list(own.T)))
+
+    @staticmethod
+    def _sum(columns: list[np.ndarray]) -> np.ndarray:
+        """A number for each run of words; if two runs share one, a text is looked at in vain."""
+        out = np.zeros(len(columns[0]), np.uint64)
+        for column in columns:
+            out = (out + column) * np.uint64(0x9E3779B97F4A7C15)
+        return out
+
+    def __call__(self, text: str) -> bool:
+        # letters whose lower case depends on the letters around them, or is two characters
+        if self.every or "Σ" in text or "İ" in text:
+            return True
+        ids = self.ids
+        own = np.array([ids.get(t, 0) for t in TOKEN.findall(text.lower())], np.int64)
+        own = own[own >= 0].astype(np.uint64)
+        known = np.flatnonzero(own)
+        for n, sums in self.sums.items():
+            starts = known[known <= len(own) - n]
+            for k in range(1, n):
+                starts = starts[own[starts + k] > 0]
+            found = self._sum([own[starts + k] for k in range(n)])
+            at = np.minimum(np.searchsorted(sums, found), len(sums) - 1)
+            if (sums[at] == found).any():
+                return True
+        return False
+
+
 def _windows(window: int, literals: int, wanted=None):
     """Windows of benchmark texts, or those of documents that ``wanted`` has.
 
     ``wanted`` holds the views and widths of the benchmark's windows and, unless these are
-    very many, their sorted hashes.
+    very many, their sorted hashes and their keys.
     """
 
     def run(batches):
         known = None if wanted is None else wanted.value
         make = Templates(window, literals)
+        near_any = None if known is None or known["keys"] is None else Keys(known["keys"])
 
         def found(text):
             if known is None:
                 yield from make.asked(text)
                 return
+            if near_any is not None and not near_any(text):
+                return
             views = make(text, {view for view, _ in known["shapes"]})
             for view, width in known["shapes"]:
                 at, hashes = make.windows(views[view], view, width)
@@ -335,11 +408,13 @@ def matches(
     shapes = sorted(map(tuple, asked.select("view", "width").distinct().collect()))
     distinct = asked.select("hash").distinct()
     n = distinct.count()
-    hashes = None
+    hashes = keys = None
     if n <= sent:
-        hashes = np.sort(np.array([r[0] for r in distinct.collect()], np.int64))
+        hashes = np.sort(distinct.toArrow().column("hash").to_numpy().astype(np.int64))
         hashes = hashes if len(hashes) else np.zeros(1, np.int64)
-    wanted = spark.sparkContext.broadcast({"shapes": shapes, "hashes": hashes})
+        keys = items.mapInArrow(_keys(window, literals), "key string").distinct()
+        keys = keys.toArrow().column("key").to_pylist()
+    wanted = spark.sparkContext.broadcast({"shapes": shapes, "hashes": hashes, "keys": keys})
     found = own.mapInArrow(_windows(window, literals, wanted), _schema(own))
     item = asked.select(
         F.struct("_id", "_text").alias("item"),

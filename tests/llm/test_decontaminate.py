@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
+from changecapture.llm import decontaminate
 from changecapture.llm.decontaminate import contaminated, drop_contaminated, passages
 from changecapture.llm.queries import op10_decontamination
 
@@ -151,3 +154,31 @@ def test_passages():
     assert passages(mixed, 14) == set(range(6, 20))
     assert passages(mixed, 13) == set(range(20))
     assert passages([line(0, ("a", "x"), ("a", "y"))], 8) == set()
+
+
+def test_keys_lose_no_window():
+    """Texts without a key have no window of the benchmark, in any view, whatever stands between."""
+    rng = random.Random(11)
+    words = ["apples", "Anna", "12", "red", "buys", "kg", "twelve", "the", "İstanbul", "ΟΔΟΣ", "of", "Tom"]
+    marks = [" ", " ", " ", ", ", ". ", "\n", " (", "; "]
+    text = lambda n: "".join(rng.choice(words) + rng.choice(marks) for _ in range(n))
+    for literals in (1, 4):
+        make = decontaminate.Templates(4, literals)
+        for _ in range(40):
+            item = text(rng.randrange(1, 9))
+            windows = list(make.asked(item))
+            keys = {
+                decontaminate._key(of, p, width) for _, width, of, at, _ in windows for p in at.tolist()
+            }
+            wanted = {(view, width, h) for view, width, _, _, hs in windows for h in hs.tolist()}
+            near = decontaminate.Keys(sorted(keys)) if keys else None
+            for _ in range(40):
+                doc = text(rng.randrange(1, 12)) + rng.choice(["", item.upper(), item])
+                views = make(doc, decontaminate.VIEWS)
+                met = {
+                    (view, width, h)
+                    for view, width, _ in wanted
+                    for h in make.windows(views[view], view, width)[1].tolist()
+                }
+                if met & wanted:
+                    assert near(doc)

@@ -98,8 +98,47 @@ def test_predictions_and_odd_texts(spark, model):
 def test_empty_tables(spark, model):
     none = spark.createDataFrame([], SCHEMA)
     assert identify(none, model).collect() == []
-    with pytest.raises(ValueError, match="no labelled"):
-        fit(none)
+    # without labels there is no language, and every text is undetermined
+    rows = [(1, "some text", None, "s"), (2, None, None, "s"), (None, "", None, "s")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for labelled in (none, docs):
+        assert identify(none, fit(labelled)).collect() == []
+        got = identify(docs, fit(labelled)).collect()
+        assert [(r.lang_pred, r.score, r.accepted) for r in got] == [("und", 0.0, False)] * 3
+
+
+def _noisy(n, noise):
+    """Texts of one language, a share of them in letters that it does not have."""
+    rng = random.Random(9)
+    words = "the and of to in is that with from".split()
+    strange = lambda: "".join(rng.choice("qxzjkvwpyubg") for _ in range(9))
+    return [
+        (
+            None if i % 3 else i,
+            " ".join(strange() if i < noise * n else rng.choice(words) for _ in range(120)),
+            "en",
+            "s",
+        )
+        for i in range(n)
+    ]
+
+
+def test_garbled_texts_under_a_label_are_rejected(spark):
+    """One in twenty labelled rows is noise; ids are null in two of three."""
+    docs = spark.createDataFrame(_noisy(600, 0.05), SCHEMA)
+    got = identify(docs, fit(docs)).collect()
+    assert len(got) == 600
+    accepted = [r.accepted for r in got if "q" not in r.text]
+    assert all(accepted) and not any(r.accepted for r in got if "q" in r.text)
+
+
+def test_rows_of_one_id_and_repeated_rows(spark):
+    """Draws go by id and text: one id with all rows is sampled, repeated rows count once."""
+    rows = [(7, text, lang, s) for _, text, lang, s in _noisy(400, 0)]
+    docs = spark.createDataFrame(rows + rows[:1] * 400, SCHEMA)
+    one, two = fit(docs, sample=100), fit(docs.dropDuplicates())
+    assert one.languages == two.languages == ["en"]
+    assert identify(docs, one).where("accepted").count() == 800
 
 
 def test_held_out_accuracy(spark, data):
