@@ -47,9 +47,16 @@ def op2_sentencepiece(
         F.xxhash64("ids").alias("ids_hash"),
         "ids",
     )
-    back = sentencepiece_scan.decode(digests, vocabulary)
-    return back.select(
-        "doc_id", "n_ids", "ids_hash", (F.xxhash64("text") == F.col("text_hash")).alias("round_trip")
+    # a table in between: a worker holds the caches of the encoder or of the decoder, not of both
+    back = sentencepiece_scan.decode(written(digests, "4m"), vocabulary)
+    return written(
+        back.select(
+            "doc_id",
+            "n_ids",
+            "ids_hash",
+            (F.xxhash64("text") == F.col("text_hash")).alias("round_trip"),
+        ),
+        "4m",
     )
 
 
