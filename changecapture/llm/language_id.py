@@ -18,17 +18,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changecapture.llm.common import shards
+from changecapture.llm.common import shards, written
 
 ORDER = 4
 #: Documents of a language that a model is fitted on (expected number; chosen by hash).
 SAMPLE = 2000
-#: Most frequent n-grams kept, of all languages together: the size of the model.
-TYPES = 600_000
 #: Characters that count as evidence for the score: neighbours are not independent.
 EVIDENCE = 50
 #: Spreads beyond the usual cross-entropy from which a text is rejected.
 TOLERANCE = 8.0
+#: Share of a label's texts that its spread is taken from, and that share in deviations of a normal.
+QUANTILE, DEVIATIONS = 0.9, 1.645
 UNDETERMINED = "und"
 PIECE = 1 << 20
 
@@ -257,39 +257,40 @@ def fit(
     id_column: str = "doc_id",
     order: int = ORDER,
     sample: int = SAMPLE,
-    types: int = TYPES,
 ) -> Model:
     """A model of the labels in ``docs``; rows without label or text are no examples.
 
-    ``sample`` bounds the documents of a label (in expectation: rows are chosen by a hash of
-    their id), ``types`` the n-grams that reach the driver. Both bound the size of the model,
-    whatever the size of the table. Ids choose rows, they are no input of the model.
+    ``sample`` bounds the documents of a label, in expectation: rows are chosen by a hash of id
+    and text, and of rows that repeat both one is taken. It is the only bound: all n-grams of the
+    chosen documents are counted. Ids choose rows, they are no input of the model. Without any
+    labelled text the model has no language, and ``identify`` finds none.
     """
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(letter_table())
     rows = docs.select(
         F.col(label_column).cast("string").alias("lang"),
         F.col(text_column).alias("text"),
-        F.xxhash64(id_column).alias("draw"),
+        F.xxhash64(id_column, text_column).alias("draw"),
     ).where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return Model([], order, [], [], [], [], np.zeros(0))
     languages = sorted(sizes)
-    if not languages:
-        raise ValueError("no labelled text to learn languages from")
     buckets = 1 << 20
     share = F.create_map(
         *[F.lit(x) for k in languages for x in (k, min(buckets, -(-sample * buckets // sizes[k])))]
     )
     chosen = rows.where(F.pmod("draw", F.lit(buckets)) < share[F.col("lang")])
-    chosen = chosen.repartition(shards(docs))
+    chosen = chosen.groupBy("lang", "draw").agg(F.first("text").alias("text")).select("lang", "text", "draw")
+    chosen = written(chosen.repartition(shards(docs)))
     found = (
         chosen.mapInArrow(_counted(order, table), "lang string, gram string, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "lang", "gram")
-        .limit(types)
         .toPandas()
     )
+    # a label all of whose rows repeat a few texts may have nothing chosen
+    languages = sorted(set(found["lang"]))
     counts = [
         dict(zip(own["gram"], own["n"], strict=True))
         for own in (found[found["lang"] == k] for k in languages)
@@ -297,17 +298,19 @@ def fit(
     model = kneser_ney(counts, languages, order)
     sent = spark.sparkContext.broadcast(vars(model))
     own = chosen.mapInArrow(_measured(sent, table), "lang int, size long, entropy double")
-    usual = own.groupBy("lang").agg(
-        (F.sum(F.col("entropy") * F.col("size")) / F.sum("size")).alias("usual")
+    # quantiles, so that up to a tenth of foreign or garbled texts under a label move no bound
+    own = written(own)
+    usual = own.where("size > 0").groupBy("lang").agg(
+        F.percentile("entropy", 0.5, F.least("size", F.lit(500))).alias("usual")
     )
     usual = {r["lang"]: r["usual"] for r in usual.collect()}
     model.usual = np.array([usual.get(k, 0.0) for k in range(len(languages))])
-    centre = F.create_map(*[F.lit(x) for k in range(len(languages)) for x in (k, float(model.usual[k]))])
-    off = F.col("entropy") - centre[F.col("lang")]
+    pairs = [F.lit(x) for k in range(len(languages)) for x in (k, float(model.usual[k]))]
+    off = F.abs(F.col("entropy") - F.create_map(*pairs)[F.col("lang")]) if pairs else F.lit(0.0)
     long_ = F.col("size") >= 500
-    spreads = own.groupBy("lang").agg(
-        F.sqrt(F.avg(F.when(long_, off * off))).alias("spread"),
-        F.sqrt(F.avg(off * off * F.least("size", F.lit(500)))).alias("noise"),
+    spreads = own.where("size > 0").groupBy("lang").agg(
+        (F.percentile(F.when(long_, off), QUANTILE) / DEVIATIONS).alias("spread"),
+        (F.percentile(off * F.sqrt(F.least("size", F.lit(500))), QUANTILE) / DEVIATIONS).alias("noise"),
     )
     spreads = {r["lang"]: r for r in spreads.collect()}
     value = lambda k, name: (spreads[k][name] if k in spreads else None) or 0.05
@@ -357,14 +360,21 @@ def identify(
     The columns ``keep`` (all, if not given) but those named like results are kept, and
     ``lang_pred``, ``score`` (0 to 1: the weight of the language among all, on at most
     ``EVIDENCE`` characters), ``entropy`` (per character) and ``accepted`` are added. A null
-    text or one without letters is ``und``, with score 0, no entropy, and not accepted. Of
+    text or one without letters is ``und``, with score 0, no entropy, and not accepted, and so is
+    every text under a model without languages. Of
     equally likely languages the first by name wins. Repeated rows give repeated results;
     an empty table gives an empty one.
     """
     spark = docs.sparkSession
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
+    if not model.languages:
+        nothing = {"lang_pred": UNDETERMINED, "score": 0.0, "entropy": None, "accepted": False}
+        return docs.select(
+            *[F.col(f"`{c}`") for c in kept],
+            *[F.lit(v).cast(RESULTS[c]).alias(c) for c, v in nothing.items()],
+        )
     sent = spark.sparkContext.broadcast(vars(model))
     table = spark.sparkContext.broadcast(letter_table())
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
     own = docs.select(*dict.fromkeys([*kept, text_column]))
     schema = [f"`{c}` {own.schema[c].dataType.simpleString()}" for c in kept]
     schema += [f"{name} {kind}" for name, kind in RESULTS.items()]

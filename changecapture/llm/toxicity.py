@@ -24,8 +24,6 @@ from changecapture.llm.common import shards, written
 WORD = re.compile(r"\w+")
 #: Labelled documents of each label that the model is fitted on (expected; chosen by hash).
 SAMPLE = 6000
-#: Most trie nodes sent to the driver: bounds the lexicon.
-NODES = 100_000
 #: Toxic documents that a term occurs in, and its least share of them among all its documents.
 SUPPORT = 5
 PURITY = 0.97
@@ -329,8 +327,10 @@ def fit(
     """Learn lexicon and weights from ``labels`` (id, 0/1) of ``docs``.
 
     Null labels are no examples; of several labels of an id the highest counts. ``sample``
-    bounds the documents of each label, in expectation: ids are chosen by hash. Without
-    toxic examples the lexicon is empty.
+    bounds the documents of each label, in expectation: ids are chosen by hash, and texts by a
+    hash of id and text where the ids have more than twice as many. Of rows that repeat an id and
+    a text one is taken. All words of the chosen documents count. Without toxic examples the
+    lexicon is empty.
     """
     spark = docs.sparkSession
     known = (
@@ -348,9 +348,15 @@ def fit(
     chosen = written(
         docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_content"))
         .join(drawn, "_id")
-        .select("toxic", "_content")
+        .groupBy("toxic", F.xxhash64("_id", "_content").alias("_draw"))
+        .agg(F.first("_content").alias("_content"))
         .repartition(shards(docs))
     )
+    # an id may have any number of texts: beyond twice the sample they are drawn one by one
+    found = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
+    share = lambda k: min(buckets, -(-2 * sample * buckets // max(1, found.get(k, 0))))
+    limit = F.when(F.col("toxic") == 1, share(1)).otherwise(share(0))
+    chosen = chosen.where(F.pmod("_draw", F.lit(buckets)) < limit).select("toxic", "_content")
     # rows of a label stand for this many of it
     weigh = {k: max(1.0, sizes.get(k, 0) / sample) for k in (0, 1)}
     nodes = (
@@ -361,8 +367,6 @@ def fit(
             F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("other"),
         )
         .where(F.col("toxic") >= SUPPORT)
-        .orderBy(F.desc(F.col("toxic") / (F.col("toxic") + F.col("other"))), F.desc("toxic"), "prefix")
-        .limit(NODES)
         .collect()
     )
     nodes = {r["prefix"]: (r["toxic"], round(r["other"] * weigh[0] / weigh[1])) for r in nodes}
