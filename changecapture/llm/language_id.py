@@ -26,7 +26,7 @@ SAMPLE = 2000
 #: Characters that count as evidence for the score: neighbours are not independent.
 EVIDENCE = 50
 #: Spreads beyond the usual cross-entropy from which a text is rejected.
-TOLERANCE = 8.0
+TOLERANCE = 12.0
 #: Share of a label's texts that its spread is taken from, and that share in deviations of a normal.
 QUANTILE, DEVIATIONS = 0.9, 1.645
 UNDETERMINED = "und"
@@ -307,11 +307,12 @@ def fit(
     model.usual = np.array([usual.get(k, 0.0) for k in range(len(languages))])
     pairs = [F.lit(x) for k in range(len(languages)) for x in (k, float(model.usual[k]))]
     off = F.abs(F.col("entropy") - F.create_map(*pairs)[F.col("lang")]) if pairs else F.lit(0.0)
-    long_ = F.col("size") >= 500
+    # what the deviation of a text would be at 500 letters: most of a short one's is chance
+    settled = F.sqrt(F.least("size", F.lit(500)) / 500.0)
     spreads = own.where("size > 0").groupBy("lang").agg(
-        (F.percentile(F.when(long_, off), QUANTILE) / DEVIATIONS).alias("spread"),
-        (F.percentile(off * F.sqrt(F.least("size", F.lit(500))), QUANTILE) / DEVIATIONS).alias("noise"),
+        (F.percentile(off * settled, QUANTILE) / DEVIATIONS).alias("spread")
     )
+    spreads = spreads.withColumn("noise", F.col("spread") * F.sqrt(F.lit(500.0)))
     spreads = {r["lang"]: r for r in spreads.collect()}
     value = lambda k, name: (spreads[k][name] if k in spreads else None) or 0.05
     model.spread = np.array([value(k, "spread") for k in range(len(languages))])
