@@ -106,6 +106,11 @@ class Coder:
         self.apart: dict[tuple[str, str], bool] = {}
         self.lives: dict[tuple[str, int], list] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        # lengths of the pieces that begin with three characters, the longest first
+        lengths: dict[str, set[int]] = {}
+        for piece in vocabulary.ids:
+            lengths.setdefault(piece[:3], {1, 2}).add(len(piece))
+        self.lengths = {k: tuple(sorted(n, reverse=True)) for k, n in lengths.items()}
         self.block = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 
     # -- neighbours ------------------------------------------------------------------
@@ -152,7 +157,10 @@ class Coder:
         """Pieces that may follow ``last`` at a position, the longest first."""
         ids, apart = self.v.ids, self.apart
         bound = last is not None and last in ids
-        for end in range(min(len(text), at + self.v.longest), at, -1):
+        for n in self.lengths.get(text[at : at + 3], (2, 1)):
+            end = at + n
+            if end > len(text):
+                continue
             piece = text[at:end]
             if piece in ids:
                 if bound:
@@ -212,6 +220,42 @@ class Coder:
             options.append(self._after(text, at, piece))
         raise ValueError("no path between these states")
 
+    def _pieces(self, text: str) -> list[str]:
+        """``path`` of a whole word: the same search, without a generator for each position."""
+        ids, apart, lengths, size = self.v.ids, self.apart, self.lengths, len(text)
+        out, tried, dead = [], [], set()
+        at, last, k = 0, None, 0
+        while True:
+            ways, found = lengths.get(text[at : at + 3], (2, 1)), False
+            while k < len(ways):
+                n = ways[k]
+                k += 1
+                end = at + n
+                if end > size:
+                    continue
+                piece = text[at:end]
+                if piece in ids:
+                    if last is not None and last in ids:
+                        known = apart.get((last, piece))
+                        if not (self.stay_apart(last, piece) if known is None else known):
+                            continue
+                elif n > 1:
+                    continue
+                if not dead or (end, piece) not in dead:
+                    found = True
+                    break
+            if found:
+                out.append(piece)
+                if end == size:
+                    return out
+                tried.append(k)
+                at, last, k = end, piece, 0
+                continue
+            piece = out.pop()
+            dead.add((at, piece))
+            at, k = at - len(piece), tried.pop()
+            last = out[-1] if out else None
+
     def _word(self, block: str) -> tuple[int, ...]:
         core = block.lstrip(BLANK)
         if block == "\n":
@@ -221,7 +265,7 @@ class Coder:
         else:
             run = len(block) - len(core)
             core = BLANK + core if run else core
-            done = self._opened(max(run - 1, 0), self.path(core, 0, None, len(core)))
+            done = self._opened(max(run - 1, 0), self._pieces(core))
         if len(self.words) > REMEMBERED:
             self.words.clear()
         self.words[block] = found = tuple(done)
@@ -394,9 +438,17 @@ def _lists(values: list[list[int]]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
+def _coder(vocabulary) -> Coder:
+    """The coder of a worker: kept with the value it was sent, so that its next task knows the words."""
+    held = vocabulary.value
+    if "coder" not in held:
+        held["coder"] = Coder(Vocabulary(**held))
+    return held["coder"]
+
+
 def _whole(vocabulary):
     def run(batches):
-        coder = Coder(Vocabulary(**vocabulary.value))
+        coder = _coder(vocabulary)
         for batch in batches:
             texts = batch.column("_content").to_pylist()
             for start in range(0, len(texts), 1000):
@@ -446,7 +498,7 @@ def _load(state: str) -> tuple:
 
 def _transfers(vocabulary):
     def run(batches):
-        coder = Coder(Vocabulary(**vocabulary.value))
+        coder = _coder(vocabulary)
         for batch in batches:
             rows = []
             for parts in _parts(batch):
@@ -472,7 +524,7 @@ def _scan(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _traced(vocabulary):
     def run(batches):
-        coder = Coder(Vocabulary(**vocabulary.value))
+        coder = _coder(vocabulary)
         for batch in batches:
             states = batch.column("state").to_pylist(), batch.column("goal").to_pylist()
             ids = [
@@ -503,7 +555,7 @@ def encode(
     """
     if chunk < 1:
         raise ValueError("chunk must be at least 1")
-    sent = docs.sparkSession.sparkContext.broadcast(vars(vocabulary))
+    sent = docs.sparkSession.sparkContext.broadcast(dict(vars(vocabulary)))
     text = F.coalesce(F.col(text_column), F.lit(""))
     own = docs.select(F.col(id_column).alias("_id"), F.xxhash64(text).alias("_text"), text.alias("_content"))
     kind = own.schema["_id"].dataType.simpleString()
@@ -549,7 +601,7 @@ def encode(
 
 def _texts(vocabulary, kept: list[str]):
     def run(batches):
-        coder = Coder(Vocabulary(**vocabulary.value))
+        coder = _coder(vocabulary)
         for batch in batches:
             ids = batch.column("ids")
             flat, offsets = ids.flatten().to_numpy(zero_copy_only=False).tolist(), ids.offsets.to_pylist()
@@ -570,7 +622,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     Byte pieces that are no UTF-8 become replacement characters, as in the library.
     """
-    sent = encoded.sparkSession.sparkContext.broadcast(vars(vocabulary))
+    sent = encoded.sparkSession.sparkContext.broadcast(dict(vars(vocabulary)))
     kept = [c for c in encoded.columns if c not in ("ids", "text")]
     own = encoded.select(
         *[F.col(f"`{c}`") for c in kept],
