@@ -44,7 +44,7 @@ def exact_groups(
     Returns ``doc_id, keep_id, group_size, kept, text_sha256, n_chunks``, one row per
     document. Null texts are empty texts, and empty texts are equal to each other. Rows with
     the same id and text are one document (with ``each_row`` one each, as many as there are,
-    counted and returned); the same id with other texts are several. A null
+    counted and returned, of which one is kept); the same id with other texts are several. A null
     id is smaller than any other. Other columns are ignored. ``chunk_name`` may be any
     function of a chunk: names need not be free of collisions.
     """
@@ -57,13 +57,16 @@ def exact_groups(
         F.posexplode_outer(chunks_of(F.col("text"))).alias("at", "chunk"),
     ).withColumn("name", chunk_name(F.col("chunk")))
 
-    distinct = rows.where("chunk is not null").select("name", "chunk").distinct()
-    shared = distinct.groupBy("name").count().where("count > 1").select("name")
-    # names of unequal chunks: practically none, so a table of known, tiny size
+    chunks = rows.where("chunk is not null").select("name", "chunk")
+    # names of unequal chunks: practically none, so a table of known, tiny size, and no chunk
+    # is moved again for the join with it
+    shared = written(
+        chunks.distinct().groupBy("name").count().where("count > 1").select("name")
+    )
     numbered = written(
-        distinct.join(shared, "name").withColumn(
-            "number", F.row_number().over(Window.partitionBy("name").orderBy("chunk"))
-        )
+        chunks.join(shared, "name")
+        .distinct()
+        .withColumn("number", F.row_number().over(Window.partitionBy("name").orderBy("chunk")))
     )
 
     recipes = (
@@ -89,6 +92,7 @@ def exact_groups(
         .where("group_size > 1")
     )
     grouped = recipes.join(groups, "recipe", "left")
+    first = F.lit(True)
     if each_row:
         # in two steps, so that no array grows with the number of copies
         blocks = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / COPIES))
@@ -96,13 +100,16 @@ def exact_groups(
         grouped = grouped.withColumn("block", F.explode(blocks)).withColumn(
             "copy", F.explode(F.sequence(F.lit(1), left.cast("int")))
         )
+        first = (F.col("block") == 0) & (F.col("copy") == 1)
     return grouped.select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id"))
         .otherwise(F.col("keep_id"))
         .alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (F.col("group_size").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
+        (
+            first & (F.col("group_size").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        ).alias("kept"),
         "text_sha256",
         "n_chunks",
     )

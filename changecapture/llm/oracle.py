@@ -43,7 +43,8 @@ WITH texts AS (
 )
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,
   count(*) OVER (PARTITION BY t) AS group_size,
-  doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+  sha256(t) AS text_sha256
 FROM texts
 """
 

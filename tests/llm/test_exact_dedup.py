@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from changecapture.llm.exact_dedup import chunks_of, exact_groups
 from changecapture.llm.queries import op8_exact_dedup
+from conftest import plan
 
 SCHEMA = "doc_id long, text string, keep_id int, at string"
 
@@ -63,6 +64,14 @@ def test_chunks_are_the_text(spark, text):
     assert all(len(p) > 1024 for p in parts[:-1])
 
 
+def test_chunk_texts_are_shuffled_once(spark):
+    rows = [(i, "Same. Text\n" * 400 + str(i)) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    text = plan(exact_groups(docs), "simple")
+    # the result joins tables that hold recipes, no chunk texts
+    assert "chunk#" not in text and "Python" not in text
+
+
 def test_the_query_returns_and_counts_each_row(spark, tmp_path):
     rows = [(None, "x")] * 5000 + [(9, "X"), (14, "Row"), (14, "row"), (None, None), (None, ""), (1, "alone")]
     long_ = "Same. Text\n" * 900
@@ -72,3 +81,5 @@ def test_the_query_returns_and_counts_each_row(spark, tmp_path):
     got = done.groupBy("doc_id", "keep_id", "group_size").count().collect()
     want = {(None, 9, 5001, 5000), (9, 9, 5001, 1), (14, 14, 2, 2), (None, None, 2, 2), (1, 1, 1, 1), (2, 3, 3, 2), (3, 3, 3, 1)}
     assert set(map(tuple, got)) == want
+    kept = done.where("kept").groupBy("text_sha256", "doc_id").count().collect()
+    assert sorted((r["doc_id"] or 0, r["count"]) for r in kept) == [(0, 1), (1, 1), (3, 1), (9, 1), (14, 1)]
