@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+from changecapture.llm import suffix_dedup
 from changecapture.llm.suffix_dedup import Anchors, cut, drop_repeated_bytes
 
 SCHEMA = "doc_id long, text string, at int, _id string"
@@ -84,3 +85,23 @@ def test_cut():
     assert cut(b"0123", [0], [4]) == (4, 1, b"")
     assert cut(b"0123", [], []) == (0, 0, b"0123")
     assert cut(b"0123456", [1, 3], [3, 5]) == (4, 1, b"056")
+
+
+def test_rows_that_repeat_are_compared_once(spark):
+    """A row with many copies gives its surroundings to the task of a seed once."""
+    texts = corpus(40)
+    texts += [texts[8]] * 600
+    ids = [*range(len(texts) - 600), *[8] * 600]
+    got = run(spark, texts, 40, 13, ids)
+    assert sorted(got) == sorted((i, *x) for i, x in zip(ids, brute(texts, 40), strict=True))
+
+
+def test_adjacent_copies_are_read_once():
+    import pyarrow as pa
+    import zstandard
+
+    text = b"0123456789" * 8
+    wanted = [{"seed": 1, "classes": 2, "n": 1, "o1": 3, "o2": 4, "d_lo": 0, "d_hi": 0, "at": 0}]
+    batch = pa.RecordBatch.from_pylist([{"packed": zstandard.compress(text), "wanted": wanted}] * 50)
+    out = list(suffix_dedup._contents(40)([batch, batch]))
+    assert sum(b.num_rows for b in out) == 1 and out[0].column("content")[0].as_py() == text[:40]
