@@ -93,12 +93,17 @@ def packed(own: DataFrame) -> DataFrame:
 def without(
     docs: DataFrame, gone: DataFrame, id_column: str, text_column: str, once: bool = False
 ) -> DataFrame:
-    """``docs`` but for those in ``gone`` (``_id, _text``); with ``once`` one row of an id and text."""
-    key = doc_key(id_column, text_column)[:2]
-    gone = gone.select(F.struct("_id", "_text").alias("_key"))
-    rows = docs.select("*", F.struct(*key).alias("_key"))
-    kept = rows.join(gone, "_key", "left_anti")
-    return (kept.dropDuplicates(["_key"]) if once else kept).drop("_key")
+    """``docs`` but for those in ``gone`` (``_id, _text``); with ``once`` one row of an id and text.
+
+    ``docs`` may have any other columns: their names never clash with the ones used here.
+    """
+    id_, text, _ = doc_key(id_column, text_column)
+    taken = {c.lower() for c in docs.columns}
+    key = next(k for k in ("_key" + "_" * n for n in range(len(taken) + 1)) if k not in taken)
+    gone = gone.select(F.struct("_id", "_text").alias(key))
+    rows = docs.select("*", F.struct(id_, text).alias(key))
+    kept = rows.join(gone, key, "left_anti")
+    return (kept.dropDuplicates([key]) if once else kept).drop(key)
 
 
 def same_doc(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:

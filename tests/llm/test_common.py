@@ -30,3 +30,12 @@ def test_clean_rows_that_repeat_stay(spark):
     bench = spark.createDataFrame([(7, ONE)], "item_id long, text string")
     docs = frame(spark, [(None, ONE), (3, TWO), (3, TWO), (None, TWO), (None, TWO)])
     assert drop_contaminated(docs, bench).count() == 4
+
+
+def test_extra_columns_may_have_any_name(spark):
+    rows = [(1, ONE, "a", "b", "c"), (2, ONE, "a", "b", "c"), (3, TWO, "a", "b", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string, _Key_ string, _text string")
+    assert drop_near_duplicates(docs).columns == docs.columns
+    assert sorted(r.doc_id for r in drop_near_duplicates(docs).collect()) == [1, 3]
+    bench = spark.createDataFrame([(7, ONE)], "item_id long, text string")
+    assert drop_contaminated(docs, bench).collect() == [(3, TWO, "a", "b", "c")]
