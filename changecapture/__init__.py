@@ -55,6 +55,7 @@ from changecapture.tables.catalog import (
     mirror_ddl,
     refresh,
 )
+from changecapture.tables.claims import ClaimLost, TableBusy
 from changecapture.tables.store import append_delta, swap_mirror, write_dataset, write_mirror
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -37,6 +37,7 @@ from changecapture.operators.guards import (
 )
 from changecapture.sources.read import read_snapshot, read_table
 from changecapture.tables import catalog, parts, store
+from changecapture.tables.claims import Claim, claimed
 from changecapture.tables.names import identifier, partition_spec
 
 class JobAlreadyFinished(ValueError):
@@ -266,13 +267,21 @@ def build_delta(
     load and for the write, and twice more with ``narrow_first``. Land a database table
     before, as ``ingest_jdbc`` does. Its columns may come in any order. ``hashed`` stands for it:
     the table that ``land_hashed`` wrote with these settings.
+
+    Of two runs of a table at once, in whatever sessions, one raises ``TableBusy`` and has
+    changed nothing.
     """
-    landed = hashed is not None
-    if landed:
+    if hashed is not None:
         snapshot = hashed.drop(*C.HASHES)
     source = load_source(spark, cfg) if snapshot is None else snapshot
-    version = version_name(cfg.mirror_name, cfg.job_id)
+    with claimed(spark, cfg.mirror_name) as claim:
+        return _build_claimed(spark, cfg, source, hashed, claim)
+
 
+def _build_claimed(
+    spark: SparkSession, cfg: TableConfig, source: DataFrame, hashed: DataFrame | None, claim: Claim
+) -> BuildResult:
+    landed, version = hashed is not None, version_name(cfg.mirror_name, cfg.job_id)
     now = catalog.versions(spark, cfg.mirror_name)
     if now:
         store.drop_outdated(spark, cfg.mirror_name)
@@ -339,6 +348,7 @@ def build_delta(
         parts.drop_version(spark, cfg.mirror_name, version, (now.current, now.previous))
         raise
 
+    claim.commit()
     ordered = written.select(*[F.col(quoted(c)) for c in rows.columns])
     store.append_delta(delta_of(ordered), cfg.table, cfg.job_id)
     store.swap_mirror(spark, cfg.mirror_name, cfg.job_id)

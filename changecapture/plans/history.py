@@ -18,6 +18,7 @@ from changecapture.operators.guards import DuplicateKeys
 from changecapture.plans.build import BuildResult, _begin, _refuse_finished, create_objects, hash_source
 from changecapture.functions.wrap import unwrap
 from changecapture.tables import catalog, store
+from changecapture.tables.claims import Claim, claimed
 
 _DAY, _BORN, _SHOWN, _NEXT, _LABELS = "__day", "__born", "__shown", "__next", "__labels"
 
@@ -124,7 +125,13 @@ def replay_at_once(
         return []
     if not cfg.inline or cfg.on_duplicates != "fail" or cfg.buckets or cfg.keys_first:
         raise ConfigError(f"{cfg.table}: replay_at_once takes inline tables without further settings")
-    cfg = replace(cfg, job_id=days[-1][0])
+    with claimed(spark, cfg.mirror_name) as claim:
+        return _replay_claimed(spark, replace(cfg, job_id=days[-1][0]), days, claim)
+
+
+def _replay_claimed(
+    spark: SparkSession, cfg: TableConfig, days: list[tuple[str, DataFrame]], claim: Claim
+) -> list[BuildResult]:
     jobs, version = [job for job, _ in days], version_name(cfg.mirror_name, days[-1][0])
     now = catalog.versions(spark, cfg.mirror_name)
     if now is None:
@@ -156,6 +163,7 @@ def replay_at_once(
         last = done.where(F.col(_DAY) == len(days)).select(*columns)
         rebalance = cfg.table_type == "fact"
         store.write_mirror(last, cfg.mirror_name, cfg.job_id, rebalance=rebalance)
+        claim.commit()
         for number, job in enumerate(jobs, 1):
             own = done.where((F.col(_DAY) == number) & (F.col(C.ACT) != C.STATIONARY))
             store.append_delta(own.select(*columns), cfg.table, job)

@@ -16,6 +16,8 @@ SETTINGS = {
     # each task writes at most a few partition directories (job x label): keep their
     # files open side by side instead of sorting the wide rows by directory first
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # tables of a batch share the executors evenly instead of first come, first served
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
 }
 

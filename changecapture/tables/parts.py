@@ -45,20 +45,20 @@ def _folder(spark: SparkSession, mirror: str, version: str, kind: str = "rows")
     return f"{files_root(spark, mirror)}/{kind}/{version.split('.')[-1]}"
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """Hadoop path and its file system."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found, found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    found, files = _path(spark, path)
+    found, files = hadoop_path(spark, path)
     files.delete(found, True)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether a dataset was written to its end."""
-    found, files = _path(spark, f"{path}/_SUCCESS")
+    found, files = hadoop_path(spark, f"{path}/_SUCCESS")
     return files.exists(found)
 
 

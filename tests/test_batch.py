@@ -40,6 +40,33 @@ def test_a_failing_table_does_not_stop_the_others(spark, db, folder):
     assert spark.table(f"{db}.fine").count() == 1
 
 
+def test_tables_have_pools_and_the_largest_begin_first(spark, db, folder):
+    sizes = {"small": 10, "large": 30_000, "middle": 3_000}
+    seen = []
+
+    def extract(name):
+        def rows(spark):
+            pool = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+            seen.append((name, pool))
+            return spark.range(sizes[name]).selectExpr("cast(id as int) id", "md5(string(id)) v")
+
+        return rows
+
+    for day in ("d1", "d2"):
+        seen.clear()
+        steps = [
+            DeltaStep(TableConfig(f"{db}.{n}", "id", job_id=day), extract(n), f"{folder}/{n}", day)
+            for n in sizes
+        ]
+        steps.append(step(db, folder, f"bad_{day}", [(1, "a"), (1, "b")], day))
+        with pytest.raises(BatchFailed, match="1 of 4 tables failed") as caught:
+            run_batch(spark, steps, parallel=1)
+        assert set(caught.value.done) == {f"{db}.{n}" for n in sizes}
+        assert sorted(seen) == sorted((n, f"{db}.{n}") for n in sizes)
+    assert [n for n, _ in seen] == ["large", "middle", "small"]
+    assert spark.conf.get("spark.scheduler.mode") == "FAIR"
+
+
 def test_a_batch_names_every_table_once(spark, db, folder):
     with pytest.raises(ValueError, match="more than one step"):
         run_batch(spark, [step(db, folder, "x", []), step(db, folder, "X", [])])
