@@ -38,6 +38,7 @@ from changecapture.plans.build import (
     create_objects,
     run,
 )
+from changecapture.plans.compaction import IncompletePeriod, compact_delta, drop_rolled
 from changecapture.plans.history import history, replay_at_once
 from changecapture.plans.landing import land_hashed
 from changecapture.sources.ingest import ingest_jdbc, land_partition, read_jdbc
@@ -56,6 +57,7 @@ from changecapture.tables.catalog import (
     refresh,
 )
 from changecapture.tables.claims import ClaimLost, TableBusy
+from changecapture.tables.periods import job_statistics, read_delta
 from changecapture.tables.store import append_delta, swap_mirror, write_dataset, write_mirror
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -36,7 +36,7 @@ from changecapture.operators.guards import (
     require_unique,
 )
 from changecapture.sources.read import read_snapshot, read_table
-from changecapture.tables import catalog, parts, store
+from changecapture.tables import catalog, parts, periods, store
 from changecapture.tables.claims import Claim, claimed
 from changecapture.tables.names import identifier, partition_spec
 
@@ -125,11 +125,11 @@ def _counts(found: dict[str, int]) -> dict[str, int]:
 def _has_run(spark: SparkSession, cfg: TableConfig) -> bool:
     if not spark.catalog.tableExists(cfg.delta_name):
         return False
-    parts = spark.sql(
+    found = spark.sql(
         f"SHOW PARTITIONS {identifier(cfg.delta_name)} "
         f"PARTITION ({partition_spec({C.JOB: cfg.job_id})})"
     )
-    return bool(parts.take(1))
+    return bool(found.take(1)) or periods.is_rolled(spark, cfg, cfg.job_id)
 
 
 def _refuse_finished(

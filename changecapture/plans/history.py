@@ -17,7 +17,7 @@ from changecapture.operators.classify import NEW_COPY, assign_nk
 from changecapture.operators.guards import DuplicateKeys
 from changecapture.plans.build import BuildResult, _begin, _refuse_finished, create_objects, hash_source
 from changecapture.functions.wrap import unwrap
-from changecapture.tables import catalog, store
+from changecapture.tables import catalog, periods, store
 from changecapture.tables.claims import Claim, claimed
 
 _DAY, _BORN, _SHOWN, _NEXT, _LABELS = "__day", "__born", "__shown", "__next", "__labels"
@@ -173,7 +173,7 @@ def _replay_claimed(
 
 
 def _of(spark: SparkSession, cfg: TableConfig, job: str) -> BuildResult:
-    delta = spark.table(cfg.delta_name).where(F.col(C.JOB) == job)
+    delta = periods.read_delta(spark, cfg, [job])
     counts = {r[C.ACT]: r["count"] for r in delta.groupBy(C.ACT).count().collect()}
     counts = {act: counts.get(act, 0) for act in (C.INSERT, C.UPDATE, C.DELETE)}
     return BuildResult(cfg.table, job, delta, spark.table(cfg.mirror_name), counts)

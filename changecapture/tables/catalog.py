@@ -88,7 +88,7 @@ class Versions:
     pending: str | None = None
 
 
-def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+def properties(spark: SparkSession, name: str) -> dict[str, str]:
     rows = spark.sql(f"SHOW TBLPROPERTIES {identifier(name)}").collect()
     return {r["key"]: r["value"] for r in rows}
 
@@ -97,15 +97,15 @@ def versions(spark: SparkSession, mirror: str) -> Versions | None:
     """What the mirror view shows, showed before, and has to be tidied up; None without one."""
     if not spark.catalog.tableExists(mirror):
         return None
-    properties = _properties(spark, mirror)
-    if CURRENT not in properties:
+    found = properties(spark, mirror)
+    if CURRENT not in found:
         raise ConfigError(f"{mirror} exists and is not a mirror of this library")
-    return Versions(properties[CURRENT], *(properties.get(p) for p in (PREVIOUS, OUTDATED, PENDING)))
+    return Versions(found[CURRENT], *(found.get(p) for p in (PREVIOUS, OUTDATED, PENDING)))
 
 
 def replaying(spark: SparkSession, mirror: str) -> list[str]:
     """Jobs of a replay at once that broke off."""
-    return json.loads(_properties(spark, mirror).get(REPLAY, "[]"))
+    return json.loads(properties(spark, mirror).get(REPLAY, "[]"))
 
 
 def mark(spark: SparkSession, mirror: str, name: str, value: str | None) -> None:
@@ -132,12 +132,12 @@ def point_at(
     names = spark.table(version).columns
     front = [n for n in C.ADDED if n in names and n != C.ACT]
     shown = front + [n for n in names if not C.is_added(n)]
-    properties = {CURRENT: version}
+    given = {CURRENT: version}
     if previous:
-        properties[PREVIOUS] = previous
+        given[PREVIOUS] = previous
     if outdated:
-        properties[OUTDATED] = outdated
-    pairs = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in properties.items())
+        given[OUTDATED] = outdated
+    pairs = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in given.items())
     # the label is a partition column, so deleted rows are pruned and never read
     gone = f" WHERE {quoted(C.ACT)} <> {literal(C.DELETE)}" if C.ACT in names else ""
     spark.sql(
@@ -238,7 +238,7 @@ def linked(spark: SparkSession, mirror: str) -> dict | None:
     view = mirror.removesuffix("_nklink")
     if view == mirror or not spark.catalog.tableExists(view):
         return None
-    parts = json.loads(_properties(spark, view).get(LINK, "null"))
+    parts = json.loads(properties(spark, view).get(LINK, "null"))
     return parts if parts and parts["link"] == mirror else None
 
 
@@ -291,12 +291,21 @@ def add_partition(
     add_partitions(spark, table, [(spec, location)])
 
 
-def drop_partition(spark: SparkSession, table: str, spec: Mapping[str, Any]) -> None:
-    """Unregister a partition; the files of an external table stay."""
-    spark.sql(f"ALTER TABLE {identifier(table)} DROP IF EXISTS PARTITION ({partition_spec(spec)})")
+def drop_partitions(
+    spark: SparkSession, table: str, specs: Iterable[Mapping[str, Any]]
+) -> None:
+    """Unregister partitions, in one catalog call; the files of an external table stay."""
+    clauses = ", ".join(f"PARTITION ({partition_spec(spec)})" for spec in specs)
+    if clauses:
+        spark.sql(f"ALTER TABLE {identifier(table)} DROP IF EXISTS {clauses}")
     refresh(spark, table)
 
 
+def drop_partition(spark: SparkSession, table: str, spec: Mapping[str, Any]) -> None:
+    """Unregister one partition."""
+    drop_partitions(spark, table, [spec])
+
+
 def list_partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {identifier(table)}")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from typing import Any
+from urllib.parse import unquote
 
 # Characters a partition directory cannot show as they are (fixed values; file systems
 # and the catalog agree on them).
@@ -37,3 +38,9 @@ def partition_folder(column: str, value: Any) -> str:
         f"%{ord(ch):02X}" if ch in _ESCAPED or ord(ch) < 32 else ch for ch in str(value)
     )
     return f"{column}={shown}"
+
+
+def partition_values(path: str) -> dict[str, str]:
+    """Values that a partition's directories show."""
+    pairs = (folder.partition("=") for folder in path.split("/"))
+    return {unquote(name): unquote(value) for name, _, value in pairs}

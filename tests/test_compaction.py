@@ -1,0 +1,177 @@
+"""Closed jobs of a delta in periods: same rows, few files, reads that skip periods."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+import pytest
+from conftest import plan
+from pyspark.sql import functions as F
+
+from changecapture import (
+    ConfigError,
+    JobAlreadyFinished,
+    TableBusy,
+    TableConfig,
+    build_delta,
+    compact_delta,
+    drop_rolled,
+    job_statistics,
+    read_delta,
+    replay,
+    replay_at_once,
+)
+from changecapture.tables import catalog, periods
+from changecapture.tables.claims import claimed
+
+SCHEMA = "id int, kind string, v string"
+
+
+def days(spark, numbers, unchanged=()):
+    """Each day a key comes, one changes and one goes; an unchanged day is its predecessor."""
+    out = []
+    for n in numbers:
+        m = n - 1 if n in unchanged else n
+        rows = [(i, "k", f"{m}" if i == m + 1 else "v") for i in range(m, m + 6)]
+        out.append((f"j{n:03}", spark.createDataFrame(rows, SCHEMA)))
+    return out
+
+
+def rows_of(df):
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+@pytest.mark.parametrize("inline", [True, False])
+def test_same_rows_and_statistics(spark, db, inline):
+    cfg = TableConfig(f"{db}.t", "id,kind", job_id="x")
+    if not inline:
+        cfg = replace(cfg, inline=False, partition_columns="day")
+        every = days(spark, range(6), unchanged=(2,))
+        rows = [(*r, j) for j, d in every for r in d.collect()]
+        spark.createDataFrame(rows, f"{SCHEMA}, day string").write.partitionBy("day").saveAsTable(
+            cfg.source_name
+        )
+        for job, _ in every:
+            build_delta(spark, replace(cfg, job_id=job, partition_values={"day": job}))
+    else:
+        replay(spark, cfg, days(spark, range(6), unchanged=(2,)))
+    before = rows_of(spark.table(cfg.delta_name))
+    assert rows_of(read_delta(spark, cfg)) == before and job_statistics(spark, cfg) is None
+
+    assert compact_delta(spark, cfg, "p0", ["j001", "j000", "j002"]) == ["j000", "j001", "j002"]
+    # the partitions are still there for queries planned before
+    assert rows_of(spark.table(cfg.delta_name)) == before == rows_of(read_delta(spark, cfg))
+    assert compact_delta(spark, cfg, "p1") == ["j003", "j004"]
+    assert rows_of(read_delta(spark, cfg)) == before == rows_of(spark.table(f"{db}.t_delta_all"))
+    drop_rolled(spark, cfg)
+    assert periods.open_jobs(spark, cfg) == ["j005"]
+    assert rows_of(read_delta(spark, cfg)) == before
+    assert compact_delta(spark, cfg, "p2") == []
+
+    told = {r.DWSJOB: (r.DWSPERIOD, r.rows, r.inserted, r.updated, r.deleted)
+            for r in job_statistics(spark, cfg).collect()}
+    assert told["j000"] == ("p0", 6, 6, 0, 0) and told["j002"] == ("p0", 0, 0, 0, 0)
+    assert sorted(told) == ["j000", "j001", "j002", "j003", "j004"]
+    for jobs in (["j002"], ["j001"], ["j001", "j005", "j004", "none"], ["j005"], []):
+        wanted = [r for r in before if any(f"DWSJOB='{j}'" in r for j in jobs)]
+        assert rows_of(read_delta(spark, cfg, jobs)) == wanted
+
+
+def test_reads_skip_periods(spark, db):
+    cfg = TableConfig(f"{db}.t", "id,kind", job_id="x")
+    replay_at_once(spark, cfg, days(spark, range(7)))
+    for n, jobs in enumerate((["j000", "j001"], ["j002", "j003"], ["j004"])):
+        compact_delta(spark, cfg, f"p{n}", jobs)
+    drop_rolled(spark, cfg)
+    # the view, asked for one job, keeps the branch of its period
+    view = spark.table(f"{db}.t_delta_all").where("DWSJOB = 'j003'")
+    text = plan(view)
+    scans = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+    assert [s for s in scans if "DWSPERIOD" in s] == [s for s in scans if "= p1" in s] != []
+    assert len([s for s in scans if "DWSPERIOD" in s]) == 1
+    assert "GreaterThanOrEqual(DWSJOB" in text or "EqualTo(DWSJOB,j003)" in text
+    # the reader finds the periods by the statistics
+    text = plan(read_delta(spark, cfg, ["j000", "j004"]))
+    scans = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+    assert any("p0" in s and "p2" in s and "p1" not in s for s in scans)
+    assert "In(DWSJOB, [j000,j004])" in text
+
+
+def test_files_follow_bytes(spark, db):
+    cfg = TableConfig(f"{db}.t", "id", job_id="x")
+    build_delta(spark, replace(cfg, job_id="a"), days(spark, [0])[0][1])
+    one = spark.table(cfg.delta_name).where("id = 0").first().asDict() | {"DWSJOB": None}
+    thousand = spark.range(1000).select(
+        *[F.lit(one[c]).cast(t).alias(c) for c, t in spark.table(cfg.delta_name).dtypes if c != "DWSJOB"],
+        F.format_string("b%04d", "id").alias("DWSJOB"),
+    )
+    thousand.coalesce(1).write.mode("append").insertInto(cfg.delta_name)
+    before = rows_of(spark.table(cfg.delta_name))
+    every = [j for j in periods.open_jobs(spark, cfg) if j != "a"]
+    assert len(every) == 1000
+    assert compact_delta(spark, cfg, "p") == every
+    drop_rolled(spark, cfg)
+    assert rows_of(read_delta(spark, cfg)) == before
+    assert len(spark.table(periods.rolled_name(cfg)).inputFiles()) <= 4
+    assert periods.open_jobs(spark, cfg) == ["a"]
+    assert rows_of(read_delta(spark, cfg, ["b0777"])) == [r for r in before if "b0777" in r]
+
+
+def test_rolled_jobs_stay_finished(spark, db):
+    cfg = TableConfig(f"{db}.t", "id,kind", job_id="x")
+    every = days(spark, range(5))
+    done = replay_at_once(spark, cfg, every)
+    before = [rows_of(d.delta) for d in done]
+    compact_delta(spark, cfg, "p0")
+    drop_rolled(spark, cfg)
+    with pytest.raises(JobAlreadyFinished):
+        build_delta(spark, replace(cfg, job_id="j001"), every[1][1])
+    # a finished replay run again gives what it gave
+    assert [rows_of(d.delta) for d in replay_at_once(spark, cfg, every)] == before
+    build_delta(spark, replace(cfg, job_id="j005"), days(spark, [5])[0][1])
+    assert len(periods.open_jobs(spark, cfg)) == 2
+    with pytest.raises(ConfigError):
+        compact_delta(spark, cfg, "p0")
+    for job in ("j005", "j001", "none"):
+        with pytest.raises(ConfigError):
+            compact_delta(spark, cfg, "p1", [job])
+    with claimed(spark, cfg.mirror_name), pytest.raises(TableBusy):
+        compact_delta(spark, cfg, "p1")
+    assert compact_delta(spark, cfg, "p1") == ["j004"]
+
+
+def test_a_broken_off_compaction_is_repeated(spark, db, monkeypatch):
+    cfg = TableConfig(f"{db}.t", "id,kind", job_id="x")
+    replay(spark, cfg, days(spark, range(4)))
+    before = rows_of(spark.table(cfg.delta_name))
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    for step in ("show", "rows_of_period"):
+        with monkeypatch.context() as patch:
+            patch.setattr(periods, step, fail)
+            with pytest.raises(RuntimeError):
+                compact_delta(spark, cfg, "p0", ["j000", "j001", "j002"])
+        assert rows_of(read_delta(spark, cfg)) == before
+    compact_delta(spark, cfg, "p0", ["j000", "j001"])
+    with monkeypatch.context() as patch:
+        patch.setattr(catalog, "drop_partitions", fail)
+        with pytest.raises(RuntimeError):
+            drop_rolled(spark, cfg)
+    assert rows_of(read_delta(spark, cfg)) == before
+    drop_rolled(spark, cfg)
+    assert rows_of(read_delta(spark, cfg)) == before
+    assert periods.open_jobs(spark, cfg) == ["j002", "j003"]
+
+
+def test_odd_names(spark, db):
+    cfg = TableConfig(f"{db}.t", "id,kind", job_id="x")
+    names = ["2024-01-01T10:00:00", "a=b/c d", "50%", "it's ü"]
+    replay(spark, cfg, [(j, d) for j, (_, d) in zip(names, days(spark, range(4)), strict=True)])
+    before = rows_of(spark.table(cfg.delta_name))
+    assert compact_delta(spark, cfg, "1=2/3's %") == sorted(names[:3])
+    drop_rolled(spark, cfg)
+    assert rows_of(read_delta(spark, cfg)) == before
+    assert periods.open_jobs(spark, cfg) == names[3:]
+    assert read_delta(spark, cfg, names[1:2]).count() == 4

@@ -368,6 +368,16 @@ def oracle_sql() -> dict[str, str]:
         "run_batch": _batch(),
         "replay_days": _replay(),
         "replay_at_once": _replay(),
+        "compact_delta": _replay(),
+        "read_delta_rolled": f"SELECT * FROM ({_replay()}) WHERE \"DWSJOB\" <> '{FIRST}'",
+        "job_statistics": (
+            f"SELECT '{FIRST}' AS \"DWSJOB\", count(*) AS rows, count(*) AS inserted, "
+            "CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS deleted, "
+            "'period-0' AS \"DWSPERIOD\" FROM orders "
+            f"UNION ALL SELECT '{SECOND}', count(*), count(*) FILTER ({label} = 'I'), "
+            f"count(*) FILTER ({label} = 'U'), count(*) FILTER ({label} = 'D'), 'period-0' FROM ("
+            f"{_rows('orders', 'IUD', fact=True)})"
+        ),
         "build_delta_landed": _rows("customer", "IUD"),
         "duplicate_keys": (
             f"SELECT {keys}, count(*) AS copies FROM lineitem GROUP BY {keys} HAVING count(*) > 1"

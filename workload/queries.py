@@ -623,7 +623,7 @@ def run_batch(spark, sf_dir):
     return out
 
 
-def _three_days(spark, sf_dir, replay):
+def _three_days(spark, sf_dir, replay, compact=False, jobs=None):
     cfg = SOURCES["customer"].config(FIRST, f"{work_database(spark)}.customer")
     days = [
         (FIRST, today(spark, sf_dir, "customer")),
@@ -631,7 +631,10 @@ def _three_days(spark, sf_dir, replay):
         (THIRD, today(spark, sf_dir, "customer")),
     ]
     replay(spark, cfg, days)
-    return spark.table(cfg.delta_name).select(
+    if compact:
+        cc.compact_delta(spark, cfg, "period-0")
+        cc.drop_rolled(spark, cfg)
+    return cc.read_delta(spark, cfg, jobs).select(
         C.JOB, C.ACT, C.NK, "c_custkey", "c_mktsegment", "c_acctbal"
     )
 
@@ -646,6 +649,28 @@ def replay_at_once(spark, sf_dir):
     return _three_days(spark, sf_dir, cc.replay_at_once)
 
 
+@query
+def compact_delta(spark, sf_dir):
+    """The first two of three days are rolled into a period; the view shows all three."""
+    return _three_days(spark, sf_dir, cc.replay, compact=True)
+
+
+@query
+def read_delta_rolled(spark, sf_dir):
+    """One rolled job and the open one, found by the statistics of the jobs."""
+    return _three_days(spark, sf_dir, cc.replay, compact=True, jobs=(SECOND, THIRD))
+
+
+@query
+def job_statistics(spark, sf_dir):
+    cfg = SOURCES["orders"].config(FIRST, f"{work_database(spark)}.orders", table_type="fact")
+    first, second = _days(spark, sf_dir, "orders")
+    for job, day in ((FIRST, first), (SECOND, second), (THIRD, second)):
+        cc.build_delta(spark, replace(cfg, job_id=job), day)
+    cc.compact_delta(spark, cfg, "period-0")
+    return cc.job_statistics(spark, cfg)
+
+
 @query
 def build_delta_landed(spark, sf_dir):
     """Both days land hashed, in the buckets of the mirror."""
