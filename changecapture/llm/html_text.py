@@ -1,16 +1,22 @@
 """Main text of web pages: page structure, and a suffix array of each host for what it leaves open.
 
-A page is read as a stream of tags and text and cut into blocks. What the markup names
-(article and main; navigation, footers, forms, adverts, comments, ...) is decided by the
-markup. Repetition alone could not: copies of an article on one host are article text, and
-the menu of a host with one page repeats nowhere.
-
-Where a page has no marked main part, its unmarked blocks are judged by their host: the token
-streams of all pages of a host (words, and a token for the container of each block, without
-the marked main parts) are the host's text. A string of ``MIN_TOKENS`` tokens that occurs on
-two distinct pages is boilerplate; strings are named by prefix doubling (1, 2, 4, ... tokens,
-then two overlapping names), and counted by host and name. Tokens that such a string covers
-are removed, and the unique runs are kept.
+A page is read as a stream of tags and text and cut into blocks. What the elements name
+(article and main; navigation, footers, forms, ...) is decided by the elements. Repetition alone
+could not: copies of an article on one host are article text, and the menu of a host with one
+page repeats nowhere. Names in a class or id (adverts, comments, sidebars, ...) are hints:
+
+* a hint counts if the whole name says so (``ad-box``, ``comment-list``), not if a word of it
+  does (``has-sidebar``, ``share-price-table``);
+* it never removes a main element, nor the main part inside the element it is on: an article in
+  or with a hint is taken where the page has no other main part;
+* where hints leave a page without any text, the blocks they are on are judged by their host.
+
+Where a page has no main part, its blocks are judged by their host: the token streams of all pages
+of a host (words, and a token for the container of each block, without the main parts) are the
+host's text. A string of ``MIN_TOKENS`` tokens that occurs on two distinct pages is boilerplate;
+strings are named by prefix doubling (1, 2, 4, ... tokens, then two overlapping names), and
+counted by host and name. Tokens that such a string covers are removed, and the unique runs are
+kept.
 """
 
 from __future__ import annotations
@@ -52,7 +58,10 @@ INLINE = frozenset(
     "span strike strong sub sup time tt u var wbr del".split()
 )
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
-#: Words in a class, id or role that mark a container as no part of the main text.
+LINES = frozenset(["p", "li", "dt", "dd"]) | HEADINGS
+#: Elements that end, closed or not, where one of the others begins.
+ENDED = {"p": LINES, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}} | dict.fromkeys(HEADINGS, LINES)
+#: Words in a class, id or role that hint at a container that is no part of the main text.
 MARKS = frozenset(
     "ad ads adv advert advertisement adsense banner promo promotion sponsor sponsored nav "
     "navbar navigation menu menubar breadcrumb breadcrumbs sidebar footer cookie cookies "
@@ -61,10 +70,20 @@ MARKS = frozenset(
     "sharing social related recommended search pagination pager toolbar contentinfo "
     "complementary masthead skip copyright disclaimer".split()
 )
+#: Words that say nothing beside such a word: ``ad-box``, ``comment-list``.
+PLAIN = frozenset(
+    "area article articles bar block body bottom box btn button buttons col column container "
+    "content div element entry form google grid group header holder icon icons inner item items "
+    "js left link links list main middle module news outer page panel post posts primary reader "
+    "readers right row secondary section site slot small stories story text thread title top "
+    "trail user widget widgets wide wrap wrapper x".split()
+)
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-OPEN, KEPT, GONE = 0, 1, 2
+#: Zones of blocks: not named by markup; main part; no main part; a hint says it is none; main
+#: part, but a hint says it is none.
+OPEN, KEPT, GONE, HINTED, DOUBTED = 0, 1, 2, 3, 4
 
 
 @dataclass
@@ -79,18 +98,41 @@ def attributes(rest: str) -> dict[str, str]:
     return {k.lower(): html.unescape(v.strip("\"'")).lower() for k, v in reversed(found)}
 
 
-def marked(rest: str) -> bool:
-    """Whether class, id, role or visibility say that this is no main text."""
+def hints(name: str) -> bool:
+    """Whether a name of a class, id or role as a whole says that this is no main text."""
+    words = [w for w in re.split(r"[^a-z]+", name) if w and w not in PLAIN]
+    return bool(words) and MARKS.issuperset(words)
+
+
+def marked(rest: str) -> int:
+    """What the attributes say: ``GONE`` (not shown), ``HINTED`` (class, id, role), or ``OPEN``."""
     if not rest or "=" not in rest and "hidden" not in rest.lower():
-        return False
+        return OPEN
     own = attributes(rest)
-    names = re.split(r"[^a-z]+", " ".join(own.get(k, "") for k in ("class", "id", "role")))
-    return (
-        not MARKS.isdisjoint(names)
-        or "hidden" in own
+    if (
+        "hidden" in own
         or own.get("aria-hidden") == "true"
         or "display:none" in own.get("style", "").replace(" ", "")
-    )
+    ):
+        return GONE
+    names = " ".join(own.get(k, "") for k in ("class", "id", "role")).split()
+    return HINTED if any(hints(n) for n in names) else OPEN
+
+
+def zone_inside(tag: str, rest: str, outer: int) -> int:
+    """Zone of the content of a container, by its own markup and the zone it is in."""
+    said = marked(rest) if tag not in ("html", "body") else OPEN
+    if GONE in (outer, said) or tag in DROPPED:
+        return GONE
+    if tag in MAIN or "role" in rest.lower() and attributes(rest).get("role") in MAIN:
+        if tag == "main" or said == OPEN:
+            return DOUBTED if outer in (HINTED, DOUBTED) else KEPT
+        return DOUBTED
+    if said == HINTED:
+        return HINTED
+    if tag == "header" and outer == OPEN:
+        return GONE
+    return outer
 
 
 def read(source: str) -> Page:
@@ -101,7 +143,7 @@ def read(source: str) -> Page:
 
     def zone() -> int:
         if inline:
-            return GONE
+            return inline[0][1]
         return stack[-1][1] if stack else OPEN
 
     def flush() -> None:
@@ -134,9 +176,9 @@ def read(source: str) -> Page:
                     inline.pop()
                 elif not closing and inline[-1][0] == tag:
                     inline.append((tag, GONE))
-            elif not closing and marked(found["rest"]):
+            elif not closing and zone() != GONE and (said := marked(found["rest"])):
                 flush()
-                inline.append((tag, GONE))
+                inline.append((tag, said))
             continue
         flush()
         inline.clear()
@@ -152,23 +194,25 @@ def read(source: str) -> Page:
         if tag in CONTAINERS:
             if found["rest"].endswith("/") and tag not in MAIN:
                 continue
-            if outer == GONE or tag in DROPPED or (tag not in ("html", "body") and marked(found["rest"])):
-                inner = GONE
-            elif tag in MAIN or "role" in found["rest"].lower() and attributes(found["rest"]).get("role") in ("main", "article"):
-                inner = KEPT
-            elif tag == "header":
-                inner = outer if outer == KEPT else GONE
-            else:
-                inner = outer
-            stack.append((tag, inner))
-        elif outer != GONE and marked(found["rest"]):
-            stack.append((tag, GONE))
-        elif stack and stack[-1][0] in ("p", "li", *HEADINGS) and stack[-1][1] == GONE and tag in ("p", "li", *HEADINGS):
-            stack.pop()  # a marked paragraph ends where the next begins
+            stack.append((tag, zone_inside(tag, found["rest"], outer)))
+        else:
+            if stack and tag in ENDED.get(stack[-1][0], ()):
+                stack.pop()  # a marked paragraph ends where the next begins
+                outer = stack[-1][1] if stack else OPEN
+            said = marked(found["rest"]) if outer != GONE else OPEN
+            if said:
+                stack.append((tag, said))
     flush()
     return page
 
 
+def chosen(blocks: list[tuple[int, str, list[str]]]) -> tuple[int | None, int]:
+    """Zone of the main part, None if the page has none; and the zone its host then judges."""
+    zones = {zone for zone, _, _ in blocks}
+    main = next((z for z in (KEPT, DOUBTED) if z in zones), None)
+    return main, HINTED if OPEN not in zones else OPEN
+
+
 def host_of(url: str | None) -> str:
     """Host of an address, without a leading ``www.``; empty if there is none."""
     found = re.match(r"\s*(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:\s]*)", url or "", re.I)
@@ -198,23 +242,25 @@ def names(tokens: np.ndarray, length: int) -> np.ndarray:
 
 
 def stream(blocks: list[tuple[int, str, list[str]]]) -> tuple[list[str], list[int]]:
-    """Tokens outside the marked main part, and for each the number of its block (-1: path)."""
+    """Tokens outside the main part, and for each the number of its block (-1: path)."""
     tokens, owner = [], []
+    main, _ = chosen(blocks)
     for i, (zone, path, words) in enumerate(blocks):
-        if zone != KEPT:
+        if main is None or zone != main:
             tokens += ["\0" + path, *words]
             owner += [-1, *[i] * len(words)]
     return tokens, owner
 
 
 def unique_text(blocks, tokens: list[str], owner: list[int], starts: list[int], length: int) -> str:
-    """Words of the open blocks that no repeated string covers."""
+    """Words of the blocks to be judged that no repeated string covers."""
+    _, judged = chosen(blocks)
     covered = np.zeros(len(tokens) + 1, np.int64)
     np.add.at(covered, np.asarray(starts, np.int64), 1)
     np.add.at(covered, np.asarray(starts, np.int64) + length, -1)
     covered = np.cumsum(covered)[:-1] > 0
     return " ".join(
-        t for t, o, c in zip(tokens, owner, covered.tolist(), strict=True) if o >= 0 and not c and blocks[o][0] == OPEN
+        t for t, o, c in zip(tokens, owner, covered.tolist(), strict=True) if o >= 0 and not c and blocks[o][0] == judged
     )
 
 
@@ -227,7 +273,8 @@ def _read(min_tokens: int):
             texts, hosts, found, unsure = [], [], [], []
             for url, source in zip(urls, batch.column("_html").to_pylist(), strict=True):
                 blocks = read(source).blocks
-                main = [" ".join(words) for zone, _, words in blocks if zone == KEPT]
+                zone_of_main, _ = chosen(blocks)
+                main = [" ".join(words) for zone, _, words in blocks if zone == zone_of_main]
                 texts.append(" ".join(main))
                 unsure.append(not main)
                 hosts.append(host_of(url))

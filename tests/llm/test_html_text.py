@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
-from changecapture.llm.html_text import KEPT, extract, host_of, names, codes, read
+from changecapture.llm.html_text import KEPT, codes, extract, hints, host_of, names, read
 
 SCHEMA = "page_id long, url string, html string, text int, host string"
 
@@ -48,6 +50,68 @@ def test_sources(spark, source, text):
     assert run(spark, [(1, "http://h/", source)]) == {(1, "http://h/"): text}
 
 
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<main class='content has-sidebar'><p>a</main>", "a"), ("<main class='sidebar'><p>a</main>", "a"),
+        ("<div class='container no-sidebar'><article>a</article></div>b", "a"),
+        ("<div class='sidebar'><article>a</article></div>b", "a"),
+        ("<article class='post related-topic-2'>a</article>", "a"), ("<article class='promo'>a</article>b", "a"),
+        ("<article><p class='notice-of-motion'>a</p><div class='share-price-table'>b</div></article>", "a b"),
+        ("<article>a<article class='comment'>no</article></article>", "a"),
+        ("<article>a<ol class='comment-list'><li><article>no</article></ol></article>", "a"),
+        ("<article>a<ul><li class=ad><p>no</p><p>no</p></li><li>b</ul></article>", "a b"),
+        ("<article>a<p class=ad>no<p>b<h2 id=related-posts>no</h2><div id=comment-12>no</div></article>", "a b"),
+        ("<div class=related><article>no</article></div><main>a</main>", "a"),
+        ("<div class='ad-box'>no</div><p>a</p>", "a"), ("<div class='promo'><p>a</p></div><nav>no</nav>", "a"),
+        ("<div class='promo'><p hidden>no</p><form>no</form></div>", ""), ("<nav><article>no</article></nav>", ""),
+        ("<article><span class='sub-ad'>a</span> <span id='ads'>no</span></article>", "a"),
+    ],
+)
+def test_hints(spark, source, text):
+    assert run(spark, [(1, "http://h/", source)]) == {(1, "http://h/"): text}
+
+
+def test_names_of_hints():
+    assert all(map(hints, "ad ad-box site-footer comment-list comment-12 cookie_notice left-sidebar".split()))
+    assert not any(map(hints, "has-sidebar top-bar post notice-of-motion share-price-table shadow 12".split()))
+
+
+def test_built_pages_against_brute_force(spark):
+    """Pages whose parts are known as they are built; hosts repeat their unmarked frames."""
+    rng = random.Random(5)
+    words = lambda n: " ".join(rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(n))
+    gone = ["<nav>{}</nav>", "<aside>{}</aside>", "<div class='x ad-box'>{}</div>", "<footer>{}</footer>",
+            "<script>{}</script>", "<!-- {} -->", "<section id=comments><article>{}</article></section>"]
+    rows, wanted, opened = [], {}, {}
+    for host in range(4):
+        frames = [words(12) for _ in range(3)]
+        for i in range(12):
+            key, url = host * 100 + i, f"http://h{host}.org/{i}"
+            source, streams = "", []
+            if rng.random() < 0.5:
+                own = [words(rng.randint(1, 30)) for _ in range(rng.randint(1, 5))]
+                inside = "".join(f"<p>{w}</p>" + rng.choice(gone).format(words(4)) for w in own)
+                box = rng.choice(["article", "main", "div role=main", "main class='has-sidebar'"])
+                source = f"<div class=no-sidebar><{box}>{inside}</{box.split()[0]}></div>"
+                wanted[key] = " ".join(own)
+            for part in rng.sample(frames, 2) + [words(rng.randint(1, 20))]:
+                source += f"<p>{part}</p>"
+                streams += ["\0", *part.split()]
+            rows.append((key, url, source))
+            opened[key] = host, streams
+    for key, (host, tokens) in opened.items():
+        if key in wanted:
+            continue
+        others = {
+            tuple(t[i : i + 5]) for k, (h, t) in opened.items() if h == host and k != key for i in range(len(t) - 4)
+        }
+        hit = [i for i in range(len(tokens) - 4) if tuple(tokens[i : i + 5]) in others]
+        covered = {j for i in hit for j in range(i, i + 5)}
+        wanted[key] = " ".join(t for i, t in enumerate(tokens) if t != "\0" and i not in covered)
+    assert {k: v for (k, _), v in run(spark, rows, min_tokens=5).items()} == wanted
+
+
 def brute(pages, length):
     """Open pages by host: words covered by a string of tokens on two distinct pages go."""
     streams = {}
