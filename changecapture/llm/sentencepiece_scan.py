@@ -16,6 +16,7 @@ the blanks in it, and a matrix only has the few pieces around the cuts.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,6 +36,8 @@ UNKNOWN = -1
 NEVER = 1 << 60
 #: Words, and pairs of pieces, that a task remembers.
 REMEMBERED = 300_000
+#: Lengths of the pieces that may begin anywhere.
+SHORT = (2, 1)
 
 
 @dataclass
@@ -103,14 +106,25 @@ class Coder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.apart: dict[str, dict[str, bool]] = {}  # left piece -> right piece -> answer
+        self.pairs = 0
         self.lives: dict[tuple[str, int], list] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        # lengths of the pieces that begin with three characters, the longest first
-        lengths: dict[str, set[int]] = {}
+        # packed ids of the words met lately, and of those met before them
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # lengths of the pieces that may begin a text, by its first five characters if a piece
+        # of five or more begins with them, else by its first three; the longest first
+        three: dict[str, set[int]] = {}
+        five: dict[str, set[int]] = {}
         for piece in vocabulary.ids:
-            lengths.setdefault(piece[:3], {1, 2}).add(len(piece))
-        self.lengths = {k: tuple(sorted(n, reverse=True)) for k, n in lengths.items()}
+            if len(piece) < 5:
+                three.setdefault(piece[:3], set(SHORT)).add(len(piece))
+            else:
+                five.setdefault(piece[:5], set()).add(len(piece))
+        self.three = {k: tuple(sorted(n, reverse=True)) for k, n in three.items()}
+        self.five = {
+            k: tuple(sorted(n, reverse=True)) + self.three.get(k[:3], SHORT) for k, n in five.items()
+        }
         self.block = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 
     # -- neighbours ------------------------------------------------------------------
@@ -137,8 +151,7 @@ class Coder:
         the end of the left one and not after the end of the right one (of equal merges the
         left comes first).
         """
-        key = (left, right)
-        known = self.apart.get(key)
+        known = self.apart.get(left, {}).get(right)
         if known is None:
             known, rank = True, self.v.rank
             lefts, rights = self._life(left, 1), self._life(right, 0)
@@ -148,26 +161,24 @@ class Coder:
                         r = rank.get(a + b)
                         if r is not None and r < dies_a and r <= dies_b:
                             known = False
-            if len(self.apart) > REMEMBERED:
-                self.apart.clear()
-            self.apart[key] = known
+            if self.pairs > REMEMBERED:
+                self.apart, self.pairs = {}, 0
+            self.apart.setdefault(left, {})[right] = known
+            self.pairs += 1
         return known
 
     def _after(self, text: str, at: int, last: str | None) -> Iterator[str]:
         """Pieces that may follow ``last`` at a position, the longest first."""
-        ids, apart = self.v.ids, self.apart
+        ids = self.v.ids
         bound = last is not None and last in ids
-        for n in self.lengths.get(text[at : at + 3], (2, 1)):
+        for n in self.five.get(text[at : at + 5]) or self.three.get(text[at : at + 3], SHORT):
             end = at + n
             if end > len(text):
                 continue
             piece = text[at:end]
             if piece in ids:
-                if bound:
-                    known = apart.get((last, piece))
-                    if not (self.stay_apart(last, piece) if known is None else known):
-                        continue
-                yield piece
+                if not bound or self.stay_apart(last, piece):
+                    yield piece
             elif end == at + 1:
                 yield piece  # an unknown character merges with nothing
 
@@ -222,11 +233,12 @@ class Coder:
 
     def _pieces(self, text: str) -> list[str]:
         """``path`` of a whole word: the same search, without a generator for each position."""
-        ids, apart, lengths, size = self.v.ids, self.apart, self.lengths, len(text)
+        ids, three, five, size = self.v.ids, self.three, self.five, len(text)
         out, tried, dead = [], [], set()
-        at, last, k = 0, None, 0
+        at, last, k, near = 0, None, 0, None
         while True:
-            ways, found = lengths.get(text[at : at + 3], (2, 1)), False
+            # near: what is known of the pieces after the last one; None if any may follow
+            ways, found = five.get(text[at : at + 5]) or three.get(text[at : at + 3], SHORT), False
             while k < len(ways):
                 n = ways[k]
                 k += 1
@@ -235,8 +247,8 @@ class Coder:
                     continue
                 piece = text[at:end]
                 if piece in ids:
-                    if last is not None and last in ids:
-                        known = apart.get((last, piece))
+                    if near is not None:
+                        known = near.get(piece)
                         if not (self.stay_apart(last, piece) if known is None else known):
                             continue
                 elif n > 1:
@@ -250,36 +262,47 @@ class Coder:
                     return out
                 tried.append(k)
                 at, last, k = end, piece, 0
+                near = self.apart.get(piece, {}) if piece in ids else None
                 continue
             piece = out.pop()
             dead.add((at, piece))
             at, k = at - len(piece), tried.pop()
             last = out[-1] if out else None
+            near = self.apart.get(last, {}) if last in ids else None
 
-    def _word(self, block: str) -> tuple[int, ...]:
-        core = block.lstrip(BLANK)
-        if block == "\n":
-            done = self._ids("\n")
-        elif not core:
-            done = self._blanks(len(block))
-        else:
-            run = len(block) - len(core)
-            core = BLANK + core if run else core
-            done = self._opened(max(run - 1, 0), self._pieces(core))
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        self.words[block] = found = tuple(done)
+    def _word(self, block: str) -> bytes:
+        found = self.words.get(block) or self.older.get(block) or packed(self._encoded(block))
+        if len(self.words) > REMEMBERED // 2:
+            self.words, self.older = {}, self.words
+        self.words[block] = found
         return found
 
-    def blocks(self, marked: str) -> list[int]:
-        """Ids of a stretch that begins and ends where no piece can lie across."""
-        words, word, out = self.words, self._word, []
-        for block in self.block.findall(marked):
-            out += words.get(block) or word(block)
-        return out
+    def _encoded(self, block: str) -> list[int]:
+        core = block.lstrip(BLANK)
+        if block == "\n":
+            return self._ids("\n")
+        if not core:
+            return self._blanks(len(block))
+        run = len(block) - len(core)
+        pieces = self._pieces(BLANK + core if run else core)
+        if run < 2:
+            try:
+                return [self.v.ids[p] for p in pieces]
+            except KeyError:
+                pass  # an unknown character
+        return self._opened(max(run - 1, 0), pieces)
+
+    def blocks(self, marked: str) -> bytes:
+        """Packed ids of a stretch that begins and ends where no piece can lie across."""
+        words, word = self.words, self._word
+        return b"".join([words.get(b) or word(b) for b in self.block.findall(marked)])
+
+    def coded(self, text: str) -> bytes:
+        """Packed ids of a whole text."""
+        return self.blocks(marked(text)) if text else b""
 
     def encode(self, text: str) -> list[int]:
-        return self.blocks(marked(text)) if text else []
+        return unpacked(self.coded(text)).tolist()
 
     def decode(self, ids) -> str:
         out, pieces, first = [], self.v.pieces, self.v.first_byte
@@ -376,13 +399,21 @@ class Coder:
         if start < first:
             head = self.path(text[:first], start, before, first)
             out += [i for p in head for i in self._ids(p)]
-        out += self.blocks(text[max(first, a) : last])
+        out += unpacked(self.blocks(text[max(first, a) : last])).tolist()
         if last < b:
             core = self._core(text, last)
             out += self._opened(core - last, self.path(text, core, None, b, goal))
         return out
 
 
+def packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+def unpacked(ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, np.int32)
+
+
 def marked(text: str) -> str:
     return BLANK + text.replace(" ", BLANK)
 
@@ -432,10 +463,9 @@ def chunks(text: str, size: int, context: int) -> list[tuple[str, str, str]]:
     ]
 
 
-def _lists(values: list[list[int]]) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-    flat = np.fromiter((i for v in values for i in v), np.int32, offsets[-1])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+def _lists(values: list[bytes]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(v) // 4 for v in values])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unpacked(b"".join(values))))
 
 
 def _whole(vocabulary):
@@ -445,7 +475,7 @@ def _whole(vocabulary):
             texts = batch.column("_content").to_pylist()
             for start in range(0, len(texts), 1000):
                 part = batch.slice(start, 1000)
-                ids = _lists([coder.encode(t) for t in texts[start : start + 1000]])
+                ids = _lists([coder.coded(t) for t in texts[start : start + 1000]])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_id"), part.column("_text"), ids], ["_id", "_text", "ids"]
                 )
@@ -520,7 +550,7 @@ def _traced(vocabulary):
         for batch in batches:
             states = batch.column("state").to_pylist(), batch.column("goal").to_pylist()
             ids = [
-                coder.trace(*parts, _load(state), _load(goal))
+                packed(coder.trace(*parts, _load(state), _load(goal)))
                 for parts, state, goal in zip(_parts(batch), *states, strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
