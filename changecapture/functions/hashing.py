@@ -7,7 +7,7 @@ encodes and sorts in interpreted expressions.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,21 +61,39 @@ def value_hash(
     return digest(encode(_by_name(_sets(df, keys, exclusions).valued)), kind)
 
 
-def add_hashes(df: DataFrame, cfg: TableConfig) -> DataFrame:
-    """Put both hashes in front of the payload (inline) or of the key columns (link).
+def key_fields(sets: FieldSets) -> list:
+    """Key columns, in order of name."""
+    return _by_name(sets.ids)
+
+
+def hash_columns(sets: FieldSets, cfg: TableConfig) -> tuple[Column, Column]:
+    """Key hash and value hash of a table's settings.
 
     Value hashes have 128 bits or more whatever the kind: nothing else would tell two values
     of a key apart.
     """
-    sets = FieldSets(cfg, df.schema)
+    return (
+        digest(encode(key_fields(sets)), cfg.hash_kind),
+        digest(encode(_by_name(sets.valued)), cfg.value_hash_kind),
+    )
+
+
+def add_hashes(df: DataFrame, cfg: TableConfig, beside: Sequence[str] = ()) -> DataFrame:
+    """Put both hashes in front of the payload (inline) or of the key columns (link).
+
+    Columns ``beside`` the payload follow it and enter no hash.
+    """
+    sets = FieldSets(cfg, df.drop(*beside).schema)
     kept = sets.payload if cfg.inline else sets.ids
     taken = [f.name for f in kept if C.is_added(f.name)]
     if taken:
         raise ConfigError(f"{cfg.table}: column names the mirror needs: {', '.join(taken)}")
+    key, value = hash_columns(sets, cfg)
     return df.select(
-        digest(encode(_by_name(sets.ids)), cfg.hash_kind).alias(C.KEY_HASH),
-        digest(encode(_by_name(sets.valued)), cfg.value_hash_kind).alias(C.VALUE_HASH),
+        key.alias(C.KEY_HASH),
+        value.alias(C.VALUE_HASH),
         *select_fields(kept),
+        *beside,
     )
 
 

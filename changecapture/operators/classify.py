@@ -58,8 +58,8 @@ def label() -> Column:
     )
 
 
-def assign_nk(cfg: TableConfig, key: Column) -> Column:
-    """Surrogate key of a new row, shaped like a UUID.
+def assign_nk(cfg: TableConfig, key: Column, job: Column | None = None) -> Column:
+    """Surrogate key of a row that is new in this job (or in ``job``), shaped like a UUID.
 
     It follows from the table's scope, key and job. A retried task therefore repeats it, and a key
     that was deleted and returns under a later job gets a new one.
@@ -67,7 +67,7 @@ def assign_nk(cfg: TableConfig, key: Column) -> Column:
     seed = F.concat(
         F.lit(framed_literal(cfg.nk_scope)),
         framed(key, T.StringType()),
-        F.lit(framed_literal(cfg.job_id)),
+        F.lit(framed_literal(cfg.job_id)) if job is None else framed(job, T.StringType()),
     )
     shaped = F.md5(seed)
     for at in (9, 14, 19, 24):

@@ -15,6 +15,7 @@ from changecapture.config import INITIAL, ConfigError, TableConfig, version_name
 from changecapture.functions.encoding import quoted
 from changecapture.functions.hashing import add_hashes, match_columns
 from changecapture.functions.wrap import unwrap
+from changecapture.operators import keyed
 from changecapture.operators.classify import (
     NEW,
     NEW_COPY,
@@ -299,7 +300,11 @@ def _build_claimed(
     # the join tells repeated keys by itself; a run without the wide join counts them before
     count_first = cfg.on_duplicates == "fail" and (first or cfg.keys_first)
     checked = require_unique(unwrap(source), cfg.keys) if count_first else None
-    if not landed:
+    plain = narrow(unwrap(source), cfg)
+    by_key = not landed and keyed.applies(cfg, plain.schema)
+    if by_key:
+        hashed = keyed.kept_first(plain, cfg)
+    elif not landed:
         hashed = hash_source(source, cfg)
     match = match_columns(cfg, hashed)
     if cfg.buckets and not landed:
@@ -313,11 +318,14 @@ def _build_claimed(
             rows = None
         elif first:
             # nothing to compare with: the empty side leaves no join behind
-            rows = classify(hashed, mirror.where(F.lit(False)), cfg)
+            plain = hashed.drop(*keyed.places(cfg)) if by_key else hashed
+            rows = classify(plain, mirror.where(F.lit(False)), cfg)
         elif cfg.narrow_first:
             rows = classify_changed(hashed, mirror, changes, cfg)
         elif cfg.on_duplicates == "fail":
             rows = classify(ranked(hashed, match), ranked(mirror, match, repeats=False), cfg)
+        elif by_key:
+            rows = keyed.classify_kept(hashed, mirror, cfg)
         else:
             rows = classify(hashed, mirror, cfg)
         if cfg.copy_on_write:
