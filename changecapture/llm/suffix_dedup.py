@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changecapture.llm.common import discard, doc_key, packed, same_doc, shards, written
+from changecapture.llm.common import discard, doc_key, packed, same_doc, shards, slices, written
 
 LENGTH = 200
 SEED = 64
@@ -110,7 +110,7 @@ def _batch(columns: dict[str, tuple]) -> pa.RecordBatch:
 def _seeds(length: int, seed: int):
     def run(batches):
         anchors = Anchors(length, seed)
-        for batch in batches:
+        for batch in slices(batches):
             found = [anchors.of(x)[1] for x in batch.column("_bytes").to_pylist()]
             if found:
                 yield _batch({"seed": (np.concatenate(found), "int64")})
@@ -124,7 +124,7 @@ def _surroundings(length: int, seed: int):
 
     def run(batches):
         anchors = Anchors(length, seed)
-        for batch in batches:
+        for batch in slices(batches):
             rows, ats, seeds, names, least, most = [], [], [], [], [], []
             for row, data in enumerate(batch.column("_bytes").to_pylist()):
                 at, h = anchors.of(data)
@@ -171,7 +171,7 @@ def _contents(length: int):
 
         unpack = zstandard.ZstdDecompressor()
         last = None
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             packed = batch.column("packed")
             for row, wanted in enumerate(batch.column("wanted").to_pylist()):
@@ -258,7 +258,7 @@ def _compared(length: int):
 
     def run(batches):
         group: list[dict] = []
-        for batch in batches:
+        for batch in slices(batches):
             out: list = []
             for row in batch.to_pylist():
                 if group and group[0]["seed"] != row["seed"]:
@@ -289,7 +289,7 @@ def _names(length: int):
     """Each pending range of offsets in parts: names of all windows and of their common bytes."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             meta, outer, inner = [], [], []
             for x in batch.to_pylist():
                 content, d_lo, d_hi = x["content"], x["d_lo"], x["d_hi"]
@@ -328,7 +328,7 @@ def _cut(batches):
     import zstandard
 
     unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in slices(batches):
         sizes, removed, spans, left = [], [], [], []
         packed, cuts = batch.column("packed"), batch.column("spans").to_pylist()
         for row, found in enumerate(cuts):

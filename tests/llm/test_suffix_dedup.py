@@ -105,3 +105,17 @@ def test_adjacent_copies_are_read_once():
     batch = pa.RecordBatch.from_pylist([{"packed": zstandard.compress(text), "wanted": wanted}] * 50)
     out = list(suffix_dedup._contents(40)([batch, batch]))
     assert sum(b.num_rows for b in out) == 1 and out[0].column("content")[0].as_py() == text[:40]
+
+
+def test_rows_are_taken_apart_a_few_at_a_time():
+    import pyarrow as pa
+    import zstandard
+
+    kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
+    n, spans = 2000, [{"lo": 0, "hi": 4}, {"lo": 6, "hi": 8}]
+    columns = [pa.array(range(n)), pa.array([zstandard.compress(b"0123456789")] * n), pa.array([spans] * n, kind)]
+    batch = pa.RecordBatch.from_arrays(columns, ["_id", "packed", "spans"])
+    out = list(suffix_dedup._cut([batch]))
+    assert max(b.num_rows for b in out) <= 256
+    assert [x for b in out for x in b.column("_id").to_pylist()] == list(range(n))
+    assert {x for b in out for x in b.column("kept").to_pylist()} == {b"4589"}
