@@ -16,6 +16,7 @@ the blanks in it, and a matrix only has the few pieces around the cuts.
 from __future__ import annotations
 
 import re
+import string
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,8 +35,10 @@ BLANK = "▁"
 FRESH = (-2, 0)  # nothing lies across the cut
 UNKNOWN = -1
 NEVER = 1 << 60
-#: Words, and pairs of pieces, that a task remembers.
-REMEMBERED = 300_000
+#: Words, and pairs of pieces, that a task remembers: some 150 MB.
+REMEMBERED = 600_000
+#: Characters that mostly end a word without being part of its last piece.
+MARKS = string.punctuation
 #: Lengths of the pieces that may begin anywhere.
 SHORT = (2, 1)
 
@@ -125,6 +128,8 @@ class Coder:
         self.five = {
             k: tuple(sorted(n, reverse=True)) + self.three.get(k[:3], SHORT) for k, n in five.items()
         }
+        # neighbours that lie together in some piece; nothing is merged across any others
+        self.inside = {p[i : i + 2] for p in vocabulary.rank for i in range(len(p) - 1)}
         self.block = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 
     # -- neighbours ------------------------------------------------------------------
@@ -271,12 +276,20 @@ class Coder:
             near = self.apart.get(last, {}) if last in ids else None
 
     def _word(self, block: str) -> bytes:
-        found = self.words.get(block) or self.older.get(block) or packed(self._encoded(block))
+        found = self.words.get(block) or self.older.get(block) or self._split(block)
         if len(self.words) > REMEMBERED // 2:
             self.words, self.older = {}, self.words
         self.words[block] = found
         return found
 
+    def _split(self, block: str) -> bytes:
+        """Packed ids of a block not met before: mostly a known word before a mark."""
+        at = len(block.rstrip(MARKS))
+        if 0 < at < len(block) and block[at - 1] != BLANK and block[at - 1 : at + 1] not in self.inside:
+            word, mark = block[:at], block[at:]
+            return (self.words.get(word) or self._word(word)) + (self.words.get(mark) or self._word(mark))
+        return packed(self._encoded(block))
+
     def _encoded(self, block: str) -> list[int]:
         core = block.lstrip(BLANK)
         if block == "\n":
@@ -305,6 +318,9 @@ class Coder:
         return unpacked(self.coded(text)).tolist()
 
     def decode(self, ids) -> str:
+        shown = [*map(self.v.pieces.__getitem__, ids)]
+        if "" not in shown:  # no bytes
+            return "".join(shown).replace(BLANK, " ").removeprefix(" ")
         out, pieces, first = [], self.v.pieces, self.v.first_byte
         raw = bytearray()
         for i in ids:

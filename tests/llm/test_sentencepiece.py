@@ -100,3 +100,15 @@ def test_empty_table(spark, vocabulary):
     assert decode(encode(df, vocabulary), vocabulary).collect() == []
     with pytest.raises(ValueError):
         encode(df, vocabulary, chunk=0)
+
+
+def test_a_word_is_searched_once_whatever_mark_follows(monkeypatch):
+    coder = Coder(load(SENTENCEPIECE_MODEL))
+    searched, search = [], coder._pieces
+    monkeypatch.setattr(coder, "_pieces", lambda t: searched.append(t) or search(t))
+    text = "zxqwords zxqwords, zxqwords*** zxqwords. (zxqwords) a  , ▁, ,,  ... 'zxqwords'\n,x, é€, 𝄞! don't, l'été."
+    model = sentencepiece.SentencePieceProcessor(model_file=SENTENCEPIECE_MODEL)
+    for t in (text, " ".join(reversed(text.split(" "))), text * 3):
+        assert coder.encode(t) == model.encode(t)
+        assert coder.decode(coder.encode(t)) == model.decode(model.encode(t))
+    assert searched.count("▁zxqwords") == 1 and "▁zxqwords***" not in searched
